@@ -228,9 +228,8 @@ def window_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(
-        window_io.window_log_lines(data.scalar_windows(spark, sf_dir), LOGGED_AT)
-    )
+    windows = data.stable(data.scalar_windows(spark, sf_dir))
+    return present(window_io.window_log_lines(windows, LOGGED_AT))
 
 
 # --- reports --------------------------------------------------------------------
@@ -253,6 +252,11 @@ def _report(
     return query
 
 
+def performance_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = data.stable(data.scalar_windows(spark, sf_dir))
+    return present(reports.performance_table(windows))
+
+
 def hourly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = data.scalar_windows(spark, sf_dir, data.TEN_MINUTES)
     cleaned = windows.transform(clean.filter_nonempty).transform(clean.cast_millis)
@@ -310,7 +314,7 @@ def queries() -> dict[str, Query]:
         "window_log_lines": window_log_lines,
         "windows_date_range": windows_date_range,
         "events_timeseries": _report(reports.events_timeseries, data.scalar_windows),
-        "performance_table": _report(reports.performance_table, data.scalar_windows),
+        "performance_table": performance_table,
         "hourly_rollup": hourly_rollup,
         "hourly_report": _report(reports.hourly_report, data.scalar_windows, data.TEN_MINUTES),
         "hourly_totals": _report(reports.hourly_totals, data.scalar_windows, data.TEN_MINUTES),

@@ -73,7 +73,8 @@ windows AS (
            window_start + INTERVAL {size} AS window_end,
            count(*) AS total_events,
            count(DISTINCT user_id) AS unique_users,
-           round(avg(duration_ms), 6) AS avg_duration_ms
+           avg(duration_ms) AS raw_avg,
+           round(raw_avg, 6) AS avg_duration_ms
     FROM bucketed GROUP BY window_start
 )"""
 
@@ -205,7 +206,7 @@ AGGREGATE = f"""WITH {FULL}
 HOURLY_TOTALS = f"""WITH {TEN_MINUTES}
     SELECT date_trunc('hour', window_start) AS hour,
            CAST(sum(total_events) AS BIGINT) AS total_events,
-           round(avg(avg_duration_ms), 6) AS avg_duration_ms
+           round(avg(raw_avg), 6) AS avg_duration_ms
     FROM windows WHERE total_events > 0 GROUP BY 1 ORDER BY 2 DESC, 1"""
 
 
@@ -375,16 +376,16 @@ def oracle_sql() -> dict[str, str]:
         "hourly_rollup": f"""WITH {TEN_MINUTES}
             SELECT date_trunc('hour', window_start) AS hour,
                    CAST(sum(total_events) AS BIGINT) AS total_events,
-                   round(avg(avg_duration_ms), 6) AS avg_duration_ms,
+                   round(avg(raw_avg), 6) AS avg_duration_ms,
                    CAST(sum(unique_users) AS BIGINT) AS unique_users,
                    count(*) AS window_count
             FROM windows GROUP BY 1 ORDER BY 1""",
         "hourly_report": f"""WITH {TEN_MINUTES}
             SELECT date_trunc('hour', window_start) AS hour,
                    CAST(sum(total_events) AS BIGINT) AS total_events,
-                   round(avg(avg_duration_ms), 6) AS avg_duration_ms,
+                   round(avg(raw_avg), 6) AS avg_duration_ms,
                    CAST(sum(unique_users) AS BIGINT) AS unique_users,
-                   round(percentile_cont(0.5) WITHIN GROUP (ORDER BY avg_duration_ms), 6)
+                   round(percentile_cont(0.5) WITHIN GROUP (ORDER BY raw_avg), 6)
                        AS median_duration
             FROM windows WHERE total_events > 0 GROUP BY 1 ORDER BY 2 DESC, 1""",
         "hourly_totals": HOURLY_TOTALS,
@@ -407,17 +408,17 @@ def oracle_sql() -> dict[str, str]:
         "kpi_metrics": f"""WITH {HOURLY}
             SELECT CAST(sum(total_events) AS BIGINT) AS total_events,
                    CAST(sum(unique_users) AS BIGINT) AS unique_users,
-                   round(coalesce(avg(avg_duration_ms), 0.0), 6) AS avg_duration_ms,
+                   round(coalesce(avg(raw_avg), 0.0), 6) AS avg_duration_ms,
                    count(*) AS windows
             FROM windows""",
         "duration_histogram": f"""WITH {HOURLY},
             ends AS (
-                SELECT min(avg_duration_ms) AS lo, max(avg_duration_ms) AS hi,
-                       avg(avg_duration_ms) AS mean, (hi - lo) / 40 AS width
+                SELECT min(raw_avg) AS lo, max(raw_avg) AS hi, avg(raw_avg) AS mean,
+                       (hi - lo) / 40 AS width
                 FROM windows
             )
             SELECT CAST(CASE WHEN width > 0
-                             THEN least(floor((avg_duration_ms - lo) / width), 39)
+                             THEN least(floor((raw_avg - lo) / width), 39)
                              ELSE 0 END AS BIGINT) AS bin,
                    round(any_value(ends.lo) + bin * any_value(width), 6) AS lo,
                    round(any_value(ends.lo) + (bin + 1) * any_value(width), 6) AS hi,

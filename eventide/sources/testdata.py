@@ -74,8 +74,13 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table as a stream.
+
+    The path is a pattern because a stream source takes a plain path to be a
+    folder, and the table may be one file or a folder of files.
+    """
     configure(spark)
-    raw = spark.readStream.schema(RAW_EVENTS).parquet(f"{sf_dir}/events.parquet")
+    raw = spark.readStream.schema(RAW_EVENTS).parquet(f"{sf_dir}/events.parque[t]")
     return to_user_events(raw)
 
 
@@ -136,10 +141,10 @@ def event_batches(spark: SparkSession, sf_dir: str, size: int = 50) -> DataFrame
     )
 
 
-def _stable(windows: DataFrame) -> DataFrame:
+def stable(windows: DataFrame) -> DataFrame:
     """Round the average to six places.
 
-    Later roundings and bin edges then do not depend on the order in which
+    A later rounding to two places then does not depend on the order in which
     doubles were added.
     """
     return windows.withColumn("avg_duration_ms", F.round("avg_duration_ms", 6))
@@ -147,12 +152,12 @@ def _stable(windows: DataFrame) -> DataFrame:
 
 def windows(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
     """Windows of all events with all measures."""
-    return _stable(window_aggregate(user_events(spark, sf_dir), size))
+    return window_aggregate(user_events(spark, sf_dir), size)
 
 
 def scalar_windows(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
     """Windows of all events without the nested measures, which cost extra."""
-    return _stable(totals(assign_windows(user_events(spark, sf_dir), size)))
+    return totals(assign_windows(user_events(spark, sf_dir), size))
 
 
 def windows_at_rest(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:

@@ -3,7 +3,7 @@
 ``from_json`` on its own is too lenient here: it turns 5 into "5", and it stops
 reading after the first value. Two things make it strict:
 
-* Every known field is read as VARIANT, so its JSON type stays visible: SQL NULL
+* Known fields are read as VARIANT, so their JSON type stays visible: SQL NULL
   means the key is absent, ``VOID`` is a JSON null.
 * The record is embedded in an array followed by a closing element that holds
   the record's own hash, ``[<record>,{"_end":<hash>}]``. Text after the record
@@ -16,7 +16,7 @@ nothing trails the record.
 
 from eventide.functions.rules import REQUIRED, REQUIRED_TEXT
 
-ALL_FIELDS = [*REQUIRED, "metadata", "timestamp"]
+EVENT_LAYOUT = dict.fromkeys(REQUIRED, "variant")
 
 _STRICT = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 
@@ -34,14 +34,14 @@ def _closing_array(json: str) -> str:
     return f"concat('[', xxhash64({json}), ']')"
 
 
-def _field_struct(names: list[str]) -> str:
-    return ",".join(f"{n}:variant" for n in names)
+def _field_list(layout: dict[str, str]) -> str:
+    return ",".join(f"{n}:{kind}" for n, kind in layout.items())
 
 
-def read_object(json: str, names: list[str]) -> str:
-    """``array<struct<fields, _end>>``; see ``object_or_null`` for its use."""
+def read_object(json: str, layout: dict[str, str]) -> str:
+    """``array<struct<fields, _end>>`` with the given field types."""
     return _read(
-        json, _closing_object(json), f"array<struct<{_field_struct(names)},_end:bigint>>"
+        json, _closing_object(json), f"array<struct<{_field_list(layout)},_end:bigint>>"
     )
 
 
@@ -72,7 +72,7 @@ def read_object_batch(json: str) -> str:
     return _read(
         json,
         f"concat('[', {_closing_object(json)}, ']')",
-        f"array<array<struct<{_field_struct(REQUIRED)},_end:bigint>>>",
+        f"array<array<struct<{_field_list(EVENT_LAYOUT)},_end:bigint>>>",
     )
 
 
@@ -101,10 +101,21 @@ def _struct(values: dict[str, str]) -> str:
     return f"named_struct({', '.join(f'{k!r}, {v}' for k, v in values.items())})"
 
 
+def kind(variant: str) -> str:
+    """JSON type of a value; an absent one counts as null."""
+    return f"coalesce(schema_of_variant({variant}), 'VOID')"
+
+
+def is_number_kind(kind: str) -> str:
+    return f"{kind} RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)'"
+
+
 def is_number(variant: str) -> str:
     """JSON number that fits a double."""
-    return f"""(schema_of_variant({variant}) RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)'
-        AND abs(try_variant_get({variant}, '$', 'double')) < double('Infinity'))"""
+    return (
+        f"({is_number_kind(f'schema_of_variant({variant})')} "
+        f"AND abs({number(variant)}) < double('Infinity'))"
+    )
 
 
 def is_text(variant: str) -> str:

@@ -56,7 +56,7 @@ def validate_json_events(records: DataFrame, json_col: str = "value") -> DataFra
     The error names the failing field; the line and column a text parser would
     append are not reproduced.
     """
-    parsed = records.withColumn("_parsed", F.expr(js.read_object(json_col, REQUIRED)))
+    parsed = records.withColumn("_parsed", F.expr(js.read_object(json_col, js.EVENT_LAYOUT)))
     # Only records that are no object are read a second time.
     parsed = parsed.withColumn("_object", F.expr(js.is_complete("_parsed", json_col))).withColumn(
         "_values", F.expr(f"CASE WHEN NOT _object THEN {js.read_values(json_col)} END")
@@ -67,7 +67,7 @@ def validate_json_events(records: DataFrame, json_col: str = "value") -> DataFra
         THEN {js.fields_of_positions("get(_values, 0)")}
     END"""
     keys = f"CASE WHEN _object THEN json_object_keys({json_col}) ELSE {_BY_POSITION} END"
-    read = compute_once(parsed, F.expr(fields).alias("_fields"), F.expr(keys).alias("_keys"))
+    read = parsed.withColumn("_fields", F.expr(fields)).withColumn("_keys", F.expr(keys))
     return _judge(
         read,
         why_unreadable="'invalid event'",
@@ -139,7 +139,8 @@ def _judge(
     rules = rule_errors_sql({n: f"_typed.{n}" for n in REQUIRED})
     errors = f"""CASE WHEN _why IS NOT NULL THEN array(concat('JSON parse error: ', _why))
         ELSE {rules} END"""
-    return _with_verdict(explained, errors).drop("_why", "_typed")
+    judged = compute_once(explained, F.expr(errors).alias("errors"))
+    return judged.withColumn("is_valid", F.size("errors") == 0).drop("_why", "_typed")
 
 
 def validation_summary(verdicts: DataFrame) -> DataFrame:

@@ -17,6 +17,11 @@ _INSTANT = (
     r"(Z|[+-]([01][0-9]|2[0-3]):[0-5][0-9])\\z"
 )
 
+# How a record is read. Text is VARIANT, because a number must not pass as text;
+# for the others a value of the wrong type cannot be taken for a right one.
+_TYPED = {"duration_ms": "double", "metadata": "map<string,variant>", "timestamp": "string"}
+_LAYOUT = {**dict.fromkeys(REQUIRED_TEXT, "variant"), **_TYPED}
+
 _ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -80,57 +85,85 @@ def decode_events(records: DataFrame, json_col: str = "value") -> DataFrame:
     Rejected rows are kept, with a null ``event``, so that they can be counted and
     stored; see ``accepted_events`` and ``write_split``.
     """
-    source = records.columns
-    parsed = records.withColumn("_parsed", F.expr(js.read_object(json_col, js.ALL_FIELDS)))
-    # A JSON null is one complete record without any field.
+    parsed = records.withColumn("_parsed", F.expr(js.read_object(json_col, _LAYOUT)))
     parsed = parsed.withColumn("_complete", F.expr(js.is_complete("_parsed", json_col)))
-    some_absent = " OR ".join(f"get(_parsed, 0).{n} IS NULL" for n in js.ALL_FIELDS)
+    # Null stands for an absent key, a JSON null, or a value of the wrong type.
+    # Only records with such a field are read again, key by key.
+    unclear = " OR ".join(f"get(_parsed, 0).{n} IS NULL" for n in _LAYOUT)
     parsed = parsed.withColumn(
         "_entries",
         F.expr(
-            f"""CASE WHEN _complete AND get(_parsed, 0) IS NOT NULL AND ({some_absent})
+            f"""CASE WHEN _complete AND get(_parsed, 0) IS NOT NULL AND ({unclear})
             THEN map_entries(get({js.read_entries(json_col)}, 0)) END"""
         ),
     )
-    respelled = {
-        n: f"""coalesce(get(_parsed, 0).{n}, try_element_at(
-            filter(_entries, x -> lower(x.key) = '{n}'), -1).value)"""
-        for n in js.ALL_FIELDS
-    }
-    fields = compute_once(
-        parsed,
+
+    def entry(name: str) -> str:
+        # An absent key may be there in another letter case; the last one counts.
+        return f"try_element_at(filter(_entries, x -> lower(x.key) = '{name}'), -1).value"
+
+    def direct(name: str) -> str:
+        return f"get(_parsed, 0).{name}"
+
+    fields = parsed.select(
+        *records.columns,
         F.col("_complete").alias("_whole"),
-        F.expr(f"named_struct({', '.join(f'{n!r}, {v}' for n, v in respelled.items())})").alias("_f"),
+        *[
+            F.expr(f"coalesce({direct(n)}, CASE WHEN _entries IS NOT NULL THEN {entry(n)} END)").alias(f"_{n}")
+            for n in REQUIRED_TEXT
+        ],
+        *[F.expr(direct(n)).alias(f"_{n}") for n in _TYPED],
+        *[
+            F.expr(
+                f"CASE WHEN _entries IS NOT NULL AND {direct(n)} IS NULL THEN {entry(n)} END"
+            ).alias(f"_{n}_entry")
+            for n in _TYPED
+        ],
     )
-
-    def absent(name: str) -> str:
-        return f"(_f.{name} IS NULL OR is_variant_null(_f.{name}))"
-
-    instant = js.text("_f.timestamp")
-    metadata = "try_variant_get(_f.metadata, '$', 'map<string,variant>')"
-    usable = [f"({absent(n)} OR {js.is_text(f'_f.{n}')})" for n in REQUIRED_TEXT] + [
-        f"({absent('duration_ms')} OR {js.is_number('_f.duration_ms')})",
-        f"""({absent('metadata')} OR (startswith(schema_of_variant(_f.metadata), 'OBJECT')
-            AND forall(map_values({metadata}),
-                x -> is_variant_null(x) OR {js.is_text('x')})))""",
-        f"""({absent('timestamp')} OR ({js.is_text('_f.timestamp')}
-            AND {instant} RLIKE '{_INSTANT}'
-            AND try_cast({instant} AS timestamp) IS NOT NULL))""",
-    ]
-    decoded = fields.withColumn(
-        "accepted", F.expr(f"_whole AND coalesce({' AND '.join(usable)}, false)")
+    instant = f"coalesce(_timestamp, {js.text('_timestamp_entry')})"
+    typed = fields.select(
+        *records.columns,
+        "_whole",
+        *[F.expr(js.kind(f"_{n}")).alias(f"_{n}_kind") for n in REQUIRED_TEXT],
+        *[F.expr(js.text(f"_{n}")).alias(f"_{n}") for n in REQUIRED_TEXT],
+        *[F.expr(js.kind(f"_{n}_entry")).alias(f"_{n}_kind") for n in _TYPED],
+        F.expr(f"coalesce(_duration_ms, {js.number('_duration_ms_entry')})").alias("_duration_ms"),
+        F.expr(
+            "coalesce(_metadata, try_variant_get(_metadata_entry, '$', 'map<string,variant>'))"
+        ).alias("_metadata"),
+        F.expr(
+            f"CASE WHEN {instant} RLIKE '{_INSTANT}' THEN try_cast({instant} AS timestamp) END"
+        ).alias("_timestamp"),
+        F.expr("_timestamp IS NOT NULL").alias("_has_timestamp"),
     )
-
-    values = [F.expr(f"coalesce({js.text(f'_f.{n}')}, '')").alias(n) for n in REQUIRED_TEXT] + [
-        F.expr(f"coalesce({js.number('_f.duration_ms')}, 0D)").alias("duration_ms"),
-        F.expr(f"transform_values({metadata}, (k, x) -> coalesce({js.text('x')}, ''))").alias(
+    usable = [f"_{n}_kind IN ('STRING', 'VOID')" for n in REQUIRED_TEXT] + [
+        f"""CASE WHEN _duration_ms IS NULL THEN _duration_ms_kind = 'VOID'
+            ELSE (_duration_ms_kind = 'VOID' OR {js.is_number_kind('_duration_ms_kind')})
+                AND abs(_duration_ms) < double('Infinity') END""",
+        f"""CASE WHEN _metadata IS NULL THEN _metadata_kind = 'VOID'
+            ELSE (_metadata_kind = 'VOID' OR startswith(_metadata_kind, 'OBJECT'))
+                AND forall(map_values(_metadata), x -> {js.kind('x')} IN ('STRING', 'VOID')) END""",
+        """CASE WHEN _timestamp IS NULL THEN _timestamp_kind = 'VOID' AND NOT _has_timestamp
+            ELSE _timestamp_kind IN ('STRING', 'VOID') END""",
+    ]
+    # A map with a repeated key keeps the later entry.
+    single = """CASE WHEN size(array_distinct(map_keys(_metadata))) = size(_metadata) THEN _metadata
+        ELSE map_from_entries(filter(map_entries(_metadata), (x, i) ->
+            NOT array_contains(slice(map_keys(_metadata), i + 2, size(_metadata)), x.key))) END"""
+    event = F.struct(
+        *[F.expr(f"coalesce(_{n}, '')").alias(n) for n in REQUIRED_TEXT],
+        F.expr("coalesce(_duration_ms, 0D)").alias("duration_ms"),
+        F.expr(f"transform_values({single}, (k, x) -> coalesce({js.text('x')}, ''))").alias(
             "metadata"
         ),
-        F.expr(f"try_cast({instant} AS timestamp)").alias("timestamp"),
-    ]
-    return decoded.select(
-        *source, F.when(F.col("accepted"), F.struct(*values)).alias("event"), "accepted"
+        F.col("_timestamp").alias("timestamp"),
+    )
+    judged = typed.withColumn(
+        "_accepted", F.expr(f"_whole AND coalesce({' AND '.join(usable)}, false)")
     )
+    return compute_once(
+        judged, F.when(F.col("_accepted"), event).alias("event"), F.col("_accepted").alias("accepted")
+    ).select(*records.columns, "event", "accepted")
 
 
 EVENT_COLUMNS = [*REQUIRED_TEXT, "duration_ms", "metadata", "timestamp"]

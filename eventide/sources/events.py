@@ -232,3 +232,9 @@ def write_split(verdicts: DataFrame, flag: str, path: str) -> None:
     touching the other, and the parse behind it runs once.
     """
     verdicts.write.mode("overwrite").partitionBy(flag).parquet(path)
+
+
+def read_split(spark: SparkSession, flag: str, path: str, good: bool = True) -> DataFrame:
+    """One side of a table stored by ``write_split``; reads only its files."""
+    stored = spark.read.parquet(path)
+    return stored.filter(F.col(flag) == str(good).lower()).drop(flag)

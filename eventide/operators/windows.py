@@ -25,7 +25,9 @@ from eventide.functions.timebins import tumbling
 DEFAULT_SIZE = "10 seconds"
 TOP_PAGES = 5
 
-_BOUNDS = ["window_start", "window_end"]
+# Windows of one size are told apart by their start; the end is added to the
+# finished rows, which keeps it out of every grouping key and shuffle.
+_KEY = "window_start"
 
 
 def _text(name: str) -> Column:
@@ -39,15 +41,13 @@ def assign_windows(
     time_col: str = "timestamp",
     offset: str | None = None,
 ) -> DataFrame:
-    """Events with their window bounds; events without a time are left out.
+    """Events with their window's start; events without a time are left out.
 
     ``time_col`` is the event time by default, which makes results repeatable;
     pass the arrival column to group by the time of consumption instead.
     """
-    bounds = tumbling(time_col, size, offset)
     return events.select(
-        bounds.start.alias("window_start"),
-        bounds.end.alias("window_end"),
+        tumbling(time_col, size, offset).start.alias(_KEY),
         _text("user_id").alias("user_id"),
         _text("event_type").alias("event_type"),
         _text("page").alias("page"),
@@ -55,6 +55,12 @@ def assign_windows(
     )
 
 
+def with_end(windows: DataFrame, size: str) -> DataFrame:
+    """Add ``window_end`` after the start."""
+    rest = [c for c in windows.columns if c != _KEY]
+    return windows.select(_KEY, (F.col(_KEY) + F.expr(f"INTERVAL {size}")).alias("window_end"), *rest)
+
+
 def totals(assigned: DataFrame) -> DataFrame:
     """Events, distinct users and average duration per window.
 
@@ -62,7 +68,7 @@ def totals(assigned: DataFrame) -> DataFrame:
     the other two along, so the one pass over the events also removes the skew
     of a busy window.
     """
-    return assigned.groupBy(*_BOUNDS).agg(
+    return assigned.groupBy(_KEY).agg(
         F.count(F.lit(1)).alias("total_events"),
         F.count_distinct("user_id").alias("unique_users"),
         F.avg("duration_ms").alias("avg_duration_ms"),
@@ -70,24 +76,24 @@ def totals(assigned: DataFrame) -> DataFrame:
 
 
 def window_totals(assigned: DataFrame) -> DataFrame:
-    return assigned.groupBy(*_BOUNDS).agg(F.count(F.lit(1)).alias("total_events"))
+    return assigned.groupBy(_KEY).agg(F.count(F.lit(1)).alias("total_events"))
 
 
 def window_avg_duration(assigned: DataFrame) -> DataFrame:
-    return assigned.groupBy(*_BOUNDS).agg(F.avg("duration_ms").alias("avg_duration_ms"))
+    return assigned.groupBy(_KEY).agg(F.avg("duration_ms").alias("avg_duration_ms"))
 
 
 def window_unique_users(assigned: DataFrame) -> DataFrame:
-    return assigned.groupBy(*_BOUNDS).agg(F.count_distinct("user_id").alias("unique_users"))
+    return assigned.groupBy(_KEY).agg(F.count_distinct("user_id").alias("unique_users"))
 
 
 def event_counts(assigned: DataFrame) -> DataFrame:
     """Events per window and type, for any type text."""
-    return assigned.groupBy(*_BOUNDS, "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return assigned.groupBy(_KEY, "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def page_counts(assigned: DataFrame) -> DataFrame:
-    return assigned.groupBy(*_BOUNDS, "page").agg(F.count(F.lit(1)).alias("n"))
+    return assigned.groupBy(_KEY, "page").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_pages(pages: DataFrame, limit: int = TOP_PAGES) -> DataFrame:
@@ -96,23 +102,23 @@ def top_pages(pages: DataFrame, limit: int = TOP_PAGES) -> DataFrame:
     The rank filter lets Spark keep ``limit`` rows per window in every task
     before the shuffle, however many pages a window has.
     """
-    order = Window.partitionBy(*_BOUNDS).orderBy(F.desc("n"), F.asc("page"))
+    order = Window.partitionBy(_KEY).orderBy(F.desc("n"), F.asc("page"))
     return (
         pages.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= limit)
-        .select(*_BOUNDS, "rank", "page", "n")
+        .select(_KEY, "rank", "page", "n")
     )
 
 
 def _counts_map(counts: DataFrame) -> DataFrame:
     """One map per window, keys in order. Its size is the number of types."""
     entries = F.array_sort(F.collect_list(F.struct("event_type", "n")))
-    return counts.groupBy(*_BOUNDS).agg(F.map_from_entries(entries).alias("event_counts"))
+    return counts.groupBy(_KEY).agg(F.map_from_entries(entries).alias("event_counts"))
 
 
 def _pages_list(ranked: DataFrame) -> DataFrame:
     rows = F.array_sort(F.collect_list(F.struct("rank", "page", "n")))
-    return ranked.groupBy(*_BOUNDS).agg(
+    return ranked.groupBy(_KEY).agg(
         F.transform(
             rows, lambda r: F.struct(r["page"].alias("page"), r["n"].alias("count"))
         ).alias("top_pages")
@@ -121,10 +127,10 @@ def _pages_list(ranked: DataFrame) -> DataFrame:
 
 def _assemble(measures: DataFrame, counts: DataFrame, pages: DataFrame) -> DataFrame:
     return (
-        measures.join(_counts_map(counts), _BOUNDS, "left")
-        .join(_pages_list(top_pages(pages)), _BOUNDS, "left")
+        measures.join(_counts_map(counts), _KEY, "left")
+        .join(_pages_list(top_pages(pages)), _KEY, "left")
         .select(
-            *_BOUNDS,
+            _KEY,
             "total_events",
             "event_counts",
             "unique_users",
@@ -147,7 +153,8 @@ def window_aggregate(
     ``window_cells``, which reads them once.
     """
     assigned = assign_windows(events, size, time_col, offset)
-    return _assemble(totals(assigned), event_counts(assigned), page_counts(assigned))
+    windows = _assemble(totals(assigned), event_counts(assigned), page_counts(assigned))
+    return with_end(windows, size)
 
 
 def window_cells(
@@ -169,21 +176,21 @@ def window_cells(
     )
     return (
         assign_windows(events, size, time_col, offset)
-        .select(*_BOUNDS, F.inline(facts))
-        .groupBy(*_BOUNDS, "dim", "key")
+        .select(_KEY, F.inline(facts))
+        .groupBy(_KEY, "dim", "key")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("duration"))
     )
 
 
 def merge_cells(cells: DataFrame) -> DataFrame:
     """Add up the counters that several batches hold for the same key."""
-    return cells.groupBy(*_BOUNDS, "dim", "key").agg(
+    return cells.groupBy(_KEY, "dim", "key").agg(
         F.sum("n").alias("n"), F.sum("duration").alias("duration")
     )
 
 
-def rollup(cells: DataFrame) -> DataFrame:
-    """Windows from counters, merged or not.
+def rollup(cells: DataFrame, size: str = DEFAULT_SIZE) -> DataFrame:
+    """Windows of ``size`` from counters, merged or not.
 
     Meant for cells read from a table partitioned by ``dim``: each measure then
     scans only its own partition.
@@ -191,16 +198,17 @@ def rollup(cells: DataFrame) -> DataFrame:
     types = cells.filter("dim = 'event_type'").withColumnRenamed("key", "event_type")
     users = cells.filter("dim = 'user_id'")
     pages = cells.filter("dim = 'page'").withColumnRenamed("key", "page")
-    sums = types.groupBy(*_BOUNDS).agg(
+    sums = types.groupBy(_KEY).agg(
         F.sum("n").alias("total_events"),
         (F.sum("duration") / F.sum("n")).alias("avg_duration_ms"),
     )
-    distinct = users.groupBy(*_BOUNDS).agg(F.count_distinct("key").alias("unique_users"))
-    return _assemble(
-        sums.join(distinct, _BOUNDS, "left"),
-        types.groupBy(*_BOUNDS, "event_type").agg(F.sum("n").alias("n")),
-        pages.groupBy(*_BOUNDS, "page").agg(F.sum("n").alias("n")),
+    distinct = users.groupBy(_KEY).agg(F.count_distinct("key").alias("unique_users"))
+    windows = _assemble(
+        sums.join(distinct, _KEY, "left"),
+        types.groupBy(_KEY, "event_type").agg(F.sum("n").alias("n")),
+        pages.groupBy(_KEY, "page").agg(F.sum("n").alias("n")),
     )
+    return with_end(windows, size)
 
 
 def zero_fill(windows: DataFrame, size: str) -> DataFrame:
@@ -233,7 +241,7 @@ def zero_fill(windows: DataFrame, size: str) -> DataFrame:
         "event_counts": F.expr("cast(map() AS map<string,bigint>)"),
         "top_pages": F.expr("cast(array() AS array<struct<page:string,count:bigint>>)"),
     }
-    filled = spine.join(windows, _BOUNDS, "left")
+    filled = spine.join(windows.drop("window_end"), _KEY, "left")
     return filled.select(
         *[
             F.coalesce(F.col(name), zero[name]).alias(name) if name in zero else F.col(name)

@@ -90,19 +90,19 @@ def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(win.window_totals(_assigned(spark, sf_dir)))
+    return present(win.with_end(win.window_totals(_assigned(spark, sf_dir)), data.HOUR))
 
 
 def window_unique_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(win.window_unique_users(_assigned(spark, sf_dir)))
+    return present(win.with_end(win.window_unique_users(_assigned(spark, sf_dir)), data.HOUR))
 
 
 def window_avg_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(win.window_avg_duration(_assigned(spark, sf_dir)))
+    return present(win.with_end(win.window_avg_duration(_assigned(spark, sf_dir)), data.HOUR))
 
 
 def window_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(win.event_counts(_assigned(spark, sf_dir)).drop("window_end"))
+    return present(win.event_counts(_assigned(spark, sf_dir)))
 
 
 def window_top_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +121,7 @@ def window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "cells")
     cells = win.window_cells(data.user_events(spark, sf_dir), data.HOUR)
     cells.write.partitionBy("dim").parquet(path)
-    return present(win.rollup(spark.read.schema(cells.schema).parquet(path)))
+    return present(win.rollup(spark.read.schema(cells.schema).parquet(path), data.HOUR))
 
 
 def windows_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +138,7 @@ def stream_window_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     tumbling.start_cells(
         events, f"{path}/cells", f"{path}/checkpoint", data.HOUR
     ).awaitTermination()
-    return present(tumbling.read_windows(spark, f"{path}/cells"))
+    return present(tumbling.read_windows(spark, f"{path}/cells", data.HOUR))
 
 
 def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,7 +73,6 @@ WINDOW_EXPORT_COLUMNS = [
 CELL = T.StructType(
     [
         T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
         T.StructField("dim", T.StringType()),
         T.StructField("key", T.StringType()),
         T.StructField("n", T.LongType()),

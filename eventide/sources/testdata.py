@@ -7,7 +7,7 @@ work of a query grows with it.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.operators.windows import assign_windows, totals, window_aggregate
+from eventide.operators.windows import assign_windows, totals, window_aggregate, with_end
 from eventide.schemas import EVENT_COUNTS_TYPE, TOP_PAGES_TYPE
 from eventide.session import configure
 from eventide.sources.events import event_json
@@ -46,9 +46,13 @@ def to_user_events(raw: DataFrame) -> DataFrame:
     """The raw event table in the ``USER_EVENT`` schema, batch or stream."""
     k = F.get_json_object("props", "$.k").cast("int")
     kind = F.col("event_type")
+    number = F.col("user_id").cast("string")
     return raw.select(
         F.col("event_id").cast("string").alias("id"),
-        F.format_string("user-%03d", "user_id").alias("user_id"),
+        F.concat(
+            F.lit("user-"),
+            F.when(F.col("user_id") < 1000, F.lpad(number, 3, "0")).otherwise(number),
+        ).alias("user_id"),
         F.concat(F.lit("sess-"), (F.col("user_id") % 20).cast("string")).alias("session_id"),
         F.when(kind == "view", "page_view")
         .when(kind == "signup", "login")
@@ -157,7 +161,7 @@ def windows(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
 
 def scalar_windows(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
     """Windows of all events without the nested measures, which cost extra."""
-    return totals(assign_windows(user_events(spark, sf_dir), size))
+    return with_end(totals(assign_windows(user_events(spark, sf_dir), size)), size)
 
 
 def windows_at_rest(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:

@@ -99,10 +99,14 @@ def compact_cells(
 
 
 def read_windows(
-    spark: SparkSession, path: str, base: tuple[str, int] | None = None
+    spark: SparkSession,
+    path: str,
+    size: str = DEFAULT_SIZE,
+    base: tuple[str, int] | None = None,
 ) -> DataFrame:
-    """Windows over everything committed so far, open windows included."""
-    return rollup(read_cells(spark, path, base))
+    """Windows of the ``size`` the log was written with, over everything
+    committed so far, open windows included."""
+    return rollup(read_cells(spark, path, base), size)
 
 
 def start_closed_windows(
@@ -127,7 +131,7 @@ def start_closed_windows(
         spark = batch.sparkSession
         closed = f"{path}/cells/batch_id={batch_id}"
         batch.write.mode("overwrite").partitionBy("dim").parquet(closed)
-        windows = rollup(spark.read.schema(CELL).parquet(closed))
+        windows = rollup(spark.read.schema(CELL).parquet(closed), size)
         to_at_rest(windows).write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
 
     return (
@@ -159,7 +163,6 @@ def _streamed_cells(events: DataFrame, size: str, offset: str | None) -> DataFra
         .agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("duration"))
         .select(
             F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
             "dim",
             "key",
             "n",

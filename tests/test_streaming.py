@@ -59,15 +59,15 @@ def test_cells_equal_batch_after_restarts(spark, slices, tmp_path):
         add(part, src, i)
     run(tumbling.start_cells(source(spark, src), out, check, "1 hour"))
     done = slices[0].unionByName(slices[1]).unionByName(slices[2])
-    assert flat(tumbling.read_windows(spark, out)) == flat(win.window_aggregate(done, "1 hour"))
+    assert flat(tumbling.read_windows(spark, out, "1 hour")) == flat(win.window_aggregate(done, "1 hour"))
     # A restart without new files changes nothing, one with a late file adds it.
     run(tumbling.start_cells(source(spark, src), out, check, "1 hour"))
-    assert flat(tumbling.read_windows(spark, out)) == flat(win.window_aggregate(done, "1 hour"))
+    assert flat(tumbling.read_windows(spark, out, "1 hour")) == flat(win.window_aggregate(done, "1 hour"))
     add(slices[3], src, 3)
     run(tumbling.start_cells(source(spark, src), out, check, "1 hour"))
     everything = done.unionByName(slices[3])
     expected = flat(win.window_aggregate(everything, "1 hour"))
-    assert flat(tumbling.read_windows(spark, out)) == expected
+    assert flat(tumbling.read_windows(spark, out, "1 hour")) == expected
 
     batches = sorted(
         r.batch_id
@@ -75,9 +75,9 @@ def test_cells_equal_batch_after_restarts(spark, slices, tmp_path):
     )
     assert len(batches) >= 3
     base = tumbling.compact_cells(spark, out, str(tmp_path / "base"), batches[1])
-    assert flat(tumbling.read_windows(spark, out, base)) == expected
+    assert flat(tumbling.read_windows(spark, out, "1 hour", base)) == expected
     base = tumbling.compact_cells(spark, out, str(tmp_path / "base2"), batches[-1], base)
-    assert flat(tumbling.read_windows(spark, out, base)) == expected
+    assert flat(tumbling.read_windows(spark, out, "1 hour", base)) == expected
 
 
 def test_cells_take_events_in_any_order(spark, slices, tmp_path):
@@ -85,7 +85,7 @@ def test_cells_take_events_in_any_order(spark, slices, tmp_path):
     for i in (3, 0, 2, 1):
         add(slices[i], src, i)
     run(tumbling.start_cells(source(spark, src), out, check, "1 hour"))
-    assert flat(tumbling.read_windows(spark, out)) == flat(
+    assert flat(tumbling.read_windows(spark, out, "1 hour")) == flat(
         win.window_aggregate(data.user_events(spark, SF), "1 hour")
     )
 
@@ -96,7 +96,7 @@ def test_json_stream_to_windows(spark, slices, tmp_path):
     spark.createDataFrame([("broken",)], "value string").write.mode("append").text(src)
     events = io.accepted_events(io.decode_events(io.read_json_lines(spark, src)))
     run(tumbling.start_cells(events, out, check, "1 hour"))
-    assert flat(tumbling.read_windows(spark, out)) == flat(
+    assert flat(tumbling.read_windows(spark, out, "1 hour")) == flat(
         win.window_aggregate(slices[0], "1 hour")
     )
 

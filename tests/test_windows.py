@@ -106,8 +106,8 @@ def test_rollup_of_split_cells_equals_direct_aggregate(spark):
         return sorted(map(str, flat.collect()))
 
     direct = rows(win.window_aggregate(events, "1 hour"))
-    assert rows(win.rollup(cells)) == direct
-    assert rows(win.rollup(win.merge_cells(cells))) == direct
+    assert rows(win.rollup(cells, "1 hour")) == direct
+    assert rows(win.rollup(win.merge_cells(cells), "1 hour")) == direct
 
 
 def test_zero_fill(spark):
@@ -124,7 +124,7 @@ def test_zero_fill_crosses_chunks(spark):
     late = BASE + dt.timedelta(seconds=9000)
     df = spark.createDataFrame([event(0), event(1, at=late)], USER_EVENT)
     assigned = win.assign_windows(df, "1 second")
-    filled = win.zero_fill(win.window_totals(assigned), "1 second")
+    filled = win.zero_fill(win.with_end(win.window_totals(assigned), "1 second"), "1 second")
     assert filled.count() == 9001
     assert filled.select("window_start").distinct().count() == 9001
     assert filled.agg(F.sum("total_events")).first()[0] == 2

@@ -38,24 +38,20 @@ def run_cycle(
     """Process one hand-over of windows; returns the one-row run summary.
 
     ``windows`` has the window columns plus the arrival order ``seq``, of any
-    type that sorts. Windows
-    that fail the gate go to ``rejected``; the others are stored as they came,
-    duplicates and empty windows included, and everything after that reads the
-    stored copy, so no step repeats the work before it. Cleaned windows, the
-    cleaning audit and the reports follow. Each output folder belongs to the run
-    and is replaced when the run is repeated. Without windows nothing is written
-    and the result is None.
+    type that sorts. The input is read once, to judge and store it: windows that
+    pass the gate and windows that fail it, with the reasons, become partitions
+    of one table, duplicates and empty windows included. Everything after that
+    reads the stored copy: cleaned windows, the cleaning audit and the reports.
+    Each output folder belongs to the run and is replaced when the run is
+    repeated. Without windows there are no reports and the result is None.
     """
-    if windows.isEmpty():
-        return None
-    verdicts = validate_windows(windows)
-    verdicts.filter("NOT is_valid").select("window_start", "window_end", "errors").write.mode(
-        "overwrite"
-    ).parquet(f"{out}/rejected/run_id={run_id}")
-    write_windows(
-        verdicts.filter("is_valid").drop("is_valid", "errors"), f"{out}/windows", run_id
+    write_windows(validate_windows(windows), f"{out}/windows", run_id, split="is_valid")
+    arrived = scan_stored(spark, out, {seq: dict(windows.dtypes)[seq]}).filter(
+        F.col("run_id") == run_id
     )
-    stored = run_windows(spark, out, run_id, seq, dict(windows.dtypes)[seq])
+    if arrived.isEmpty():
+        return None
+    stored = accepted(arrived)
 
     def save(frame: DataFrame, name: str) -> None:
         frame.write.mode("overwrite").parquet(f"{out}/{name}/run_id={run_id}")
@@ -67,13 +63,24 @@ def run_cycle(
     return cycle_summary(spark, out, run_id)
 
 
-def run_windows(
-    spark: SparkSession, out: str, run_id: str, seq: str = "seq", seq_type: str = "bigint"
+def scan_stored(
+    spark: SparkSession, out: str, extra: dict[str, str] | None = None
 ) -> DataFrame:
-    """Stored windows of one run with their arrival order."""
-    extra = {seq: seq_type, "run_id": "string", "window_date": "date"}
-    stored = scan_windows(spark, f"{out}/windows", extra)
-    return stored.filter(F.col("run_id") == run_id).select(*WINDOW_AT_REST.names, seq)
+    """Stored windows of all runs with their partition columns."""
+    partitions = {"run_id": "string", "is_valid": "string", "window_date": "date"}
+    return scan_windows(spark, f"{out}/windows", {**(extra or {}), **partitions})
+
+
+def accepted(stored: DataFrame) -> DataFrame:
+    return stored.filter("is_valid = 'true'")
+
+
+def rejected(spark: SparkSession, out: str) -> DataFrame:
+    """Windows the gate turned away, with the reasons."""
+    stored = scan_stored(spark, out, {"errors": "array<string>"})
+    return stored.filter("is_valid = 'false'").select(
+        "run_id", "window_start", "window_end", "errors"
+    )
 
 
 def cycle_summary(spark: SparkSession, out: str, run_id: str) -> DataFrame:
@@ -93,8 +100,7 @@ def write_dashboard(
     spark: SparkSession, out: str, first_day: str, last_day: str
 ) -> None:
     """Write the dashboard's tables for a range of days over all runs."""
-    stored = scan_windows(spark, f"{out}/windows", {"run_id": "string", "window_date": "date"})
-    selected = reports.date_range(stored, first_day, last_day)
+    selected = reports.date_range(accepted(scan_stored(spark, out)), first_day, last_day)
     for name, report in DASHBOARD.items():
         report(selected).write.mode("overwrite").parquet(f"{out}/dashboard/{name}")
 

@@ -316,7 +316,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
                                 - INTERVAL 10 MINUTES""",
         "stream_drain_once": f"""WITH {HOURLY}
-            SELECT 1 AS run, count(*) AS new_rows FROM windows
+            SELECT CAST(1 AS BIGINT) AS run, count(*) AS new_rows FROM windows
             UNION ALL SELECT 2, 0""",
         "clean_dedup": _clean_step(_BASE),
         "clean_filter_nonempty": _clean_step(_BASE, _NONEMPTY),
@@ -330,7 +330,7 @@ def oracle_sql() -> dict[str, str]:
                        (SELECT count(*) FROM deduped) AS uniq,
                        (SELECT count(*) FROM deduped WHERE total_events > 0) AS kept
             )
-            SELECT 1 AS step, 'Конвертация в DataFrame' AS description,
+            SELECT CAST(1 AS BIGINT) AS step, 'Конвертация в DataFrame' AS description,
                    loaded AS rows_before, loaded AS rows_after FROM sizes
             UNION ALL SELECT 2, 'Удаление дубликатов', loaded, uniq FROM sizes
             UNION ALL SELECT 3, 'Фильтрация total_events > 0', uniq, kept FROM sizes

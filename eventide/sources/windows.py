@@ -51,19 +51,23 @@ def from_at_rest(stored: DataFrame) -> DataFrame:
     )
 
 
-def write_windows(windows: DataFrame, path: str, run_id: str) -> str:
+def write_windows(
+    windows: DataFrame, path: str, run_id: str, split: str | None = None
+) -> str:
     """Store one run's windows below ``path``, partitioned by run and day.
 
-    A repeated run replaces its own folder and nothing else. The rebalance hint
-    gives each day files of a sensible size and splits a day that holds most of
-    the rows. A run without rows leaves an empty folder, which ``scan_windows``
-    reads as a typed, empty table. Returns the folder of the run.
+    A repeated run replaces its own folder and nothing else. ``split`` names a
+    flag column to partition by as well. The rebalance hint gives each day files
+    of a sensible size and splits a day that holds most of the rows. A run
+    without rows leaves an empty folder, which ``scan_windows`` reads as a typed,
+    empty table. Returns the folder of the run.
     """
     target = f"{path}/run_id={run_id}"
+    partitions = [split, "window_date"] if split else ["window_date"]
     days = to_at_rest(windows).withColumn("window_date", F.to_date("window_start"))
-    days.hint("rebalance", "window_date").write.mode("overwrite").partitionBy(
-        "window_date"
-    ).parquet(target)
+    days.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(
+        target
+    )
     return target
 
 

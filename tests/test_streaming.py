@@ -172,7 +172,7 @@ def test_cycle_gate(spark, tmp_path):
         "avg_duration_ms", F.when(F.hour("window_start") == 5, -1.0).otherwise(1.0)
     )
     summary = cycle.run_cycle(spark, dirty, out, "r1").first()
-    rejected = spark.read.parquet(f"{out}/rejected")
+    rejected = cycle.rejected(spark, out)
     assert rejected.count() > 0
     assert summary.total_windows == dirty.count() - rejected.count()
     assert rejected.first().errors == ["duration_ms: -1.00 must be >= 0"]
@@ -181,7 +181,7 @@ def test_cycle_gate(spark, tmp_path):
 def test_cycle_without_windows_is_skipped(spark, tmp_path):
     empty = data.windows_dirty(spark, SF).limit(0)
     assert cycle.run_cycle(spark, empty, str(tmp_path / "out"), "r1") is None
-    assert not (tmp_path / "out").exists()
+    assert not (tmp_path / "out" / "reports").exists()
 
 
 def test_cycles_on_a_stream(spark, tmp_path):

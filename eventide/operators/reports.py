@@ -6,7 +6,7 @@ only need scalar columns. Sorted results carry a tie-break, so they are the same
 on every run.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.timebins import hour_of
@@ -185,6 +185,29 @@ def peak_window(windows: DataFrame) -> DataFrame:
     return windows.orderBy(F.desc("total_events"), "window_start", "window_end").limit(1)
 
 
+def analysis_result(windows: DataFrame, generated_at: str) -> DataFrame:
+    """The whole run summary as one row.
+
+    ``peak_window`` is a struct of all columns, null without windows, and
+    ``event_distribution`` a map from type to count. ``event_counts`` may be a
+    map or its stored JSON text. ``generated_at`` is the instant to note.
+    """
+    by_type = (
+        event_distribution
+        if dict(windows.dtypes)["event_counts"].startswith("map")
+        else event_distribution_json
+    )
+    entries = F.array_sort(F.collect_list(F.struct("event_type", "total_count")))
+    distribution = by_type(windows).agg(F.map_from_entries(entries)).scalar()
+    peak = peak_window(windows).select(F.struct("*")).scalar()
+    return analysis_summary(windows).select(
+        "*",
+        peak.alias("peak_window"),
+        distribution.alias("event_distribution"),
+        F.lit(generated_at).cast("timestamp").alias("generated_at"),
+    )
+
+
 def kpi_metrics(windows: DataFrame) -> DataFrame:
     return windows.agg(
         F.coalesce(F.sum("total_events"), F.lit(0)).alias("total_events"),
@@ -241,18 +264,20 @@ def duration_histogram(windows: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFr
 
 def event_distribution(windows: DataFrame) -> DataFrame:
     """Events per type from the map column, most frequent first."""
-    return (
-        windows.select(F.explode("event_counts").alias("event_type", "n"))
-        .groupBy("event_type")
-        .agg(F.sum("n").alias("total_count"))
-        .orderBy(F.desc("total_count"), "event_type")
-    )
+    return _distribution(windows, F.col("event_counts"))
 
 
 def event_distribution_json(stored: DataFrame) -> DataFrame:
     """The same from the JSON column; null, empty and unreadable text adds nothing."""
-    return event_distribution(
-        stored.select(F.from_json("event_counts", EVENT_COUNTS_TYPE).alias("event_counts"))
+    return _distribution(stored, F.from_json("event_counts", EVENT_COUNTS_TYPE))
+
+
+def _distribution(windows: DataFrame, counts: Column) -> DataFrame:
+    return (
+        windows.select(F.explode(counts).alias("event_type", "n"))
+        .groupBy("event_type")
+        .agg(F.sum("n").alias("total_count"))
+        .orderBy(F.desc("total_count"), "event_type")
     )
 
 

@@ -143,6 +143,11 @@ def _judge(
     return judged.withColumn("is_valid", F.size("errors") == 0).drop("_why", "_typed")
 
 
+def verdict_json(verdicts: DataFrame) -> DataFrame:
+    """Add the verdict as text: ``{"is_valid":...,"errors":[...]}``."""
+    return verdicts.withColumn("verdict", F.to_json(F.struct("is_valid", "errors")))
+
+
 def validation_summary(verdicts: DataFrame) -> DataFrame:
     """Rows per outcome (``valid``, ``invalid``) and per failing rule.
 

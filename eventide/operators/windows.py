@@ -17,6 +17,9 @@ no group is collected except the per-type map and the five page rows that form
 the output row itself.
 """
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,19 +128,23 @@ def _pages_list(ranked: DataFrame) -> DataFrame:
     )
 
 
-def _assemble(measures: DataFrame, counts: DataFrame, pages: DataFrame) -> DataFrame:
-    return (
-        measures.join(_counts_map(counts), _KEY, "left")
-        .join(_pages_list(top_pages(pages)), _KEY, "left")
-        .select(
-            _KEY,
-            "total_events",
-            "event_counts",
-            "unique_users",
-            "avg_duration_ms",
-            "top_pages",
-        )
-    )
+# The independent parts of a window row; each costs its own pass over the events.
+PARTS = ("totals", "event_counts", "top_pages")
+
+_COLUMN_ORDER = [
+    _KEY,
+    "total_events",
+    "event_counts",
+    "unique_users",
+    "avg_duration_ms",
+    "top_pages",
+]
+
+
+def _assemble(parts: list[DataFrame]) -> DataFrame:
+    """Join the parts; every one has a row for every window that has events."""
+    joined = reduce(lambda a, b: a.join(b, _KEY, "left"), parts)
+    return joined.select(*[c for c in _COLUMN_ORDER if c in joined.columns])
 
 
 def window_aggregate(
@@ -145,16 +152,21 @@ def window_aggregate(
     size: str = DEFAULT_SIZE,
     time_col: str = "timestamp",
     offset: str | None = None,
+    parts: Iterable[str] = PARTS,
 ) -> DataFrame:
-    """One row per window that has events, all measures together.
+    """One row per window that has events, with all measures or the given parts.
 
-    Reads the events three times with different columns. That is cheap on a
+    Reads the events once per part with different columns. That is cheap on a
     columnar table; decode JSON records into one first, or go through
     ``window_cells``, which reads them once.
     """
     assigned = assign_windows(events, size, time_col, offset)
-    windows = _assemble(totals(assigned), event_counts(assigned), page_counts(assigned))
-    return with_end(windows, size)
+    build = {
+        "totals": lambda: totals(assigned),
+        "event_counts": lambda: _counts_map(event_counts(assigned)),
+        "top_pages": lambda: _pages_list(top_pages(page_counts(assigned))),
+    }
+    return with_end(_assemble([build[part]() for part in PARTS if part in parts]), size)
 
 
 def window_cells(
@@ -203,10 +215,10 @@ def rollup(cells: DataFrame, size: str = DEFAULT_SIZE) -> DataFrame:
         (F.sum("duration") / F.sum("n")).alias("avg_duration_ms"),
     )
     distinct = users.groupBy(_KEY).agg(F.count_distinct("key").alias("unique_users"))
+    type_counts = types.groupBy(_KEY, "event_type").agg(F.sum("n").alias("n"))
+    page_sums = pages.groupBy(_KEY, "page").agg(F.sum("n").alias("n"))
     windows = _assemble(
-        sums.join(distinct, _KEY, "left"),
-        types.groupBy(_KEY, "event_type").agg(F.sum("n").alias("n")),
-        pages.groupBy(_KEY, "page").agg(F.sum("n").alias("n")),
+        [sums, distinct, _counts_map(type_counts), _pages_list(top_pages(page_sums))]
     )
     return with_end(windows, size)
 

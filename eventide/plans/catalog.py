@@ -170,11 +170,16 @@ def stream_drain_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- cleaning -------------------------------------------------------------------
 
 
+def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaning does not look at pages."""
+    return data.windows_dirty(spark, sf_dir, parts=["totals", "event_counts"])
+
+
 def _cleaned(*steps: Callable[[DataFrame], DataFrame]) -> Query:
     """The cleaning chain up to and including the last of ``steps``."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = clean.load_columns(data.windows_dirty(spark, sf_dir))
+        df = clean.load_columns(_dirty(spark, sf_dir))
         for step in steps:
             df = df.transform(step)
         return present(df.drop("seq"))
@@ -192,11 +197,11 @@ _CLEANING = [
 
 
 def clean_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(clean.clean_windows(data.windows_dirty(spark, sf_dir)))
+    return present(clean.clean_windows(_dirty(spark, sf_dir)))
 
 
 def cleaning_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.cleaning_audit(data.windows_dirty(spark, sf_dir))
+    return clean.cleaning_audit(data.windows_dirty(spark, sf_dir, parts=["totals"]))
 
 
 # --- storage --------------------------------------------------------------------
@@ -241,6 +246,10 @@ def windows_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _type_counts(spark: SparkSession, sf_dir: str, size: str) -> DataFrame:
+    return data.windows(spark, sf_dir, size, ["event_counts"])
+
+
 def _report(
     report: Callable[[DataFrame], DataFrame],
     frame: Callable[..., DataFrame],
@@ -273,6 +282,23 @@ def peak_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(peak.select("window_start", "window_end", "total_events"))
 
 
+def analysis_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = data.windows(spark, sf_dir, parts=["totals", "event_counts"])
+    result = reports.analysis_result(windows, LOGGED_AT)
+    peak = F.col("peak_window")
+    return present(
+        result.select(
+            "total_windows",
+            "total_events",
+            "avg_events_per_window",
+            peak.window_start.alias("peak_start"),
+            peak.total_events.alias("peak_events"),
+            "event_distribution",
+            "generated_at",
+        )
+    )
+
+
 def cycle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole cycle with all its outputs; the result is the run summary."""
     return present(
@@ -323,16 +349,19 @@ def queries() -> dict[str, Query]:
         "users_heatmap_pivot": _report(reports.users_heatmap_pivot, data.scalar_windows),
         "analysis_summary": _report(reports.analysis_summary, data.scalar_windows),
         "peak_window": peak_window,
+        "analysis_result": analysis_result,
         "kpi_metrics": _report(reports.kpi_metrics, data.scalar_windows),
         "duration_histogram": _report(reports.duration_histogram, data.scalar_windows),
-        "event_distribution": _report(reports.event_distribution, data.windows),
-        "event_distribution_json": _report(reports.event_distribution_json, data.windows_at_rest),
+        "event_distribution": _report(reports.event_distribution, _type_counts),
+        "event_distribution_json": _report(
+            reports.event_distribution_json, data.stored_event_counts
+        ),
         "event_distribution_filtered": _report(
-            reports.event_distribution_filtered, data.windows_at_rest
+            reports.event_distribution_filtered, data.stored_event_counts
         ),
-        "event_type_shares": _report(reports.event_type_shares, data.windows_at_rest),
-        "page_totals": _report(reports.page_totals, data.windows_at_rest),
-        "top_pages": _report(reports.top_pages, data.windows_at_rest),
-        "page_shares": _report(reports.page_shares, data.windows_at_rest),
+        "event_type_shares": _report(reports.event_type_shares, data.stored_event_counts),
+        "page_totals": _report(reports.page_totals, data.stored_top_pages),
+        "top_pages": _report(reports.top_pages, data.stored_top_pages),
+        "page_shares": _report(reports.page_shares, data.stored_top_pages),
         "cycle_summary": cycle_summary,
     }

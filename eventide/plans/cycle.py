@@ -1,6 +1,7 @@
 """The batch cycle: gate, store, clean, report."""
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,6 @@ from eventide.sources.windows import from_at_rest, scan_windows, write_windows
 
 # Reports over the stored windows of a run, by output folder.
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "analysis_summary": reports.analysis_summary,
-    "peak_window": reports.peak_window,
     "event_distribution": reports.event_distribution_json,
     "hourly_report": reports.hourly_report,
     "hourly_totals": reports.hourly_totals,
@@ -33,7 +32,12 @@ DASHBOARD: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def run_cycle(
-    spark: SparkSession, windows: DataFrame, out: str, run_id: str, seq: str = "seq"
+    spark: SparkSession,
+    windows: DataFrame,
+    out: str,
+    run_id: str,
+    seq: str = "seq",
+    generated_at: str | None = None,
 ) -> DataFrame | None:
     """Process one hand-over of windows; returns the one-row run summary.
 
@@ -44,6 +48,7 @@ def run_cycle(
     reads the stored copy: cleaned windows, the cleaning audit and the reports.
     Each output folder belongs to the run and is replaced when the run is
     repeated. Without windows there are no reports and the result is None.
+    ``generated_at`` is noted in the summary, by default the current time.
     """
     write_windows(validate_windows(windows), f"{out}/windows", run_id, split="is_valid")
     arrived = scan_stored(spark, out, {seq: dict(windows.dtypes)[seq]}).filter(
@@ -58,6 +63,8 @@ def run_cycle(
 
     save(clean_windows(stored, seq), "windows_clean")
     save(audit_lines(cleaning_audit(stored, seq)), "cleaning_audit")
+    noted = generated_at or datetime.now(timezone.utc).isoformat()
+    save(reports.analysis_result(stored, noted), "reports/analysis_result")
     for name, report in REPORTS.items():
         save(report(stored), f"reports/{name}")
     return cycle_summary(spark, out, run_id)
@@ -84,15 +91,14 @@ def rejected(spark: SparkSession, out: str) -> DataFrame:
 
 
 def cycle_summary(spark: SparkSession, out: str, run_id: str) -> DataFrame:
-    """The summary of a finished run, from its stored reports."""
-    summary = spark.read.parquet(f"{out}/reports/analysis_summary/run_id={run_id}")
-    peak = spark.read.parquet(f"{out}/reports/peak_window/run_id={run_id}")
-    return summary.select(
+    """The summary of a finished run, from its stored result."""
+    result = spark.read.parquet(f"{out}/reports/analysis_result/run_id={run_id}")
+    return result.select(
         "total_windows",
         "total_events",
         "avg_events_per_window",
-        peak.select("window_start").scalar().alias("peak_start"),
-        peak.select("total_events").scalar().alias("peak_events"),
+        F.col("peak_window.window_start").alias("peak_start"),
+        F.col("peak_window.total_events").alias("peak_events"),
     )
 
 

@@ -405,6 +405,18 @@ def oracle_sql() -> dict[str, str]:
         "peak_window": f"""WITH {HOURLY}
             SELECT window_start, window_end, total_events FROM windows
             ORDER BY total_events DESC, window_start LIMIT 1""",
+        "analysis_result": f"""WITH {FULL}
+            SELECT count(*) AS total_windows,
+                   CAST(sum(total_events) AS BIGINT) AS total_events,
+                   round(sum(total_events) / count(*), 6) AS avg_events_per_window,
+                   arg_min(window_start, (-total_events, window_start)) AS peak_start,
+                   max(total_events) AS peak_events,
+                   (SELECT '{{' || string_agg('"' || event_type || '":' || n, ','
+                                              ORDER BY event_type) || '}}'
+                    FROM (SELECT event_type, sum(n) AS n FROM type_counts GROUP BY 1))
+                       AS event_distribution,
+                   TIMESTAMP '2024-02-01 00:00:00' AS generated_at
+            FROM stored""",
         "kpi_metrics": f"""WITH {HOURLY}
             SELECT CAST(sum(total_events) AS BIGINT) AS total_events,
                    CAST(sum(unique_users) AS BIGINT) AS unique_users,

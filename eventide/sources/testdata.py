@@ -4,10 +4,12 @@ Only ``events`` is used. Everything is computed from the whole table, so the
 work of a query grows with it.
 """
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.operators.windows import assign_windows, totals, window_aggregate, with_end
+from eventide.operators.windows import PARTS, window_aggregate
 from eventide.schemas import EVENT_COUNTS_TYPE, TOP_PAGES_TYPE
 from eventide.session import configure
 from eventide.sources.events import event_json
@@ -154,27 +156,43 @@ def stable(windows: DataFrame) -> DataFrame:
     return windows.withColumn("avg_duration_ms", F.round("avg_duration_ms", 6))
 
 
-def windows(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
-    """Windows of all events with all measures."""
-    return window_aggregate(user_events(spark, sf_dir), size)
+def windows(
+    spark: SparkSession, sf_dir: str, size: str = HOUR, parts: Iterable[str] = PARTS
+) -> DataFrame:
+    """Windows of all events, with all measures or the given parts."""
+    return window_aggregate(user_events(spark, sf_dir), size, parts=parts)
 
 
 def scalar_windows(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
     """Windows of all events without the nested measures, which cost extra."""
-    return with_end(totals(assign_windows(user_events(spark, sf_dir), size)), size)
+    return windows(spark, sf_dir, size, ["totals"])
 
 
 def windows_at_rest(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
     return to_at_rest(windows(spark, sf_dir, size))
 
 
-def windows_dirty(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
+def stored_event_counts(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
+    """Per-type counts of each window as stored JSON text."""
+    counts = windows(spark, sf_dir, size, ["event_counts"])
+    return counts.withColumn("event_counts", F.to_json("event_counts"))
+
+
+def stored_top_pages(spark: SparkSession, sf_dir: str, size: str = HOUR) -> DataFrame:
+    """Top pages of each window as stored JSON text."""
+    pages = windows(spark, sf_dir, size, ["top_pages"])
+    return pages.withColumn("top_pages", F.to_json("top_pages"))
+
+
+def windows_dirty(
+    spark: SparkSession, sf_dir: str, size: str = HOUR, parts: Iterable[str] = PARTS
+) -> DataFrame:
     """Windows with duplicates and empty first copies, numbered by ``seq``.
 
     Every sixth hour arrives again later (seq 1) with one event more. The hours
     after those were preceded (seq -1) by an empty copy of the same window.
     """
-    base = windows(spark, sf_dir, size)
+    base = windows(spark, sf_dir, size, parts)
     hour = F.hour("window_start")
 
     def copy(seq: int, changed: dict[str, Column]) -> Column:

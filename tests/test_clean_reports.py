@@ -134,6 +134,22 @@ def test_summary_and_peak(spark):
     assert reports.peak_window(df).first().total_events == 20
 
 
+def test_analysis_result(spark):
+    df = frame(
+        spark,
+        window(10, 2, counts={"click": 4, "login": 6}),
+        window(20, 3, later(10), counts={"click": 20}),
+    )
+    for windows in (df, store.to_at_rest(df)):
+        row = reports.analysis_result(windows, "2024-02-01T00:00:00Z").first()
+        assert (row.total_windows, row.total_events, row.avg_events_per_window) == (2, 30, 15.0)
+        assert row.peak_window.window_start == later(10)
+        assert row.event_distribution == {"click": 24, "login": 6}
+        assert row.generated_at == dt.datetime(2024, 2, 1)
+    row = reports.analysis_result(frame(spark), "2024-02-01T00:00:00Z").first()
+    assert (row.total_windows, row.peak_window, row.event_distribution) == (0, None, {})
+
+
 def test_peak_takes_the_earliest_of_equals(spark):
     df = frame(spark, window(20, 1, later(10)), window(20, 1))
     assert reports.peak_window(df).first().window_start == START

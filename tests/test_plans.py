@@ -81,6 +81,8 @@ def test_small_reports_read_only_their_columns(spark, tmp_path):
         ["window_start", "total_events"]
     ]
     assert schemas_read(plan(reports.event_distribution_json(stored))) == [["event_counts"]]
+    assert plan(reports.event_distribution_json(stored)).count("from_json") == 1
+    assert plan(reports.page_totals(stored)).count("from_json") == 1
     text = plan(reports.hourly_totals(stored))
     assert "GreaterThan(total_events,0)" in text
     assert "TakeOrderedAndProject" in plan(reports.top_pages(stored))

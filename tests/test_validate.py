@@ -141,6 +141,15 @@ def test_first_wrong_field_in_text_order_is_named(spark):
     assert row.errors == ['JSON parse error: invalid type: string "x", expected f64']
 
 
+def test_verdict_as_text(spark):
+    df = spark.createDataFrame([(put(page="x"),)], "value string")
+    row = val.verdict_json(val.validate_json_events(df)).first()
+    assert json.loads(row.verdict) == {
+        "is_valid": False,
+        "errors": ["page: 'x' must start with '/'"],
+    }
+
+
 def test_null_record_is_invalid(spark):
     row = verdicts(spark, [None], val.validate_json_events, "value")[0]
     assert not row.is_valid

@@ -40,6 +40,24 @@ def test_event_counts_take_any_type(spark):
     assert row.event_counts == {"click": 2, "page_view": 3, "purchase": 1, "other": 1}
 
 
+def test_parts_can_be_asked_for_alone(spark):
+    events = data.user_events(spark, SF)
+    whole = win.window_aggregate(events, "1 hour")
+    for part, columns in (
+        ("totals", ["total_events", "unique_users"]),
+        ("event_counts", ["event_counts"]),
+        ("top_pages", ["top_pages"]),
+    ):
+        alone = win.window_aggregate(events, "1 hour", parts=[part])
+        assert set(columns) < set(alone.columns)
+        shown = ["window_start", "window_end", *columns]
+
+        def rows(df, shown=shown):
+            return sorted(map(str, df.select(*shown).collect()))
+
+        assert rows(alone) == rows(whole)
+
+
 def test_top_pages_order_and_limit(spark):
     pages = ["/"] * 5 + ["/catalog"] * 3 + ["/b", "/a", "/d", "/c"]
     row = one_window(spark, [event(i, page=p) for i, p in enumerate(pages)])

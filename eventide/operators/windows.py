@@ -58,6 +58,11 @@ def assign_windows(
     )
 
 
+def without_window(events: DataFrame, time_col: str = "timestamp") -> DataFrame:
+    """The events no window counts, because they have no time."""
+    return events.filter(F.col(time_col).isNull())
+
+
 def with_end(windows: DataFrame, size: str) -> DataFrame:
     """Add ``window_end`` after the start."""
     rest = [c for c in windows.columns if c != _KEY]

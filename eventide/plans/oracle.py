@@ -253,8 +253,9 @@ def oracle_sql() -> dict[str, str]:
         "validate_batch": f"""WITH {EVENTS_JSON},
             batches AS (
                 SELECT event_id // 50 AS batch_id, string_agg(
-                    CASE WHEN event_id % 20 IN (0, 1, 8) AND (event_id // 50) % 4 <> 0
-                         THEN '7' ELSE value END, ',' ORDER BY event_id) AS records
+                    CASE WHEN event_id % 20 NOT IN (0, 1, 8) OR (event_id // 50) % 4 = 0 THEN value
+                         WHEN (event_id // 50) % 4 = 1 THEN '7' ELSE '{{}}' END,
+                    ',' ORDER BY event_id) AS records
                 FROM events_json GROUP BY 1
             ),
             texts AS (

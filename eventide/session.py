@@ -23,14 +23,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder; on a cluster a
     driver-local path would be invisible to the executors, so that is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    named = tempfile.mkdtemp(prefix="eventide-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="eventide-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

@@ -169,9 +169,12 @@ def decode_events(records: DataFrame, json_col: str = "value") -> DataFrame:
 EVENT_COLUMNS = [*REQUIRED_TEXT, "duration_ms", "metadata", "timestamp"]
 
 
-def accepted_events(decoded: DataFrame) -> DataFrame:
-    """The readable events, without the raw record."""
-    return decoded.filter("accepted").select("event.*")
+def accepted_events(decoded: DataFrame, *keep: str) -> DataFrame:
+    """The readable events, without the raw record.
+
+    ``keep`` names source columns to carry along, such as the arrival time.
+    """
+    return decoded.filter("accepted").select("event.*", *keep)
 
 
 def event_json() -> Column:

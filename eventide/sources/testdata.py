@@ -116,27 +116,42 @@ def damaged_json(events: DataFrame) -> DataFrame:
     return events.select("id", event_json().alias("good")).select("id", value.alias("value"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer splits than there are cores.
+
+    Parsing JSON is bound by CPU, and a small test table is a single split. A
+    table with enough splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return damaged_json(user_events(spark, sf_dir))
+    configure(spark)
+    raw = spark.read.schema(RAW_EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return damaged_json(to_user_events(spread(raw)))
 
 
 def event_batches(spark: SparkSession, sf_dir: str, size: int = 50) -> DataFrame:
     """The JSON records in arrays of ``size`` (``batch_id``, ``events``).
 
-    Records that are no JSON value spoil their whole array; one array in ten is
-    written as an object instead.
+    A record that is no JSON value spoils its whole array. Every fourth array
+    keeps such records, the next has a number in their place, the others an
+    empty object. One array in ten is wrapped in an object.
     """
     number = F.col("id").cast("bigint")
-    case = number % 20
-    # Keep the unreadable kinds of damage in a part of the arrays only.
-    spoils = case.isin(0, 1, 8) & (F.expr("id div 50") % 4 != 0)
-    records = events_json(spark, sf_dir).select(
-        F.expr(f"cast(id AS bigint) div {size}").alias("batch_id"),
-        number.alias("number"),
-        F.when(spoils, F.lit("7")).otherwise(F.col("value")).alias("value"),
+    batch = F.expr(f"cast(id AS bigint) div {size}")
+    unreadable = (number % 20).isin(0, 1, 8)
+    value = (
+        F.when(unreadable & (batch % 4 == 1), F.lit("7"))
+        .when(unreadable & (batch % 4 > 1), F.lit("{}"))
+        .otherwise(F.col("value"))
     )
-    lists = records.groupBy("batch_id").agg(
-        F.array_sort(F.collect_list(F.struct("number", "value"))).alias("rows")
+    lists = (
+        events_json(spark, sf_dir)
+        .select(batch.alias("batch_id"), number.alias("number"), value.alias("value"))
+        .groupBy("batch_id")
+        .agg(F.array_sort(F.collect_list(F.struct("number", "value"))).alias("rows"))
     )
     joined = F.array_join(F.transform("rows", lambda r: r["value"]), ",")
     return lists.select(

@@ -101,6 +101,22 @@ def test_json_stream_to_windows(spark, slices, tmp_path):
     )
 
 
+def test_stream_windows_by_arrival_time(spark, tmp_path):
+    """All events of a file arrive together, whenever they happened."""
+    src, out, check = (str(tmp_path / n) for n in ("src", "cells", "check"))
+    records = [
+        f'{{"id":"{i}","user_id":"u{i}","timestamp":"2024-01-0{i}T00:00:00Z"}}' for i in (1, 2, 3)
+    ]
+    records.append('{"id":"4","user_id":"u1"}')
+    spark.createDataFrame([(r,) for r in records], "value string").coalesce(1).write.text(src)
+    decoded = io.decode_events(io.read_json_lines(spark, src))
+    events = io.accepted_events(decoded, "arrival")
+    run(tumbling.start_cells(events, out, check, "1 hour", time_col="arrival"))
+    row = tumbling.read_windows(spark, out, "1 hour").collect()[0]
+    assert (row.total_events, row.unique_users) == (4, 3)
+    assert row.window_start.year > 2024
+
+
 def test_closed_windows_appear_once(spark, slices, tmp_path):
     src, out, check = (str(tmp_path / n) for n in ("src", "closed", "check"))
     expected = {}

@@ -90,6 +90,8 @@ def test_null_fields_count_as_zero_values(spark):
 def test_events_without_time_have_no_window(spark):
     rows = [event(0), ("e9", "u", "s", "click", "/", 1.0, None, None)]
     assert one_window(spark, rows).total_events == 1
+    left_out = win.without_window(spark.createDataFrame(rows, USER_EVENT)).collect()
+    assert [r.id for r in left_out] == ["e9"]
 
 
 def test_offset_moves_the_grid(spark):

@@ -7,11 +7,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from eventide.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.01"
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

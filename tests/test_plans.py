@@ -5,9 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from eventide.operators import clean, reports
 from eventide.operators import windows as win
+from eventide.plans import catalog
 from eventide.sources import testdata as data
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +20,7 @@ STREAMS_AND_WRITERS = {
     "windows_roundtrip",
     "windows_union_schemas",
 }
-LAZY = sorted(set(contract.queries()) - STREAMS_AND_WRITERS)
+LAZY = sorted(set(catalog.queries()) - STREAMS_AND_WRITERS)
 
 
 def plan(df):
@@ -33,7 +33,7 @@ def schemas_read(text):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_cross_joins(spark, name):
-    text = plan(contract.queries()[name](spark, SF))
+    text = plan(catalog.queries()[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "NestedLoop"):
         assert node not in text, node
 

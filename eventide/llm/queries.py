@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import mixing, token_files
+from eventide.llm import decontam, langid, mixing, token_files
 from eventide.llm.common import table
 from eventide.session import run_dir
 
@@ -17,6 +17,15 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
@@ -32,7 +41,12 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op7_token_files": op7_token_files, "op9_mix_sources": op9_mix_sources}
+    return {
+        "op5_decontaminate": op5_decontaminate,
+        "op6_language_id": op6_language_id,
+        "op7_token_files": op7_token_files,
+        "op9_mix_sources": op9_mix_sources,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,6 +20,17 @@ LANES = 8
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+# Bytes between runs of letters, and between runs of letters and digits; beyond ASCII all count as letters.
+NO_LETTER = np.ones(256, dtype=bool)
+NO_LETTER[0x80:] = False
+for _first, _last in (b"AZ", b"az"):
+    NO_LETTER[_first : _last + 1] = False
+NO_ALNUM = NO_LETTER.copy()
+NO_ALNUM[ord("0") : ord("9") + 1] = False
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+
 _MASK = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [2**64 - 1], dtype=np.uint64)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,6 +93,15 @@ def split(texts: pa.Array, space: np.ndarray = SPACE) -> Words:
     return split_bytes(data, offsets, space)
 
 
+def folded(texts: pa.Array, breaks: np.ndarray) -> Words:
+    """Words in lower case (ASCII and Latin-1) between the bytes of ``breaks``."""
+    data, offsets = buffers(texts)
+    data = _LOWER[data]
+    upper = (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)
+    data[1:][upper] += 32
+    return split_bytes(data, offsets, breaks)
+
+
 def split_bytes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
     inside = np.zeros(len(data) + 1, dtype=bool)
     np.logical_not(space[data], out=inside[:-1])

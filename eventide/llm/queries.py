@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontam, langid, mixing, token_files
+from eventide.llm import decontam, jaccard, langid, mixing, token_files
 from eventide.llm.common import table
 from eventide.session import run_dir
 
@@ -17,6 +17,11 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard.join(table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "class_id", "n_links", "n_texts", "n_copies")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +47,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_jaccard_join": op2_jaccard_join,
         "op5_decontaminate": op5_decontaminate,
         "op6_language_id": op6_language_id,
         "op7_token_files": op7_token_files,

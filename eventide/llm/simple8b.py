@@ -21,21 +21,47 @@ _HEADER = struct.Struct("<QQQ")
 _FOUR = np.uint64(4)
 
 
-def _selectors(ids: np.ndarray, room: np.ndarray) -> np.ndarray:
+# Bits of each number below 2 ** 16.
+_WIDTH = np.zeros(1 << 16, dtype=np.uint8)
+for _bit in range(16):
+    _WIDTH[1 << _bit :] = _bit + 1
+
+
+def widths(ids: np.ndarray) -> np.ndarray:
+    """Bits that each id takes."""
+    out = np.zeros(len(ids), dtype=np.uint8)
+    for limb in range(4):
+        part = (ids >> np.uint64(16 * limb)) & np.uint64(0xFFFF)
+        out = np.where(part != 0, _WIDTH[part.astype(np.int64)] + np.uint8(16 * limb), out)
+        if int(ids.max(initial=0)) >> (16 * limb + 16) == 0:
+            break
+    return out
+
+
+def _selectors(ids: np.ndarray) -> np.ndarray:
     """For each position the selector that packs most ids from there on.
 
-    ``room`` is the number of ids up to the frame's end; a word may be filled up
-    with zeros there.
+    Frames are rows; the zeros behind a frame's last id may fill up a word. The
+    widest of the next c ids comes from that of the next 1, 2, 4, ... ids.
     """
-    n = len(ids)
-    best = np.full(n, ESCAPE, dtype=np.uint8)
-    places = np.arange(n)
+    frames, ahead = -(-len(ids) // FRAME), 64
+    width = np.zeros((frames, FRAME + ahead), dtype=np.uint8)
+    flat = np.zeros(frames * FRAME, dtype=np.uint8)
+    flat[: len(ids)] = widths(ids)
+    width[:, :FRAME] = flat.reshape(frames, FRAME)
+    widest = {1: width}
+    for c in (2, 4, 8, 16, 32):
+        half = widest[c // 2]
+        widest[c] = np.maximum(half[:, : half.shape[1] - c // 2], half[:, c // 2 :])
+    best = np.full((frames, FRAME), ESCAPE, dtype=np.uint8)
     for selector in range(len(LAYOUT) - 1, 0, -1):
         count, bits = LAYOUT[selector]
-        wide = np.where(ids >> np.uint64(bits) != 0, places, n + FRAME)
-        ahead = np.minimum.accumulate(wide[::-1])[::-1] - places
-        best[ahead >= np.minimum(room, count)] = selector
-    return best
+        c = 1 << (count.bit_length() - 1)
+        most = widest[c][:, :FRAME]
+        if count > c:
+            most = np.maximum(most, widest[c][:, count - c : count - c + FRAME])
+        best[most <= bits] = selector
+    return best.reshape(-1)[: len(ids)]
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -44,8 +70,7 @@ def pack(ids: np.ndarray) -> bytes:
     n = len(ids)
     starts = np.arange(0, n, FRAME)
     stops = np.minimum(starts + FRAME, n)
-    room = np.repeat(stops, stops - starts) - np.arange(n)
-    best = _selectors(ids, room)
+    best = _selectors(ids)
     step = COUNT[best]
     # All frames advance together, one word at a time.
     at, frame, heads, owners = starts.copy(), np.arange(len(starts)), [], []

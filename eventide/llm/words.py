@@ -117,10 +117,10 @@ def split_bytes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE
     return Words(data, start, end, np.searchsorted(start, offsets))
 
 
-def hashes(words: Words) -> np.ndarray:
+def hashes(words: Words, seed: int = 1) -> np.ndarray:
     """A 64-bit hash of each word's bytes."""
     size = words.end - words.start
-    out = mix(size.astype(np.uint64) * _MUL + np.uint64(1))
+    out = mix(size.astype(np.uint64) * _MUL + np.uint64(seed))
     padded = np.concatenate([words.data, np.zeros(8, np.uint8)])
     lanes = np.lib.stride_tricks.sliding_window_view(padded, 8)
     live = np.flatnonzero(size <= 8 * LANES)
@@ -133,7 +133,7 @@ def hashes(words: Words) -> np.ndarray:
         part = part & _MASK[np.minimum(size[live] - 8 * lane, 8)]
         out[live] = mix((out[live] ^ part) * _MUL)
     for k in np.flatnonzero(size > 8 * LANES):
-        out[k] = xxhash.xxh64_intdigest(words.word(k))
+        out[k] = xxhash.xxh64_intdigest(words.word(k), seed)
     return out
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontam, jaccard, langid, mixing, token_files
+from eventide.llm import decontam, jaccard, langid, mixing, phrases, token_files
 from eventide.llm.common import table
 from eventide.session import run_dir
 
@@ -45,6 +45,10 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_jaccard_join": op2_jaccard_join,
@@ -52,6 +56,7 @@ def queries() -> dict[str, Query]:
         "op6_language_id": op6_language_id,
         "op7_token_files": op7_token_files,
         "op9_mix_sources": op9_mix_sources,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 

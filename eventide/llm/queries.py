@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontam, jaccard, langid, mixing, phrases, token_files
+from eventide.llm import decontam, jaccard, langid, licenses, mixing, phrases, token_files
 from eventide.llm.common import table
 from eventide.session import run_dir
 
@@ -39,6 +39,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, MOST_COPIES)
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -55,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op5_decontaminate": op5_decontaminate,
         "op6_language_id": op6_language_id,
         "op7_token_files": op7_token_files,
+        "op8_license_scan": op8_license_scan,
         "op9_mix_sources": op9_mix_sources,
         "op10_substring_dedup": op10_substring_dedup,
     }

@@ -102,6 +102,12 @@ def folded(texts: pa.Array, breaks: np.ndarray) -> Words:
     return split_bytes(data, offsets, breaks)
 
 
+def ascii_folded(texts: pa.Array, breaks: np.ndarray) -> Words:
+    """Words with A-Z in lower case between the bytes of ``breaks``."""
+    data, offsets = buffers(texts)
+    return split_bytes(_LOWER[data], offsets, breaks)
+
+
 def split_bytes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
     inside = np.zeros(len(data) + 1, dtype=bool)
     np.logical_not(space[data], out=inside[:-1])

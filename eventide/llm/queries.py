@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontam, jaccard, langid, licenses, mixing, phrases, token_files
+from eventide.llm import decontam, jaccard, langid, licenses, mixing, phrases, secrets, token_files
 from eventide.llm.common import table
 from eventide.session import run_dir
 
@@ -22,6 +22,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "n_links", "n_texts", "n_copies")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.summary(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +60,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_jaccard_join": op2_jaccard_join,
+        "op3_secret_scan": op3_secret_scan,
         "op5_decontaminate": op5_decontaminate,
         "op6_language_id": op6_language_id,
         "op7_token_files": op7_token_files,

@@ -6,17 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontam, jaccard, langid, licenses, mixing, phrases, secrets, token_files
+from eventide.llm import decontam, jaccard, langid, licenses, mixing, phrases, secrets, token_files, topk
 from eventide.llm.common import table
 from eventide.session import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+QUERY_EVERY, TOP = 20, 20
 WEIGHTS, MOST_COPIES = (5, 2, 1), 3
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0, TOP)
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = jaccard.join(table(spark, sf_dir, "documents"))
     return joined.select("doc_id", "class_id", "n_links", "n_texts", "n_copies")
@@ -59,6 +64,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_topk_search": op1_topk_search,
         "op2_jaccard_join": op2_jaccard_join,
         "op3_secret_scan": op3_secret_scan,
         "op5_decontaminate": op5_decontaminate,
@@ -70,5 +76,21 @@ def queries() -> dict[str, Query]:
     }
 
 
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL for the queries that SQL can express."""
+    return {"op1_topk_search": TOPK_SQL}

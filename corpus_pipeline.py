@@ -1,10 +1,59 @@
-"""From documents to token files: the corpus pipeline."""
+"""From documents to token files: the corpus pipeline.
+
+Each stage takes the documents its predecessor kept and returns those it keeps, with
+the columns of ``documents``; the last one writes token files and returns a line per
+document read back from them. Every stage is stored before the next begins.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from eventide.llm import decontam, jaccard, langid, mixing, queries
+from eventide.llm.common import store, table
+
+# A document is rejected when it has no letter, or no language holds this share of its words.
+LEAST_SHARE = 0.3
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages."""
+    return langid.keep_identified(docs, langid.train(docs), LEAST_SHARE)
+
+
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return jaccard.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no passage with the benchmark."""
+    return decontam.drop_overlapping(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.repeat(docs, mixing.mix(docs, queries.WEIGHTS, queries.MOST_COPIES))
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix: a line per document taken."""
+    return queries.token_digest(spark, docs)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("jaccard_dedup", remove_near_copies),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("token_files", write_tokens),
+]
+
+# The stages fit a classifier, prune by MinHash and run a tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of a folder of tables."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

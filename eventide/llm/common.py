@@ -36,7 +36,6 @@ def ship(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of a folder of tables."""
-    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,5 +52,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The named columns; whatever else a table carries plays no part."""
+    """The input of an operator: the named columns. Whatever else a table carries plays no part."""
+    ship(df.sparkSession)
     return df.select(*[F.col(f"`{c}`") for c in columns])

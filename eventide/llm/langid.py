@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from eventide.llm import crf
 from eventide.llm import words as W
-from eventide.llm.common import only
+from eventide.llm.common import only, ship
 
 UNDETERMINED = "und"
 TRAIN_DOCS, TRAIN_CHARS, MAX_LABELS = 250, 20_000, 64
@@ -89,6 +89,7 @@ def identify(docs: DataFrame, model: crf.Model | None) -> DataFrame:
 def keep_identified(docs: DataFrame, model: crf.Model | None, least: float = 0.0) -> DataFrame:
     """Documents with a language, as they are: no ``und``, no score below ``least``."""
     columns = docs.columns
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = _predict(model)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontam, jaccard, langid, licenses, mixing, phrases, secrets, token_files, topk
+from eventide.llm import chat, decontam, jaccard, langid, licenses, mixing, phrases, secrets, token_files, topk
 from eventide.llm.common import table
 from eventide.session import run_dir
 
@@ -31,6 +31,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.summary(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_turns(table(spark, sf_dir, "conversations"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,14 +44,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
-def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def token_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write token files and read them back."""
     path = run_dir(spark, "tokens")
-    docs = table(spark, sf_dir, "documents")
     token_files.write_tokens(docs, path, public_tokenizers.path(TOKENIZER), END_ID)
     back = token_files.read_tokens(spark, path)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
 
@@ -67,6 +75,7 @@ def queries() -> dict[str, Query]:
         "op1_topk_search": op1_topk_search,
         "op2_jaccard_join": op2_jaccard_join,
         "op3_secret_scan": op3_secret_scan,
+        "op4_chat_format": op4_chat_format,
         "op5_decontaminate": op5_decontaminate,
         "op6_language_id": op6_language_id,
         "op7_token_files": op7_token_files,

@@ -1,73 +1,73 @@
 """Signature rules for licences, in order of priority.
 
 A rule is a regular expression over lower-case words joined by single spaces. The
-table names licences once, with the words a text must hold for their rules to be
-tried; ``rules()`` builds the signatures of each: its identifier tag, a grant under
-its name, its name with a version, its name alone. Longer passages of licence texts
-and general notices are written out.
+table names licences once; ``rules()`` builds the signatures of each: its identifier
+tag, grants under its name, its name with a version, its name alone. Longer passages of
+licence texts and general notices are written out. A rule is tried where its key word
+stands, the longest word that every match holds.
 """
 
 import re
 from dataclasses import dataclass
 
-# Label, key word, name, short name, versions (label part: words). Names are expressions.
-LICENSES: list[tuple[str, str, str, str, dict[str, str]]] = [
-    ("mit", "mit", r"mit", r"expat|x11 mit", {}),
-    ("mit-0", "mit", r"mit no attribution", r"mit 0", {}),
-    ("x11", "x11", r"x11", r"x consortium", {}),
-    ("isc", "isc", r"isc|internet systems consortium", r"isc style", {}),
-    ("apache", "apache", r"apache(?: software)?", r"asl", {"1": r"1 0", "1.1": r"1 1", "2": r"2(?: 0)?"}),
-    ("bsd", "bsd", r"bsd|berkeley software distribution", r"bsd style", {}),
-    ("bsd-2-clause", "bsd", r"(?:2|two) clause bsd|simplified bsd|freebsd", r"bsd 2 clause", {}),
-    ("bsd-3-clause", "bsd", r"(?:3|three) clause bsd|(?:new|modified|revised) bsd", r"bsd 3 clause", {}),
-    ("bsd-4-clause", "bsd", r"(?:4|four) clause bsd|original bsd", r"bsd 4 clause", {}),
-    ("0bsd", "bsd", r"(?:zero|0) clause bsd", r"0bsd", {}),
-    ("gpl", "general", r"gnu general public", r"gnu gpl|gpl", {"1": r"1(?: 0)?", "2": r"2(?: 0)?", "3": r"3(?: 0)?"}),
-    ("gpl", "gpl", r"gnu gpl", r"gpl", {"2": r"2(?: 0)?|v2", "3": r"3(?: 0)?|v3"}),
-    ("lgpl", "lesser", r"gnu lesser general public", r"gnu lgpl", {"2.1": r"2 1", "3": r"3(?: 0)?"}),
-    ("lgpl", "library", r"gnu library general public", r"gnu library gpl", {"2": r"2(?: 0)?"}),
-    ("lgpl", "lgpl", r"gnu lgpl", r"lgpl", {"2": r"2(?: 0)?", "2.1": r"2 1|v2 1", "3": r"3(?: 0)?|v3"}),
-    ("agpl", "affero", r"gnu affero general public|affero general public", r"gnu agpl", {"1": r"1(?: 0)?", "3": r"3(?: 0)?"}),
-    ("agpl", "agpl", r"gnu agpl", r"agpl", {"3": r"3(?: 0)?|v3"}),
-    ("gfdl", "documentation", r"gnu free documentation", r"gfdl", {"1.1": r"1 1", "1.2": r"1 2", "1.3": r"1 3"}),
-    ("mpl", "mozilla", r"mozilla public", r"mpl", {"1": r"1 0", "1.1": r"1 1", "2": r"2(?: 0)?"}),
-    ("epl", "eclipse", r"eclipse public", r"epl", {"1": r"1 0", "2": r"2(?: 0)?"}),
-    ("edl", "eclipse", r"eclipse distribution", r"edl", {"1": r"1 0"}),
-    ("cddl", "cddl", r"common development and distribution", r"cddl", {"1": r"1 0", "1.1": r"1 1"}),
-    ("cddl", "development", r"common development and distribution", r"cddl", {"1": r"1 0", "1.1": r"1 1"}),
-    ("cpl", "common", r"common public", r"cpl", {"1": r"1 0"}),
-    ("ipl", "ibm", r"ibm public", r"ipl", {"1": r"1 0"}),
-    ("artistic", "artistic", r"(?:perl )?artistic", r"perl artistic", {"1": r"1 0", "2": r"2(?: 0)?"}),
-    ("bsl", "boost", r"boost software", r"bsl", {"1": r"1 0"}),
-    ("zlib", "zlib", r"zlib|zlib libpng", r"zlib style", {}),
-    ("libpng", "libpng", r"libpng", r"png reference library", {}),
-    ("unlicense", "unlicense", r"unlicense|the unlicense", r"unlicense org", {}),
-    ("wtfpl", "wtfpl", r"do what the fuck you want to public", r"wtfpl", {"2": r"2"}),
-    ("python", "python", r"python software foundation", r"psf|psfl", {"2": r"2(?: 0)?"}),
-    ("php", "php", r"php", r"php style", {"3": r"3(?: 0)?", "3.01": r"3 01"}),
-    ("ruby", "ruby", r"ruby", r"ruby s", {}),
-    ("openssl", "openssl", r"openssl", r"openssl ssleay", {}),
-    ("postgresql", "postgresql", r"postgresql", r"postgres", {}),
-    ("ncsa", "illinois", r"university of illinois ncsa(?: open source)?", r"ncsa", {}),
-    ("ofl", "sil", r"sil open font", r"ofl", {"1": r"1 0", "1.1": r"1 1"}),
-    ("eupl", "european", r"european union public", r"eupl", {"1.1": r"1 1", "1.2": r"1 2"}),
-    ("cecill", "cecill", r"cecill(?: free software)?", r"cecill b|cecill c", {"1": r"1 0", "2": r"2(?: 0)?", "2.1": r"2 1"}),
-    ("ms-pl", "microsoft", r"microsoft public", r"ms pl", {}),
-    ("ms-rl", "microsoft", r"microsoft reciprocal", r"ms rl", {}),
-    ("osl", "open", r"open software", r"osl", {"2.1": r"2 1", "3": r"3 0"}),
-    ("afl", "academic", r"academic free", r"afl", {"2.1": r"2 1", "3": r"3 0"}),
-    ("upl", "permissive", r"universal permissive", r"upl", {"1": r"1 0"}),
-    ("odbl", "database", r"open database|open data commons open database", r"odbl", {"1": r"1 0"}),
-    ("odc-by", "commons", r"open data commons attribution", r"odc by", {"1": r"1 0"}),
-    ("pddl", "commons", r"open data commons public domain dedication and", r"pddl", {"1": r"1 0"}),
-    ("bsl-business", "business", r"business source", r"busl", {"1.1": r"1 1"}),
-    ("sspl", "server", r"server side public", r"sspl", {"1": r"1(?: 0)?"}),
-    ("elastic", "elastic", r"elastic", r"elv2", {"2": r"2(?: 0)?"}),
-    ("llama", "llama", r"llama(?: \d)? community", r"llama", {}),
-    ("openrail", "rail", r"(?:bigscience |creativeml )?open rail(?: m)?", r"rail", {}),
-    ("cc0", "cc0", r"creative commons (?:cc0|zero)", r"cc0", {"1": r"1(?: 0)?"}),
+# Label, names, short names, versions (label part: words). Names are expressions.
+LICENSES: list[tuple[str, str, str, dict[str, str]]] = [
+    ("mit", r"mit", r"expat|x11 mit", {}),
+    ("mit-0", r"mit no attribution", r"mit 0", {}),
+    ("x11", r"x11", r"x consortium", {}),
+    ("isc", r"isc|internet systems consortium", r"isc style", {}),
+    ("apache", r"apache(?: software)?", r"asl", {"1": r"1 0", "1.1": r"1 1", "2": r"2(?: 0)?"}),
+    ("bsd", r"bsd|berkeley software distribution", r"bsd style", {}),
+    ("bsd-2-clause", r"(?:2|two) clause bsd|simplified bsd|freebsd", r"bsd 2 clause", {}),
+    ("bsd-3-clause", r"(?:3|three) clause bsd|(?:new|modified|revised) bsd", r"bsd 3 clause", {}),
+    ("bsd-4-clause", r"(?:4|four) clause bsd|original bsd", r"bsd 4 clause", {}),
+    ("0bsd", r"(?:zero|0) clause bsd", r"0bsd", {}),
+    ("gpl", r"gnu general public", r"gnu gpl|gpl", {"1": r"1(?: 0)?", "2": r"2(?: 0)?", "3": r"3(?: 0)?"}),
+    ("gpl", r"gnu gpl", r"gpl", {"2": r"2(?: 0)?|v2", "3": r"3(?: 0)?|v3"}),
+    ("lgpl", r"gnu lesser general public", r"gnu lgpl", {"2.1": r"2 1", "3": r"3(?: 0)?"}),
+    ("lgpl", r"gnu library general public", r"gnu library gpl", {"2": r"2(?: 0)?"}),
+    ("lgpl", r"gnu lgpl", r"lgpl", {"2": r"2(?: 0)?", "2.1": r"2 1|v2 1", "3": r"3(?: 0)?|v3"}),
+    ("agpl", r"gnu affero general public|affero general public", r"gnu agpl", {"1": r"1(?: 0)?", "3": r"3(?: 0)?"}),
+    ("agpl", r"gnu agpl", r"agpl", {"3": r"3(?: 0)?|v3"}),
+    ("gfdl", r"gnu free documentation", r"gfdl", {"1.1": r"1 1", "1.2": r"1 2", "1.3": r"1 3"}),
+    ("mpl", r"mozilla public", r"mpl", {"1": r"1 0", "1.1": r"1 1", "2": r"2(?: 0)?"}),
+    ("epl", r"eclipse public", r"epl", {"1": r"1 0", "2": r"2(?: 0)?"}),
+    ("edl", r"eclipse distribution", r"edl", {"1": r"1 0"}),
+    ("cddl", r"common development and distribution", r"cddl", {"1": r"1 0", "1.1": r"1 1"}),
+    ("cddl", r"common development and distribution", r"cddl", {"1": r"1 0", "1.1": r"1 1"}),
+    ("cpl", r"common public", r"cpl", {"1": r"1 0"}),
+    ("ipl", r"ibm public", r"ipl", {"1": r"1 0"}),
+    ("artistic", r"(?:perl )?artistic", r"perl artistic", {"1": r"1 0", "2": r"2(?: 0)?"}),
+    ("bsl", r"boost software", r"bsl", {"1": r"1 0"}),
+    ("zlib", r"zlib|zlib libpng", r"zlib style", {}),
+    ("libpng", r"libpng", r"png reference library", {}),
+    ("unlicense", r"unlicense|the unlicense", r"unlicense org", {}),
+    ("wtfpl", r"do what the fuck you want to public", r"wtfpl", {"2": r"2"}),
+    ("python", r"python software foundation", r"psf|psfl", {"2": r"2(?: 0)?"}),
+    ("php", r"php", r"php style", {"3": r"3(?: 0)?", "3.01": r"3 01"}),
+    ("ruby", r"ruby", r"ruby s", {}),
+    ("openssl", r"openssl", r"openssl ssleay", {}),
+    ("postgresql", r"postgresql", r"postgres", {}),
+    ("ncsa", r"university of illinois ncsa(?: open source)?", r"ncsa", {}),
+    ("ofl", r"sil open font", r"ofl", {"1": r"1 0", "1.1": r"1 1"}),
+    ("eupl", r"european union public", r"eupl", {"1.1": r"1 1", "1.2": r"1 2"}),
+    ("cecill", r"cecill(?: free software)?", r"cecill b|cecill c", {"1": r"1 0", "2": r"2(?: 0)?", "2.1": r"2 1"}),
+    ("ms-pl", r"microsoft public", r"ms pl", {}),
+    ("ms-rl", r"microsoft reciprocal", r"ms rl", {}),
+    ("osl", r"open software", r"osl", {"2.1": r"2 1", "3": r"3 0"}),
+    ("afl", r"academic free", r"afl", {"2.1": r"2 1", "3": r"3 0"}),
+    ("upl", r"universal permissive", r"upl", {"1": r"1 0"}),
+    ("odbl", r"open database|open data commons open database", r"odbl", {"1": r"1 0"}),
+    ("odc-by", r"open data commons attribution", r"odc by", {"1": r"1 0"}),
+    ("pddl", r"open data commons public domain dedication and", r"pddl", {"1": r"1 0"}),
+    ("bsl-business", r"business source", r"busl", {"1.1": r"1 1"}),
+    ("sspl", r"server side public", r"sspl", {"1": r"1(?: 0)?"}),
+    ("elastic", r"elastic", r"elv2", {"2": r"2(?: 0)?"}),
+    ("llama", r"llama(?: \d)? community", r"llama", {}),
+    ("openrail", r"(?:bigscience |creativeml )?open rail(?: m)?", r"rail", {}),
+    ("cc0", r"creative commons (?:cc0|zero)", r"cc0", {"1": r"1(?: 0)?"}),
     *[
-        (f"cc-{code.replace(' ', '-')}", key, rf"creative commons {words}", rf"cc {code}", {v: rf"{v}(?: 0)?" for v in "1234"})
+        (f"cc-{code.replace(' ', '-')}", rf"creative commons {words}", rf"cc {code}", {v: rf"{v}(?: 0)?" for v in "1234"})
         for code, words in (
             ("by", "attribution"),
             ("by sa", "attribution share ?alike"),
@@ -76,50 +76,51 @@ LICENSES: list[tuple[str, str, str, str, dict[str, str]]] = [
             ("by nc sa", "attribution non ?commercial share ?alike"),
             ("by nc nd", "attribution non ?commercial no ?deriv(?:ative)?s?"),
         )
-        for key in ("cc", "creative")
     ],
 ]
 
-# Label, key word, expression: passages of licence texts.
+# Label, expression: passages of licence texts.
 TEXTS = [
-    ("mit", "granted", r"permission is hereby granted free of charge to any person obtaining a copy"),
-    ("mit", "merchantability", r"the software is provided as is without warranty of any kind express or implied"),
-    ("isc", "granted", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd-3-clause", "endorse", r"neither the name of .{1,120}? may be used to endorse or promote products"),
-    ("bsd-4-clause", "acknowledgement", r"all advertising materials mentioning features or use of this software must display the following acknowledgement"),
-    ("apache-2", "governing", r"see the license for the specific language governing permissions and limitations under the license"),
-    ("apache-2", "compliance", r"you may not use this file except in compliance with the license"),
-    ("apache-2", "apache", r"www apache org licenses license 2 0"),
-    ("gpl", "redistribute", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "redistribute", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
-    ("gpl-3", "gnu", r"gnu org licenses gpl(?: 3 0)?(?: html| txt)?"),
-    ("gpl", "gnu", r"you should have received a copy of the gnu general public license"),
-    ("lgpl", "gnu", r"you should have received a copy of the gnu lesser general public license"),
-    ("agpl-3", "gnu", r"you should have received a copy of the gnu affero general public license"),
-    ("mpl-2", "mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("epl", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
-    ("bsl-1", "boost", r"distributed under the boost software license version 1 0"),
-    ("zlib", "altered", r"altered source versions must be plainly marked as such"),
-    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("wtfpl", "want", r"you just do what the fuck you want to"),
-    ("cc0-1", "cc0", r"to the extent possible under law .{1,120}? has waived all copyright"),
-    ("cc-by-4", "creativecommons", r"creativecommons org licenses by 4 0"),
-    ("cc-by-sa-4", "creativecommons", r"creativecommons org licenses by sa 4 0"),
-    ("cc-by-nc-4", "creativecommons", r"creativecommons org licenses by nc 4 0"),
-    ("cc-by-nc-sa-4", "creativecommons", r"creativecommons org licenses by nc sa 4 0"),
-    ("cc-by-nc-nd-4", "creativecommons", r"creativecommons org licenses by nc nd 4 0"),
-    ("ofl-1.1", "font", r"this font software is licensed under the sil open font license"),
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mit", r"the software is provided as is without warranty of any kind express or implied"),
+    ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3-clause", r"neither the name of .{1,120}? may be used to endorse or promote products"),
+    ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("apache-2", r"see the license for the specific language governing permissions and limitations under the license"),
+    ("apache-2", r"you may not use this file except in compliance with the license"),
+    ("apache-2", r"www apache org licenses license 2 0"),
+    ("gpl", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("lgpl", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
+    ("gpl-3", r"gnu org licenses gpl(?: 3 0)?(?: html| txt)?"),
+    ("gpl", r"you should have received a copy of the gnu general public license"),
+    ("lgpl", r"you should have received a copy of the gnu lesser general public license"),
+    ("agpl-3", r"you should have received a copy of the gnu affero general public license"),
+    ("mpl-2", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("epl", r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("bsl-1", r"distributed under the boost software license version 1 0"),
+    ("zlib", r"altered source versions must be plainly marked as such"),
+    ("unlicense", r"this is free and unencumbered software released into the public domain"),
+    ("wtfpl", r"you just do what the fuck you want to"),
+    ("cc0-1", r"to the extent possible under law .{1,120}? has waived all copyright"),
+    ("cc-by-4", r"creativecommons org licenses by 4 0"),
+    ("cc-by-sa-4", r"creativecommons org licenses by sa 4 0"),
+    ("cc-by-nc-4", r"creativecommons org licenses by nc 4 0"),
+    ("cc-by-nc-sa-4", r"creativecommons org licenses by nc sa 4 0"),
+    ("cc-by-nc-nd-4", r"creativecommons org licenses by nc nd 4 0"),
+    ("ofl-1.1", r"this font software is licensed under the sil open font license"),
 ]
 
-# Label, key word, expression: notices that name no licence.
+# Label, expression: notices that name no licence.
 NOTICES = [
-    ("all-rights-reserved", "reserved", r"all rights reserved"),
-    ("proprietary", "proprietary", r"(?:proprietary and confidential|confidential and proprietary)"),
-    ("proprietary", "prohibited", r"unauthorized (?:copying|use|reproduction)(?: or distribution)? .{0,60}?is (?:strictly )?prohibited"),
-    ("public-domain", "domain", r"(?:released|dedicated|placed) (?:in|into|to) the public domain"),
-    ("non-commercial", "commercial", r"for (?:personal and )?non ?commercial use only"),
-    ("permission-required", "permission", r"may not be reproduced .{0,80}?without (?:the )?(?:prior )?(?:written )?permission"),
+    ("all-rights-reserved", r"all rights reserved"),
+    ("proprietary", r"proprietary and confidential"),
+    ("proprietary", r"confidential and proprietary"),
+    ("proprietary", r"unauthorized (?:copying|use|reproduction)(?: or distribution)? .{0,60}?is (?:strictly )?prohibited"),
+    ("public-domain", r"(?:released|dedicated|placed) (?:in|into|to) the public domain"),
+    ("non-commercial", r"for (?:personal and )?non commercial use only"),
+    ("non-commercial", r"for (?:personal and )?noncommercial use only"),
+    ("permission-required", r"may not be reproduced .{0,80}?without (?:the )?(?:prior )?(?:written )?permission"),
 ]
 
 # Words one of which stands near every place that a rule can match.
@@ -127,16 +128,21 @@ TRIGGERS = (
     "license licence licensed licenced licenses licences licensing spdx copyright copyrighted reserved"
     " permission granted redistribution redistribute warranty merchantability acknowledgement governing"
     " compliance gpl lgpl agpl gfdl wtfpl cc0 unlicense unencumbered creativecommons cc commons proprietary"
-    " prohibited domain commercial mozilla gnu altered endorse creative"
+    " prohibited domain commercial noncommercial fuck mozilla gnu altered endorse creative"
 ).split()
 
 # Priority of each kind and its score.
 TEXT, TAG, GRANT, VERSION, NAME, NOTICE = range(6)
 SCORES = {TEXT: 1.0, TAG: 1.0, GRANT: 0.95, VERSION: 0.9, NAME: 0.7, NOTICE: 0.5}
 
-_GRANT = r"(?:licen[sc]ed|released|distributed|available|published|provided|shared|covered|offered|use is) (?:under|by|subject to)(?: the| a| an)?(?: terms of(?: the)?)?"
+# Forms of a grant; each holds the word licence or license.
+_UNDER = r"(?:under|by|subject to)(?: the| a| an)?(?: terms of(?: the)?)?"
+_LICENSED = rf"licen[sc]ed {_UNDER}"
+_GIVEN = rf"(?:released|distributed|available|published|provided|shared|covered|offered) {_UNDER}"
 _LICENSE = r"(?: public)? licen[sc]e"
 _VERSION = r"(?: version| v| ver)?"
+# The bar between two names, not one inside a group.
+_EITHER = r"\|(?![^(]*\))"
 
 
 @dataclass(frozen=True)
@@ -147,22 +153,35 @@ class Rule:
     expression: re.Pattern
 
 
-def _rule(priority: int, label: str, key: str, expression: str) -> Rule:
+def required(expression: str) -> list[str]:
+    """Words that every match of an expression holds."""
+    text = expression.replace("licen[sc]e", "license")
+    while (group := re.search(r"\(\?:([^()]*)\)\??", text)) is not None:
+        apart = all(part[:1] == " " or part[-1:] == " " for part in group[1].split("|"))
+        text = text[: group.start()] + (" " if apart else "\0") + text[group.end() :]
+    text = re.sub(r"\w+ \?\w+", "\0", text)
+    return [w for w in text.split() if re.fullmatch("[a-z0-9]+", w)]
+
+
+def _rule(priority: int, label: str, expression: str) -> Rule:
+    key = max((w for w in required(expression) if not w.startswith("licen")), key=len)
     return Rule(priority, label, key, re.compile(rf"(?<!\S)(?:{expression})(?!\S)"))
 
 
 def rules() -> list[Rule]:
     """All rules, the strongest kind first and versions before the bare licence."""
-    out = [_rule(TEXT, label, key, e) for label, key, e in TEXTS]
-    for label, key, name, short, versions in LICENSES:
-        any_name = rf"(?:{name}|{short})"
-        for version, v in versions.items():
-            own = f"{label}-{version}"
-            out.append(_rule(TAG, own, key, rf"spdx license identifier {any_name} (?:{v})(?: only| or later)?"))
-            out.append(_rule(GRANT, own, key, rf"{_GRANT} {any_name}(?:{_LICENSE})?{_VERSION} (?:{v})"))
-            out.append(_rule(VERSION, own, key, rf"{any_name}{_LICENSE}{_VERSION} (?:{v})"))
-        out.append(_rule(TAG, label, key, rf"spdx license identifier {any_name}"))
-        out.append(_rule(GRANT, label, key, rf"{_GRANT} {any_name}(?:{_LICENSE})?"))
-        out.append(_rule(NAME, label, key, rf"(?:{name}){_LICENSE}"))
-    out += [_rule(NOTICE, label, key, e) for label, key, e in NOTICES]
+    out = [_rule(TEXT, label, e) for label, e in TEXTS]
+    for label, names, short, versions in LICENSES:
+        for name in re.split(_EITHER, f"{names}|{short}"):
+            for version, v in versions.items():
+                own, v = f"{label}-{version}", f"(?:{v})"
+                out.append(_rule(TAG, own, rf"spdx license identifier {name} {v}(?: only| or later)?"))
+                out.append(_rule(GRANT, own, rf"{_LICENSED} {name}(?:{_LICENSE})?{_VERSION} {v}"))
+                out.append(_rule(GRANT, own, rf"{_GIVEN} {name}{_LICENSE}{_VERSION} {v}"))
+                out.append(_rule(VERSION, own, rf"{name}{_LICENSE}{_VERSION} {v}"))
+            out.append(_rule(TAG, label, rf"spdx license identifier {name}"))
+            out.append(_rule(GRANT, label, rf"{_LICENSED} {name}(?:{_LICENSE})?"))
+            out.append(_rule(GRANT, label, rf"{_GIVEN} {name}{_LICENSE}"))
+            out.append(_rule(NAME, label, rf"{name}{_LICENSE}"))
+    out += [_rule(NOTICE, label, e) for label, e in NOTICES]
     return sorted(out, key=lambda r: r.priority)

@@ -28,6 +28,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW, RUN = 20, 20
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{RUN},}}"
+# Digits first, then the letters of hexadecimal numbers, then the others.
 ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_=-"
 # Bits a window's entropy must reach: of 20 random characters nearly all do, of words hardly any.
 HEX_BITS, MIXED_BITS, LETTER_BITS = 3.0, 3.7, 4.1
@@ -79,7 +80,7 @@ aggregate(transform(sequence(1, length(x.text)), i -> named_struct(
       'out', if(c.old > 0, element_at(s.n, c.old), 0),
       'in', element_at(s.n, c.new) - if(c.old = c.new, 1, 0),
       'n', transform(s.n, (v, k) -> v + if(k + 1 = c.new, 1, 0) - if(k + 1 = c.old, 1, 0)),
-      'hex', s.hex + if(c.new <= 16, 1, 0) - if(c.old between 1 and 16, 1, 0),
+      'hex', s.hex + if(c.new <= 22, 1, 0) - if(c.old between 1 and 22, 1, 0),
       'digits', s.digits + if(c.new <= 10, 1, 0) - if(c.old between 1 and 10, 1, 0),
       'letters', s.letters + if(c.new between 11 and 62, 1, 0) - if(c.old between 11 and 62, 1, 0))),
     d -> named_struct('d', d, 'sum', s.sum

@@ -33,7 +33,7 @@ from eventide.llm.jaccard import _bounds, _groups
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
-MERGE, INSERT, RELABEL = 1, 2, 3
+MERGE, INSERT, RELABEL = 1, 2, 4
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 FAR = 1 << 40
 

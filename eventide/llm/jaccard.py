@@ -373,11 +373,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows of one id and text are told apart by nothing, so the first of them stays.
     """
-    kept = join(docs).filter("keeper").select("t1", "t2", F.xxhash64("doc_id").alias("_d"))
-    kept = kept.groupBy("t1", "t2", "_d").agg(F.count(F.lit(1)).alias("_n"))
-    names = docs.columns
-    keyed = docs.select("*", _text_key(1).alias("_t1"), _text_key(2).alias("_t2"), F.xxhash64("doc_id").alias("_d"))
-    kept = kept.withColumnsRenamed({"t1": "_t1", "t2": "_t2"})
-    same = Window.partitionBy("_t1", "_t2", "_d").orderBy(F.lit(0))
-    numbered = keyed.join(kept, ["_t1", "_t2", "_d"]).withColumn("_nth", F.row_number().over(same))
-    return numbered.filter("_nth <= _n").select(*[F.col(f"`{c}`") for c in names])
+    kept = join(docs).filter("keeper").select("t1", "t2", F.xxhash64("doc_id").alias("d"))
+    kept = kept.groupBy("t1", "t2", "d").agg(F.count(F.lit(1)).alias("n"))
+    # The columns of a document travel in one, so none can clash with these.
+    keyed = docs.select(
+        F.struct("*").alias("doc"), _text_key(1), _text_key(2), F.xxhash64("doc_id").alias("d")
+    )
+    same = Window.partitionBy("t1", "t2", "d").orderBy(F.lit(0))
+    numbered = keyed.join(kept, ["t1", "t2", "d"]).withColumn("nth", F.row_number().over(same))
+    return numbered.filter("nth <= n").select("doc.*")

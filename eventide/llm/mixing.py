@@ -158,17 +158,17 @@ def repeat(docs: DataFrame, mixed: DataFrame) -> DataFrame:
 
     Rows of one id, source and size share their copies evenly.
     """
-    names = docs.columns
-    sized = docs.withColumns({"_size": word_count("text")})
 
-    def keys(size: str) -> list[Column]:
-        return [F.xxhash64("doc_id", "source", size, F.lit(k)).alias(f"_k{k}") for k in (1, 2)]
-
-    copies = mixed.select(*keys("size"), "copies").groupBy("_k1", "_k2").agg(
-        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
-    )
-    order = Window.partitionBy("_k1", "_k2").orderBy(F.xxhash64("text"))
-    numbered = sized.select("*", *keys("_size")).withColumn("_nth", F.row_number().over(order))
-    own = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_nth") <= F.col("_copies") % F.col("_rows")).cast("int")
-    taken = numbered.join(copies, ["_k1", "_k2"]).withColumn("_own", own.cast("int")).filter("_own > 0")
-    return taken.select(*[F.col(f"`{c}`") for c in names], F.explode(F.sequence(F.lit(1), "_own")).alias("_copy")).drop("_copy")
+    def keys(doc_id: Column, source: Column, size: Column) -> list[Column]:
+        return [F.xxhash64(doc_id, source, size, F.lit(k)).alias(f"k{k}") for k in (1, 2)]
+
+    copies = mixed.select(*keys(F.col("doc_id"), F.col("source"), F.col("size")), "copies")
+    copies = copies.groupBy("k1", "k2").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    # The columns of a document travel in one, so none can clash with these.
+    doc = F.col("doc")
+    keyed = docs.select(F.struct("*").alias("doc")).select("doc", *keys(doc.doc_id, doc.source, word_count(doc.text)))
+    order = Window.partitionBy("k1", "k2").orderBy(F.xxhash64(doc.text))
+    numbered = keyed.withColumn("nth", F.row_number().over(order)).join(copies, ["k1", "k2"])
+    own = F.floor(F.col("copies") / F.col("rows")) + (F.col("nth") <= F.col("copies") % F.col("rows")).cast("int")
+    taken = numbered.withColumn("own", own.cast("int")).filter("own > 0")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), "own")).alias("copy")).select("doc.*")

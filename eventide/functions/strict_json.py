@@ -55,6 +55,34 @@ def read_entries(json: str) -> str:
     return _read(json, _closing_object(json), "array<map<string,variant>>")
 
 
+def has_repeats(keys: str) -> str:
+    """True when a name occurs twice in an ``array<string>``."""
+    return f"coalesce(size(array_distinct({keys})) < size({keys}), false)"
+
+
+def whole_object(json: str) -> str:
+    """``map<string,variant>`` of text that is exactly one JSON object, else null."""
+    parsed = read_entries(json)
+    closing = "try_variant_get(try_element_at(element_at(p, 2), '_end'), '$', 'bigint')"
+    return f"""get(transform(array({parsed}),
+        p -> CASE WHEN size(p) = 2 AND {closing} = xxhash64({json}) THEN element_at(p, 1) END), 0)"""
+
+
+def whole_array(json: str, layout: dict[str, str]) -> str:
+    """``array<struct>`` of text that is exactly one JSON array of objects, else null."""
+    parsed = _read(
+        json, f"concat('[', {_closing_object(json)}, ']')", f"array<array<struct<{_field_list(layout)},_end:bigint>>>"
+    )
+    return f"""get(transform(array({parsed}), p -> CASE WHEN size(p) = 2
+        AND get(element_at(p, 2), 0)._end = xxhash64({json}) THEN element_at(p, 1) END), 0)"""
+
+
+def whole_number(variant: str) -> str:
+    """A count as a bigint: a number cut to its whole part, or text that spells one."""
+    return f"""CASE WHEN {is_number_kind(f'schema_of_variant({variant})')} THEN try_cast({number(variant)} AS bigint)
+        WHEN {is_text(variant)} THEN try_cast({text(variant)} AS bigint) END"""
+
+
 def read_values(json: str) -> str:
     """``array<array<variant>>`` for a record that is a JSON array."""
     return _read(json, _closing_array(json), "array<array<variant>>")

@@ -9,8 +9,9 @@ on every run.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.functions import strict_json as js
 from eventide.functions.timebins import hour_of
-from eventide.schemas import EVENT_COUNTS_TYPE, EVENT_TYPES, TOP_PAGES_TYPE
+from eventide.schemas import EVENT_TYPES
 
 TOP_PAGES = 10
 HISTOGRAM_BINS = 40
@@ -268,14 +269,22 @@ def event_distribution(windows: DataFrame) -> DataFrame:
 
 
 def event_distribution_json(stored: DataFrame) -> DataFrame:
-    """The same from the JSON column; null, empty and unreadable text adds nothing."""
-    return _distribution(stored, F.from_json("event_counts", EVENT_COUNTS_TYPE))
+    """The same from the JSON column. Null, empty and unreadable text adds nothing, nor
+    does text with anything after the object; a count may be written as text or with a
+    fraction, which is cut."""
+    counts = F.expr(js.whole_object("event_counts"))
+    whole = stored.select(F.explode(counts).alias("event_type", "value"))
+    counted = whole.select("event_type", F.expr(js.whole_number("value")).alias("n"))
+    return _totals(counted.filter("n IS NOT NULL"))
 
 
 def _distribution(windows: DataFrame, counts: Column) -> DataFrame:
+    return _totals(windows.select(F.explode(counts).alias("event_type", "n")))
+
+
+def _totals(counted: DataFrame) -> DataFrame:
     return (
-        windows.select(F.explode(counts).alias("event_type", "n"))
-        .groupBy("event_type")
+        counted.groupBy("event_type")
         .agg(F.sum("n").alias("total_count"))
         .orderBy(F.desc("total_count"), "event_type")
     )
@@ -310,9 +319,10 @@ def page_totals(stored: DataFrame) -> DataFrame:
     A page outside a window's list is not counted for that window, so these are
     lower bounds of the real totals.
     """
-    pages = F.from_json("top_pages", TOP_PAGES_TYPE)
+    pages = F.expr(js.whole_array("top_pages", {"page": "string", "count": "variant"}))
+    listed = stored.select(F.inline(pages)).select("page", F.expr(js.whole_number("count")).alias("count"))
     return (
-        stored.select(F.inline(pages))
+        listed.filter("count IS NOT NULL")
         .groupBy("page")
         .agg(F.sum("count").alias("count"))
         .orderBy(F.desc("count"), "page")

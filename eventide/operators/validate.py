@@ -84,9 +84,11 @@ def validate_batch(batches: DataFrame, json_col: str = "events") -> DataFrame:
     ``session.configure``). An all-object batch is read in one parse, only a batch
     with other elements is read again as VARIANT.
     """
-    parsed = batches.withColumn("_parsed", F.expr(js.read_object_batch(json_col)))
-    parsed = parsed.withColumn("_object", F.expr(js.is_complete_batch("_parsed", json_col))).withColumn(
-        "_values", F.expr(f"CASE WHEN NOT _object THEN {js.read_values(json_col)} END")
+    # Each step comes out of a generator of its own, so no later use copies a parse.
+    parsed = compute_once(batches, F.expr(js.read_object_batch(json_col)).alias("_parsed"))
+    parsed = compute_once(parsed, F.expr(js.is_complete_batch("_parsed", json_col)).alias("_object"))
+    parsed = compute_once(
+        parsed, F.expr(f"CASE WHEN NOT _object THEN {js.read_values(json_col)} END").alias("_values")
     )
     fields_type = "struct<" + ",".join(f"{n}:variant" for n in REQUIRED) + ">"
     element = f"struct<fields:{fields_type},why:string>"

@@ -186,19 +186,26 @@ def window_cells(
     has exactly one type, so the type counters also carry the total and the
     duration sum of the window.
     """
-    facts = F.array(
-        F.struct(F.lit("user_id").alias("dim"), F.col("user_id").alias("key"), F.lit(0.0).alias("d")),
-        F.struct(F.lit("event_type").alias("dim"), F.col("event_type").alias("key"), F.col("duration_ms").alias("d")),
-        F.struct(F.lit("page").alias("dim"), F.col("page").alias("key"), F.lit(0.0).alias("d")),
-    )
-    return (
-        assign_windows(events, size, time_col, offset)
-        .select(_KEY, F.inline(facts))
-        .groupBy(_KEY, "dim", "key")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("duration"))
+    keyed = window_facts(events, time_col).withColumn(_KEY, tumbling(time_col, size, offset).start)
+    return keyed.groupBy(_KEY, "dim", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("d").alias("duration")
     )
 
 
+def window_facts(events: DataFrame, time_col: str) -> DataFrame:
+    """Each event as three facts (dimension, key, duration) next to its time.
+
+    Batch and stream count these facts; only the type's fact carries the duration.
+    """
+    none = F.lit(0.0)
+    duration = F.coalesce(F.col("duration_ms"), none)
+    facts = [
+        F.struct(F.lit(dim).alias("dim"), _text(dim).alias("key"), value.alias("d"))
+        for dim, value in (("user_id", none), ("event_type", duration), ("page", none))
+    ]
+    return events.filter(F.col(time_col).isNotNull()).select(time_col, F.inline(F.array(*facts)))
+
+
 def merge_cells(cells: DataFrame) -> DataFrame:
     """Add up the counters that several batches hold for the same key."""
     return cells.groupBy(_KEY, "dim", "key").agg(
@@ -229,39 +236,49 @@ def rollup(cells: DataFrame, size: str = DEFAULT_SIZE) -> DataFrame:
 
 
 def zero_fill(windows: DataFrame, size: str) -> DataFrame:
-    """Add the windows without events between the first and the last one.
+    """Add windows without events between the first and the last one.
 
-    A quiet window has zero totals, an average of 0.0, and empty nested values
-    where the frame has those columns. ``size`` must be a fixed span. The spine
-    is built in two steps, chunks and then windows, so no row holds a long
-    array and the second step runs in parallel.
+    Every given window stays as it is, wherever it starts. Added windows stand on the
+    grid of the first window, where no given window overlaps them. A quiet window has
+    zero totals, an average of 0.0, and empty nested values where the frame has those
+    columns. ``size`` must be a fixed span. The grid is built in two steps, chunks and
+    then slots, so no row holds a long array and the second step runs in parallel.
     """
-    step = f"INTERVAL {size}"
-    chunk = f"({step} * 4096)"
-    ends = windows.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
-    spine = (
-        ends.filter("lo IS NOT NULL")
-        .select("hi", F.expr(f"explode(sequence(lo, hi, {chunk})) AS chunk_start"))
-        .repartition("chunk_start")
+    step = f"unix_micros(timestamp_micros(0) + INTERVAL {size})"
+    bounds = windows.agg(
+        F.unix_micros(F.min("window_start")).alias("lo"),
+        F.unix_micros(F.max("window_start")).alias("hi"),
+    )
+    chunk = 4096
+    slots = (
+        bounds.filter("lo IS NOT NULL")
+        .select("lo", F.expr(f"explode(sequence(0L, (hi - lo) div {step}, {chunk}L)) AS first"), "hi")
+        .repartition("first")
         .select(
-            F.expr(
-                f"explode(sequence(chunk_start, "
-                f"least(chunk_start + {chunk} - {step}, hi), {step})) AS window_start"
-            )
+            "lo",
+            F.expr(f"explode(sequence(first, least(first + {chunk - 1}, (hi - lo) div {step}))) AS slot"),
         )
-        .withColumn("window_end", F.expr(f"window_start + {step}"))
     )
+    # The slots that each window reaches into; a window off the grid reaches into two.
+    low = bounds.select("lo").scalar()
+    begin = F.unix_micros("window_start") - low
+    end = F.greatest(F.unix_micros("window_end") - low - 1, begin)
+    reached = windows.select(
+        F.explode(F.sequence(F.floor(begin / F.expr(step)), F.floor(end / F.expr(step)))).alias("slot")
+    )
+    starts = F.timestamp_micros(F.col("lo") + F.col("slot") * F.expr(step))
     zero = {
+        "window_start": starts,
+        "window_end": starts + F.expr(f"INTERVAL {size}"),
         "total_events": F.lit(0).cast("bigint"),
         "unique_users": F.lit(0).cast("bigint"),
         "avg_duration_ms": F.lit(0.0),
         "event_counts": F.expr("cast(map() AS map<string,bigint>)"),
         "top_pages": F.expr("cast(array() AS array<struct<page:string,count:bigint>>)"),
     }
-    filled = spine.join(windows.drop("window_end"), _KEY, "left")
-    return filled.select(
-        *[
-            F.coalesce(F.col(name), zero[name]).alias(name) if name in zero else F.col(name)
-            for name in windows.columns
-        ]
+    quiet = slots.join(reached.distinct(), "slot", "left_anti")
+    kinds = dict(windows.dtypes)
+    added = quiet.select(
+        *[zero.get(name, F.lit(None)).cast(kinds[name]).alias(name) for name in windows.columns]
     )
+    return windows.unionByName(added)

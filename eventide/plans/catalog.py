@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from eventide.operators import clean, reports, validate
 from eventide.operators import windows as win
-from eventide.plans.cycle import run_cycle
+from eventide.plans.cycle import run_cycle, start_cycles
 from eventide.session import run_dir
 from eventide.sources import events as event_io
 from eventide.sources import testdata as data
 from eventide.sources import windows as window_io
-from eventide.streaming import tumbling
+from eventide.streaming import decode, tumbling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,7 +47,8 @@ def present(df: DataFrame) -> DataFrame:
 
 def decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = event_io.decode_events(data.events_json(spark, sf_dir))
-    return present(event_io.accepted_events(decoded).drop("metadata"))
+    sorted_map = F.map_from_entries(F.array_sort(F.map_entries("metadata")))
+    return present(event_io.accepted_events(decoded).withColumn("metadata", sorted_map))
 
 
 def encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +75,10 @@ def validate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-minute windows, with a few averages beyond the limit."""
     windows = data.scalar_windows(spark, sf_dir, data.TEN_MINUTES)
     scaled = windows.withColumn("avg_duration_ms", F.col("avg_duration_ms") * 3)
-    return present(validate.validate_windows(scaled).select("window_start", "is_valid"))
+    verdicts = validate.validate_windows(scaled)
+    return present(
+        verdicts.select("window_start", "is_valid", F.array_join("errors", "; ").alias("errors"))
+    )
 
 
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +129,7 @@ def window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def windows_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = data.scalar_windows(spark, sf_dir, data.TEN_MINUTES)
+    windows = data.off_grid_windows(spark, sf_dir)
     return present(win.zero_fill(windows, data.TEN_MINUTES).drop("window_end"))
 
 
@@ -133,8 +137,9 @@ def windows_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of several micro-batches, the parts of the table out of order."""
     path = run_dir(spark, "stream")
-    events = data.user_event_stream(spark, sf_dir)
+    events = data.stream_files(spark, sf_dir, f"{path}/events", (1, 0, 3, 2))
     tumbling.start_cells(
         events, f"{path}/cells", f"{path}/checkpoint", data.HOUR
     ).awaitTermination()
@@ -143,30 +148,71 @@ def stream_window_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "closed")
-    events = data.user_event_stream(spark, sf_dir)
+    events = data.stream_files(spark, sf_dir, f"{path}/events")
     tumbling.start_closed_windows(
         events, path, f"{path}/checkpoint", data.HOUR, CLOSE_DELAY
     ).awaitTermination()
-    closed = window_io.scan_windows(spark, f"{path}/windows")
-    return present(closed.select("window_start", "total_events"))
+    return present(window_io.from_at_rest(tumbling.read_closed_windows(spark, path)))
+
+
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second part of the table comes last. A batch drops what is older than the
+    watermark of the batch before it began with, so that part is too late as a whole."""
+    path = run_dir(spark, "late")
+    events = data.stream_files(spark, sf_dir, f"{path}/events", (0, 2, 3, 1))
+    tumbling.start_closed_windows(
+        events, path, f"{path}/checkpoint", data.HOUR, CLOSE_DELAY
+    ).awaitTermination()
+    return present(tumbling.late_events(spark, path, data.user_events(spark, sf_dir), data.HOUR))
+
+
+def stream_decode_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a stream by outcome; every seventh has no time."""
+    path = run_dir(spark, "decoded")
+    undated = F.replace("value", F.lit('"timestamp"'), F.lit('"at"'))
+    number = F.col("id").cast("bigint")
+    records = data.events_json(spark, sf_dir).select(
+        F.when(number % 7 == 0, undated).otherwise(F.col("value")).alias("value")
+    )
+    records.write.text(f"{path}/records")
+    arrived = event_io.read_json_lines(spark, f"{path}/records")
+    decode.start_decode(arrived, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return decode.outcome_counts(spark, f"{path}/out")
 
 
 def stream_drain_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hand over all windows in a first run; a second run finds nothing new."""
+    """Hand over all windows in a first run; nothing is new in a second run, nor in a
+    third, before which the windows were stored again."""
     path = run_dir(spark, "drain")
-    data.windows_at_rest(spark, sf_dir).write.parquet(f"{path}/windows")
-    for run in (1, 2):
+    windows = data.windows(spark, sf_dir)
+    for run in (1, 2, 3):
+        if run != 2:
+            window_io.write_windows(windows, f"{path}/windows", "all")
         tumbling.start_drain(
-            spark, f"{path}/windows", f"{path}/out/run={run}", f"{path}/checkpoint"
+            spark, f"{path}/windows", f"{path}/out/run={run}", f"{path}/checkpoint", taken=f"{path}/taken"
         ).awaitTermination()
     handed_over = window_io.scan_windows(spark, f"{path}/out", {"run": "bigint"})
-    runs = spark.range(1, 3).withColumnRenamed("id", "run")
+    runs = spark.range(1, 4).withColumnRenamed("id", "run")
     counts = handed_over.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
     return runs.join(counts, "run", "left").select(
         "run", F.coalesce("n", F.lit(0)).alias("new_rows")
     )
 
 
+def cycles_in_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cycle per stored part of the windows, one part stored twice: a summary of each."""
+    path = run_dir(spark, "cycles")
+    windows = data.windows(spark, sf_dir)
+    part = data.part_of(F.dayofmonth("window_start"))
+    for k in (0, 1, 1, 2):
+        window_io.write_windows(windows.filter(part == k), f"{path}/in", f"part-{k}")
+        start_cycles(spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    results = spark.read.option("basePath", f"{path}/out/reports/analysis_result").parquet(
+        f"{path}/out/reports/analysis_result"
+    )
+    return present(results.select("total_windows", "total_events"))
+
+
 # --- cleaning -------------------------------------------------------------------
 
 
@@ -218,14 +264,21 @@ def windows_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def windows_union_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of today's layout next to older ones: no type counts, narrower totals."""
+    """Files of today's layout next to others: without type counts and with narrower
+    totals, with fractional totals, with a further column; and a folder that is not there."""
     path = run_dir(spark, "mixed")
-    now = data.windows_at_rest(spark, sf_dir)
-    now.write.parquet(f"{path}/now")
+    data.windows_at_rest(spark, sf_dir).write.parquet(f"{path}/now")
     stored = window_io.scan_windows(spark, f"{path}/now")
-    old = stored.drop("event_counts").withColumn("total_events", F.col("total_events").cast("int"))
-    old.write.parquet(f"{path}/old")
-    return present(window_io.scan_windows(spark, path))
+    total = F.col("total_events")
+    others = {
+        "old": stored.drop("event_counts").withColumn("total_events", total.cast("int")),
+        "fractional": stored.withColumn("total_events", total.cast("double")),
+        "wider": stored.withColumn("collector", F.lit("c1")),
+    }
+    for name, frame in others.items():
+        frame.write.parquet(f"{path}/{name}")
+    folders = [f"{path}/{name}" for name in ("now", *others, "absent")]
+    return present(window_io.scan_folders(spark, *folders))
 
 
 def window_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,10 +353,11 @@ def analysis_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cycle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole cycle with all its outputs; the result is the run summary."""
-    return present(
-        run_cycle(spark, data.windows_dirty(spark, sf_dir), run_dir(spark, "cycle"), "run")
-    )
+    """A whole cycle with all its outputs: the run summary, and how many windows are clean."""
+    path = run_dir(spark, "cycle")
+    summary = run_cycle(spark, data.windows_dirty(spark, sf_dir), path, "run")
+    clean_count = spark.read.parquet(f"{path}/windows_clean").agg(F.count(F.lit(1))).scalar()
+    return present(summary.withColumn("clean_windows", clean_count))
 
 
 def queries() -> dict[str, Query]:
@@ -325,7 +379,10 @@ def queries() -> dict[str, Query]:
         "windows_zero_filled": windows_zero_filled,
         "stream_window_aggregate": stream_window_aggregate,
         "stream_closed_windows": stream_closed_windows,
+        "stream_late_events": stream_late_events,
+        "stream_decode_split": stream_decode_split,
         "stream_drain_once": stream_drain_once,
+        "cycles_in_turn": cycles_in_turn,
         "clean_dedup": _cleaned(*_CLEANING[:1]),
         "clean_filter_nonempty": _cleaned(*_CLEANING[:2]),
         "clean_cast_ms": _cleaned(*_CLEANING[:3]),

@@ -10,8 +10,14 @@ from pyspark.sql.streaming import StreamingQuery
 from eventide.operators import reports
 from eventide.operators.clean import audit_lines, clean_windows, cleaning_audit
 from eventide.operators.validate import validate_windows
-from eventide.schemas import WINDOW_AT_REST
-from eventide.sources.windows import from_at_rest, scan_windows, write_windows
+from eventide.sources.windows import (
+    from_at_rest,
+    scan_runs,
+    scan_windows,
+    to_at_rest,
+    write_windows,
+)
+from eventide.streaming.runs import follow_runs
 
 # Reports over the stored windows of a run, by output folder.
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -42,27 +48,32 @@ def run_cycle(
     """Process one hand-over of windows; returns the one-row run summary.
 
     ``windows`` has the window columns plus the arrival order ``seq``, of any
-    type that sorts. The input is read once, to judge and store it: windows that
-    pass the gate and windows that fail it, with the reasons, become partitions
-    of one table, duplicates and empty windows included. Everything after that
-    reads the stored copy: cleaned windows, the cleaning audit and the reports.
+    type that sorts. The input is read once, to judge it and to keep the verdicts with
+    full precision of the bounds under ``judged``. Everything after that reads the
+    run's own folders: windows that passed the gate go to ``windows``, duplicates and
+    empty ones included, those that failed to ``windows_rejected`` with the reasons;
+    cleaning and its audit work on the full precision, so duplicates are told before
+    bounds are cut to milliseconds; the reports read the stored windows.
     Each output folder belongs to the run and is replaced when the run is
     repeated. Without windows there are no reports and the result is None.
     ``generated_at`` is noted in the summary, by default the current time.
     """
-    write_windows(validate_windows(windows), f"{out}/windows", run_id, split="is_valid")
-    arrived = scan_stored(spark, out, {seq: dict(windows.dtypes)[seq]}).filter(
-        F.col("run_id") == run_id
-    )
+    judged = f"{out}/judged/run_id={run_id}"
+    verdicts = validate_windows(windows)
+    verdicts.write.mode("overwrite").partitionBy("is_valid").parquet(judged)
+    arrived = spark.read.schema(verdicts.schema).parquet(judged)
     if arrived.isEmpty():
         return None
-    stored = accepted(arrived)
 
     def save(frame: DataFrame, name: str) -> None:
         frame.write.mode("overwrite").parquet(f"{out}/{name}/run_id={run_id}")
 
-    save(clean_windows(stored, seq), "windows_clean")
-    save(audit_lines(cleaning_audit(stored, seq)), "cleaning_audit")
+    save(to_at_rest(arrived.filter("NOT is_valid").drop("is_valid")), "windows_rejected")
+    passed = arrived.filter("is_valid").drop("is_valid", "errors")
+    write_windows(passed, f"{out}/windows", run_id)
+    save(clean_windows(passed, seq), "windows_clean")
+    save(audit_lines(cleaning_audit(passed, seq)), "cleaning_audit")
+    stored = scan_runs(spark, f"{out}/windows", [run_id])
     noted = generated_at or datetime.now(timezone.utc).isoformat()
     save(reports.analysis_result(stored, noted), "reports/analysis_result")
     for name, report in REPORTS.items():
@@ -70,24 +81,16 @@ def run_cycle(
     return cycle_summary(spark, out, run_id)
 
 
-def scan_stored(
-    spark: SparkSession, out: str, extra: dict[str, str] | None = None
-) -> DataFrame:
+def scan_stored(spark: SparkSession, out: str) -> DataFrame:
     """Stored windows of all runs with their partition columns."""
-    partitions = {"run_id": "string", "is_valid": "string", "window_date": "date"}
-    return scan_windows(spark, f"{out}/windows", {**(extra or {}), **partitions})
-
-
-def accepted(stored: DataFrame) -> DataFrame:
-    return stored.filter("is_valid = 'true'")
+    return scan_windows(spark, f"{out}/windows", {"run_id": "string", "window_date": "date"})
 
 
 def rejected(spark: SparkSession, out: str) -> DataFrame:
     """Windows the gate turned away, with the reasons."""
-    stored = scan_stored(spark, out, {"errors": "array<string>"})
-    return stored.filter("is_valid = 'false'").select(
-        "run_id", "window_start", "window_end", "errors"
-    )
+    kinds = {"errors": "array<string>", "run_id": "string"}
+    stored = scan_windows(spark, f"{out}/windows_rejected", kinds)
+    return stored.select("run_id", "window_start", "window_end", "errors")
 
 
 def cycle_summary(spark: SparkSession, out: str, run_id: str) -> DataFrame:
@@ -102,11 +105,34 @@ def cycle_summary(spark: SparkSession, out: str, run_id: str) -> DataFrame:
     )
 
 
+def compact_days(spark: SparkSession, out: str, upto: str) -> None:
+    """Lay the windows of all days before ``upto`` out by day, under ``windows_by_day``.
+
+    A scheduled job. Runs add many small folders; a day that has passed becomes one
+    folder, replaced as a whole when the job is repeated.
+    """
+    days = scan_stored(spark, out).filter(F.col("window_date") < F.lit(upto).cast("date"))
+    days.hint("rebalance", "window_date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("window_date").parquet(f"{out}/windows_by_day")
+
+
+def scan_days(spark: SparkSession, out: str) -> DataFrame:
+    """Windows laid out by day; a range of days opens those folders only."""
+    return scan_windows(
+        spark, f"{out}/windows_by_day", {"run_id": "string", "window_date": "date"}
+    )
+
+
 def write_dashboard(
-    spark: SparkSession, out: str, first_day: str, last_day: str
+    spark: SparkSession, out: str, first_day: str, last_day: str, compacted: bool = False
 ) -> None:
-    """Write the dashboard's tables for a range of days over all runs."""
-    selected = reports.date_range(accepted(scan_stored(spark, out)), first_day, last_day)
+    """Write the dashboard's tables for a range of days over all runs.
+
+    ``compacted`` reads the layout by day, which lists no runs.
+    """
+    stored = scan_days(spark, out) if compacted else scan_stored(spark, out)
+    selected = reports.date_range(stored, first_day, last_day)
     for name, report in DASHBOARD.items():
         report(selected).write.mode("overwrite").parquet(f"{out}/dashboard/{name}")
 
@@ -118,30 +144,21 @@ def start_cycles(
     checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Run a cycle for whatever windows arrived since the last one.
+    """Run a cycle for whatever runs of windows were stored since the last one.
 
     ``every`` ("30 seconds", for example) keeps going at that interval; without
     it the query works off what is there and stops. The run id is the batch id,
-    so a batch that is repeated after a failure replaces its own outputs. Windows
-    are ordered as they were written: by file time, file, and row in the file.
+    so a batch that is repeated after a failure replaces its own outputs; a run that
+    is stored again is not processed again. Windows are ordered as they were
+    written: by file time, file, and row in the file.
     """
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
         run_cycle(batch.sparkSession, batch, out, f"batch-{batch_id}")
 
-    arrived = spark.readStream.schema(WINDOW_AT_REST).parquet(windows_path)
-    ordered = from_at_rest(
-        arrived.withColumn(
-            "seq",
-            F.struct(
-                "_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index"
-            ),
-        )
+    order = F.struct(
+        "_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index"
     )
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
-        ordered.writeStream.foreachBatch(cycle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
+    return follow_runs(
+        spark, windows_path, f"{out}/taken", checkpoint, cycle, every, lambda df: from_at_rest(df.withColumn("seq", order))
     )

@@ -6,15 +6,15 @@ nothing with the Spark code but the fixed value lists and parameters.
 
 from eventide.plans.catalog import FIRST_DAY, LAST_DAY, LOGGED_AT
 from eventide.schemas import EVENT_TYPES
-from eventide.sources.testdata import BROWSERS, COUNTRIES, DEVICES, PAGES
+from eventide.sources.testdata import N_BROWSERS, N_COUNTRIES, N_DEVICES, N_PAGES
 
 
 def _strings(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-def _pick(values: list[str]) -> str:
-    return f"list_extract([{_strings(values)}], k % {len(values)} + 1)"
+def _numbered(prefix: str, values: int) -> str:
+    return f"'{prefix}' || CAST(k % {values} AS VARCHAR)"
 
 
 USER_EVENTS = f"""
@@ -28,11 +28,11 @@ user_events AS (
            'sess-' || CAST(user_id % 20 AS VARCHAR) AS session_id,
            CASE event_type WHEN 'view' THEN 'page_view' WHEN 'signup' THEN 'login'
                 ELSE event_type END AS event_type,
-           {_pick(PAGES)} AS page,
+           {_numbered('/page-', N_PAGES)} AS page,
            value * 1000 AS duration_ms,
-           {_pick(DEVICES)} AS device,
-           {_pick(BROWSERS)} AS browser,
-           {_pick(COUNTRIES)} AS country,
+           {_numbered('device-', N_DEVICES)} AS device,
+           {_numbered('browser-', N_BROWSERS)} AS browser,
+           {_numbered('country-', N_COUNTRIES)} AS country,
            ts AS timestamp
     FROM raw
 )"""
@@ -58,6 +58,11 @@ events_json AS (
         WHEN 6 THEN '{{"id":"first",' || substr(good, 2)
         WHEN 7 THEN '{{"extra":{{"id":1}},' || substr(good, 2)
         WHEN 8 THEN ''
+        WHEN 9 THEN '{{"ID":"first",' || substr(good, 2)
+        WHEN 10 THEN left(good, length(good) - 1) || ',"ID":5}}'
+        WHEN 11 THEN left(good, length(good) - 1) || ',"id":null}}'
+        WHEN 12 THEN '{{"duration_ms":"x",' || substr(good, 2)
+        WHEN 13 THEN '{{"metadata":{{"extra":"1"}},' || substr(good, 2)
         ELSE good END AS value
     FROM good
 )"""
@@ -120,6 +125,10 @@ dirty AS (
     UNION ALL
     SELECT window_start, window_end, 0, 0, 0.0, '{{}}', -1
     FROM stored WHERE hour(window_start) % 6 = 1
+    UNION ALL
+    SELECT window_start + INTERVAL 100 MICROSECONDS, window_end + INTERVAL 100 MICROSECONDS,
+           total_events, unique_users, avg_duration_ms, event_counts, 2
+    FROM stored WHERE hour(window_start) % 6 = 2
 ),
 deduped AS (
     SELECT * EXCLUDE (seq) FROM dirty
@@ -178,6 +187,13 @@ def _json_event(text: str) -> str:
     )
 
 
+# Whether the fields of a JSON event have readable types; absent and null ones do.
+_READABLE = """coalesce(json_type(v, '$.user_id'), 'NULL') IN ('VARCHAR', 'NULL')
+              AND coalesce(json_type(v, '$.session_id'), 'NULL') IN ('VARCHAR', 'NULL')
+              AND coalesce(json_type(v, '$.duration_ms'), 'NULL')
+                  IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'NULL')"""
+
+
 def _clean_step(columns: str, where: str = "") -> str:
     return f"WITH {DIRTY} SELECT {columns} FROM deduped {where}"
 
@@ -212,11 +228,17 @@ HOURLY_TOTALS = f"""WITH {TEN_MINUTES}
 
 def oracle_sql() -> dict[str, str]:
     return {
-        # The last of two equal keys counts, and only the first is doubled here.
+        # Of two equal keys the last counts unless it is null, in any letter case; metadata
+        # objects are merged. So what was put before or behind a good record is cut off.
         "decode_events": f"""WITH {EVENTS_JSON},
             valid AS (
-                SELECT regexp_replace(value, '^\\{{"id":"first",', '{{') AS v
-                FROM events_json WHERE value <> '' AND json_valid(value)
+                SELECT regexp_replace(regexp_replace(value,
+                           '^\\{{"(id|ID)":"first",|^\\{{"metadata":\\{{"extra":"1"\\}},', '{{'),
+                           ',"id":null\\}}$', '}}') AS v,
+                       starts_with(value, '{{"metadata":{{"extra"') AS extra
+                FROM events_json
+                WHERE value <> '' AND json_valid(value) AND NOT ends_with(value, ',"ID":5}}')
+                  AND NOT starts_with(value, '{{"duration_ms":"x"')
             )
             SELECT coalesce(json_extract_string(v, '$.id'), '') AS id,
                    coalesce(json_extract_string(v, '$.user_id'), '') AS user_id,
@@ -224,13 +246,25 @@ def oracle_sql() -> dict[str, str]:
                    coalesce(json_extract_string(v, '$.event_type'), '') AS event_type,
                    coalesce(json_extract_string(v, '$.page'), '') AS page,
                    round(CAST(json_extract_string(v, '$.duration_ms') AS DOUBLE), 6) AS duration_ms,
+                   '{{"browser":"' || json_extract_string(v, '$.metadata.browser')
+                       || '","country":"' || json_extract_string(v, '$.metadata.country')
+                       || '","device":"' || json_extract_string(v, '$.metadata.device')
+                       || CASE WHEN extra THEN '","extra":"1' ELSE '' END || '"}}' AS metadata,
                    strptime(json_extract_string(v, '$.timestamp'), '%Y-%m-%dT%H:%M:%S.%fZ')
                        AS timestamp
             FROM valid
-            WHERE coalesce(json_type(v, '$.user_id'), 'NULL') IN ('VARCHAR', 'NULL')
-              AND coalesce(json_type(v, '$.session_id'), 'NULL') IN ('VARCHAR', 'NULL')
-              AND coalesce(json_type(v, '$.duration_ms'), 'NULL')
-                  IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'NULL')""",
+            WHERE {_READABLE}""",
+        "stream_decode_split": f"""WITH {EVENTS_JSON},
+            records AS (
+                SELECT event_id, value AS v,
+                       value <> '' AND json_valid(value) AND NOT ends_with(value, ',"ID":5}}')
+                       AND NOT starts_with(value, '{{"duration_ms":"x"') AS whole
+                FROM events_json
+            )
+            SELECT CASE WHEN NOT whole THEN 'rejected' WHEN NOT ({_READABLE}) THEN 'rejected'
+                        WHEN event_id % 7 = 0 THEN 'undated' ELSE 'accepted' END AS outcome,
+                   count(*) AS n
+            FROM (SELECT event_id, whole, CASE WHEN whole THEN v END AS v FROM records) GROUP BY 1""",
         "encode_events": f"""WITH {USER_EVENTS}
             SELECT user_id AS key, id, event_type, page, round(duration_ms, 6) AS duration_ms
             FROM user_events""",
@@ -243,9 +277,11 @@ def oracle_sql() -> dict[str, str]:
                 FROM events_json
             ),
             fields AS (
-                SELECT event, len(json_keys(v)) = len(list_distinct(json_keys(v))) AS distinct_keys,
+                SELECT event, len(known) = len(list_distinct(known)) AS distinct_keys,
                        {_json_event("v")}
-                FROM checked
+                FROM (SELECT *, list_filter(json_keys(v), lambda k: k IN (
+                          'id', 'user_id', 'session_id', 'event_type', 'page', 'duration_ms'
+                      )) AS known FROM checked)
             )
             SELECT event AS id,
                    coalesce(typed AND distinct_keys AND {EVENT_ERRORS} IS NULL, false) AS is_valid
@@ -272,14 +308,25 @@ def oracle_sql() -> dict[str, str]:
                              unnest(range(CAST(json_array_length(text) AS BIGINT))) AS pos
                       FROM arrays WHERE json_type(text) = 'ARRAY')
             ),
-            fields AS (SELECT batch_id, pos, {_json_event("e")} FROM elements)
-            SELECT batch_id, pos, coalesce(typed AND {EVENT_ERRORS} IS NULL, false) AS is_valid
+            -- The last of equal keys counts: a null id, a number after a text.
+            last AS (
+                SELECT batch_id, pos, ends_with(CAST(e AS VARCHAR), ',"id":null}}') AS null_id,
+                       regexp_replace(CAST(e AS VARCHAR), '^\\{{"duration_ms":"x",', '{{') AS e
+                FROM elements
+            ),
+            fields AS (SELECT batch_id, pos, null_id, {_json_event("e")} FROM last)
+            SELECT batch_id, pos,
+                   coalesce(typed AND NOT null_id AND {EVENT_ERRORS} IS NULL, false) AS is_valid
             FROM fields
             UNION ALL
             SELECT batch_id, 0, false FROM arrays
             WHERE text IS NULL OR json_type(text) <> 'ARRAY'""",
         "validate_windows": f"""WITH {TEN_MINUTES}
-            SELECT window_start, avg_duration_ms * 3 BETWEEN 0 AND 300000 AS is_valid
+            SELECT window_start, avg_duration_ms * 3 BETWEEN 0 AND 300000 AS is_valid,
+                   CASE WHEN avg_duration_ms * 3 > 300000
+                        THEN printf('duration_ms: %.2f exceeds max 300000 ms (5 minutes)',
+                                    avg_duration_ms * 3)
+                        ELSE '' END AS errors
             FROM windows""",
         "validation_summary": f"""WITH {USER_EVENTS},
             verdicts AS (SELECT {EVENT_ERRORS} AS errors FROM user_events)
@@ -301,24 +348,36 @@ def oracle_sql() -> dict[str, str]:
         "window_aggregate": AGGREGATE,
         "window_rollup": AGGREGATE,
         "windows_zero_filled": f"""WITH {TEN_MINUTES},
+            moved AS (
+                SELECT * EXCLUDE (window_start, window_end), window_start + later AS window_start,
+                       window_end + later AS window_end
+                FROM (SELECT *, CASE WHEN day(window_start) % 3 = 0 THEN INTERVAL 3 MINUTES
+                                     ELSE INTERVAL 0 MINUTES END AS later FROM windows)
+            ),
             spine AS (
                 SELECT unnest(generate_series(min(window_start), max(window_start),
-                                              INTERVAL 10 MINUTES)) AS window_start
-                FROM windows
+                                              INTERVAL 10 MINUTES)) AS slot
+                FROM moved
             )
-            SELECT window_start,
-                   coalesce(total_events, 0) AS total_events,
-                   coalesce(unique_users, 0) AS unique_users,
-                   coalesce(avg_duration_ms, 0.0) AS avg_duration_ms
-            FROM spine LEFT JOIN windows USING (window_start)""",
+            SELECT window_start, total_events, unique_users, avg_duration_ms FROM moved
+            UNION ALL
+            SELECT slot, 0, 0, 0.0 FROM spine
+            WHERE NOT EXISTS (SELECT 1 FROM moved WHERE window_start < slot + INTERVAL 10 MINUTES
+                                                    AND window_end > slot)""",
         "stream_window_aggregate": AGGREGATE,
-        "stream_closed_windows": f"""WITH {HOURLY}
-            SELECT window_start, total_events FROM windows
+        "stream_closed_windows": f"""{AGGREGATE}
             WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
                                 - INTERVAL 10 MINUTES""",
+        "stream_late_events": f"""WITH {HOURLY}
+            SELECT window_start, total_events AS late FROM windows
+            WHERE day(window_start) BETWEEN 9 AND 16""",
         "stream_drain_once": f"""WITH {HOURLY}
             SELECT CAST(1 AS BIGINT) AS run, count(*) AS new_rows FROM windows
-            UNION ALL SELECT 2, 0""",
+            UNION ALL SELECT 2, 0 UNION ALL SELECT 3, 0""",
+        "cycles_in_turn": f"""WITH {HOURLY}
+            SELECT count(*) AS total_windows, CAST(sum(total_events) AS BIGINT) AS total_events
+            FROM windows WHERE day(window_start) <= 24 AND raw_avg BETWEEN 0 AND 300000
+            GROUP BY (day(window_start) - 1) // 8""",
         "clean_dedup": _clean_step(_BASE),
         "clean_filter_nonempty": _clean_step(_BASE, _NONEMPTY),
         "clean_cast_ms": _clean_step(_MILLIS, _NONEMPTY),
@@ -343,14 +402,13 @@ def oracle_sql() -> dict[str, str]:
                    top_pages, event_counts
             FROM stored""",
         "windows_roundtrip": AGGREGATE,
-        "windows_union_schemas": f"""WITH {FULL}
-            SELECT window_start, window_end, total_events, unique_users, avg_duration_ms,
-                   top_pages, event_counts
-            FROM stored
-            UNION ALL
-            SELECT window_start, window_end, total_events, unique_users, avg_duration_ms,
-                   top_pages, NULL
-            FROM stored""",
+        "windows_union_schemas": f"""WITH {FULL},
+            layouts AS (SELECT unnest(['now', 'old', 'fractional', 'wider']) AS layout)
+            SELECT window_start, window_end, CAST(total_events AS DOUBLE) AS total_events,
+                   unique_users, avg_duration_ms, top_pages,
+                   CASE WHEN layout <> 'old' THEN event_counts END AS event_counts,
+                   CASE WHEN layout = 'wider' THEN 'c1' END AS collector
+            FROM stored CROSS JOIN layouts ORDER BY window_start""",
         "window_export": f"""WITH {HOURLY}
             SELECT window_start, window_end, total_events, unique_users, avg_duration_ms
             FROM windows""",
@@ -455,11 +513,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT page AS key, count, round(count / sum(count) OVER (), 6) AS share
             FROM best_pages""",
         "cycle_summary": f"""WITH {DIRTY},
-            gated AS (SELECT * FROM dirty WHERE avg_duration_ms BETWEEN 0 AND 300000)
-            SELECT count(*) AS total_windows,
+            gated AS (SELECT * FROM dirty WHERE avg_duration_ms BETWEEN 0 AND 300000),
+            first_copies AS (
+                SELECT * FROM gated QUALIFY
+                    row_number() OVER (PARTITION BY window_start, window_end ORDER BY seq) = 1
+            )
+            SELECT (SELECT count(*) FROM first_copies WHERE total_events > 0) AS clean_windows,
+                   count(*) AS total_windows,
                    CAST(sum(total_events) AS BIGINT) AS total_events,
                    round(sum(total_events) / count(*), 6) AS avg_events_per_window,
-                   arg_min(window_start, (-total_events, window_start)) AS peak_start,
+                   arg_min(date_trunc('millisecond', window_start),
+                           (-total_events, window_start)) AS peak_start,
                    max(total_events) AS peak_events
             FROM gated""",
     }

@@ -77,9 +77,11 @@ def decode_events(records: DataFrame, json_col: str = "value") -> DataFrame:
     """Parse JSON records: adds the struct ``event`` and the flag ``accepted``.
 
     A record is rejected when it is not exactly one JSON value or when a field
-    has the wrong type or an unreadable timestamp. Absent and null fields take
-    the zero value ("", 0.0, null map); of equal keys the last counts; unknown
-    keys are ignored; a key in another letter case stands in for an absent one.
+    has the wrong type or an unreadable timestamp. Keys are taken one after the other,
+    in any letter case: a value replaces the one before, a null leaves it as it is, a
+    wrong type rejects the record whatever follows, and a further metadata object adds
+    its entries to those before (a null one clears them). Absent fields take
+    the zero value ("", 0.0, null map); unknown keys are ignored.
     An absent timestamp stays null: such an event has no window.
 
     Rejected rows are kept, with a null ``event``, so that they can be counted and
@@ -87,80 +89,89 @@ def decode_events(records: DataFrame, json_col: str = "value") -> DataFrame:
     """
     parsed = records.withColumn("_parsed", F.expr(js.read_object(json_col, _LAYOUT)))
     parsed = parsed.withColumn("_complete", F.expr(js.is_complete("_parsed", json_col)))
-    # Null stands for an absent key, a JSON null, or a value of the wrong type.
-    # Only records with such a field are read again, key by key.
+    # Null stands for an absent key, a JSON null, or a value of the wrong type. Only
+    # records with such a field, or with a key that occurs twice, are read again, key by key.
     unclear = " OR ".join(f"get(_parsed, 0).{n} IS NULL" for n in _LAYOUT)
+    lower_keys = f"transform(json_object_keys({json_col}), k -> lower(k))"
     parsed = parsed.withColumn(
         "_entries",
         F.expr(
-            f"""CASE WHEN _complete AND get(_parsed, 0) IS NOT NULL AND ({unclear})
+            f"""CASE WHEN _complete AND get(_parsed, 0) IS NOT NULL
+                AND ({unclear} OR {js.has_repeats(lower_keys)})
             THEN map_entries(get({js.read_entries(json_col)}, 0)) END"""
         ),
     )
 
-    def entry(name: str) -> str:
-        # An absent key may be there in another letter case; the last one counts.
-        return f"try_element_at(filter(_entries, x -> lower(x.key) = '{name}'), -1).value"
+    def given(name: str) -> str:
+        return f"filter(_entries, x -> lower(x.key) = '{name}')"
+
+    def set_values(name: str) -> str:
+        """Values of a key other than null, in order."""
+        return f"filter(transform({given(name)}, x -> x.value), x -> {js.kind('x')} <> 'VOID')"
+
+    def all_are(name: str, test: str) -> str:
+        return f"forall({set_values(name)}, x -> {test})"
+
+    def last(name: str) -> str:
+        return f"try_element_at({set_values(name)}, -1)"
 
     def direct(name: str) -> str:
         return f"get(_parsed, 0).{name}"
 
-    fields = parsed.select(
-        *records.columns,
-        F.col("_complete").alias("_whole"),
-        *[
-            F.expr(f"coalesce({direct(n)}, CASE WHEN _entries IS NOT NULL THEN {entry(n)} END)").alias(f"_{n}")
-            for n in REQUIRED_TEXT
-        ],
-        *[F.expr(direct(n)).alias(f"_{n}") for n in _TYPED],
-        *[
-            F.expr(
-                f"CASE WHEN _entries IS NOT NULL AND {direct(n)} IS NULL THEN {entry(n)} END"
-            ).alias(f"_{n}_entry")
-            for n in _TYPED
-        ],
+    texts = {
+        n: (
+            f"CASE WHEN _entries IS NULL THEN {js.text(direct(n))} ELSE {js.text(last(n))} END",
+            f"CASE WHEN _entries IS NULL THEN {js.kind(direct(n))} IN ('STRING', 'VOID') ELSE {all_are(n, js.is_text('x'))} END",
+        )
+        for n in REQUIRED_TEXT
+    }
+    duration = f"CASE WHEN _entries IS NULL THEN {direct('duration_ms')} ELSE {js.number(last('duration_ms'))} END"
+    fits = f"CASE WHEN _entries IS NULL THEN abs({direct('duration_ms')}) < double('Infinity') ELSE {all_are('duration_ms', js.is_number('x'))} END"
+    instant = f"CASE WHEN _entries IS NULL THEN {direct('timestamp')} ELSE {js.text(last('timestamp'))} END"
+    instants = all_are(
+        "timestamp",
+        f"{js.is_text('x')} AND {js.text('x')} RLIKE '{_INSTANT}' AND try_cast({js.text('x')} AS timestamp) IS NOT NULL",
     )
-    instant = f"coalesce(_timestamp, {js.text('_timestamp_entry')})"
-    typed = fields.select(
+    # Objects after the last null; entries of all of them, one after the other.
+    objects = f"""aggregate(transform({given('metadata')}, x -> x.value),
+        cast(NULL AS array<struct<key: string, value: variant>>),
+        (all, x) -> CASE WHEN {js.kind('x')} = 'VOID' THEN NULL ELSE concat(
+            coalesce(all, array()), map_entries(try_variant_get(x, '$', 'map<string,variant>'))) END)"""
+    pairs = f"CASE WHEN _entries IS NULL THEN map_entries({direct('metadata')}) ELSE {objects} END"
+    maps = all_are("metadata", f"startswith({js.kind('x')}, 'OBJECT')")
+    fields = parsed.select(
         *records.columns,
-        "_whole",
-        *[F.expr(js.kind(f"_{n}")).alias(f"_{n}_kind") for n in REQUIRED_TEXT],
-        *[F.expr(js.text(f"_{n}")).alias(f"_{n}") for n in REQUIRED_TEXT],
-        *[F.expr(js.kind(f"_{n}_entry")).alias(f"_{n}_kind") for n in _TYPED],
-        F.expr(f"coalesce(_duration_ms, {js.number('_duration_ms_entry')})").alias("_duration_ms"),
         F.expr(
-            "coalesce(_metadata, try_variant_get(_metadata_entry, '$', 'map<string,variant>'))"
-        ).alias("_metadata"),
-        F.expr(
-            f"CASE WHEN {instant} RLIKE '{_INSTANT}' THEN try_cast({instant} AS timestamp) END"
-        ).alias("_timestamp"),
-        F.expr("_timestamp IS NOT NULL").alias("_has_timestamp"),
+            f"_complete AND (get(_parsed, 0) IS NULL OR ({' AND '.join(ok for _, ok in texts.values())}))"
+        ).alias("_texts_ok"),
+        *[F.expr(f"coalesce({value}, '')").alias(f"_{n}") for n, (value, _) in texts.items()],
+        F.expr(f"coalesce({duration}, 0D)").alias("_duration_ms"),
+        F.expr(f"coalesce({fits}, true)").alias("_duration_ok"),
+        F.expr(f"CASE WHEN _entries IS NULL THEN true ELSE {maps} END").alias("_maps_ok"),
+        F.expr(pairs).alias("_pairs"),
+        F.expr(instant).alias("_instant"),
+        F.expr(f"CASE WHEN _entries IS NULL THEN true ELSE {instants} END").alias("_instants_ok"),
+    )
+    timed = fields.withColumn(
+        "_timestamp", F.expr(f"CASE WHEN _instant RLIKE '{_INSTANT}' THEN try_cast(_instant AS timestamp) END")
     )
-    usable = [f"_{n}_kind IN ('STRING', 'VOID')" for n in REQUIRED_TEXT] + [
-        f"""CASE WHEN _duration_ms IS NULL THEN _duration_ms_kind = 'VOID'
-            ELSE (_duration_ms_kind = 'VOID' OR {js.is_number_kind('_duration_ms_kind')})
-                AND abs(_duration_ms) < double('Infinity') END""",
-        f"""CASE WHEN _metadata IS NULL THEN _metadata_kind = 'VOID'
-            ELSE (_metadata_kind = 'VOID' OR startswith(_metadata_kind, 'OBJECT'))
-                AND forall(map_values(_metadata), x -> {js.kind('x')} IN ('STRING', 'VOID')) END""",
-        """CASE WHEN _timestamp IS NULL THEN _timestamp_kind = 'VOID' AND NOT _has_timestamp
-            ELSE _timestamp_kind IN ('STRING', 'VOID') END""",
-    ]
-    # A map with a repeated key keeps the later entry.
-    single = """CASE WHEN size(array_distinct(map_keys(_metadata))) = size(_metadata) THEN _metadata
-        ELSE map_from_entries(filter(map_entries(_metadata), (x, i) ->
-            NOT array_contains(slice(map_keys(_metadata), i + 2, size(_metadata)), x.key))) END"""
+    accepted = f"""coalesce(_texts_ok AND _duration_ok AND _maps_ok AND _instants_ok
+        AND (_instant IS NULL OR _timestamp IS NOT NULL)
+        AND (_pairs IS NULL OR forall(_pairs, x -> {js.kind('x.value')} IN ('STRING', 'VOID'))), false)"""
+    # Of equal keys of the map the later entry counts.
+    keys = "transform(_pairs, p -> p.key)"
+    single = f"""CASE WHEN {js.has_repeats(keys)}
+        THEN filter(_pairs, (x, i) -> NOT array_contains(slice({keys}, i + 2, size(_pairs)), x.key))
+        ELSE _pairs END"""
     event = F.struct(
-        *[F.expr(f"coalesce(_{n}, '')").alias(n) for n in REQUIRED_TEXT],
-        F.expr("coalesce(_duration_ms, 0D)").alias("duration_ms"),
-        F.expr(f"transform_values({single}, (k, x) -> coalesce({js.text('x')}, ''))").alias(
-            "metadata"
-        ),
+        *[F.col(f"_{n}").alias(n) for n in REQUIRED_TEXT],
+        F.col("_duration_ms").alias("duration_ms"),
+        F.expr(
+            f"map_from_entries(transform({single}, x -> struct(x.key, coalesce({js.text('x.value')}, ''))))"
+        ).alias("metadata"),
         F.col("_timestamp").alias("timestamp"),
     )
-    judged = typed.withColumn(
-        "_accepted", F.expr(f"_whole AND coalesce({' AND '.join(usable)}, false)")
-    )
+    judged = timed.withColumn("_accepted", F.expr(accepted))
     return compute_once(
         judged, F.when(F.col("_accepted"), event).alias("event"), F.col("_accepted").alias("accepted")
     ).select(*records.columns, "event", "accepted")
@@ -228,16 +239,19 @@ def write_json_lines(events: DataFrame, path: str) -> None:
     encode_events(events).select("value").write.mode("append").text(path)
 
 
-def write_split(verdicts: DataFrame, flag: str, path: str) -> None:
-    """Store good and rejected rows in one pass, as partitions of one table.
+def write_split(verdicts: DataFrame, flag: str, path: str, run_id: str) -> str:
+    """Store good and rejected rows of one run in one pass, as partitions of its folder.
 
     The flag becomes the partition column, so either side is read back without
-    touching the other, and the parse behind it runs once.
+    touching the other, and the parse behind it runs once. A repeated run replaces
+    its own folder and no other. Returns the folder of the run.
     """
-    verdicts.write.mode("overwrite").partitionBy(flag).parquet(path)
+    target = f"{path}/run_id={run_id}"
+    verdicts.write.mode("overwrite").partitionBy(flag).parquet(target)
+    return target
 
 
 def read_split(spark: SparkSession, flag: str, path: str, good: bool = True) -> DataFrame:
-    """One side of a table stored by ``write_split``; reads only its files."""
+    """One side of all runs stored by ``write_split``; reads only its files."""
     stored = spark.read.parquet(path)
-    return stored.filter(F.col(flag) == str(good).lower()).drop(flag)
+    return stored.filter(F.col(flag) == str(good).lower()).drop(flag, "run_id")

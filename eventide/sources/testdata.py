@@ -15,20 +15,8 @@ from eventide.session import configure
 from eventide.sources.events import event_json
 from eventide.sources.windows import to_at_rest
 
-# Pages and client attributes an event can carry.
-PAGES = [
-    "/",
-    "/catalog",
-    "/product/123",
-    "/product/456",
-    "/product/789",
-    "/cart",
-    "/checkout",
-    "/profile",
-]
-DEVICES = ["desktop", "mobile", "tablet"]
-BROWSERS = ["chrome", "firefox", "safari", "edge"]
-COUNTRIES = ["RU", "US", "DE", "FR", "CN", "BR", "IN", "GB"]
+# Pages and client attributes are built from a number the event carries.
+N_PAGES, N_DEVICES, N_BROWSERS, N_COUNTRIES = 8, 3, 4, 8
 
 RAW_EVENTS = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
@@ -39,9 +27,8 @@ HOUR = "1 hour"
 TEN_MINUTES = "10 minutes"
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    array = F.array(*[F.lit(v) for v in values])
-    return F.element_at(array, (index % len(values) + 1).cast("int"))
+def _numbered(prefix: str, number: Column, values: int) -> Column:
+    return F.concat(F.lit(prefix), (number % values).cast("string"))
 
 
 def to_user_events(raw: DataFrame) -> DataFrame:
@@ -60,15 +47,15 @@ def to_user_events(raw: DataFrame) -> DataFrame:
         .when(kind == "signup", "login")
         .otherwise(kind)
         .alias("event_type"),
-        _pick(PAGES, k).alias("page"),
+        _numbered("/page-", k, N_PAGES).alias("page"),
         (F.col("value") * 1000).alias("duration_ms"),
         F.create_map(
             F.lit("device"),
-            _pick(DEVICES, k),
+            _numbered("device-", k, N_DEVICES),
             F.lit("browser"),
-            _pick(BROWSERS, k),
+            _numbered("browser-", k, N_BROWSERS),
             F.lit("country"),
-            _pick(COUNTRIES, k),
+            _numbered("country-", k, N_COUNTRIES),
         ).alias("metadata"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
@@ -79,28 +66,55 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_user_events(spark.read.schema(RAW_EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
-def user_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a stream.
+def off_grid_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-minute windows; those of every third day start three minutes later."""
+    windows = scalar_windows(spark, sf_dir, TEN_MINUTES)
+    moved = F.dayofmonth("window_start") % 3 == 0
+    bounds = ("window_start", "window_end")
+    return windows.withColumns(
+        {c: F.when(moved, F.col(c) + F.expr("INTERVAL 3 MINUTES")).otherwise(F.col(c)) for c in bounds}
+    )
+
+
+# Parts of the event table that streams read one after the other.
+STREAM_PARTS = 4
+
+
+def part_of(day: Column) -> Column:
+    """The part of a day of the month: eight days each."""
+    return F.least(F.floor((day - 1) / 8), F.lit(STREAM_PARTS - 1))
+
+
+def stream_files(
+    spark: SparkSession, sf_dir: str, path: str, order: Iterable[int] = range(STREAM_PARTS)
+) -> DataFrame:
+    """The event table as a stream of its parts, one micro-batch each, in the given order.
 
-    The path is a pattern because a stream source takes a plain path to be a
-    folder, and the table may be one file or a folder of files.
+    The parts are written below ``path`` one after the other, so their files' times
+    differ and follow that order.
     """
-    configure(spark)
-    raw = spark.readStream.schema(RAW_EVENTS).parquet(f"{sf_dir}/events.parque[t]")
-    return to_user_events(raw)
+    events = user_events(spark, sf_dir)
+    part = part_of(F.dayofmonth("timestamp"))
+    for number, k in enumerate(order):
+        events.filter(part == k).coalesce(1).write.parquet(f"{path}/{number}")
+    return (
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+    )
 
 
 def damaged_json(events: DataFrame) -> DataFrame:
     """Every event as a JSON record (``id``, ``value``), some of them damaged.
 
-    The event id decides the damage: of 20 consecutive records nine are, in
+    The event id decides the damage: of 20 consecutive records fourteen are, in
     turn, cut short, followed by text, without a page, with a null session, with
     a number as user, with text as duration, with two ids, with an unknown key
-    (still good), and empty.
+    (still good), empty, with an id in capitals before the id, with a number as an id
+    in capitals after it, with a null id after the id, with text as a first of two
+    durations, and with two metadata objects.
     """
     good = F.col("good")
     case = F.col("id").cast("bigint") % 20
-    rest = F.expr("substr(good, 2)")
+    rest, most = F.expr("substr(good, 2)"), F.expr("left(good, length(good) - 1)")
     value = (
         F.when(case == 0, F.expr("left(good, length(good) - 1)"))
         .when(case == 1, F.concat(good, F.lit(" trailing")))
@@ -111,25 +125,20 @@ def damaged_json(events: DataFrame) -> DataFrame:
         .when(case == 6, F.concat(F.lit('{"id":"first",'), rest))
         .when(case == 7, F.concat(F.lit('{"extra":{"id":1},'), rest))
         .when(case == 8, F.lit(""))
+        .when(case == 9, F.concat(F.lit('{"ID":"first",'), rest))
+        .when(case == 10, F.concat(most, F.lit(',"ID":5}')))
+        .when(case == 11, F.concat(most, F.lit(',"id":null}')))
+        .when(case == 12, F.concat(F.lit('{"duration_ms":"x",'), rest))
+        .when(case == 13, F.concat(F.lit('{"metadata":{"extra":"1"},'), rest))
         .otherwise(good)
     )
     return events.select("id", event_json().alias("good")).select("id", value.alias("value"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer splits than there are cores.
-
-    Parsing JSON is bound by CPU, and a small test table is a single split. A
-    table with enough splits is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     raw = spark.read.schema(RAW_EVENTS).parquet(f"{sf_dir}/events.parquet")
-    return damaged_json(to_user_events(spread(raw)))
+    return damaged_json(to_user_events(raw))
 
 
 def event_batches(spark: SparkSession, sf_dir: str, size: int = 50) -> DataFrame:
@@ -205,7 +214,9 @@ def windows_dirty(
     """Windows with duplicates and empty first copies, numbered by ``seq``.
 
     Every sixth hour arrives again later (seq 1) with one event more. The hours
-    after those were preceded (seq -1) by an empty copy of the same window.
+    after those were preceded (seq -1) by an empty copy of the same window. Those after
+    them arrive again (seq 2) with bounds 100 microseconds later: another window, although
+    the bounds are equal in milliseconds.
     """
     base = windows(spark, sf_dir, size, parts)
     hour = F.hour("window_start")
@@ -225,9 +236,15 @@ def windows_dirty(
             "top_pages": F.expr(f"cast(array() AS {TOP_PAGES_TYPE})"),
         },
     )
+    moved = copy(
+        2, {c: F.col(c) + F.expr("INTERVAL 100 MICROSECONDS") for c in ("window_start", "window_end")}
+    )
     copies = F.array_compact(
         F.array(
-            copy(0, {}), F.when(hour % 6 == 0, later), F.when(hour % 6 == 1, empty)
+            copy(0, {}),
+            F.when(hour % 6 == 0, later),
+            F.when(hour % 6 == 1, empty),
+            F.when(hour % 6 == 2, moved),
         )
     )
     return base.select(F.inline(copies))

@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,26 +52,42 @@ def from_at_rest(stored: DataFrame) -> DataFrame:
     )
 
 
-def write_windows(
-    windows: DataFrame, path: str, run_id: str, split: str | None = None
-) -> str:
+def write_windows(windows: DataFrame, path: str, run_id: str) -> str:
     """Store one run's windows below ``path``, partitioned by run and day.
 
-    A repeated run replaces its own folder and nothing else. ``split`` names a
-    flag column to partition by as well. The rebalance hint gives each day files
-    of a sensible size and splits a day that holds most of the rows. A run
-    without rows leaves an empty folder, which ``scan_windows`` reads as a typed,
-    empty table. Returns the folder of the run.
+    A repeated run replaces its own folder and nothing else. The rebalance hint gives
+    each day files of a sensible size and splits a day that holds most of the rows. A
+    run without rows leaves an empty folder, which ``scan_windows`` reads as a typed,
+    empty table. Once the folder is complete the run is announced in the run log next to
+    ``path``: whoever hands windows over follows the log, not the files, and so sees
+    whole runs only. Returns the folder of the run.
     """
     target = f"{path}/run_id={run_id}"
-    partitions = [split, "window_date"] if split else ["window_date"]
     days = to_at_rest(windows).withColumn("window_date", F.to_date("window_start"))
-    days.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(
-        target
-    )
+    days.hint("rebalance", "window_date").write.mode("overwrite").partitionBy("window_date").parquet(target)
+    announced = windows.sparkSession.range(1).select(F.lit(run_id).alias("run_id"))
+    announced.write.mode("append").parquet(run_log(path))
     return target
 
 
+RUN_LOG = "run_id string"
+
+
+def run_log(path: str) -> str:
+    """Where the finished runs of a window folder are noted."""
+    return f"{path.rstrip('/')}.runs"
+
+
+def scan_runs(
+    spark: SparkSession, path: str, run_ids: list[str], extra: dict[str, str] | None = None
+) -> DataFrame:
+    """Stored windows of some runs; opens no other run's folder."""
+    more = T.StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in (extra or {}).items()))
+    schema = T.StructType(WINDOW_AT_REST.fields + more.fields)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*[f"{path}/run_id={r}" for r in run_ids]).select(*schema.names)
+
+
 def scan_windows(
     spark: SparkSession, path: str, extra: dict[str, str] | None = None
 ) -> DataFrame:
@@ -79,7 +96,8 @@ def scan_windows(
     The schema is given, so no file footer is opened to infer it: files written
     before a column existed give null for it, and narrower integers widen.
     ``extra`` names further columns to read with their types, partition columns
-    such as ``run_id`` and ``window_date`` included. No file means no rows.
+    such as ``run_id`` and ``window_date`` included. A folder without files gives no
+    rows; for folders that differ in layout or may be absent see ``scan_folders``.
     """
     more = T.StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in (extra or {}).items()))
     schema = T.StructType(WINDOW_AT_REST.fields + more.fields)
@@ -101,6 +119,28 @@ def union_windows(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def scan_folders(spark: SparkSession, *folders: str) -> DataFrame:
+    """All windows of folders whose files differ in layout, by start.
+
+    Folders of one layout are read together and the layouts united: absent columns are
+    null, narrower numbers widen (int to bigint to double), further columns stay. A
+    folder that does not exist adds nothing; without any, the result is an empty
+    table in the stored schema. One footer per folder tells its layout.
+    """
+    layouts: dict[str, tuple[T.StructType, list[str]]] = {}
+    for folder in folders:
+        try:
+            schema = spark.read.parquet(folder).schema
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            continue
+        layouts.setdefault(schema.json(), (schema, []))[1].append(folder)
+    frames = [spark.read.schema(schema).parquet(*some) for schema, some in layouts.values()]
+    empty = spark.createDataFrame([], WINDOW_AT_REST)
+    return union_windows(*(frames or [empty])).orderBy("window_start")
+
+
 def export_windows(windows: DataFrame) -> DataFrame:
     """Exchange form: the scalar columns, bounds in milliseconds."""
     return windows.select(

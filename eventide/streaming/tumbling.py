@@ -11,25 +11,30 @@ its end. That needs Spark's state store, which holds one counter per key of the
 open windows, and an allowed delay after which late events are dropped.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventide.operators.windows import (
     DEFAULT_SIZE,
+    assign_windows,
     merge_cells,
     rollup,
     window_cells,
+    window_facts,
+    zero_fill,
 )
 from eventide.schemas import CELL, CELL_LOG, WINDOW_AT_REST
-from eventide.sources.windows import to_at_rest
+from eventide.sources.windows import from_at_rest, scan_windows, to_at_rest, union_windows
+from eventide.streaming.runs import follow_runs, trigger
 
 EVERY_CYCLE = "30 seconds"
 
 
-def _trigger(every: str | None) -> dict:
-    """Run through what is there and stop, or keep going at an interval."""
-    return {"processingTime": every} if every else {"availableNow": True}
+# Files per dimension that a batch of closed windows writes at most.
+CELL_FILES = 4
 
 
 def start_cells(
@@ -49,52 +54,70 @@ def start_cells(
 
     def append(batch: DataFrame, batch_id: int) -> None:
         cells = window_cells(batch, size, time_col, offset)
-        cells.write.mode("overwrite").partitionBy("dim").parquet(f"{path}/batch_id={batch_id}")
+        days = cells.withColumn("day", F.to_date("window_start"))
+        days.write.mode("overwrite").partitionBy("day", "dim").parquet(
+            f"{path}/batch_id={batch_id}"
+        )
+        note_batch(batch.sparkSession, path, batch_id)
 
     return (
         events.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
+        .trigger(**trigger(every))
         .start()
     )
 
 
+def note_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Note that a batch's counters are complete; readers open noted batches only."""
+    line = spark.range(1).select(F.lit(batch_id).cast("long").alias("id"))
+    line.write.mode("overwrite").parquet(f"{path.rstrip('/')}.done/batch_id={batch_id}")
+
+
+def done_batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("id long").parquet(f"{path.rstrip('/')}.done").select("id").distinct()
+
+
 def read_cells(
-    spark: SparkSession, path: str, base: tuple[str, int] | None = None
+    spark: SparkSession,
+    path: str,
+    base: tuple[str, int] | None = None,
+    days: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Counters of the log, unmerged.
+    """Counters of the log, unmerged: those of complete batches.
 
     ``base`` is the result of ``compact_cells``: its table stands in for all
-    batches up to its batch id, whose folders are then not read.
+    batches up to its batch id, whose folders are then not read. ``days`` limits the
+    windows to a range of days and opens their folders only. A batch that is being
+    written, or written again, is left out until it is complete.
     """
-    log = spark.read.schema(CELL_LOG).parquet(path)
-    if base is None:
-        return log.select(*CELL.names)
-    compacted, upto = base
-    newer = log.filter(F.col("batch_id") > upto).select(*CELL.names)
-    return spark.read.schema(CELL).parquet(compacted).select(*CELL.names).unionByName(newer)
+    schema = T.StructType([*CELL_LOG.fields, T.StructField("day", T.DateType())])
+    done = sorted(r.id for r in done_batches(spark, path).collect() if base is None or r.id > base[1])
+    log = spark.read.schema(schema).option("basePath", path)
+    newer = log.parquet(*[f"{path}/batch_id={b}" for b in done]) if done else spark.createDataFrame([], schema)
+    frames = [newer]
+    if base is not None:
+        kept = T.StructType([*CELL.fields, T.StructField("day", T.DateType())])
+        frames.append(spark.read.schema(kept).parquet(base[0]))
+    if days is not None:
+        frames = [f.filter(F.col("day").between(*[F.lit(d).cast("date") for d in days])) for f in frames]
+    return union_windows(*frames).select(*CELL.names)
 
 
 def compact_cells(
     spark: SparkSession,
     path: str,
     target: str,
-    upto: int,
     base: tuple[str, int] | None = None,
 ) -> tuple[str, int]:
-    """Merge the log up to batch ``upto`` (and an earlier ``base``) into ``target``.
+    """Merge all complete batches (and an earlier ``base``) into ``target``.
 
-    Returns the base to read with from then on. The merged batch folders can be
-    removed once nobody reads without it.
+    A scheduled job: returns the base to read with, and to compact on, from then on. The
+    merged batch folders can be removed once nobody reads without it.
     """
-    log = spark.read.schema(CELL_LOG).parquet(path)
-    part = log.filter(F.col("batch_id") <= upto)
-    if base is not None:
-        part = part.filter(F.col("batch_id") > base[1])
-    cells = part.select(*CELL.names)
-    if base is not None:
-        cells = cells.unionByName(spark.read.schema(CELL).parquet(base[0]).select(*CELL.names))
-    merge_cells(cells).write.mode("overwrite").partitionBy("dim").parquet(target)
+    upto = done_batches(spark, path).agg(F.max("id")).first()[0]
+    merged = merge_cells(read_cells(spark, path, base)).withColumn("day", F.to_date("window_start"))
+    merged.write.mode("overwrite").partitionBy("day", "dim").parquet(target)
     return target, upto
 
 
@@ -103,10 +126,11 @@ def read_windows(
     path: str,
     size: str = DEFAULT_SIZE,
     base: tuple[str, int] | None = None,
+    days: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Windows of the ``size`` the log was written with, over everything
-    committed so far, open windows included."""
-    return rollup(read_cells(spark, path, base), size)
+    """Windows of the ``size`` the log was written with, over all complete batches,
+    open windows included; ``days`` limits them to a range of days."""
+    return rollup(read_cells(spark, path, base, days), size)
 
 
 def start_closed_windows(
@@ -117,58 +141,86 @@ def start_closed_windows(
     delay: str = "1 minute",
     offset: str | None = None,
     every: str | None = None,
+    time_col: str = "timestamp",
+    empty: bool = False,
 ) -> StreamingQuery:
     """Write each window once, when events up to ``delay`` late can no longer come.
 
     All counters of a window close in the same micro-batch, so the batch holds
     whole windows. They are written to ``<path>/cells`` first and rolled up from
     there: the stateful plan runs once, whatever the roll-up reads. Windows go
-    to ``<path>/windows`` in stored form, one folder per batch.
+    to ``<path>/windows`` in stored form, one folder per batch, and one line per batch
+    with the number of its windows and events to ``<path>/closed``. ``time_col`` may be the
+    arrival column. ``empty`` adds the windows without events between those of a batch
+    and after the last one of the batch before.
+
+    Adaptive execution does not work in a stateful query, so the writes are sized here:
+    counters are dealt by dimension and a few salts, and a roll-up uses a few partitions.
     """
-    cells = _streamed_cells(events.withWatermark("timestamp", delay), size, offset)
+    facts = window_facts(events.withWatermark(time_col, delay), time_col)
+    cells = (
+        facts.groupBy(F.window(time_col, size, startTime=offset).alias("w"), "dim", "key")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("duration"))
+        .select(F.col("w.start").alias("window_start"), "dim", "key", "n", "duration")
+    )
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         closed = f"{path}/cells/batch_id={batch_id}"
-        batch.write.mode("overwrite").partitionBy("dim").parquet(closed)
+        salt = F.pmod(F.xxhash64("window_start", "key"), F.lit(CELL_FILES))
+        dealt = batch.repartition(3 * CELL_FILES, "dim", salt)
+        dealt.write.mode("overwrite").partitionBy("dim").parquet(closed)
         windows = rollup(spark.read.schema(CELL).parquet(closed), size)
-        to_at_rest(windows).write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
+        stored = windows.coalesce(CELL_FILES)
+        to_at_rest(stored).write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
+        if empty:
+            written = from_at_rest(spark.read.schema(WINDOW_AT_REST).parquet(f"{path}/windows/batch_id={batch_id}"))
+            known = written
+            if batch_id > 0:
+                last = scan_windows(spark, f"{path}/windows", {"batch_id": "long"})
+                last = last.filter(F.col("batch_id") < batch_id)
+                bound = last.agg(F.max("window_start")).scalar()
+                known = written.unionByName(from_at_rest(last.filter(F.col("window_start") == bound).drop("batch_id")).limit(1))
+            added = zero_fill(known, size).filter("total_events = 0").coalesce(1)
+            to_at_rest(added).write.mode("overwrite").parquet(f"{path}/empty/batch_id={batch_id}")
+        line = spark.read.schema(WINDOW_AT_REST).parquet(f"{path}/windows/batch_id={batch_id}").agg(
+            F.count(F.lit(1)).alias("windows"), F.coalesce(F.sum("total_events"), F.lit(0)).alias("events")
+        )
+        line.write.mode("overwrite").parquet(f"{path}/closed/batch_id={batch_id}")
 
     return (
         cells.writeStream.outputMode("append")
         .foreachBatch(emit)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
+        .trigger(**trigger(every))
         .start()
     )
 
 
-def _streamed_cells(events: DataFrame, size: str, offset: str | None) -> DataFrame:
-    """``window_cells`` grouped by the window struct, which carries the watermark."""
-    text = {n: F.coalesce(F.col(n), F.lit("")) for n in ("user_id", "event_type", "page")}
-    duration = F.coalesce(F.col("duration_ms"), F.lit(0.0))
-    facts = F.array(
-        *[
-            F.struct(
-                F.lit(dim).alias("dim"),
-                key.alias("key"),
-                (duration if dim == "event_type" else F.lit(0.0)).alias("d"),
-            )
-            for dim, key in text.items()
-        ]
-    )
-    return (
-        events.select("timestamp", F.inline(facts))
-        .groupBy(F.window("timestamp", size, startTime=offset).alias("w"), "dim", "key")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("duration"))
-        .select(
-            F.col("w.start").alias("window_start"),
-            "dim",
-            "key",
-            "n",
-            "duration",
-        )
-    )
+def read_closed_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The closed windows written so far, with the empty ones if they were asked for."""
+    windows = scan_windows(spark, f"{path}/windows")
+    try:
+        return windows.unionByName(scan_windows(spark, f"{path}/empty"))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return windows
+
+
+def late_events(spark: SparkSession, path: str, events: DataFrame, size: str, time_col: str = "timestamp", offset: str | None = None) -> DataFrame:
+    """Events of closed windows that the closed windows do not count: those that came too late.
+
+    One row per window with the number of events missing there, from a comparison of
+    the kept events with what was written.
+    """
+    cells = spark.read.schema(CELL).parquet(f"{path}/cells").filter("dim = 'event_type'")
+    counted = cells.groupBy("window_start").agg(F.sum("n").alias("counted"))
+    there = assign_windows(events, size, time_col, offset).groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))
+    upto = counted.agg(F.max("window_start")).scalar()
+    missing = there.filter(F.col("window_start") <= upto).join(counted, "window_start", "left")
+    late = F.col("n") - F.coalesce("counted", F.lit(0))
+    return missing.select("window_start", late.alias("late")).filter("late > 0")
 
 
 def start_drain(
@@ -177,21 +229,19 @@ def start_drain(
     target: str,
     checkpoint: str,
     every: str | None = None,
+    taken: str | None = None,
 ) -> StreamingQuery:
-    """Hand over stored windows once: each run copies what came since the last.
+    """Hand over stored windows once: each run of this query copies the runs of windows
+    announced since the last.
 
-    The checkpoint remembers what was handed over. A batch that failed is
-    repeated into the same folder, so nothing is lost and nothing appears twice.
+    A batch that failed is repeated into the same folder, and a run of windows that is
+    stored again is not handed over again, so nothing is lost and nothing appears twice.
+    What was handed over is noted below ``taken``, by default next to ``target``.
     """
 
     def hand_over(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-    return (
-        spark.readStream.schema(WINDOW_AT_REST)
-        .parquet(windows_path)
-        .writeStream.foreachBatch(hand_over)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
-        .start()
+    return follow_runs(
+        spark, windows_path, taken or f"{target.rstrip('/')}.taken", checkpoint, hand_over, every
     )

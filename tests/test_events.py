@@ -128,7 +128,7 @@ def test_json_lines_sink_and_source(spark, tmp_path):
 def test_split_is_stored_in_one_table(spark, tmp_path):
     df = spark.createDataFrame([(TEXT,), ("broken",)], "value string")
     path = str(tmp_path / "split")
-    io.write_split(io.decode_events(df), "accepted", path)
+    io.write_split(io.decode_events(df), "accepted", path, "r1")
     good = io.read_split(spark, "accepted", path)
     assert [r.id for r in good.select("event.id").collect()] == ["e1"]
     bad = io.read_split(spark, "accepted", path, good=False)

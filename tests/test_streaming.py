@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.operators import windows as win
+from eventide.operators.clean import clean_windows
+from eventide.operators.validate import validate_windows
 from eventide.plans import cycle
 from eventide.schemas import USER_EVENT
 from eventide.sources import events as io
 from eventide.sources import testdata as data
 from eventide.sources import windows as store
-from eventide.streaming import tumbling
+from eventide.streaming import decode, tumbling
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,15 +71,36 @@ def test_cells_equal_batch_after_restarts(spark, slices, tmp_path):
     expected = flat(win.window_aggregate(everything, "1 hour"))
     assert flat(tumbling.read_windows(spark, out, "1 hour")) == expected
 
-    batches = sorted(
-        r.batch_id
-        for r in spark.read.parquet(out).select("batch_id").distinct().collect()
-    )
-    assert len(batches) >= 3
-    base = tumbling.compact_cells(spark, out, str(tmp_path / "base"), batches[1])
-    assert flat(tumbling.read_windows(spark, out, "1 hour", base)) == expected
-    base = tumbling.compact_cells(spark, out, str(tmp_path / "base2"), batches[-1], base)
+    base = tumbling.compact_cells(spark, out, str(tmp_path / "base"))
+    assert base[1] >= 2
     assert flat(tumbling.read_windows(spark, out, "1 hour", base)) == expected
+    again = tumbling.compact_cells(spark, out, str(tmp_path / "base2"), base)
+    assert flat(tumbling.read_windows(spark, out, "1 hour", again)) == expected
+
+
+def test_cells_of_unfinished_batches_are_not_read(spark, slices, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "cells", "check"))
+    add(slices[0], src, 0)
+    run(tumbling.start_cells(source(spark, src), out, check, "1 hour"))
+    expected = flat(tumbling.read_windows(spark, out, "1 hour"))
+    half = win.window_cells(slices[1], "1 hour").withColumn("day", F.to_date("window_start"))
+    half.write.partitionBy("day", "dim").parquet(f"{out}/batch_id=7")
+    assert flat(tumbling.read_windows(spark, out, "1 hour")) == expected
+    tumbling.note_batch(spark, out, 7)
+    assert flat(tumbling.read_windows(spark, out, "1 hour")) != expected
+
+
+def test_a_day_of_cells_opens_its_folders_only(spark, slices, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "cells", "check"))
+    add(slices[0], src, 0)
+    run(tumbling.start_cells(source(spark, src), out, check, "1 hour"))
+    day = ("2024-01-03", "2024-01-03")
+    cells = tumbling.read_cells(spark, out, days=day)
+    assert flat(tumbling.read_windows(spark, out, "1 hour", days=day)) == flat(
+        win.window_aggregate(slices[0].filter("date(timestamp) = '2024-01-03'"), "1 hour")
+    )
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
 
 
 def test_cells_take_events_in_any_order(spark, slices, tmp_path):
@@ -135,20 +158,87 @@ def test_closed_windows_appear_once(spark, slices, tmp_path):
     assert expected
 
 
-def test_closed_windows_drop_late_events(spark, tmp_path):
-    src, out, check = (str(tmp_path / n) for n in ("src", "closed", "check"))
+def at(spark, *minutes):
+    rows = [
+        (str(m), "u", "s", "click", "/", 1.0, None, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m))
+        for m in minutes
+    ]
+    return spark.createDataFrame(rows, USER_EVENT)
 
-    def at(minute):
-        time = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute)
-        return spark.createDataFrame(
-            [(str(minute), "u", "s", "click", "/", 1.0, None, time)], USER_EVENT
-        )
 
+def test_closed_windows_drop_and_count_late_events(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "closed", "check"))
     for number, minute in enumerate((1, 300, 2, 600)):
-        add(at(minute), src, number)
+        add(at(spark, minute), src, number)
         run(tumbling.start_closed_windows(source(spark, src), out, check, "1 hour", "10 minutes"))
     got = store.scan_windows(spark, f"{out}/windows").orderBy("window_start").collect()
     assert [(r.window_start.hour, r.total_events) for r in got] == [(0, 1), (5, 1)]
+    late = tumbling.late_events(spark, out, at(spark, 1, 300, 2, 600), "1 hour").collect()
+    assert [(r.window_start.hour, r.late) for r in late] == [(0, 1)]
+
+
+def test_closed_windows_with_empty_ones_between(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "closed", "check"))
+    for number, minute in enumerate((1, 200, 700, 1400)):
+        add(at(spark, minute), src, number)
+        run(
+            tumbling.start_closed_windows(
+                source(spark, src), out, check, "1 hour", "10 minutes", empty=True
+            )
+        )
+    got = tumbling.read_closed_windows(spark, out).orderBy("window_start").collect()
+    assert [r.window_start.hour for r in got] == list(range(12))
+    assert [r.total_events for r in got] == [1, 0, 0, 1, 0, 0, 0, 0, 0, 0, 0, 1]
+
+
+def test_closed_windows_by_arrival(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "closed", "check"))
+    for number, minute in enumerate((1, 300, 900)):
+        # Events of another day arrive at these minutes.
+        moved = at(spark, minute).withColumn("arrival", F.col("timestamp"))
+        moved = moved.withColumn("timestamp", F.lit(dt.datetime(2020, 5, 5)))
+        moved.coalesce(1).write.parquet(f"{src}/{number}")
+        schema = moved.schema
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+        run(
+            tumbling.start_closed_windows(
+                stream, out, check, "1 hour", "10 minutes", time_col="arrival"
+            )
+        )
+    got = store.scan_windows(spark, f"{out}/windows").orderBy("window_start").collect()
+    assert [r.window_start.hour for r in got] == [0, 5]
+
+
+def test_closed_windows_write_few_files(spark, slices, tmp_path):
+    """Whatever the number of shuffle partitions."""
+    src, out, check = (str(tmp_path / n) for n in ("src", "closed", "check"))
+    for i, part in enumerate(slices[:2]):
+        add(part, src, i)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        run(tumbling.start_closed_windows(source(spark, src), out, check, "1 hour", "10 minutes"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    batches = len(list((tmp_path / "closed" / "cells").glob("batch_id=*")))
+    cells = list((tmp_path / "closed" / "cells").glob("**/*.parquet"))
+    windows = list((tmp_path / "closed" / "windows").glob("**/*.parquet"))
+    assert batches and len(cells) <= 3 * tumbling.CELL_FILES * batches
+    assert len(windows) <= tumbling.CELL_FILES * batches
+
+
+def test_decode_stores_every_outcome(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "out", "check"))
+    texts = ['{"id":"1","timestamp":"2024-01-01T00:00:00Z"}', '{"id":"2"}', "broken", '{"id":3}']
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(src)
+    for _ in range(2):
+        run(decode.start_decode(io.read_json_lines(spark, src), out, check))
+    assert {r.outcome: r.n for r in decode.outcome_counts(spark, out).collect()} == {
+        "accepted": 1,
+        "undated": 1,
+        "rejected": 2,
+    }
+    bad = decode.read_outcome(spark, out, "rejected")
+    assert {r.value for r in bad.collect()} == {"broken", '{"id":3}'}
 
 
 def test_drain_hands_over_each_window_once(spark, tmp_path):
@@ -163,6 +253,10 @@ def test_drain_hands_over_each_window_once(spark, tmp_path):
     store.write_windows(windows.limit(5), path, "r2")
     run(tumbling.start_drain(spark, path, out, check))
     assert store.scan_windows(spark, out).count() == n + 5
+    # A run that is stored again is not handed over again.
+    store.write_windows(windows, path, "r1")
+    run(tumbling.start_drain(spark, path, out, check))
+    assert store.scan_windows(spark, out).count() == n + 5
 
 
 def test_cycle_outputs(spark, tmp_path):
@@ -192,6 +286,43 @@ def test_cycle_gate(spark, tmp_path):
     assert rejected.count() > 0
     assert summary.total_windows == dirty.count() - rejected.count()
     assert rejected.first().errors == ["duration_ms: -1.00 must be >= 0"]
+    assert store.load_windows(spark, f"{out}/windows").count() == summary.total_windows
+
+
+def test_cycle_tells_duplicates_before_cutting_to_milliseconds(spark, tmp_path):
+    out = str(tmp_path / "out")
+    dirty = data.windows_dirty(spark, SF)
+    cycle.run_cycle(spark, dirty, out, "r1")
+    accepted = validate_windows(dirty).filter("is_valid").drop("is_valid", "errors")
+    expected = clean_windows(accepted).count()
+    assert spark.read.parquet(f"{out}/windows_clean").count() == expected
+    moved = dirty.filter("seq = 2 AND total_events > 0").count()
+    assert moved and expected > dirty.select("window_start").distinct().count() - moved
+
+
+def test_cycle_reads_its_own_run_only(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for run_id in ("r1", "r2"):
+        cycle.run_cycle(spark, data.windows_dirty(spark, SF), out, run_id)
+    files = store.scan_runs(spark, f"{out}/windows", ["r2"]).inputFiles()
+    assert files and all("run_id=r2" in f for f in files)
+
+
+def test_days_can_be_compacted(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for run_id in ("r1", "r2"):
+        cycle.run_cycle(spark, data.windows_dirty(spark, SF), out, run_id)
+    for _ in range(2):
+        cycle.compact_days(spark, out, "2024-01-11")
+    days = cycle.scan_days(spark, out)
+    stored = cycle.scan_stored(spark, out).filter("window_date < '2024-01-11'")
+    assert days.count() == stored.count() > 0
+    plan = days.filter("window_date = '2024-01-05'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_date" in plan
+    cycle.write_dashboard(spark, out, "2024-01-01", "2024-01-10", compacted=True)
+    one = spark.read.parquet(f"{out}/dashboard/kpi_metrics").collect()
+    cycle.write_dashboard(spark, out, "2024-01-01", "2024-01-10")
+    assert spark.read.parquet(f"{out}/dashboard/kpi_metrics").collect() == one
 
 
 def test_cycle_without_windows_is_skipped(spark, tmp_path):
@@ -208,3 +339,11 @@ def test_cycles_on_a_stream(spark, tmp_path):
     assert n == data.windows(spark, SF).count()
     run(cycle.start_cycles(spark, path, out, check))
     assert store.scan_windows(spark, f"{out}/windows").count() == n
+    store.write_windows(data.windows(spark, SF), path, "r1")
+    run(cycle.start_cycles(spark, path, out, check))
+    assert store.scan_windows(spark, f"{out}/windows").count() == n
+    store.write_windows(data.windows(spark, SF).limit(3), path, "r2")
+    query = cycle.start_cycles(spark, path, out, check, every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert store.scan_windows(spark, f"{out}/windows").count() == n + 3

@@ -9,14 +9,15 @@ from eventide.llm.common import store
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest node next to it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # Stored, so that the join may split the links of a hot node.
+    least = store(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang every node and its smaller neighbours on the smallest of these."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = store(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     hung = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung.unionByName(least.withColumnRenamed("m", "b")).filter("a <> b").distinct()
 

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm import words as W
@@ -371,14 +371,16 @@ def join(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, one of each class of near copies: that of the smallest id.
 
-    Rows of one id and text are told apart by nothing, so the first of them stays.
+    Rows of one id and text are told apart by nothing, so one of them stays. Documents
+    without words all stay.
     """
-    kept = join(docs).filter("keeper").select("t1", "t2", F.xxhash64("doc_id").alias("d"))
-    kept = kept.groupBy("t1", "t2", "d").agg(F.count(F.lit(1)).alias("n"))
+    kept = join(docs).filter("keeper").select("t1", "t2", F.xxhash64("doc_id").alias("d")).distinct()
     # The columns of a document travel in one, so none can clash with these.
     keyed = docs.select(
         F.struct("*").alias("doc"), _text_key(1), _text_key(2), F.xxhash64("doc_id").alias("d")
     )
-    same = Window.partitionBy("t1", "t2", "d").orderBy(F.lit(0))
-    numbered = keyed.join(kept, ["t1", "t2", "d"]).withColumn("nth", F.row_number().over(same))
-    return numbered.filter("nth <= n").select("doc.*")
+    has_words = F.coalesce(F.col("doc.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # Equal rows fall together before they are sent.
+    one = keyed.filter(has_words).groupBy("t1", "t2", "d").agg(F.first("doc").alias("doc"))
+    chosen = one.join(kept, ["t1", "t2", "d"], "left_semi")
+    return chosen.select("doc").unionByName(keyed.filter(~has_words).select("doc")).select("doc.*")

@@ -11,11 +11,11 @@ The rounding is a tree: documents are dealt by the hash of their id to buckets o
 about ``FAN_IN``, each bucket folds to one residual, residuals are dealt to
 buckets again, and so on until each source has one. A source with a third of all
 rows therefore works in as many tasks as it has buckets. Chances come from hashes
-of ids, so a rerun takes the same documents. Built-in functions only.
+of ids and texts, so a rerun takes the same documents. Built-in functions only.
 
 Edge cases: a null text has no words; documents without words take none and are
 rounded on their own; a null source is a source, last in order; rows that repeat
-an id are documents of their own (equal rows share a bucket); a source of no words
+an id, equal rows included, are documents of their own; a source of no words
 has target 0; an empty table gives no rows; other columns are not read.
 """
 
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from eventide.llm.common import only, store
 
 FAN_IN = 128
+# Equal rows dealt out together.
+CHUNK = 4096
 # Fractions this near to a whole number are whole.
 SNAP = 1e-9
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -89,12 +91,29 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], most: int) -> DataF
     return leveled.select("source", "source_size", "n", target.alias("target"))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows with their words; equal rows are told apart by a number.
+
+    Equal rows are counted and dealt out again, many of them in chunks over all tasks, so
+    neither one id nor one row, however often it stands in the table, meets in one task.
+    """
+    sized = docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("text_hash"))
+    counted = sized.groupBy("doc_id", "source", "size", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    few = counted.filter(F.col("rows") <= CHUNK).withColumn("chunk", F.lit(0).cast("bigint"))
+    many = counted.filter(F.col("rows") > CHUNK).withColumn(
+        "chunk", F.explode(F.expr(f"sequence(0L, (rows - 1) div {CHUNK})"))
+    )
+    numbers = F.expr(f"sequence(chunk * {CHUNK}, least(rows, (chunk + 1) * {CHUNK}) - 1)")
+    dealt = few.unionByName(many.repartition("text_hash", "chunk"))
+    return dealt.select("doc_id", "source", "size", "text_hash", F.explode(numbers).alias("nth"))
+
+
 def mix(docs: DataFrame, weights: Sequence[int], most: int = 3, seed: int = 1) -> DataFrame:
     """Copies of each document (doc_id, text, source): adds size, source_size, target, copies.
 
     One row per row of ``docs``.
     """
-    sizes = store(only(docs, ["doc_id", "source", "text"]).select("doc_id", "source", word_count("text").alias("size")), "sizes")
+    sizes = store(_numbered(only(docs, ["doc_id", "source", "text"])), "sizes")
     targets = store(source_targets(sizes, weights, most), "targets")
     key = sizes["source"].eqNullSafe(targets["source"])
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -106,7 +125,7 @@ def mix(docs: DataFrame, weights: Sequence[int], most: int = 3, seed: int = 1) -
         "size",
         whole.cast("int").alias("whole"),
         F.when(rest < SNAP, 0.0).otherwise(rest).alias("p"),
-        F.xxhash64("doc_id", F.lit(seed)).alias("h"),
+        F.xxhash64("doc_id", "text_hash", "nth", F.lit(seed)).alias("h"),
         F.ceil(F.col("n") / FAN_IN).alias("buckets"),
     )
     # Nothing to round against: no fraction, or no words.

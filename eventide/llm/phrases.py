@@ -228,7 +228,7 @@ def _one_cell(rows: pa.Table) -> Iterator[pa.RecordBatch]:
     doc_id = rows["doc_id"].fill_null(0).to_numpy()
     t1, k1, k2, start, family, many = (rows[c].to_numpy() for c in ("t1", "k1", "k2", "start", "family", "many"))
     order = np.lexsort((family, start, k2, k1, t1, doc_id, no_id))
-    # A row that stands twice in the table gives its segments twice.
+    # Windows that go on may come from the segments of two families.
     same = np.ones(len(order), dtype=bool)
     for column in (start, k1, k2, family):
         same[1:] &= column[order][1:] == column[order][:-1]
@@ -340,12 +340,15 @@ def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     stats = places.groupBy("anchor").agg(
         F.min("t1").alias("family"), F.max("t1").alias("other"), F.min("span").alias("low"), F.max("span").alias("high")
     )
-    recurring = stats.filter("family <> other OR low <> high").select("anchor", "family")
+    # Stored, so that the join may split a hot anchor's places.
+    recurring = store(stats.filter("family <> other OR low <> high").select("anchor", "family"), "anchors")
     hits = places.select("anchor", "k1", "span").join(recurring, "anchor")
     by_doc = hits.groupBy("k1").agg(F.collect_set(F.struct("family", "span")).alias("places"))
     reps = firsts.select("first.no_id", "t1", "t2", "first.k1", "first.k2")
     wanted = by_doc.join(reps, "k1")
-    texts = keyed.select("doc_id", "text", "k1", "k2").join(wanted, ["k1", "k2"])
+    # Equal rows fall together before they are sent.
+    one = keyed.groupBy("k1", "k2").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    texts = one.join(wanted, ["k1", "k2"])
     texts = store(texts.select("no_id", "doc_id", "t1", "k1", "k2", "text", "places"), "texts")
 
     kinds = "no_id boolean, doc_id long, t1 long, k1 long, k2 long, family long, start long, n long, text string"
@@ -369,7 +372,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     heads, texts, runs = covered(docs)
     by_doc = runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
     cut = texts.select("k1", "k2", "text").join(by_doc, ["k1", "k2"])
-    cut = cut.mapInArrow(_cut, "k1 long, k2 long, removed long, sha string").dropDuplicates(["k1", "k2"])
+    cut = cut.mapInArrow(_cut, "k1 long, k2 long, removed long, sha string")
     copy = F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
     empty: Column = F.sha2(F.lit(""), 256)
     out = heads.join(cut, ["k1", "k2"], "left")

@@ -3,7 +3,7 @@
 The rules are kept as text so that the same definition serves DataFrames
 (``F.expr``) and SQL functions (``CREATE TEMPORARY FUNCTION``). All of it runs
 inside the JVM. Rules are independent and their messages accumulate in the
-order of the list below.
+order of the list below. The message texts are fixed values.
 """
 
 from eventide.functions.text import fixed2_sql

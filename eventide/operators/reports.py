@@ -172,13 +172,17 @@ def users_heatmap_pivot(windows: DataFrame) -> DataFrame:
 
 def analysis_summary(windows: DataFrame) -> DataFrame:
     """Window count, event total and events per window; zeros without windows."""
+    return windows.agg(*_summary_columns())
+
+
+def _summary_columns() -> list[Column]:
     count = F.count(F.lit(1))
     total = F.coalesce(F.sum("total_events"), F.lit(0))
-    return windows.agg(
+    return [
         count.alias("total_windows"),
         total.alias("total_events"),
         F.when(count > 0, total / count).otherwise(0.0).alias("avg_events_per_window"),
-    )
+    ]
 
 
 def peak_window(windows: DataFrame) -> DataFrame:
@@ -200,10 +204,12 @@ def analysis_result(windows: DataFrame, generated_at: str) -> DataFrame:
     )
     entries = F.array_sort(F.collect_list(F.struct("event_type", "total_count")))
     distribution = by_type(windows).agg(F.map_from_entries(entries)).scalar()
-    peak = peak_window(windows).select(F.struct("*")).scalar()
-    return analysis_summary(windows).select(
+    # The peak comes with the summary: the first by total, then start and end.
+    total = F.col("total_events")
+    first = F.struct(total.isNull(), -total, "window_start", "window_end")
+    peak = F.min_by(F.struct(*windows.columns), first).alias("peak_window")
+    return windows.agg(*_summary_columns(), peak).select(
         "*",
-        peak.alias("peak_window"),
         distribution.alias("event_distribution"),
         F.lit(generated_at).cast("timestamp").alias("generated_at"),
     )

@@ -41,16 +41,32 @@ def read_kafka(
     on the class path.
     """
     reader = spark.readStream if streaming else spark.read
-    reader = (
-        reader.format("kafka")
-        .option("kafka.bootstrap.servers", brokers)
-        .option("subscribe", topic)
-        .option("kafka.group.id", group)
-        .option("startingOffsets", "earliest")
-    )
-    if streaming and max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load().select(
+    limit = max_offsets_per_trigger if streaming else None
+    options = kafka_read_options(brokers, topic, group, limit)
+    return kafka_records(reader.format("kafka").options(**options).load())
+
+
+def kafka_read_options(
+    brokers: str, topic: str, group: str, max_offsets_per_trigger: int | None = None
+) -> dict[str, str]:
+    options = {
+        "kafka.bootstrap.servers": brokers,
+        "subscribe": topic,
+        "kafka.group.id": group,
+        "startingOffsets": "earliest",
+    }
+    if max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return options
+
+
+def kafka_write_options(brokers: str, topic: str) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": brokers, "topic": topic}
+
+
+def kafka_records(raw: DataFrame) -> DataFrame:
+    """Value text and arrival time of the connector's rows."""
+    return raw.select(
         F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrival")
     )
 
@@ -211,8 +227,7 @@ def write_kafka(
     (
         encode_events(events)
         .write.format("kafka")
-        .option("kafka.bootstrap.servers", brokers)
-        .option("topic", topic)
+        .options(**kafka_write_options(brokers, topic))
         .save()
     )
 
@@ -227,8 +242,7 @@ def write_kafka_stream(
     return (
         encode_events(events)
         .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", brokers)
-        .option("topic", topic)
+        .options(**kafka_write_options(brokers, topic))
         .option("checkpointLocation", checkpoint)
         .start()
     )

@@ -144,3 +144,54 @@ def test_filter_on_decoded_columns(spark):
     df = spark.createDataFrame([(TEXT,), (put(page="/x"),), ("broken",)], "value string")
     events = io.accepted_events(io.decode_events(df))
     assert events.filter(F.col("page") == "/x").count() == 1
+
+
+def test_kafka_options_and_projection(spark):
+    assert io.kafka_read_options("b:1", "t", "g", 500) == {
+        "kafka.bootstrap.servers": "b:1",
+        "subscribe": "t",
+        "kafka.group.id": "g",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "500",
+    }
+    assert "maxOffsetsPerTrigger" not in io.kafka_read_options("b:1", "t", "g")
+    assert io.kafka_write_options("b:1", "t") == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
+    raw = spark.createDataFrame(
+        [(bytearray(b"k"), bytearray(TEXT.encode()), "t", 0, 5, AT, 0)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int",
+    )
+    records = io.kafka_records(raw)
+    assert records.columns == ["value", "arrival"]
+    assert io.accepted_events(io.decode_events(records), "arrival").first().arrival == AT
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ('{"id":"a","ID":"b"}', "b"),
+        ('{"ID":"a","id":"b"}', "b"),
+        ('{"id":"a","ID":5}', None),
+        ('{"id":"a","id":null}', "a"),
+        ('{"id":"a","duration_ms":"x","duration_ms":5}', None),
+        ('{"id":"a","timestamp":"bad","timestamp":"2024-01-01T00:00:00Z"}', None),
+    ],
+)
+def test_keys_are_taken_in_turn(spark, text, found):
+    row = decode(spark, text)[0]
+    assert row.accepted == (found is not None)
+    assert (row.event.id if row.event else None) == found
+
+
+def test_metadata_objects_are_merged(spark):
+    text = '{"metadata":{"a":"1"},"Metadata":{"b":"2","a":null}}'
+    assert decode(spark, text)[0].event.metadata == {"a": "", "b": "2"}
+    assert decode(spark, '{"metadata":{"a":"1"},"metadata":null}')[0].event.metadata is None
+
+
+def test_runs_of_events_do_not_replace_one_another(spark, tmp_path):
+    path = str(tmp_path / "split")
+    for run_id in ("r1", "r2", "r2"):
+        df = spark.createDataFrame([(TEXT,), ("broken",)], "value string")
+        io.write_split(io.decode_events(df), "accepted", path, run_id)
+    assert io.read_split(spark, "accepted", path).count() == 2
+    assert io.read_split(spark, "accepted", path, good=False).count() == 2

@@ -113,3 +113,18 @@ def test_log_lines(spark, windows, tmp_path):
     )
     store.write_log_lines(windows, str(tmp_path / "log"), "2024-02-01T00:00:00Z")
     assert spark.read.text(str(tmp_path / "log")).count() == 2
+
+
+def test_folders_of_different_layouts(spark, tmp_path):
+    rows = [(5, "a"), (7, "b")]
+    spark.createDataFrame(rows, "total_events int, window_start string").write.parquet(str(tmp_path / "int"))
+    fractional = [(5.0, "a"), (7.0, "b")]
+    spark.createDataFrame(fractional, "total_events double, window_start string").write.parquet(str(tmp_path / "double"))
+    wide = spark.createDataFrame([(9, "c", 1)], "total_events bigint, window_start string, extra int")
+    wide.write.parquet(str(tmp_path / "wide"))
+    folders = [str(tmp_path / n) for n in ("wide", "int", "absent", "double")]
+    got = store.scan_folders(spark, *folders)
+    assert dict(got.dtypes)["total_events"] == "double"
+    assert [r.window_start for r in got.collect()] == ["a", "a", "b", "b", "c"]
+    assert [r.extra for r in got.collect()] == [None] * 4 + [1]
+    assert store.scan_folders(spark, str(tmp_path / "absent")).count() == 0

@@ -178,3 +178,18 @@ def test_one_busy_window_gives_exact_results(spark):
     assert row.unique_users == len({i % 7000 for i in ids})
     best = sorted(pages.items(), key=lambda kv: (-kv[1], kv[0]))[:5]
     assert [tuple(p) for p in row.top_pages] == best
+
+
+def test_zero_fill_keeps_windows_off_the_grid(spark):
+    def at(minute):
+        return dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute)
+
+    rows = [(at(m), at(m + 10), n) for m, n in ((0, 5), (7, 9), (20, 2), (55, 1))]
+    windows = spark.createDataFrame(
+        rows, "window_start timestamp, window_end timestamp, total_events bigint"
+    )
+    filled = win.zero_fill(windows, "10 minutes").orderBy("window_start").collect()
+    assert [(r.window_start.minute, r.total_events) for r in filled] == [
+        (0, 5), (7, 9), (20, 2), (30, 0), (40, 0), (55, 1)
+    ]
+    assert win.zero_fill(windows.limit(0), "10 minutes").collect() == []

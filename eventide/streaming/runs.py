@@ -26,22 +26,26 @@ def follow_runs(
 ) -> StreamingQuery:
     """Call ``handle`` with the windows of the runs announced since the last call.
 
-    The runs each batch took are noted below ``taken``, in the batch's own folder. A
-    batch repeated after a failure takes the same runs again; a run announced again,
-    because it was stored again, is in an earlier batch's note and left out. Only
+    Each batch notes all runs taken so far below ``taken``, in a folder of its own, and
+    reads the note of the batch before it: what a batch costs does not grow with their
+    number. A batch repeated after a failure takes the same runs again; a run announced
+    again, because it was stored again, is in the note already and left out. Only
     the ids of the batch's new runs come to the driver.
     """
     windows_path = windows_path.rstrip("/")
+    note = f"{RUN_LOG}, fresh boolean"
 
     def batch_of_runs(announced: DataFrame, batch_id: int) -> None:
         session = announced.sparkSession
-        new = announced.select("run_id").distinct()
+        here = f"{taken}/batch_id={batch_id}"
+        notes = announced.select("run_id").distinct().withColumn("fresh", F.lit(True))
         if batch_id > 0:
-            earlier = session.read.schema(f"{RUN_LOG}, batch_id long").parquet(taken)
-            new = new.join(earlier.filter(F.col("batch_id") < batch_id), "run_id", "left_anti")
-        new.write.mode("overwrite").parquet(f"{taken}/batch_id={batch_id}")
-        noted = session.read.schema(RUN_LOG).parquet(f"{taken}/batch_id={batch_id}")
-        runs = sorted(r.run_id for r in noted.collect())
+            before = session.read.schema(note).parquet(f"{taken}/batch_id={batch_id - 1}")
+            known = before.select("run_id")
+            notes = notes.join(known, "run_id", "left_anti").unionByName(known.withColumn("fresh", F.lit(False)))
+        notes.write.mode("overwrite").parquet(here)
+        fresh = session.read.schema(note).parquet(here).filter("fresh")
+        runs = sorted(r.run_id for r in fresh.collect())
         if runs:
             reader = session.read.schema(WINDOW_AT_REST).option("basePath", windows_path)
             stored = reader.parquet(*[f"{windows_path}/run_id={r}" for r in runs])

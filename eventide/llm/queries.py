@@ -100,6 +100,113 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+WORDS_SQL = r"""
+d AS (
+  SELECT doc_id, text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents)"""
+
+# Equal texts are one text; classes are reached by following links from every text.
+JACCARD_SQL = f"""
+WITH RECURSIVE {WORDS_SQL},
+t AS (SELECT text, min(doc_id) AS rep, count(*) AS copies, any_value(w) AS w FROM d WHERE len(w) > 0 GROUP BY text),
+shingles AS (
+  SELECT DISTINCT rep, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT rep, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM t)),
+sizes AS (SELECT rep, count(*) AS n FROM shingles GROUP BY rep),
+pairs AS (
+  SELECT a.rep AS a, b.rep AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.rep <> b.rep GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON a = x.rep JOIN sizes y ON b = y.rep WHERE 5 * c >= 4 * (x.n + y.n - c)),
+reached AS (
+  SELECT rep, rep AS root FROM t UNION SELECT links.b, reached.root FROM reached JOIN links ON links.a = reached.rep),
+classes AS (SELECT rep, min(root) AS class_id FROM reached GROUP BY rep),
+linked AS (
+  SELECT a AS rep, sum(t.copies) AS n_links, count(*) AS n_texts FROM links JOIN t ON t.rep = links.b GROUP BY a)
+SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id,
+  CAST(coalesce(n_links, 0) + coalesce(copies - 1, 0) AS BIGINT) AS n_links,
+  coalesce(n_texts, 0) AS n_texts, coalesce(copies, 1) AS n_copies
+FROM d LEFT JOIN t ON t.text = d.text AND len(d.w) > 0
+LEFT JOIN classes ON classes.rep = t.rep LEFT JOIN linked ON linked.rep = t.rep
+"""
+
+PHRASES_SQL = f"""
+WITH {WORDS_SQL},
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+later AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+places AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+  FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN removed ON removed.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+
+def _spans_sql(kind: str, pattern: str) -> str:
+    """Matches of a pattern with their places: what lies between them adds up."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+{kind}_parts AS (
+  SELECT doc_id, regexp_split_to_array(text, '{quoted}') AS gaps, regexp_extract_all(text, '{quoted}') AS found FROM t),
+{kind}_rows AS (
+  SELECT doc_id, i, len(gaps[i]) AS gap, found[i] AS m
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM {kind}_parts)),
+{kind} AS (
+  SELECT doc_id, m, CAST(sum(gap + len(m)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS z, z - len(m) AS a
+  FROM {kind}_rows)"""
+
+
+def _secrets_sql() -> str:
+    kinds = {"assign": secrets.ASSIGN, "access": secrets.ACCESS, "hex": secrets.HEX, "run": secrets.CANDIDATE}
+    value = secrets.ASSIGN.replace("'", "''")
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{",".join(_spans_sql(k, p) for k, p in kinds.items())},
+base AS (
+  SELECT doc_id, 0 AS k, 'assign' AS kind, a, z FROM assign
+  WHERE len(regexp_extract(m, '{value}', 1)) >= {secrets.VALUE_LENGTH}
+  UNION ALL SELECT doc_id, 1, 'access', a, z FROM access
+  UNION ALL SELECT doc_id, 2, 'hex', a, z FROM hex),
+windows AS (
+  SELECT doc_id, a, off, substr(m, off + 1, {secrets.WINDOW}) AS w
+  FROM (SELECT *, unnest(range(0, len(m) - {secrets.WINDOW - 1})) AS off FROM run
+        WHERE NOT regexp_matches(lower(m), '{secrets.ALLOWED}'))),
+counted AS (
+  SELECT doc_id, a, off, w, ch, count(*) AS c
+  FROM (SELECT *, unnest(string_split(w, '')) AS ch FROM windows) GROUP BY ALL),
+entropies AS (
+  SELECT doc_id, a, off, w, log2({secrets.WINDOW}) - sum(c * log2(c)) / {secrets.WINDOW} AS bits FROM counted GROUP BY ALL),
+found AS (
+  SELECT doc_id, a, a + min(off) AS x, a + max(off) + {secrets.WINDOW} AS y FROM entropies
+  WHERE bits >= CASE
+    WHEN regexp_full_match(w, '[0-9A-Fa-f]+') AND regexp_matches(w, '[0-9]') AND regexp_matches(w, '[A-Fa-f]')
+    THEN {secrets.HEX_BITS}
+    WHEN regexp_matches(w, '[0-9]') AND regexp_matches(w, '[A-Za-z]') THEN {secrets.MIXED_BITS}
+    ELSE {secrets.LETTER_BITS} END
+  GROUP BY doc_id, a),
+spans AS (
+  SELECT * FROM base UNION ALL
+  SELECT doc_id, 3, 'entropy', x, y FROM found
+  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = found.doc_id AND base.a < y AND x < base.z))
+SELECT t.doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
+  count(*) FILTER (k = 2) AS n_hex,
+  sha256(coalesce(string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, k) FILTER (k < 3), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, k), '') AS spans
+FROM t LEFT JOIN spans ON spans.doc_id = t.doc_id GROUP BY t.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op1_topk_search": TOPK_SQL}
+    return {
+        "op1_topk_search": TOPK_SQL,
+        "op2_jaccard_join": JACCARD_SQL,
+        "op3_secret_scan": _secrets_sql(),
+        "op10_substring_dedup": PHRASES_SQL,
+    }

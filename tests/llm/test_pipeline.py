@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from eventide.llm import decontam, jaccard
+from eventide.llm import decontam, jaccard, queries
 from eventide.llm.common import store
 from tests.llm.conftest import DOCUMENT, SF, rows
 
@@ -53,14 +53,16 @@ def test_odd_documents_pass_all_stages(spark, odd):
     assert empty.collect() == []
 
 
-@pytest.mark.parametrize("name", ["op1_topk_search"])
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_twin(spark, name):
     import duckdb
 
+    sf_dir = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     expected = con.execute(contract.oracle_sql()[name])
     names = [d[0] for d in expected.description]
-    result = contract.queries()[name](spark, SF)
+    result = contract.queries()[name](spark, sf_dir)
     assert sorted(result.columns) == sorted(names)
     assert rows(result, *names) == sorted(expected.fetchall(), key=repr)

@@ -209,9 +209,8 @@ def field_error(fields: str, order: str) -> str:
 def repeated_field(keys: str) -> str:
     """First known key that occurs twice in ``keys``, or null."""
     known = ", ".join(f"'{n}'" for n in REQUIRED)
-    return (
-        f"get(filter({keys}, (k, i) -> k IN ({known}) AND array_position({keys}, k) <= i), 0)"
-    )
+    first = f"get(filter({keys}, (k, i) -> k IN ({known}) AND array_position({keys}, k) <= i), 0)"
+    return f"CASE WHEN {has_repeats(keys)} THEN {first} END"
 
 
 def typed_fields(fields: str) -> str:

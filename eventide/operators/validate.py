@@ -84,12 +84,7 @@ def validate_batch(batches: DataFrame, json_col: str = "events") -> DataFrame:
     ``session.configure``). An all-object batch is read in one parse, only a batch
     with other elements is read again as VARIANT.
     """
-    # Each step comes out of a generator of its own, so no later use copies a parse.
     parsed = compute_once(batches, F.expr(js.read_object_batch(json_col)).alias("_parsed"))
-    parsed = compute_once(parsed, F.expr(js.is_complete_batch("_parsed", json_col)).alias("_object"))
-    parsed = compute_once(
-        parsed, F.expr(f"CASE WHEN NOT _object THEN {js.read_values(json_col)} END").alias("_values")
-    )
     fields_type = "struct<" + ",".join(f"{n}:variant" for n in REQUIRED) + ">"
     element = f"struct<fields:{fields_type},why:string>"
     # A verdict needs either the fields or the reason why there are none.
@@ -110,13 +105,17 @@ def validate_batch(batches: DataFrame, json_col: str = "events") -> DataFrame:
                     ', expected fewer elements in array'))
             ELSE concat('invalid type: ', {js.found("x")}, ', expected struct EventData')
         END))"""
-    elements = f"""CASE
-        WHEN _object THEN cast({from_objects} AS array<{element}>)
+    # The second parse is bound to a name, so that its uses do not copy it.
+    other = f"""get(transform(array({js.read_values(json_col)}), _values -> CASE
         WHEN {js.is_complete_values("_values", json_col)} AND get(_values, 0) IS NOT NULL
         THEN cast({from_values} AS array<{element}>)
-        ELSE array(cast(named_struct('fields', NULL, 'why', 'invalid batch') AS {element}))
+        ELSE array(cast(named_struct('fields', NULL, 'why', 'invalid batch') AS {element})) END), 0)"""
+    elements = f"""CASE
+        WHEN {js.is_complete_batch("_parsed", json_col)} THEN cast({from_objects} AS array<{element}>)
+        ELSE {other}
     END"""
-    exploded = parsed.withColumn("_elements", F.expr(elements)).select(
+    # Exploding adds a filter on its input; without this step it would copy both parses.
+    exploded = compute_once(parsed, F.expr(elements).alias("_elements")).select(
         *batches.columns, F.posexplode("_elements").alias("pos", "_element")
     )
     read = exploded.withColumn("_fields", F.col("_element.fields"))

@@ -19,6 +19,7 @@ text; repeated turns stay turns; the turn markers inside a text are broken up by
 an empty table gives no rows; other columns are not read.
 """
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import only, store
-from eventide.llm.jaccard import _bounds, _groups
+from eventide.llm.common import only, store, tidy
+from eventide.llm.groups import bounds, groups
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -146,9 +147,9 @@ def _roles(table: pa.Table) -> list[int]:
 def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.Table]]:
     """Each conversation's rows in each part."""
     keys = ["part", "no_conv", "conv"]
-    for table in _groups(batches, keys):
-        bounds = _bounds(table, keys)
-        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+    for table in groups(batches, keys):
+        cuts = bounds(table, keys)
+        for lo, hi in itertools.pairwise(cuts.tolist()):
             rows = table.slice(lo, hi - lo)
             yield {k: rows[k][0].as_py() for k in keys}, rows
 
@@ -262,15 +263,15 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     key = ["part", "no_conv", "conv"]
     kind = "part int, no_conv boolean, conv long"
     heads = by_part(ordered.select(*key, "pos", "role"))
-    summaries = heads.mapInArrow(_summaries, f"{kind}, n long, matrix array<long>")
+    summaries = heads.mapInArrow(tidy(_summaries), f"{kind}, n long, matrix array<long>")
     # At most two rows per part from here on; conversations in one part drop out.
     cut = summaries.groupBy("no_conv", "conv").applyInPandas(_behind, f"{kind}, before long, last boolean, behind array<long>")
     cut = store(cut, "cut")
     parts = by_part(ordered.select(*key, "pos", "role").join(F.broadcast(cut), key))
-    exits = parts.mapInArrow(_exits, f"{kind}, exits array<int>")
+    exits = parts.mapInArrow(tidy(_exits), f"{kind}, exits array<int>")
     entries = exits.groupBy("no_conv", "conv").applyInPandas(_entries, f"{kind}, entry int")
     known = store(cut.join(entries, key), "entries")
-    return by_part(ordered.join(F.broadcast(known), key, "left")).mapInArrow(_render, PIECES)
+    return by_part(ordered.join(F.broadcast(known), key, "left")).mapInArrow(tidy(_render), PIECES)
 
 
 def rendered(turns: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ one another; a null doc_id is kept; an empty table gives no rows; other columns
 not read.
 """
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -30,15 +31,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm import words as W
-from eventide.llm.common import only, store
+from eventide.llm.common import only, store, tidy
 from eventide.llm.components import components
+from eventide.llm.groups import bounds, groups
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 16, 1e-6
 # Texts of a chunk: of signatures, and of shingle sets.
-SIGNATURES, SETS = 2048, 512
+SIGNATURES, SETS = 768, 512
 # Cells of the dense incidence matrix at once.
 MATRIX_CELLS = 1 << 22
 
@@ -150,54 +152,18 @@ class Forest:
         return at, roots[at]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Rows of the stream, which is sorted by ``keys``, in tables of whole groups."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        new = _bounds(table, keys)
-        if held:
-            tail = pa.Table.from_batches(held[-1:]).slice(held[-1].num_rows - 1)
-            joined = pa.concat_tables([tail, table.slice(0, 1)])
-            same = len(_bounds(joined, keys)) == 2
-        else:
-            same = False
-        # The last group may go on in the next batch.
-        if len(new) > 2 or (held and not same):
-            cut = int(new[-2])
-            if cut or held:
-                yield pa.concat_tables([pa.Table.from_batches(held), table.slice(0, cut)] if held else [table.slice(0, cut)])
-            held = [pa.Table.to_batches(table.slice(cut).combine_chunks())[0]]
-        else:
-            held.append(batch)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
-    """Where groups begin, and the end."""
-    new = np.zeros(table.num_rows, dtype=bool)
-    for key in keys:
-        column = table[key].to_numpy()
-        new[1:] |= column[1:] != column[:-1]
-    new[:1] = True
-    return np.append(np.flatnonzero(new), table.num_rows)
-
-
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links that tie the surviving candidates of each cell together."""
     keys = ["bucket", "lo", "hi"]
-    for table in _groups(batches, keys):
-        bounds = _bounds(table, keys)
+    for table in groups(batches, keys):
+        cuts = bounds(table, keys)
         table = table.combine_chunks()
         rep, chunk = table["rep"].to_numpy(), table["chunk"].to_numpy()
         lo, hi = table["lo"].to_numpy(), table["hi"].to_numpy()
         lists = table["minhash"].combine_chunks()
         value = lists.flatten().to_numpy().view(np.uint32).reshape(-1, HASHES)
         left, right = [], []
-        for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+        for begin, end in itertools.pairwise(cuts):
             part, own = value[begin:end], rep[begin:end]
             if end - begin < 2:
                 continue
@@ -254,14 +220,14 @@ def common_shingles(value: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per cell and text: its links there, and one link that ties it to its class."""
     keys = ["root", "lo", "hi"]
-    for table in _groups(batches, keys):
-        bounds = _bounds(table, keys)
+    for table in groups(batches, keys):
+        cuts = bounds(table, keys)
         table = table.combine_chunks()
         rep, copies, chunk = (table[c].to_numpy() for c in ("rep", "copies", "chunk"))
         lo, hi = table["lo"].to_numpy(), table["hi"].to_numpy()
         texts = table["text"].combine_chunks()
         out: list[list[np.ndarray]] = [[], [], [], []]
-        for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+        for begin, end in itertools.pairwise(cuts):
             n = end - begin
             value, owner = _distinct(*shingles(texts.slice(begin, n)))
             size = np.bincount(owner, minlength=n)
@@ -304,7 +270,7 @@ def join(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), "doc_id", _text_key(1), _text_key(2), "text"
     )
     sketch = store(
-        rows.mapInArrow(_sketch, "row long, doc_id long, t1 long, t2 long, n_shingles long, minhash array<int>"), "sketch"
+        rows.mapInArrow(tidy(_sketch), "row long, doc_id long, t1 long, t2 long, n_shingles long, minhash array<int>"), "sketch"
     )
     some = sketch.filter("n_shingles > 0")
     # The first row of a text stands for it: that of the smallest id.
@@ -330,7 +296,7 @@ def join(docs: DataFrame) -> DataFrame:
     cells = _cells(members, F.ceil(F.col("n") / SIGNATURES)).drop("n").join(reps, "rep")
     order = ["bucket", "lo", "hi"]
     ordered = cells.repartition(*order).sortWithinPartitions(*order)
-    tied = components(ordered.mapInArrow(_prune, "a long, b long"))
+    tied = components(ordered.mapInArrow(tidy(_prune), "a long, b long"))
 
     groups = store(tied, "groups")
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
@@ -341,7 +307,7 @@ def join(docs: DataFrame) -> DataFrame:
     order = ["root", "lo", "hi"]
     cells = _cells(one, F.ceil(F.col("n") / SETS)).select(*order, "chunk", "rep", "copies", "text")
     ordered = cells.repartition(*order).sortWithinPartitions(*order)
-    checked = store(ordered.mapInArrow(_verify, "rep long, links long, texts long, tie long"), "checked")
+    checked = store(ordered.mapInArrow(tidy(_verify), "rep long, links long, texts long, tie long"), "checked")
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     final = components(checked.select(F.col("rep").alias("a"), F.col("tie").alias("b")))
 

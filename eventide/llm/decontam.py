@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm import words as W
-from eventide.llm.common import only, store
+from eventide.llm.common import only, store, tidy
 
 # Fixed masks: 1 keeps a token, 0 skips it.
 MASKS = ["1110010011", "1101001101", "1011010101", "1100110101", "1010111001", "1111110000"]
@@ -94,7 +94,7 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
 
     rows = only(benchmark, ["item_id", "text"]).distinct()
     kinds = "item_id long, tokens array<long>, span int, seeds array<struct<seed: long, at: int>>"
-    return rows.mapInArrow(run, kinds)
+    return rows.mapInArrow(tidy(run), kinds)
 
 
 def _filter(items: DataFrame) -> np.ndarray:
@@ -198,7 +198,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return docs.sparkSession.createDataFrame([], OVERLAPS)
     packed = np.packbits(_filter(items), bitorder="little")
     kinds = "doc_id long, tokens array<long>, hits array<struct<seed: long, at: int>>"
-    found = only(docs, ["doc_id", "text"]).mapInArrow(_document_hits(packed, spans), kinds)
+    found = only(docs, ["doc_id", "text"]).mapInArrow(tidy(_document_hits(packed, spans)), kinds)
     # One stored row per document row with hits; its place tells repeated ids apart.
     found = store(found.withColumn("row", F.monotonically_increasing_id()), "hits")
     hits = found.select("row", F.inline("hits")).withColumnRenamed("at", "doc_at")
@@ -216,7 +216,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("row", pairs["item_id"], "shifts", "item_tokens")
         .join(found.select("row", "doc_id", "tokens"), "row")
     )
-    return candidates.select("doc_id", "item_id", "tokens", "item_tokens", "shifts").mapInArrow(_verify, OVERLAPS)
+    return candidates.select("doc_id", "item_id", "tokens", "item_tokens", "shifts").mapInArrow(tidy(_verify), OVERLAPS)
 
 
 def drop_overlapping(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

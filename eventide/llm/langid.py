@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from eventide.llm import crf
 from eventide.llm import words as W
-from eventide.llm.common import only, ship
+from eventide.llm.common import only, ship, tidy
 
 UNDETERMINED = "und"
 TRAIN_DOCS, TRAIN_CHARS, MAX_LABELS = 250, 20_000, 64
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 3 << 20
 
 _LETTER = regex.compile(r"\p{L}")
 
@@ -83,7 +83,7 @@ def _predict(model: crf.Model | None):
 def identify(docs: DataFrame, model: crf.Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document (doc_id, text)."""
     rows = only(docs, ["doc_id", "text"]).select("doc_id", held_out().alias("held_out"), "text")
-    return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(tidy(_predict(model)), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: crf.Model | None, least: float = 0.0) -> DataFrame:
@@ -104,4 +104,4 @@ def keep_identified(docs: DataFrame, model: crf.Model | None, least: float = 0.0
             )
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from eventide.llm import license_rules
 from eventide.llm import words as W
-from eventide.llm.common import only
+from eventide.llm.common import only, tidy
 
 # Base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -132,7 +132,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per document (doc_id, text) its words, base places, and detections by word range."""
-    return only(docs, ["doc_id", "text"]).mapInArrow(_scan, SCAN)
+    return only(docs, ["doc_id", "text"]).mapInArrow(tidy(_scan), SCAN)
 
 
 def summary(scanned: DataFrame) -> DataFrame:

@@ -13,8 +13,8 @@ earlier start in the same document. All is judged on the input.
 4. Families are dealt to cells. In a cell, windows that recur are confirmed, their
    first places are joined to passages, the passages are cut into pieces for an
    Aho-Corasick automaton, and it runs over all segments of the cell: around each
-   hit the words are compared with the passage, and ``WINDOW`` equal words or more,
-   elsewhere than at the passage itself, are covered.
+   hit the windows that hold the piece are compared with those of the passage, and equal
+   ones, elsewhere than at the passage itself, are covered.
 5. A family too large for one cell is split by document. What a cell leaves then is
    the first place of each window, and these windows, each a family of its own,
    go through step 4 again. A hot passage shrinks to one place per cell and round.
@@ -28,7 +28,9 @@ other columns are not read.
 """
 
 import hashlib
+import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -37,8 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm import words as W
-from eventide.llm.common import only, store
-from eventide.llm.jaccard import _bounds, _groups
+from eventide.llm.common import only, store, tidy
+from eventide.llm.groups import bounds, groups
 from eventide.llm.mixing import WHITE_SPACE
 
 WINDOW, ANCHOR = 20, 5
@@ -48,6 +50,8 @@ STRIDE = WINDOW - PIECE + 1
 # Passages that may share a piece; windows take the place of pieces of more.
 SHARED = 16
 CELL_WORDS = 200_000
+# Hits compared together.
+HITS = 50_000
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -160,8 +164,18 @@ def _numbered(found: W.Words, family: np.ndarray) -> np.ndarray:
     return which.reshape(-1)
 
 
-def _automaton(number: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> ahocorasick.Automaton:
-    """Pieces of the passages [heads, tails) with the places each stands at."""
+@dataclass
+class Pieces:
+    """Pieces of passages in an automaton: how long each is and the places it stands at."""
+
+    automaton: ahocorasick.Automaton
+    size: np.ndarray
+    first: np.ndarray
+    places: np.ndarray
+
+
+def pieces_of(number: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> Pieces:
+    """Cut the passages [heads, tails) into pieces, so that each of their windows holds one."""
     pieces: dict[tuple, list[int]] = {}
     for a, z in zip(heads.tolist(), tails.tolist(), strict=True):
         for at in range(a, z - PIECE + 1, STRIDE):
@@ -175,48 +189,70 @@ def _automaton(number: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> ahoc
                         pieces.setdefault(tuple(number[w : w + WINDOW].tolist()), []).append(w)
         for p in common:
             del pieces[p]
-    out = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for piece, places in pieces.items():
-        out.add_word(piece, (len(piece), places))
-    out.make_automaton()
-    return out
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    for k, piece in enumerate(pieces):
+        automaton.add_word(piece, k)
+    automaton.make_automaton()
+    counts = np.array([len(p) for p in pieces.values()], dtype=np.int64)
+    return Pieces(
+        automaton,
+        np.array([len(p) for p in pieces], dtype=np.int64),
+        np.concatenate([[0], np.cumsum(counts)]),
+        np.array([x for p in pieces.values() for x in p], dtype=np.int64),
+    )
+
 
+def locate(number: np.ndarray, first: np.ndarray, windows: np.ndarray, leads: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Starts of the windows, in any segment, that equal a passage's window elsewhere.
 
-def locate(number: np.ndarray, first: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of words, in any segment, that equal words of a passage elsewhere."""
-    automaton = _automaton(number, heads, tails)
-    begin, end = [], []
+    ``windows`` has a number for each word where a window starts, else -1; ``leads`` tells
+    the windows of the passages. Around each hit of a piece the windows that hold it are
+    compared with those at the piece's places.
+    """
+    hit_at, hit_piece = [], []
     for a, z in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        words = number[a:z]
-        done: dict[tuple[int, int], int] = {}
-        for last, (size, places) in automaton.iter(tuple(words.tolist())):
-            at = a + last - size + 1
-            for place in places:
-                if place == at:
-                    continue
-                k = int(np.searchsorted(heads, place, side="right")) - 1
-                # Hits further along a run that is known already add nothing.
-                if done.get((k, place - at), -1) >= at:
-                    continue
-                left = min(at - a, place - int(heads[k]))
-                right = min(z - at, int(tails[k]) - place)
-                before = number[at - left : at] != number[place - left : place]
-                behind = number[at : at + right] != number[place : place + right]
-                left = int(before[::-1].argmax()) if before.any() else left
-                right = int(behind.argmax()) if behind.any() else right
-                done[(k, place - at)] = at + right
-                if left + right >= WINDOW:
-                    begin.append(at - left)
-                    end.append(at + right)
-    return np.array(begin, np.int64), np.array(end, np.int64)
+        for last, piece in pieces.automaton.iter(tuple(number[a:z].tolist())):
+            hit_at.append(a + last + 1)
+            hit_piece.append(piece)
+    piece = np.array(hit_piece, dtype=np.int64)
+    at = np.array(hit_at, dtype=np.int64) - pieces.size[piece]
+    found = np.zeros(len(number), dtype=bool)
+    padded = np.concatenate([np.full(WINDOW, -1, windows.dtype), windows])
+    lead = np.concatenate([np.zeros(WINDOW, dtype=bool), leads])
+    for begin in range(0, len(piece), HITS):
+        some = piece[begin : begin + HITS]
+        n = pieces.first[some + 1] - pieces.first[some]
+        rank = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        place = pieces.places[np.repeat(pieces.first[some], n) + rank]
+        here, size = np.repeat(at[begin : begin + HITS], n), np.repeat(pieces.size[some], n)
+        for back in range(WINDOW - PIECE + 1):
+            one, other = here - back + WINDOW, place - back + WINDOW
+            same = (padded[one] == padded[other]) & lead[other] & (one != other) & (back <= WINDOW - size)
+            found[one[same] - WINDOW] = True
+    return np.flatnonzero(found)
+
+
+def joined_runs(
+    owner: np.ndarray, doc_of: np.ndarray, begin: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of one document that overlap or touch, as one; ``owner`` is a segment of it."""
+    if not len(owner):
+        return owner, begin, end
+    apart = doc_of[owner].astype(np.int64) * (int(end.max()) + 2)
+    order = np.argsort(apart + begin, kind="stable")
+    owner, begin, end, apart = (c[order] for c in (owner, begin, end, apart))
+    reach = np.maximum.accumulate(apart + end)
+    new = np.flatnonzero(np.append(True, (apart + begin)[1:] > reach[:-1]))
+    last = np.append(new[1:], len(owner)) - 1
+    return owner[new], begin[new], reach[last] - apart[new]
 
 
 def _cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Covered words of each cell; of families in several cells also the first places of all windows."""
-    for table in _groups(batches, ["cell"]):
-        bounds = _bounds(table, ["cell"])
+    for table in groups(batches, ["cell"]):
+        cuts = bounds(table, ["cell"])
         table = table.combine_chunks()
-        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        for lo, hi in itertools.pairwise(cuts.tolist()):
             yield from _one_cell(table.slice(lo, hi - lo).combine_chunks())
 
 
@@ -250,10 +286,16 @@ def _one_cell(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         begins = np.flatnonzero(new)
         heads = at[again][begins]
         tails = at[again][np.append(begins[1:], len(again)) - 1] + WINDOW
-        begin, end = locate(number, found.first, heads, tails)
-        owner = np.searchsorted(found.first, begin, side="right") - 1
-        base = found.first[owner] - start[owner]
-        yield _batch(k1=k1[owner], k2=k2[owner], begin=begin - base, end=end - base)
+        windows = np.full(len(number), -1, dtype=np.int64)
+        windows[at] = which
+        passage = np.zeros(len(number), dtype=bool)
+        passage[at[again]] = True
+        place = locate(number, found.first, windows, passage, pieces_of(number, heads, tails))
+        owner = np.searchsorted(found.first, place, side="right") - 1
+        begin = place - found.first[owner] + start[owner]
+        new_doc = np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))
+        owner, begin, end = joined_runs(owner, np.cumsum(new_doc), begin, begin + WINDOW)
+        yield _batch(k1=k1[owner], k2=k2[owner], begin=begin, end=end)
     # Families that stand in other cells too: the first places go on.
     on = np.flatnonzero(leads & many[segment])
     if len(on):
@@ -286,7 +328,8 @@ def _batch(**columns) -> pa.RecordBatch:
 
 def _dealt(segments: DataFrame) -> DataFrame:
     """Segments with their cell, and whether their family stands in several."""
-    words = segments.groupBy("family").agg(F.sum("n").alias("words"))
+    # Stored, so that the join may split a hot family.
+    words = store(segments.groupBy("family").agg(F.sum("n").alias("words")), "families")
     total = words.agg(F.sum("words")).first()[0] or 0
     cells = max(1, -(-total // CELL_WORDS))
     large = words.filter(F.col("words") > CELL_WORDS)
@@ -335,7 +378,7 @@ def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2", "row")
     firsts = store(heads.filter(F.col("n_words") >= WINDOW).groupBy("t1", "t2").agg(F.min(place).alias("first")), "firsts")
     kinds = "anchor long, t1 long, k1 long, span long"
-    places = keyed.select("t1", "k1", "text").mapInArrow(_places, kinds)
+    places = keyed.select("t1", "k1", "text").mapInArrow(tidy(_places), kinds)
     # Recurring: in two different texts, or twice in one.
     stats = places.groupBy("anchor").agg(
         F.min("t1").alias("family"), F.max("t1").alias("other"), F.min("span").alias("low"), F.max("span").alias("high")
@@ -352,11 +395,11 @@ def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     texts = store(texts.select("no_id", "doc_id", "t1", "k1", "k2", "text", "places"), "texts")
 
     kinds = "no_id boolean, doc_id long, t1 long, k1 long, k2 long, family long, start long, n long, text string"
-    segments = store(texts.mapInArrow(_segments, kinds), "segments")
+    segments = store(texts.mapInArrow(tidy(_segments), kinds), "segments")
     runs = []
     while True:
         ordered = _dealt(segments).repartition("cell").sortWithinPartitions("cell")
-        done = store(ordered.mapInArrow(_cell, CELL), "cells")
+        done = store(ordered.mapInArrow(tidy(_cell), CELL), "cells")
         runs.append(done.filter("begin IS NOT NULL").select("k1", "k2", "begin", "end"))
         segments = done.filter("family IS NOT NULL").select(*[c.split()[0] for c in kinds.split(", ")])
         if segments.isEmpty():
@@ -371,8 +414,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     """Per document (doc_id, text) its words, those removed, and the hash of what is left."""
     heads, texts, runs = covered(docs)
     by_doc = runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
-    cut = texts.select("k1", "k2", "text").join(by_doc, ["k1", "k2"])
-    cut = cut.mapInArrow(_cut, "k1 long, k2 long, removed long, sha string")
+    # Small runs of few texts would be broadcast, those of many not: one plan at every size.
+    cut = texts.select("k1", "k2", "text").join(by_doc.hint("merge"), ["k1", "k2"])
+    cut = cut.mapInArrow(tidy(_cut), "k1 long, k2 long, removed long, sha string")
     copy = F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
     empty: Column = F.sha2(F.lit(""), 256)
     out = heads.join(cut, ["k1", "k2"], "left")

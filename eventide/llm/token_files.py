@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.llm import simple8b, words
-from eventide.llm.common import only
+from eventide.llm.common import only, tidy
 
 BLOCK_IDS = 1 << 18
 # Coded pieces a Python worker keeps, at about 40 bytes each.
-CACHE_PIECES = 2_000_000
-SLICE_BYTES = 6 << 20
+CACHE_PIECES = 1_000_000
+SLICE_BYTES = 3 << 20
 # Words coded in one call.
 JOINED = 4096
 
@@ -264,7 +264,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
         "doc_id", "text", F.xxhash64("text").alias("by_text"), F.monotonically_increasing_id().alias("place")
     )
     sorted_rows = dealt.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    blocks = sorted_rows.mapInArrow(_blocks(tokenizer, end_id), BLOCKS)
+    blocks = sorted_rows.mapInArrow(tidy(_blocks(tokenizer, end_id)), BLOCKS)
     blocks.write.option("compression", "zstd").parquet(path)
 
 
@@ -300,4 +300,4 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     placed = blocks.join(F.broadcast(parts), "part").select(
         (F.col("base") + F.col("first")).alias("start"), "doc_ids", "lengths", "ids"
     )
-    return placed.mapInArrow(_documents, DOCUMENTS)
+    return placed.mapInArrow(tidy(_documents), DOCUMENTS)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.llm.bitslice import Block
-from eventide.llm.common import only, store
+from eventide.llm.common import only, store, tidy
 
 SCALE = 64
 BLOCK_ROWS, CHUNK_ROWS = 16_384, 512
@@ -122,15 +122,15 @@ def search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     rows = only(vectors, ["vec_id", "embedding"]).filter(F.col("vec_id").isNotNull() & finite)
     rows = rows.select("vec_id", quantised("embedding").alias("q"))
-    blocks = store(rows.mapInArrow(_index, BLOCKS), "blocks")
+    blocks = store(rows.mapInArrow(tidy(_index), BLOCKS), "blocks")
     groups = max(1, blocks.count())
     queries = rows.filter(is_query).groupBy("vec_id", "q").agg(F.count(F.lit(1)))
-    chunks = queries.select("vec_id", "q").mapInArrow(_query_chunks, "query_ids array<long>, vectors array<array<long>>")
+    chunks = queries.select("vec_id", "q").mapInArrow(tidy(_query_chunks), "query_ids array<long>, vectors array<array<long>>")
     chunks = store(chunks.withColumn("chunk", F.monotonically_increasing_id()), "queries")
     # Every chunk goes to every group of blocks: all queries against all rows.
     sent = chunks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     placed = blocks.withColumn("group", F.pmod(F.xxhash64("block_ids", "slices"), F.lit(groups)).cast("int"))
-    found = placed.join(sent, "group").mapInArrow(_search(k), "chunk long, query_id long, number long, vec_id long, score long")
+    found = placed.join(sent, "group").mapInArrow(tidy(_search(k)), "chunk long, query_id long, number long, vec_id long, score long")
     best = Window.partitionBy("query_id", "chunk", "number").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 # Text bytes handled at once; bounds the temporary arrays of a task.
@@ -78,7 +79,8 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of whole texts of about ``limit`` bytes; a longer text stands alone."""
-    _, offsets = buffers(texts)
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
     at = 0
     while at < len(texts):
         to = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1

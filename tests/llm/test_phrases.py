@@ -49,6 +49,17 @@ def test_small_alphabets(spark, monkeypatch, cell):
     assert dedup(df) == brute(given)
 
 
+def test_joined_runs():
+    rng = np.random.default_rng(2)
+    doc_of = np.array([1, 1, 2, 3])
+    owner, begin = rng.integers(0, 4, 60), rng.integers(0, 200, 60)
+    end = begin + rng.integers(1, 12, 60)
+    covered = {(doc_of[o], k) for o, a, z in zip(owner, begin, end, strict=True) for k in range(a, z)}
+    runs = list(zip(*phrases.joined_runs(owner, doc_of, begin, end), strict=True))
+    again = [(doc_of[o], k) for o, a, z in runs for k in range(a, z)]
+    assert set(again) == covered and len(again) == len(covered)
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(1)
     tokens = rng.integers(0, 9, 400).astype(np.uint64)

@@ -2,10 +2,11 @@
 
 A seed is the hash of the tokens that a fixed mask keeps of a run of tokens; the
 positions it skips may be substituted. Seeds of the benchmark and of the documents
-are joined, and around each hit the two token sequences are compared position by
-position: the best run, where a mismatch costs as much as three matches, is an
-overlap if it has ``LEAST`` equal tokens (nine tenths of a shorter item) and four of
-five tokens are equal. Tokens are runs of letters and digits in lower case.
+are joined, and along the diagonal of each hit the two token sequences are compared
+position by position: a run is an overlap if it has ``LEAST`` equal tokens (nine tenths
+of a shorter item) and four of five tokens are equal. Of the runs of a pair, the first
+with the most equal tokens is reported. ``MASKS`` are such that every run that meets
+this rule holds a seed, so none is lost. Tokens are runs of letters and digits in lower case.
 
 A filter of fixed size holds the benchmark's seeds, so that a document's seeds
 leave its task only if they may occur in the benchmark. A benchmark too large for the
@@ -13,7 +14,7 @@ filter lets more seeds through to the join and changes no result.
 
 Edge cases: null and empty texts have no tokens; items of under ``SHORTEST`` tokens are
 too short to tell and take no part; an item shorter than a mask is looked for by the
-mask's beginning; repeated items count once per id; repeated documents are found one
+shorter masks; repeated items count once per id; repeated documents are found one
 by one; empty tables give no overlaps; other columns are not read.
 """
 
@@ -27,10 +28,12 @@ from pyspark.sql import functions as F
 from eventide.llm import words as W
 from eventide.llm.common import only, store, tidy
 
-# Fixed masks: 1 keeps a token, 0 skips it.
-MASKS = ["1110010011", "1101001101", "1011010101", "1100110101", "1010111001", "1111110000"]
-SPAN = 10
+# Fixed masks: 1 keeps a token, 0 skips it. The shortest is as long as the shortest item.
+MASKS = ["1110010011", "1101001101", "1011010101", "1100110101", "1010111001", "111111", "1101111"]
 LEAST, SHORTEST, EQUAL = 10, 6, 0.8
+# Equal tokens that a substituted one takes beside it: four of five are equal.
+SUBSTITUTED = 4
+# What a mismatch costs in ``best_run``.
 MISMATCH = 3
 # Bits of the seed filter: 1 MB, whatever the size of the benchmark.
 FILTER_BITS = 1 << 23
@@ -41,19 +44,19 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return W.hashes(found), found.first
 
 
-def _seeds(tokens: np.ndarray, first: np.ndarray, span: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per mask, cut to ``span`` tokens: the seeds and the token each begins at."""
-    n = len(tokens) - span + 1
-    if n <= 0:
-        return
-    room = np.repeat(first[1:], np.diff(first))[:n] - np.arange(n)
-    at = np.flatnonzero(room >= span)
+def _seeds(tokens: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per mask: the seeds and the token each begins at."""
+    room = np.repeat(first[1:], np.diff(first)) - np.arange(len(tokens))
     for number, mask in enumerate(MASKS):
-        seed = np.full(n, 1 + number + len(MASKS) * span, dtype=np.uint64)
-        for k in range(span):
-            if mask[k] == "1":
+        n = len(tokens) - len(mask) + 1
+        if n <= 0:
+            continue
+        seed = np.full(n, 1 + number, dtype=np.uint64)
+        for k, kept in enumerate(mask):
+            if kept == "1":
                 seed *= np.uint64(0x100000001B3)
                 seed += tokens[k : k + n]
+        at = np.flatnonzero(room[:n] >= len(mask))
         yield W.mix(seed[at]), at
 
 
@@ -64,7 +67,7 @@ def _slots(seed: np.ndarray) -> list[np.ndarray]:
 
 
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """Items with their tokens and seeds: item_id, tokens, seeds array of (seed, at), span."""
+    """Items with their tokens and seeds: item_id, tokens, seeds array of (seed, at)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,25 +78,23 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
                 own = tokens[first[k] : first[k + 1]]
                 if len(own) < SHORTEST:
                     continue
-                span = min(SPAN, len(own))
                 seeds = [
                     {"seed": int(s), "at": int(a)}
-                    for seed, at in _seeds(own, np.array([0, len(own)]), span)
+                    for seed, at in _seeds(own, np.array([0, len(own)]))
                     for s, a in zip(seed.view(np.int64), at, strict=True)
                 ]
-                rows.append((ids[k].as_py(), own.view(np.int64).tolist(), span, seeds))
+                rows.append((ids[k].as_py(), own.view(np.int64).tolist(), seeds))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-                    pa.array([r[2] for r in rows], pa.int32()),
-                    pa.array([r[3] for r in rows], pa.list_(pa.struct([("seed", pa.int64()), ("at", pa.int32())]))),
+                    pa.array([r[2] for r in rows], pa.list_(pa.struct([("seed", pa.int64()), ("at", pa.int32())]))),
                 ],
-                ["item_id", "tokens", "span", "seeds"],
+                ["item_id", "tokens", "seeds"],
             )
 
     rows = only(benchmark, ["item_id", "text"]).distinct()
-    kinds = "item_id long, tokens array<long>, span int, seeds array<struct<seed: long, at: int>>"
+    kinds = "item_id long, tokens array<long>, seeds array<struct<seed: long, at: int>>"
     return rows.mapInArrow(tidy(run), kinds)
 
 
@@ -112,7 +113,7 @@ def _filter(items: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
 
 
-def _document_hits(packed: np.ndarray, spans: list[int]):
+def _document_hits(packed: np.ndarray):
     """Documents with seeds in the filter: their tokens and these seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,13 +123,12 @@ def _document_hits(packed: np.ndarray, spans: list[int]):
             for a, b in W.slices(texts):
                 tokens, first = _tokens(texts.slice(a, b - a))
                 seeds, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-                for span in spans:
-                    for seed, at in _seeds(tokens, first, span):
-                        one, two = _slots(seed)
-                        hit = np.flatnonzero(known[one])
-                        hit = hit[known[two[hit]]]
-                        seeds.append(seed[hit])
-                        places.append(at[hit])
+                for seed, at in _seeds(tokens, first):
+                    one, two = _slots(seed)
+                    hit = np.flatnonzero(known[one])
+                    hit = hit[known[two[hit]]]
+                    seeds.append(seed[hit])
+                    places.append(at[hit])
                 seed, at = np.concatenate(seeds), np.concatenate(places)
                 if not len(seed):
                     continue
@@ -164,6 +164,25 @@ def best_run(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, i
     return lo + begin, lo + end - 1, int(equal[begin:end].sum())
 
 
+def longest_run(doc: np.ndarray, item: np.ndarray, shift: int, need: int) -> tuple[int, int, int]:
+    """Run with the most equal tokens, four of five equal, on one diagonal: first and last
+    item token, and how many are equal; (0, -1, 0) if these are fewer than ``need``."""
+    lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
+    equal = doc[lo + shift : hi + shift] == item[lo:hi]
+    if equal.sum() < need:
+        return 0, -1, 0
+    same = np.concatenate([[0], np.cumsum(equal)])
+    # Four of five are equal from i to j if the total does not fall; the first such i for each j.
+    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -SUBSTITUTED))])
+    begin = np.searchsorted(-np.minimum.accumulate(total), -total)
+    end = int(np.argmax(same - same[begin]))
+    begin = int(begin[end])
+    count = int(same[end] - same[begin])
+    if count < need:
+        return 0, -1, 0
+    return lo + begin + int(np.argmax(equal[begin:end])), lo + end - 1, count
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -173,8 +192,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             need = min(LEAST, int(np.ceil(0.9 * len(item))))
             best = (0, 0, 0, 0)
             for shift in sorted(set(batch.column("shifts")[k].as_py())):
-                begin, end, equal = best_run(doc, item, shift)
-                if equal >= need and equal >= EQUAL * (end - begin + 1) and equal > best[2]:
+                begin, end, equal = longest_run(doc, item, shift, need)
+                if equal > best[2]:
                     best = (begin + shift, end + shift, equal, end - begin + 1)
             if best[2]:
                 ids = batch.column("doc_id")[k].as_py(), batch.column("item_id")[k].as_py()
@@ -193,12 +212,11 @@ OVERLAPS = "doc_id long, item_id long, first_token long, last_token long, n_equa
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Overlaps of documents (doc_id, text) with benchmark items (item_id, text), the best per pair of rows."""
     items = store(benchmark_seeds(benchmark), "items")
-    spans = sorted(r.span for r in items.select("span").distinct().collect())
-    if not spans:
+    if items.isEmpty():
         return docs.sparkSession.createDataFrame([], OVERLAPS)
     packed = np.packbits(_filter(items), bitorder="little")
     kinds = "doc_id long, tokens array<long>, hits array<struct<seed: long, at: int>>"
-    found = only(docs, ["doc_id", "text"]).mapInArrow(tidy(_document_hits(packed, spans)), kinds)
+    found = only(docs, ["doc_id", "text"]).mapInArrow(tidy(_document_hits(packed)), kinds)
     # One stored row per document row with hits; its place tells repeated ids apart.
     found = store(found.withColumn("row", F.monotonically_increasing_id()), "hits")
     hits = found.select("row", F.inline("hits")).withColumnRenamed("at", "doc_at")

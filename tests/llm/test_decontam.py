@@ -69,6 +69,86 @@ def test_best_run_equals_brute_force():
         assert equal - decontam.MISMATCH * (z - a + 1 - equal) == brute_best(doc, item, shift)[0]
 
 
+def brute_longest(doc, item, shift):
+    """Most equal tokens of a run on one diagonal that has four of five equal."""
+    best = 0
+    for a in range(len(item)):
+        for b in range(a + 1, len(item) + 1):
+            if a + shift >= 0 and b + shift <= len(doc):
+                equal = sum(doc[k + shift] == item[k] for k in range(a, b))
+                best = max(best, equal) if 5 * equal >= 4 * (b - a) else best
+    return best
+
+
+def test_longest_run_equals_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        n = int(rng.integers(6, 31))
+        item = np.arange(n)
+        doc = np.concatenate([[-1] * 3, np.where(rng.random(n) < rng.choice([0.1, 0.15, 0.2, 0.4]), -2, item), [-3] * 2])
+        shift, need = int(rng.choice([3, 3, 3, 2, n, -n // 2])), int(rng.integers(1, 11))
+        if max(0, -shift) >= min(n, len(doc) - shift):
+            continue
+        a, z, equal = decontam.longest_run(doc, item, shift, need)
+        expected = brute_longest(doc, item, shift)
+        assert equal == (expected if expected >= need else 0)
+        if equal:
+            same = doc[a + shift : z + shift + 1] == item[a : z + 1]
+            assert same[0] and same[-1] and same.sum() == equal and 5 * equal >= 4 * len(same)
+
+
+def test_every_run_that_meets_the_rule_is_found(spark):
+    """Items of 6 to 30 tokens with 0 to 25 % substituted, against brute force on the rule."""
+    rng = random.Random(9)
+    docs, items, expected = [(0, "clean words only")], [], {}
+    for k in range(1, 700):
+        n = rng.randint(6, 30)
+        item = [f"i{k}t{t}" for t in range(n)]
+        passage = [f"other{k}x{t}" if rng.random() < rng.choice([0, 0.1, 0.15, 0.2, 0.25]) else w for t, w in enumerate(item)]
+        if k == 1:
+            item = [f"i1t{t}" for t in range(16)]
+            passage = [f"other{t}" if t in (4, 8, 12) else w for t, w in enumerate(item)]
+        if k <= 13 and k > 1:
+            item = [f"i{k}t{t}" for t in range(10)]
+            passage = [f"other{t}" if t == k - 2 else w for t, w in enumerate(item)]
+        before = rng.randint(0, 4)
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join(["before"] * before + passage + ["after"] * rng.randint(0, 4))))
+        equal = brute_longest(passage, item, 0)
+        if equal >= min(decontam.LEAST, -(-9 * len(item) // 10)):
+            expected[k] = equal
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.overlaps(df, benchmark).collect()
+    assert all(r.doc_id == r.item_id for r in found)
+    assert {r.doc_id: r.n_equal for r in found} == expected and 1 in expected
+
+
+def test_masks_miss_no_run():
+    """Of strings of equal (1) and substituted (0) tokens without a seed, none meets the rule at any
+    length: the largest total of +1 and -4, per last tokens and number of equal ones."""
+    masks = [(len(m), int(m, 2)) for m in decontam.MASKS]
+    size = max(n for n, _ in masks)
+    start = (0, 0, 0)
+    best, todo = {start: 0}, {start}
+    for _ in range(1000):
+        changed = set()
+        for last, n, equal in todo:
+            for bit in (0, 1):
+                after, m = (last << 1 | bit) & (1 << size) - 1, min(n + 1, size)
+                if any(m >= k and after & w == w for k, w in masks):
+                    continue
+                state = after, m, min(decontam.LEAST, equal + bit)
+                total = best[last, n, equal] + (1 if bit else -decontam.SUBSTITUTED)
+                if total > best.get(state, -(10**9)):
+                    best[state] = total
+                    changed.add(state)
+        todo = changed
+    assert not todo and all(total < 0 for (_, _, equal), total in best.items() if equal == decontam.LEAST)
+
+
 def test_odd_documents(spark, odd, clashing):
     items = [(1, "the same words stand here twice and more"), (1, "the same words stand here twice and more")]
     items += [(2, None), (3, ""), (4, "too short"), (None, "a row without an id of its own")]

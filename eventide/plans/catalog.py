@@ -204,7 +204,7 @@ def cycles_in_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "cycles")
     windows = data.windows(spark, sf_dir)
     part = data.part_of(F.dayofmonth("window_start"))
-    for k in (0, 1, 1, 2):
+    for k in (0, 1, *range(1, data.STREAM_PARTS)):
         window_io.write_windows(windows.filter(part == k), f"{path}/in", f"part-{k}")
         start_cycles(spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint").awaitTermination()
     results = spark.read.option("basePath", f"{path}/out/reports/analysis_result").parquet(

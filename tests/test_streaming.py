@@ -347,3 +347,17 @@ def test_cycles_on_a_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert store.scan_windows(spark, f"{out}/windows").count() == n + 3
+
+
+def test_cycles_take_every_day(spark):
+    """All events in windows that pass the gate, the last days of the month too; the part stored twice once."""
+    from eventide.plans import catalog
+
+    found = catalog.queries()["cycles_in_turn"](spark, SF).collect()
+    judged = validate_windows(data.windows(spark, SF)).filter("is_valid").select("window_start", "total_events")
+    parts = {}
+    for r in judged.collect():
+        n, events = parts.get(min((r.window_start.day - 1) // 8, 3), (0, 0))
+        parts[min((r.window_start.day - 1) // 8, 3)] = n + 1, events + r.total_events
+    assert len(parts) == 4
+    assert sorted((r.total_windows, r.total_events) for r in found) == sorted(parts.values())

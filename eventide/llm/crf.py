@@ -7,6 +7,8 @@ all run side by side; what passes between segments are the products of their
 transfer matrices, so the marginals are those of the whole chain.
 """
 
+import itertools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +21,8 @@ NGRAMS = (2, 3, 4)
 AFFIXES = (3, 5)
 # Words listed per label, if seen this often.
 LEXICON, SEEN = 2000, 3
+# Numbers in the largest array over the words of texts that are handled together, besides one text.
+CELLS = 1 << 25
 
 
 @dataclass
@@ -153,6 +157,14 @@ class Chain:
         return np.stack([np.bincount(self.text, seg[:, j], n_texts) for j in range(x.shape[1])], axis=1)
 
 
+def parts(first: np.ndarray, k: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts whose chains are handled together, the smaller the more labels there are."""
+    count = np.diff(first)
+    cells = np.cumsum(count * k + -(-count // SEGMENT) * k * k)
+    cuts = np.flatnonzero(np.diff(cells // CELLS)) + 1
+    return itertools.pairwise([0, *cuts.tolist(), len(count)])
+
+
 def sticky(k: int, stay: float) -> np.ndarray:
     if k == 1:
         return np.zeros((1, 1))
@@ -180,7 +192,10 @@ def fit(texts, label_of: np.ndarray, labels: list[str], rounds: int = 30, chain_
         lexicons.append(np.sort(keys[top[seen[top, y] >= SEEN]]))
     found, of = features(some, lexicons, keys)
     weights, energy = np.zeros((BUCKETS, k)), np.full((BUCKETS, k), 1e-8)
-    chain = Chain(words.first)
+    chains = [
+        (slice(words.first[a], words.first[b]), Chain(words.first[a : b + 1] - words.first[a]))
+        for a, b in parts(words.first, k)
+    ]
 
     def step(gap: np.ndarray) -> None:
         nonlocal weights
@@ -197,8 +212,8 @@ def fit(texts, label_of: np.ndarray, labels: list[str], rounds: int = 30, chain_
         step(share - p * share.sum(axis=1, keepdims=True))
 
     transitions = sticky(k, 0.95)
-    e = emissions(found, of, n, weights)[which]
-    truth = chain.marginals(e, np.exp(transitions).astype(np.float32)).argmax(axis=1)
+    e, a = emissions(found, of, n, weights), np.exp(transitions).astype(np.float32)
+    truth = np.concatenate([chain.marginals(e[which[own]], a).argmax(axis=1) for own, chain in chains])
     target = np.stack([np.bincount(which[truth == y], minlength=n) for y in range(k)], axis=1)
     inner = np.ones(len(which), dtype=bool)
     inner[words.first[:-1][np.diff(words.first) > 0]] = False
@@ -207,9 +222,12 @@ def fit(texts, label_of: np.ndarray, labels: list[str], rounds: int = 30, chain_
     speed = np.full((k, k), 1e-8)
     for _ in range(chain_rounds):
         pairs = np.zeros((k, k))
-        e = emissions(found, of, n, weights)[which]
-        gamma = chain.marginals(e, np.exp(transitions).astype(np.float32), pairs)
-        mean = np.stack([np.bincount(which, gamma[:, y], n) for y in range(k)], axis=1)
+        e, a = emissions(found, of, n, weights), np.exp(transitions).astype(np.float32)
+        mean = np.zeros((n, k))
+        for own, chain in chains:
+            gamma = chain.marginals(e[which[own]], a, pairs)
+            for y in range(k):
+                mean[:, y] += np.bincount(which[own], gamma[:, y], n)
         step(target - mean)
         grad = (real - pairs) / real.sum()
         speed += grad**2
@@ -225,7 +243,10 @@ def shares(model: Model, texts) -> np.ndarray:
         return np.zeros((n_texts, len(model.labels)))
     some, keys, which = distinct(words)
     found, of = features(some, model.lexicons, keys)
-    e = emissions(found, of, len(keys), model.weights)[which]
-    chain = Chain(words.first)
-    gamma = chain.marginals(e, np.exp(model.transitions))
-    return chain.text_sums(gamma, n_texts) / np.maximum(words.counts, 1)[:, None]
+    e, a = emissions(found, of, len(keys), model.weights), np.exp(model.transitions)
+    sums = np.zeros((n_texts, len(model.labels)))
+    for lo, hi in parts(words.first, len(model.labels)):
+        first = words.first[lo : hi + 1]
+        chain = Chain(first - first[0])
+        sums[lo:hi] = chain.text_sums(chain.marginals(e[which[first[0] : first[-1]]], a), hi - lo)
+    return sums / np.maximum(words.counts, 1)[:, None]

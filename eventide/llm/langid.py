@@ -3,10 +3,12 @@
 ``crf`` labels every word of every whole text; a document's language is the label
 with the largest mean marginal over its words, and the score is that mean.
 
-The model is fitted on a bounded sample: of each of the ``MAX_LABELS`` most frequent
-languages (ties by name), the ``TRAIN_DOCS`` documents first in the order of their id's
-hash, among those of at most ``TRAIN_CHARS`` characters. Documents that are held out
-never enter it.
+Every language of the labelled documents is learned, however many there are. The
+model is fitted on a sample of each: the ``TRAIN_DOCS`` documents first in the order of
+their id's hash, among those of at most ``TRAIN_CHARS`` characters. Where these are under
+``FEWEST``, passages of so many characters from longer documents make up for them.
+Beyond ``MANY`` languages each has fewer documents, so that words times languages do
+not grow, but never under ``FEWEST``. Documents that are held out never enter it.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; a null
 doc_id is predicted, but neither held out nor learned from; equal rows get equal
@@ -27,7 +29,8 @@ from eventide.llm import words as W
 from eventide.llm.common import only, ship, tidy
 
 UNDETERMINED = "und"
-TRAIN_DOCS, TRAIN_CHARS, MAX_LABELS = 250, 20_000, 64
+TRAIN_DOCS, TRAIN_CHARS, MANY, FEWEST = 250, 20_000, 64, 4
+# Of a slice of texts, at up to four languages; with more it is smaller.
 SLICE_BYTES = 3 << 20
 
 _LETTER = regex.compile(r"\p{L}")
@@ -38,16 +41,24 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def sample_docs(languages: int) -> int:
+    """Documents that each of so many languages is learned from, at most."""
+    return max(FEWEST, min(TRAIN_DOCS, TRAIN_DOCS * MANY**2 // max(1, languages) ** 2))
+
+
 def train(docs: DataFrame) -> crf.Model | None:
-    """Fit a model on a bounded sample of (doc_id, text, lang); None if there is nothing to learn."""
+    """Fit a model on a sample of each language of (doc_id, text, lang); None if there is nothing to learn."""
     rows = only(docs, ["doc_id", "text", "lang"]).filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & F.col("text").rlike(r"\p{L}")
     )
-    fit = rows.filter(F.length("text") <= TRAIN_CHARS)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    picked = fit.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= TRAIN_DOCS)
-    common = fit.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LABELS)
-    sample = picked.join(common, "lang").select("lang", "nth", "text").orderBy("lang", "nth").collect()
+    most = sample_docs(rows.select("lang").distinct().count())
+    long = F.length("text") > TRAIN_CHARS
+    passage = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{TRAIN_CHARS - 1}}}", 0)
+    fit = rows.select("lang", "doc_id", long.alias("long"), F.when(long, passage).otherwise(F.col("text")).alias("text"))
+    order = Window.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    picked = fit.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most)
+    picked = picked.filter(~F.col("long") | (F.col("nth") <= FEWEST))
+    sample = picked.select("lang", "nth", "text").orderBy("lang", "nth").collect()
     if not sample:
         return None
     labels = sorted({r.lang for r in sample})
@@ -56,12 +67,14 @@ def train(docs: DataFrame) -> crf.Model | None:
 
 
 def _predict(model: crf.Model | None):
+    slice_bytes = SLICE_BYTES * 4 // max(4, len(model.labels) if model is not None else 0)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             kept = [batch.column(c) for c in batch.schema.names if c != "text"]
             names = [c for c in batch.schema.names if c != "text"]
-            for a, b in W.slices(texts, SLICE_BYTES):
+            for a, b in W.slices(texts, slice_bytes):
                 part = texts.slice(a, b - a)
                 known = np.array([t is not None and _LETTER.search(t) is not None for t in part.to_pylist()])
                 lang = np.full(b - a, UNDETERMINED, dtype=object)

@@ -90,3 +90,39 @@ def test_held_out_documents_are_not_learned_from(documents):
     changed = documents.withColumn("lang", F.when(langid.held_out(), F.lit("zz")).otherwise(F.col("lang")))
     one, two = langid.train(documents), langid.train(changed)
     assert one.labels == two.labels and np.array_equal(one.weights, two.weights)
+
+
+def invented(lang, n, rng):
+    """Words of an invented language: three syllables of its own eight."""
+    own = np.random.default_rng(1000 + lang)
+    syllables = ["".join(own.choice(list("abcdefghijklmnoprstuvwz"), 3)) for _ in range(8)]
+    return " ".join("".join(rng.choice(syllables, 3)) for _ in range(n))
+
+
+def test_every_language_is_learned(spark):
+    """More than 64 languages, and one whose documents are all long."""
+    rng = np.random.default_rng(4)
+    docs = [(100 * y + k, invented(y, 30, rng), f"l{y:03}") for y in range(80) for k in range(12)]
+    docs += [(9000 + k, "1 " * 15_000 + invented(99, 3_000, rng), "long") for k in range(8)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    assert model.labels == sorted({lang for *_, lang in docs})
+    truth = {i: lang for i, _, lang in docs}
+    held = [r for r in langid.identify(df, model).collect() if r.held_out]
+    assert len(held) > 150 and sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.98 * len(held)
+    assert [r.lang_pred for r in held if r.doc_id >= 9000] == ["long"] * sum(r.doc_id >= 9000 for r in held)
+
+
+def test_sample_shrinks_with_many_languages_but_no_language_goes():
+    assert [langid.sample_docs(k) for k in (0, 1, 64, 128, 100_000)] == [250, 250, 250, 62, langid.FEWEST]
+
+
+def test_parts_of_texts_change_no_result(monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = pa.array([invented(y, 40, rng) for y in (0, 1, 2) for _ in range(5)] + ["", None])
+    labels = np.array([y for y in (0, 1, 2) for _ in range(5)])
+    model = crf.fit(texts.slice(0, 15), labels, ["a", "b", "c"])
+    one = crf.shares(model, texts)
+    monkeypatch.setattr(crf, "CELLS", 100)
+    np.testing.assert_allclose(crf.shares(model, texts), one, rtol=1e-4)
+    np.testing.assert_allclose(crf.fit(texts.slice(0, 15), labels, ["a", "b", "c"]).weights, model.weights, atol=1e-3)

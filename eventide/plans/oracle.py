@@ -384,8 +384,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 2, 0 UNION ALL SELECT 3, 0""",
         "cycles_in_turn": f"""WITH {HOURLY}
             SELECT count(*) AS total_windows, CAST(sum(total_events) AS BIGINT) AS total_events
-            FROM windows WHERE day(window_start) <= 24 AND raw_avg BETWEEN 0 AND 300000
-            GROUP BY (day(window_start) - 1) // 8""",
+            FROM windows WHERE raw_avg BETWEEN 0 AND 300000
+            GROUP BY least((day(window_start) - 1) // 8, 3)""",
         "clean_dedup": _clean_step(_BASE),
         "clean_filter_nonempty": _clean_step(_BASE, _NONEMPTY),
         "clean_cast_ms": _clean_step(_MILLIS, _NONEMPTY),

@@ -32,6 +32,14 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
+def single(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The same, one group at a time."""
+    for table in groups(batches, keys):
+        cuts = bounds(table, keys).tolist()
+        for at, to in zip(cuts[:-1], cuts[1:], strict=True):
+            yield table.slice(at, to - at)
+
+
 def bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
     """Where groups begin, and the end."""
     new = np.zeros(table.num_rows, dtype=bool)

@@ -6,8 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import chat, decontam, jaccard, langid, licenses, mixing, phrases, secrets, token_files, topk
-from eventide.llm.common import table
+from eventide.llm import (
+    alignment,
+    chat,
+    decontam,
+    divergence,
+    jaccard,
+    langid,
+    licenses,
+    mixing,
+    packing,
+    phrases,
+    secrets,
+    token_files,
+    topk,
+)
+from eventide.llm.common import store, table
 from eventide.session import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +30,8 @@ QUERY_EVERY, TOP = 20, 20
 WEIGHTS, MOST_COPIES = (5, 2, 1), 3
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+BYTE_TOKENIZER, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
+SEQUENCE_TOKENS, SEQUENCE_END_ID = 1024, 2
 
 
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +86,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_MODEL))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_TOKENIZER)
+    cut = packing.cut_documents(table(spark, sf_dir, "documents"), path, SEQUENCE_END_ID, SEQUENCE_TOKENS)
+    digest = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(store(digest, "pieces"), SEQUENCE_TOKENS).drop("item")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_topk_search": op1_topk_search,
@@ -82,6 +114,9 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": op8_license_scan,
         "op9_mix_sources": op9_mix_sources,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
+        "op13_best_fit_packing": op13_best_fit_packing,
     }
 
 
@@ -202,6 +237,42 @@ FROM t LEFT JOIN spans ON spans.doc_id = t.doc_id GROUP BY t.doc_id
 """
 
 
+# The regular expression takes runs of letters; beyond ASCII every character is one.
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+words AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+sums AS (SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL),
+sources AS (
+  SELECT lang, source, coalesce(sums.n, 0) AS n, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN sums USING (lang, source) LEFT JOIN langs USING (lang)),
+full_rows AS (
+  SELECT s.lang, s.source, kept.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (s.n + 5 * s.v) AS p,
+    1 + 1000000000::HUGEINT * (kept.n + 5) // (langs.n + 5 * s.v) AS q
+  FROM sources s JOIN kept USING (lang) JOIN langs USING (lang)
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = kept.term),
+apart AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM full_rows x JOIN full_rows y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+rows_ AS (
+  SELECT s.lang, s.source, 'pair' AS part, o.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM sources s JOIN sources o ON o.lang = s.lang AND o.source <> s.source
+  LEFT JOIN apart a ON a.lang = s.lang AND a.source = s.source AND a.item = o.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM full_rows WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM rows_ QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
     return {
@@ -209,4 +280,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_jaccard_join": JACCARD_SQL,
         "op3_secret_scan": _secrets_sql(),
         "op10_substring_dedup": PHRASES_SQL,
+        "op11_source_divergence": DIVERGENCE_SQL,
     }

@@ -6,7 +6,7 @@ only need scalar columns. Sorted results carry a tie-break, so they are the same
 on every run.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.functions import strict_json as js
@@ -89,25 +89,49 @@ def hourly_rollup(windows: DataFrame) -> DataFrame:
 
 
 def hourly_report(windows: DataFrame) -> DataFrame:
-    """Hours of non-empty windows by events, with the median window average.
+    """Hours of non-empty windows by events, with the median window average."""
+    hours = windows.filter("total_events > 0").select(
+        hour_of(F.col("window_start")).alias("hour"), "total_events", "avg_duration_ms", "unique_users"
+    )
+    sums = hours.groupBy("hour").agg(
+        F.sum("total_events").alias("total_events"),
+        F.avg("avg_duration_ms").alias("avg_duration_ms"),
+        F.sum("unique_users").alias("unique_users"),
+    )
+    middle = exact_medians(hours, "hour", "avg_duration_ms").withColumnRenamed("median", "median_duration")
+    return sums.join(middle, "hour", "left").orderBy(F.desc("total_events"), "hour")
+
+
+# A sketch of a group's ranks is off by at most one in this many, and the part of the
+# ranks around the middle that is looked at is twice as wide.
+SKETCH_ACCURACY = 1000
 
-    The exact median keeps one counter per distinct average of an hour. Copies
-    of a window share a counter, and an hour has at most 3600 windows of a
-    second or more per producer, so the state per hour is small.
+
+def exact_medians(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """The exact median of each group (key, median), without holding a group's values.
+
+    A sketch of bounded size brackets the middle of each group. Values below the bracket
+    are only counted, those above it left out, and the few between counted by value:
+    running sums over these give the two middle ranks, and the median lies half-way
+    between them. Null values count as absent; a group without values has none.
     """
-    return (
-        windows.filter("total_events > 0")
-        .groupBy(hour_of(F.col("window_start")).alias("hour"))
-        .agg(
-            F.sum("total_events").alias("total_events"),
-            F.avg("avg_duration_ms").alias("avg_duration_ms"),
-            F.sum("unique_users").alias("unique_users"),
-            F.expr("percentile_cont(0.5) WITHIN GROUP (ORDER BY avg_duration_ms)").alias(
-                "median_duration"
-            ),
-        )
-        .orderBy(F.desc("total_events"), "hour")
-    )
+    near = 2 / SKETCH_ACCURACY
+    bracket = F.percentile_approx(value, [0.5 - near, 0.5 + near], SKETCH_ACCURACY)
+    known = rows.filter(F.col(value).isNotNull()).select(F.col(key), F.col(value).alias("v"))
+    sketches = rows.groupBy(key).agg(bracket.alias("b"), F.count(value).alias("size")).filter("size > 0")
+    placed = known.join(sketches, key).filter(F.col("v") <= F.col("b")[1])
+    # One row for all below the bracket, and one for each value in it.
+    inside = F.when(F.col("v") >= F.col("b")[0], F.col("v"))
+    counted = placed.groupBy(key, inside.alias("v")).agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+    upto = F.sum("n").over(Window.partitionBy(key).orderBy(F.col("v").asc_nulls_first()))
+    ranked = counted.withColumn("upto", upto)
+
+    def at(rank: Column) -> Column:
+        here = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+        return F.max(F.when(here, F.col("v")))
+
+    low, high = at(F.floor((F.col("size") - 1) / 2)), at(F.floor(F.col("size") / 2))
+    return ranked.groupBy(key).agg((low + (high - low) * 0.5).alias("median"))
 
 
 def hourly_totals(windows: DataFrame) -> DataFrame:

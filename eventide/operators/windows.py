@@ -235,6 +235,24 @@ def rollup(cells: DataFrame, size: str = DEFAULT_SIZE) -> DataFrame:
     return with_end(windows, size)
 
 
+# What a window without events holds.
+_QUIET = {
+    "total_events": "0L",
+    "event_counts": "cast(map() AS map<string,bigint>)",
+    "unique_users": "0L",
+    "avg_duration_ms": "0.0D",
+    "top_pages": "cast(array() AS array<struct<page:string,count:bigint>>)",
+}
+
+
+def quiet_windows(cells: DataFrame, size: str) -> DataFrame:
+    """Windows whose counters hold no event."""
+    busy = F.bool_or(F.col("dim") == "event_type")
+    quiet = cells.groupBy(_KEY).agg(busy.alias("busy")).filter("NOT busy")
+    measures = [F.expr(_QUIET[c]).alias(c) for c in _COLUMN_ORDER if c in _QUIET]
+    return with_end(quiet.select(_KEY, *measures), size)
+
+
 def zero_fill(windows: DataFrame, size: str) -> DataFrame:
     """Add windows without events between the first and the last one.
 
@@ -270,11 +288,7 @@ def zero_fill(windows: DataFrame, size: str) -> DataFrame:
     zero = {
         "window_start": starts,
         "window_end": starts + F.expr(f"INTERVAL {size}"),
-        "total_events": F.lit(0).cast("bigint"),
-        "unique_users": F.lit(0).cast("bigint"),
-        "avg_duration_ms": F.lit(0.0),
-        "event_counts": F.expr("cast(map() AS map<string,bigint>)"),
-        "top_pages": F.expr("cast(array() AS array<struct<page:string,count:bigint>>)"),
+        **{name: F.expr(value) for name, value in _QUIET.items()},
     }
     quiet = slots.join(reached.distinct(), "slot", "left_anti")
     kinds = dict(windows.dtypes)

@@ -10,14 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.operators import clean, reports, validate
+from eventide.operators import anchored, clean, reports, validate
 from eventide.operators import windows as win
 from eventide.plans.cycle import run_cycle, start_cycles
 from eventide.session import run_dir
 from eventide.sources import events as event_io
 from eventide.sources import testdata as data
 from eventide.sources import windows as window_io
-from eventide.streaming import decode, tumbling
+from eventide.streaming import corrections, decode, tumbling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +128,10 @@ def window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(win.rollup(spark.read.schema(cells.schema).parquet(path), data.HOUR))
 
 
+def windows_per_collector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(anchored.anchored_windows(*data.collected_events(spark, sf_dir), data.HOUR))
+
+
 def windows_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = data.off_grid_windows(spark, sf_dir)
     return present(win.zero_fill(windows, data.TEN_MINUTES).drop("window_end"))
@@ -155,15 +159,36 @@ def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(window_io.from_at_rest(tumbling.read_closed_windows(spark, path)))
 
 
-def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second part of the table comes last. A batch drops what is older than the
-    watermark of the batch before it began with, so that part is too late as a whole."""
+def stream_quiet_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows with and without events; the stream of events ends before that of ticks."""
+    path = run_dir(spark, "quiet")
+    events = data.stream_files(spark, sf_dir, f"{path}/events")
+    ticks = data.tick_files(spark, sf_dir, f"{path}/ticks", data.TEN_MINUTES, CLOSE_DELAY)
+    tumbling.start_closed_windows(
+        events, path, f"{path}/checkpoint", data.TEN_MINUTES, CLOSE_DELAY, ticks=ticks
+    ).awaitTermination()
+    windows = tumbling.read_closed_windows(spark, path)
+    return present(windows.select("window_start", "total_events", "unique_users", "avg_duration_ms"))
+
+
+def _corrected(spark: SparkSession, sf_dir: str) -> str:
+    """Closed windows with corrections: the second part of the table comes last, when all
+    its windows are closed."""
     path = run_dir(spark, "late")
     events = data.stream_files(spark, sf_dir, f"{path}/events", (0, 2, 3, 1))
-    tumbling.start_closed_windows(
+    corrections.start_corrected_windows(
         events, path, f"{path}/checkpoint", data.HOUR, CLOSE_DELAY
     ).awaitTermination()
-    return present(tumbling.late_events(spark, path, data.user_events(spark, sf_dir), data.HOUR))
+    return path
+
+
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(corrections.late_counts(spark, _corrected(spark, sf_dir)))
+
+
+def stream_corrected_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = corrections.read_corrected_windows(spark, _corrected(spark, sf_dir))
+    return present(window_io.from_at_rest(windows.drop("batch_id")))
 
 
 def stream_decode_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +214,7 @@ def stream_drain_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         if run != 2:
             window_io.write_windows(windows, f"{path}/windows", "all")
         tumbling.start_drain(
-            spark, f"{path}/windows", f"{path}/out/run={run}", f"{path}/checkpoint", taken=f"{path}/taken"
+            spark, f"{path}/windows", f"{path}/out/run={run}", f"{path}/checkpoint"
         ).awaitTermination()
     handed_over = window_io.scan_windows(spark, f"{path}/out", {"run": "bigint"})
     runs = spark.range(1, 4).withColumnRenamed("id", "run")
@@ -264,21 +289,21 @@ def windows_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def windows_union_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of today's layout next to others: without type counts and with narrower
-    totals, with fractional totals, with a further column; and a folder that is not there."""
+    """One folder with files of today's layout next to others: without type counts and with
+    narrower totals, with fractional totals, with a further column; and a folder that is not there."""
     path = run_dir(spark, "mixed")
     data.windows_at_rest(spark, sf_dir).write.parquet(f"{path}/now")
     stored = window_io.scan_windows(spark, f"{path}/now")
     total = F.col("total_events")
-    others = {
-        "old": stored.drop("event_counts").withColumn("total_events", total.cast("int")),
-        "fractional": stored.withColumn("total_events", total.cast("double")),
-        "wider": stored.withColumn("collector", F.lit("c1")),
-    }
-    for name, frame in others.items():
-        frame.write.parquet(f"{path}/{name}")
-    folders = [f"{path}/{name}" for name in ("now", *others, "absent")]
-    return present(window_io.scan_folders(spark, *folders))
+    layouts = [
+        stored,
+        stored.drop("event_counts").withColumn("total_events", total.cast("int")),
+        stored.withColumn("total_events", total.cast("double")),
+        stored.withColumn("collector", F.lit("c1")),
+    ]
+    for frame in layouts:
+        frame.write.mode("append").parquet(f"{path}/mixed")
+    return present(window_io.scan_folders(spark, f"{path}/mixed", f"{path}/absent"))
 
 
 def window_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,9 +402,12 @@ def queries() -> dict[str, Query]:
         "window_aggregate": window_aggregate,
         "window_rollup": window_rollup,
         "windows_zero_filled": windows_zero_filled,
+        "windows_per_collector": windows_per_collector,
         "stream_window_aggregate": stream_window_aggregate,
         "stream_closed_windows": stream_closed_windows,
+        "stream_quiet_windows": stream_quiet_windows,
         "stream_late_events": stream_late_events,
+        "stream_corrected_windows": stream_corrected_windows,
         "stream_decode_split": stream_decode_split,
         "stream_drain_once": stream_drain_once,
         "cycles_in_turn": cycles_in_turn,

@@ -160,5 +160,5 @@ def start_cycles(
         "_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index"
     )
     return follow_runs(
-        spark, windows_path, f"{out}/taken", checkpoint, cycle, every, lambda df: from_at_rest(df.withColumn("seq", order))
+        spark, windows_path, checkpoint, cycle, every, lambda df: from_at_rest(df.withColumn("seq", order))
     )

@@ -6,7 +6,7 @@ nothing with the Spark code but the fixed value lists and parameters.
 
 from eventide.plans.catalog import FIRST_DAY, LAST_DAY, LOGGED_AT
 from eventide.schemas import EVENT_TYPES
-from eventide.sources.testdata import N_BROWSERS, N_COUNTRIES, N_DEVICES, N_PAGES
+from eventide.sources.testdata import N_BROWSERS, N_COUNTRIES, N_DEVICES, N_PAGES, QUIET_SLOTS
 
 
 def _strings(values: list[str]) -> str:
@@ -372,10 +372,50 @@ def oracle_sql() -> dict[str, str]:
             SELECT slot, 0, 0, 0.0 FROM spine
             WHERE NOT EXISTS (SELECT 1 FROM moved WHERE window_start < slot + INTERVAL 10 MINUTES
                                                     AND window_end > slot)""",
+        "windows_per_collector": f"""WITH {USER_EVENTS},
+            anchors AS (
+                SELECT collector, (SELECT date_trunc('day', min(ts)) FROM events) + after AS started_at
+                FROM (VALUES ('c0', INTERVAL '-7 seconds'), ('c1', INTERVAL '-3 minutes'),
+                             ('c1', INTERVAL '9 days 7 hours 3 minutes 20 seconds'),
+                             ('c1', INTERVAL '9 days 7 hours 25 minutes 41.5 seconds')) AS v(collector, after)
+            ),
+            bucketed AS (
+                SELECT e.*, a.collector, a.started_at
+                           + to_hours(date_diff('microsecond', a.started_at, e.timestamp) // 3600000000) AS window_start
+                FROM (SELECT *, 'c' || CAST(event_id % 2 AS VARCHAR) AS collector FROM user_events) e
+                ASOF JOIN anchors a ON e.collector = a.collector AND e.timestamp >= a.started_at
+            ),
+            types AS (
+                SELECT collector, window_start, '{{' || string_agg('"' || event_type || '":' || n, ',' ORDER BY event_type) || '}}' AS event_counts
+                FROM (SELECT collector, window_start, event_type, count(*) AS n FROM bucketed GROUP BY ALL) GROUP BY ALL
+            ),
+            pages AS (
+                SELECT collector, window_start,
+                       '[' || string_agg('{{"page":"' || page || '","count":' || n || '}}', ',' ORDER BY rank) || ']' AS top_pages
+                FROM (SELECT *, row_number() OVER (PARTITION BY collector, window_start ORDER BY n DESC, page) AS rank
+                      FROM (SELECT collector, window_start, page, count(*) AS n FROM bucketed GROUP BY ALL) QUALIFY rank <= 5)
+                GROUP BY ALL
+            )
+            SELECT collector, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS total_events,
+                   any_value(event_counts) AS event_counts, count(DISTINCT user_id) AS unique_users,
+                   round(avg(duration_ms), 6) AS avg_duration_ms, any_value(top_pages) AS top_pages
+            FROM bucketed JOIN types USING (collector, window_start) JOIN pages USING (collector, window_start)
+            GROUP BY collector, window_start""",
         "stream_window_aggregate": AGGREGATE,
         "stream_closed_windows": f"""{AGGREGATE}
             WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
                                 - INTERVAL 10 MINUTES""",
+        "stream_quiet_windows": f"""WITH {TEN_MINUTES},
+            spine AS (
+                SELECT unnest(generate_series(min(window_start), max(window_start) + INTERVAL {QUIET_SLOTS * 10} MINUTES,
+                                              INTERVAL 10 MINUTES)) AS slot
+                FROM windows
+            )
+            SELECT slot AS window_start, coalesce(total_events, 0) AS total_events,
+                   coalesce(unique_users, 0) AS unique_users, coalesce(avg_duration_ms, 0.0) AS avg_duration_ms
+            FROM spine LEFT JOIN windows ON window_start = slot""",
+        "stream_corrected_windows": f"""{AGGREGATE}
+            WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES""",
         "stream_late_events": f"""WITH {HOURLY}
             SELECT window_start, total_events AS late FROM windows
             WHERE day(window_start) BETWEEN 9 AND 16""",

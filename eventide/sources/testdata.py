@@ -91,17 +91,55 @@ def stream_files(
     """The event table as a stream of its parts, one micro-batch each, in the given order.
 
     The parts are written below ``path`` one after the other, so their files' times
-    differ and follow that order.
+    differ and follow that order; the tasks of a part write as many files as there
+    are shuffle partitions, and a micro-batch reads as many.
     """
     events = user_events(spark, sf_dir)
     part = part_of(F.dayofmonth("timestamp"))
+    least = events.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0] or 1
+    files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), least // 100))
     for number, k in enumerate(order):
-        events.filter(part == k).coalesce(1).write.parquet(f"{path}/{number}")
+        events.filter(part == k).repartition(files).write.parquet(f"{path}/{number}")
     return (
-        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/*")
     )
 
 
+QUIET_SLOTS = 3
+
+
+def tick_files(spark: SparkSession, sf_dir: str, path: str, size: str, delay: str) -> DataFrame:
+    """A stream of instants, one per window of the event table, in the parts of
+    ``stream_files``; the last part goes on until ``QUIET_SLOTS`` more windows are closed."""
+    start = F.window("timestamp", size).start
+    bounds = user_events(spark, sf_dir).agg(F.min(start).alias("lo"), F.max(start).alias("hi"))
+    step = F.expr(f"INTERVAL {size}")
+    until = F.col("hi") + step * (QUIET_SLOTS + 1) + F.expr(f"INTERVAL {delay}")
+    ticks = bounds.select(F.explode(F.sequence("lo", until, step)).alias("timestamp"), "hi")
+    part = F.when(F.col("timestamp") > F.col("hi"), STREAM_PARTS - 1).otherwise(part_of(F.dayofmonth("timestamp")))
+    for k in range(STREAM_PARTS):
+        ticks.filter(part == k).select("timestamp").coalesce(1).write.parquet(f"{path}/{k}")
+    return spark.readStream.schema("timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+def collected_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events by collector, and the starts of the collectors: two of them, which began
+    at different times before the first event; the second started anew twice."""
+    events = user_events(spark, sf_dir)
+    collected = events.withColumn("collector", F.concat(F.lit("c"), (F.col("id").cast("bigint") % 2).cast("string")))
+    day = F.date_trunc("day", F.min("timestamp"))
+    starts = F.array(
+        *[
+            F.struct(F.lit(name).alias("collector"), (day + F.expr(f"INTERVAL '{at}' DAY TO SECOND")).alias("started_at"))
+            for name, at in COLLECTOR_STARTS
+        ]
+    )
+    return collected, events.agg(starts.alias("s")).select(F.inline("s"))
+
+
+COLLECTOR_STARTS = [("c0", "-0 00:00:07"), ("c1", "-0 00:03:00"), ("c1", "9 07:03:20"), ("c1", "9 07:25:41.5")]
+
+
 def damaged_json(events: DataFrame) -> DataFrame:
     """Every event as a JSON record (``id``, ``value``), some of them damaged.
 

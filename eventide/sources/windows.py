@@ -15,6 +15,7 @@ from eventide.schemas import (
     WINDOW_AT_REST,
     WINDOW_EXPORT_COLUMNS,
 )
+from eventide.sources.layouts import read_mixed
 
 
 def to_at_rest(windows: DataFrame) -> DataFrame:
@@ -59,14 +60,14 @@ def write_windows(windows: DataFrame, path: str, run_id: str) -> str:
     each day files of a sensible size and splits a day that holds most of the rows. A
     run without rows leaves an empty folder, which ``scan_windows`` reads as a typed,
     empty table. Once the folder is complete the run is announced in the run log next to
-    ``path``: whoever hands windows over follows the log, not the files, and so sees
-    whole runs only. Returns the folder of the run.
+    ``path``, unless it was before: whoever hands windows over follows the log, not the
+    files, and so sees whole runs only, and each once. A run has one writer at a time.
+    Returns the folder of the run.
     """
     target = f"{path}/run_id={run_id}"
     days = to_at_rest(windows).withColumn("window_date", F.to_date("window_start"))
     days.hint("rebalance", "window_date").write.mode("overwrite").partitionBy("window_date").parquet(target)
-    announced = windows.sparkSession.range(1).select(F.lit(run_id).alias("run_id"))
-    announced.write.mode("append").parquet(run_log(path))
+    announce_run(windows.sparkSession, path, run_id)
     return target
 
 
@@ -78,6 +79,23 @@ def run_log(path: str) -> str:
     return f"{path.rstrip('/')}.runs"
 
 
+def announce_run(spark: SparkSession, path: str, run_id: str) -> None:
+    """Note a finished run in the log, in a folder of its own; a run in the log stays as it is.
+
+    An announcement that was cut off left no row and is written again.
+    """
+    folder = f"{run_log(path)}/run-{run_id}"
+    try:
+        known = not spark.read.schema(RUN_LOG).parquet(folder).isEmpty()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = False
+    if not known:
+        line = spark.range(0, 1, 1, 1).select(F.lit(run_id).alias("run_id"))
+        line.write.mode("overwrite").parquet(folder)
+
+
 def scan_runs(
     spark: SparkSession, path: str, run_ids: list[str], extra: dict[str, str] | None = None
 ) -> DataFrame:
@@ -122,23 +140,14 @@ def union_windows(*frames: DataFrame) -> DataFrame:
 def scan_folders(spark: SparkSession, *folders: str) -> DataFrame:
     """All windows of folders whose files differ in layout, by start.
 
-    Folders of one layout are read together and the layouts united: absent columns are
-    null, narrower numbers widen (int to bigint to double), further columns stay. A
-    folder that does not exist adds nothing; without any, the result is an empty
-    table in the stored schema. One footer per folder tells its layout.
+    Layouts may differ from file to file of one folder: absent columns are null, types
+    widen (see ``layouts``), further columns stay. A folder that does not exist adds
+    nothing; without any file, the result is an empty table in the stored schema.
     """
-    layouts: dict[str, tuple[T.StructType, list[str]]] = {}
-    for folder in folders:
-        try:
-            schema = spark.read.parquet(folder).schema
-        except AnalysisException as missing:
-            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            continue
-        layouts.setdefault(schema.json(), (schema, []))[1].append(folder)
-    frames = [spark.read.schema(schema).parquet(*some) for schema, some in layouts.values()]
-    empty = spark.createDataFrame([], WINDOW_AT_REST)
-    return union_windows(*(frames or [empty])).orderBy("window_start")
+    found = read_mixed(spark, *folders)
+    if found is None:
+        found = spark.createDataFrame([], WINDOW_AT_REST)
+    return found.orderBy("window_start")
 
 
 def export_windows(windows: DataFrame) -> DataFrame:

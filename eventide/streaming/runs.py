@@ -3,7 +3,6 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventide.schemas import WINDOW_AT_REST
@@ -18,7 +17,6 @@ def trigger(every: str | None) -> dict:
 def follow_runs(
     spark: SparkSession,
     windows_path: str,
-    taken: str,
     checkpoint: str,
     handle: Callable[[DataFrame, int], None],
     every: str | None = None,
@@ -26,34 +24,23 @@ def follow_runs(
 ) -> StreamingQuery:
     """Call ``handle`` with the windows of the runs announced since the last call.
 
-    Each batch notes all runs taken so far below ``taken``, in a folder of its own, and
-    reads the note of the batch before it: what a batch costs does not grow with their
-    number. A batch repeated after a failure takes the same runs again; a run announced
-    again, because it was stored again, is in the note already and left out. Only
-    the ids of the batch's new runs come to the driver.
+    A run is in the log once, however often it is stored, and the stream's checkpoint
+    holds how far the log was read: nothing else is kept, so a batch costs the same
+    after any number of runs. A batch repeated after a failure takes the same runs
+    again. Only the ids of the batch's own runs come to the driver.
     """
     windows_path = windows_path.rstrip("/")
-    note = f"{RUN_LOG}, fresh boolean"
 
     def batch_of_runs(announced: DataFrame, batch_id: int) -> None:
-        session = announced.sparkSession
-        here = f"{taken}/batch_id={batch_id}"
-        notes = announced.select("run_id").distinct().withColumn("fresh", F.lit(True))
-        if batch_id > 0:
-            before = session.read.schema(note).parquet(f"{taken}/batch_id={batch_id - 1}")
-            known = before.select("run_id")
-            notes = notes.join(known, "run_id", "left_anti").unionByName(known.withColumn("fresh", F.lit(False)))
-        notes.write.mode("overwrite").parquet(here)
-        fresh = session.read.schema(note).parquet(here).filter("fresh")
-        runs = sorted(r.run_id for r in fresh.collect())
+        runs = sorted(r.run_id for r in announced.select("run_id").distinct().collect())
         if runs:
-            reader = session.read.schema(WINDOW_AT_REST).option("basePath", windows_path)
+            reader = announced.sparkSession.read.schema(WINDOW_AT_REST).option("basePath", windows_path)
             stored = reader.parquet(*[f"{windows_path}/run_id={r}" for r in runs])
             handle(read(stored), batch_id)
 
-    announced = spark.readStream.schema(RUN_LOG).parquet(run_log(windows_path))
+    log = spark.readStream.schema(RUN_LOG).option("recursiveFileLookup", "true").parquet(run_log(windows_path))
     return (
-        announced.writeStream.foreachBatch(batch_of_runs)
+        log.writeStream.foreachBatch(batch_of_runs)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(every))
         .start()

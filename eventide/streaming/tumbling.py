@@ -11,6 +11,8 @@ its end. That needs Spark's state store, which holds one counter per key of the
 open windows, and an allowed delay after which late events are dropped.
 """
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventide.operators.windows import (
     DEFAULT_SIZE,
-    assign_windows,
     merge_cells,
+    quiet_windows,
     rollup,
     window_cells,
     window_facts,
@@ -31,7 +33,8 @@ from eventide.sources.windows import from_at_rest, scan_windows, to_at_rest, uni
 from eventide.streaming.runs import follow_runs, trigger
 
 EVERY_CYCLE = "30 seconds"
-
+# The dimension of counters that hold ticks and no events.
+TICK = "tick"
 
 # Files per dimension that a batch of closed windows writes at most.
 CELL_FILES = 4
@@ -69,13 +72,24 @@ def start_cells(
 
 
 def note_batch(spark: SparkSession, path: str, batch_id: int) -> None:
-    """Note that a batch's counters are complete; readers open noted batches only."""
-    line = spark.range(1).select(F.lit(batch_id).cast("long").alias("id"))
-    line.write.mode("overwrite").parquet(f"{path.rstrip('/')}.done/batch_id={batch_id}")
+    """Note that all batches up to this one are complete; readers open those only.
 
+    Batches follow one another, so one number is enough. It is kept in two places in
+    turn: one of them is whole while the other is written.
+    """
+    line = spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("long").alias("id"))
+    line.write.mode("overwrite").parquet(f"{path.rstrip('/')}.done/turn={batch_id % 2}")
 
-def done_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("id long").parquet(f"{path.rstrip('/')}.done").select("id").distinct()
+
+def last_batch(spark: SparkSession, path: str) -> int | None:
+    """The last complete batch, None without any."""
+    try:
+        notes = spark.read.schema("id long").option("ignoreMissingFiles", "true").parquet(f"{path.rstrip('/')}.done")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return notes.agg(F.max("id")).first()[0]
 
 
 def read_cells(
@@ -92,10 +106,12 @@ def read_cells(
     written, or written again, is left out until it is complete.
     """
     schema = T.StructType([*CELL_LOG.fields, T.StructField("day", T.DateType())])
-    done = sorted(r.id for r in done_batches(spark, path).collect() if base is None or r.id > base[1])
-    log = spark.read.schema(schema).option("basePath", path)
-    newer = log.parquet(*[f"{path}/batch_id={b}" for b in done]) if done else spark.createDataFrame([], schema)
-    frames = [newer]
+    done, known = last_batch(spark, path), base[1] if base else -1
+    if done is None or done <= known:
+        frames = [spark.createDataFrame([], schema)]
+    else:
+        number = F.col("batch_id")
+        frames = [spark.read.schema(schema).parquet(path).filter((number > known) & (number <= done))]
     if base is not None:
         kept = T.StructType([*CELL.fields, T.StructField("day", T.DateType())])
         frames.append(spark.read.schema(kept).parquet(base[0]))
@@ -115,7 +131,7 @@ def compact_cells(
     A scheduled job: returns the base to read with, and to compact on, from then on. The
     merged batch folders can be removed once nobody reads without it.
     """
-    upto = done_batches(spark, path).agg(F.max("id")).first()[0]
+    upto = last_batch(spark, path)
     merged = merge_cells(read_cells(spark, path, base)).withColumn("day", F.to_date("window_start"))
     merged.write.mode("overwrite").partitionBy("day", "dim").parquet(target)
     return target, upto
@@ -133,6 +149,11 @@ def read_windows(
     return rollup(read_cells(spark, path, base, days), size)
 
 
+def clock(spark: SparkSession, time_col: str = "timestamp") -> DataFrame:
+    """A stream of instants, one a second: lets windows by arrival time close while no event comes."""
+    return spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(F.col("timestamp").alias(time_col))
+
+
 def start_closed_windows(
     events: DataFrame,
     path: str,
@@ -143,6 +164,8 @@ def start_closed_windows(
     every: str | None = None,
     time_col: str = "timestamp",
     empty: bool = False,
+    ticks: DataFrame | None = None,
+    files: int = CELL_FILES,
 ) -> StreamingQuery:
     """Write each window once, when events up to ``delay`` late can no longer come.
 
@@ -151,40 +174,59 @@ def start_closed_windows(
     there: the stateful plan runs once, whatever the roll-up reads. Windows go
     to ``<path>/windows`` in stored form, one folder per batch, and one line per batch
     with the number of its windows and events to ``<path>/closed``. ``time_col`` may be the
-    arrival column. ``empty`` adds the windows without events between those of a batch
-    and after the last one of the batch before.
+    arrival column.
+
+    ``ticks`` is a stream of instants in ``time_col`` (``clock``, for example). It joins the
+    events ahead of the watermark, so time goes on while no event comes, and a window
+    that holds ticks alone closes like any other, without events. ``empty`` adds, without ticks,
+    the windows between those of a batch and after the last one of the batches before.
 
     Adaptive execution does not work in a stateful query, so the writes are sized here:
-    counters are dealt by dimension and a few salts, and a roll-up uses a few partitions.
+    counters are dealt by dimension and a few salts into ``files`` per dimension at most,
+    and a roll-up uses as many partitions.
     """
-    facts = window_facts(events.withWatermark(time_col, delay), time_col)
+    facts = window_facts(events, time_col)
+    if ticks is not None:
+        beat = ticks.filter(F.col(time_col).isNotNull()).select(
+            time_col, F.lit(TICK).alias("dim"), F.lit("").alias("key"), F.lit(0.0).alias("d")
+        )
+        facts = facts.unionByName(beat)
     cells = (
-        facts.groupBy(F.window(time_col, size, startTime=offset).alias("w"), "dim", "key")
+        facts.withWatermark(time_col, delay)
+        .groupBy(F.window(time_col, size, startTime=offset).alias("w"), "dim", "key")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("duration"))
         .select(F.col("w.start").alias("window_start"), "dim", "key", "n", "duration")
     )
+    dims = 3 if ticks is None else 4
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         closed = f"{path}/cells/batch_id={batch_id}"
-        salt = F.pmod(F.xxhash64("window_start", "key"), F.lit(CELL_FILES))
-        dealt = batch.repartition(3 * CELL_FILES, "dim", salt)
+        salt = F.pmod(F.xxhash64("window_start", "key"), F.lit(files))
+        dealt = batch.repartition(dims * files, "dim", salt)
         dealt.write.mode("overwrite").partitionBy("dim").parquet(closed)
-        windows = rollup(spark.read.schema(CELL).parquet(closed), size)
-        stored = windows.coalesce(CELL_FILES)
-        to_at_rest(stored).write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
+        counters = spark.read.schema(CELL).parquet(closed)
+        windows = rollup(counters, size)
+        if ticks is not None:
+            windows = windows.unionByName(quiet_windows(counters, size))
+        to_at_rest(windows.coalesce(files)).write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
+        written = spark.read.schema(WINDOW_AT_REST).parquet(f"{path}/windows/batch_id={batch_id}")
+        last = _last_start(spark, path, batch_id - 1)
         if empty:
-            written = from_at_rest(spark.read.schema(WINDOW_AT_REST).parquet(f"{path}/windows/batch_id={batch_id}"))
-            known = written
-            if batch_id > 0:
-                last = scan_windows(spark, f"{path}/windows", {"batch_id": "long"})
-                last = last.filter(F.col("batch_id") < batch_id)
-                bound = last.agg(F.max("window_start")).scalar()
-                known = written.unionByName(from_at_rest(last.filter(F.col("window_start") == bound).drop("batch_id")).limit(1))
+            known = from_at_rest(written)
+            if last is not None:
+                # Where the batches before ended: a row that only holds the place.
+                start = F.lit(last).cast("timestamp")
+                place = {"window_start": start, "window_end": start + F.expr(f"INTERVAL {size}")}
+                kinds = dict(known.dtypes)
+                row = [place.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in known.columns]
+                known = known.unionByName(spark.range(1).select(*row))
             added = zero_fill(known, size).filter("total_events = 0").coalesce(1)
             to_at_rest(added).write.mode("overwrite").parquet(f"{path}/empty/batch_id={batch_id}")
-        line = spark.read.schema(WINDOW_AT_REST).parquet(f"{path}/windows/batch_id={batch_id}").agg(
-            F.count(F.lit(1)).alias("windows"), F.coalesce(F.sum("total_events"), F.lit(0)).alias("events")
+        line = written.agg(
+            F.count(F.lit(1)).alias("windows"),
+            F.coalesce(F.sum("total_events"), F.lit(0)).alias("events"),
+            F.greatest(F.max("window_start"), F.lit(last).cast("timestamp")).alias("upto"),
         )
         line.write.mode("overwrite").parquet(f"{path}/closed/batch_id={batch_id}")
 
@@ -197,6 +239,13 @@ def start_closed_windows(
     )
 
 
+def _last_start(spark: SparkSession, path: str, batch_id: int) -> datetime | None:
+    """The start of the last window written up to a batch, from that batch's line."""
+    if batch_id < 0:
+        return None
+    return spark.read.schema("upto timestamp").parquet(f"{path}/closed/batch_id={batch_id}").first().upto
+
+
 def read_closed_windows(spark: SparkSession, path: str) -> DataFrame:
     """The closed windows written so far, with the empty ones if they were asked for."""
     windows = scan_windows(spark, f"{path}/windows")
@@ -208,40 +257,21 @@ def read_closed_windows(spark: SparkSession, path: str) -> DataFrame:
         return windows
 
 
-def late_events(spark: SparkSession, path: str, events: DataFrame, size: str, time_col: str = "timestamp", offset: str | None = None) -> DataFrame:
-    """Events of closed windows that the closed windows do not count: those that came too late.
-
-    One row per window with the number of events missing there, from a comparison of
-    the kept events with what was written.
-    """
-    cells = spark.read.schema(CELL).parquet(f"{path}/cells").filter("dim = 'event_type'")
-    counted = cells.groupBy("window_start").agg(F.sum("n").alias("counted"))
-    there = assign_windows(events, size, time_col, offset).groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))
-    upto = counted.agg(F.max("window_start")).scalar()
-    missing = there.filter(F.col("window_start") <= upto).join(counted, "window_start", "left")
-    late = F.col("n") - F.coalesce("counted", F.lit(0))
-    return missing.select("window_start", late.alias("late")).filter("late > 0")
-
-
 def start_drain(
     spark: SparkSession,
     windows_path: str,
     target: str,
     checkpoint: str,
     every: str | None = None,
-    taken: str | None = None,
 ) -> StreamingQuery:
     """Hand over stored windows once: each run of this query copies the runs of windows
     announced since the last.
 
     A batch that failed is repeated into the same folder, and a run of windows that is
-    stored again is not handed over again, so nothing is lost and nothing appears twice.
-    What was handed over is noted below ``taken``, by default next to ``target``.
+    stored again is not announced again, so nothing is lost and nothing appears twice.
     """
 
     def hand_over(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-    return follow_runs(
-        spark, windows_path, taken or f"{target.rstrip('/')}.taken", checkpoint, hand_over, every
-    )
+    return follow_runs(spark, windows_path, checkpoint, hand_over, every)

@@ -1,6 +1,7 @@
 """Streams against batch: several micro-batches, restarts, late and replayed data."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,15 +167,61 @@ def at(spark, *minutes):
     return spark.createDataFrame(rows, USER_EVENT)
 
 
-def test_closed_windows_drop_and_count_late_events(spark, tmp_path):
+def test_closed_windows_drop_late_events(spark, tmp_path):
     src, out, check = (str(tmp_path / n) for n in ("src", "closed", "check"))
     for number, minute in enumerate((1, 300, 2, 600)):
         add(at(spark, minute), src, number)
         run(tumbling.start_closed_windows(source(spark, src), out, check, "1 hour", "10 minutes"))
     got = store.scan_windows(spark, f"{out}/windows").orderBy("window_start").collect()
     assert [(r.window_start.hour, r.total_events) for r in got] == [(0, 1), (5, 1)]
-    late = tumbling.late_events(spark, out, at(spark, 1, 300, 2, 600), "1 hour").collect()
-    assert [(r.window_start.hour, r.late) for r in late] == [(0, 1)]
+
+
+def test_quiet_windows_close_while_only_ticks_come(spark, tmp_path):
+    """Events end with the second batch; ticks alone carry the stream on, over a restart."""
+    src, out, check, beat = (str(tmp_path / n) for n in ("src", "closed", "check", "ticks"))
+    ticks = at(spark, *range(0, 600, 30)).select("timestamp")
+    add(at(spark, 1, 130), src, 0)
+    ticks.filter("timestamp < '2024-01-01T03:00:00'").coalesce(1).write.parquet(f"{beat}/0")
+
+    def go():
+        stream = spark.readStream.schema("timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(f"{beat}/*")
+        run(tumbling.start_closed_windows(source(spark, src), out, check, "1 hour", "10 minutes", ticks=stream))
+        got = tumbling.read_closed_windows(spark, out).orderBy("window_start").collect()
+        return [(r.window_start.hour, r.total_events, r.event_counts) for r in got]
+
+    one = '{"click":1}'
+    assert go() == [(0, 1, one), (1, 0, "{}")]
+    ticks.filter("timestamp >= '2024-01-01T03:00:00'").coalesce(1).write.parquet(f"{beat}/1")
+    assert go() == [(0, 1, one), (1, 0, "{}"), (2, 1, one), *[(h, 0, "{}") for h in range(3, 9)]]
+
+
+def test_clock_closes_windows_by_arrival(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "closed", "check"))
+    add(at(spark, 1), src, 0)
+    events = source(spark, src).withColumn("arrival", F.current_timestamp())
+    query = tumbling.start_closed_windows(
+        events, out, check, "1 second", "1 second", time_col="arrival", ticks=tumbling.clock(spark, "arrival"), every="1 second"
+    )
+    deadline = time.monotonic() + 60
+    while time.monotonic() < deadline and sum(p.batchId >= 0 for p in query.recentProgress) < 6:
+        time.sleep(1)
+    query.stop()
+    got = tumbling.read_closed_windows(spark, out).agg(F.sum("total_events").alias("n"), F.count(F.lit(1)).alias("w")).first()
+    assert got.n == 1 and got.w > 1
+
+
+def test_a_batch_of_closed_windows_reads_the_batch_before_it_only(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "closed", "check"))
+    for number, minute in enumerate((1, 200, 700)):
+        add(at(spark, minute), src, number)
+        run(tumbling.start_closed_windows(source(spark, src), out, check, "1 hour", "10 minutes", empty=True))
+    # The windows written before are gone; what a batch needs of them is in the last line.
+    for written in (tmp_path / "closed" / "windows").glob("batch_id=*/*"):
+        written.rename(tmp_path / written.name)
+    add(at(spark, 1400), src, 3)
+    run(tumbling.start_closed_windows(source(spark, src), out, check, "1 hour", "10 minutes", empty=True))
+    empty = store.scan_windows(spark, f"{out}/empty").orderBy("window_start").collect()
+    assert [r.window_start.hour for r in empty] == [1, 2, *range(4, 11)]
 
 
 def test_closed_windows_with_empty_ones_between(spark, tmp_path):
@@ -253,10 +300,43 @@ def test_drain_hands_over_each_window_once(spark, tmp_path):
     store.write_windows(windows.limit(5), path, "r2")
     run(tumbling.start_drain(spark, path, out, check))
     assert store.scan_windows(spark, out).count() == n + 5
-    # A run that is stored again is not handed over again.
+    # A run that is stored again is not handed over again, nor after a new one.
     store.write_windows(windows, path, "r1")
     run(tumbling.start_drain(spark, path, out, check))
     assert store.scan_windows(spark, out).count() == n + 5
+    store.write_windows(windows.limit(2), path, "r3")
+    run(tumbling.start_drain(spark, path, out, check))
+    assert store.scan_windows(spark, out).count() == n + 7
+
+
+def test_handing_over_keeps_nothing_but_the_checkpoint(spark, tmp_path):
+    """After ten batches as much as after two, besides what is handed over."""
+    path, out, check = (str(tmp_path / n) for n in ("w", "out", "check"))
+    windows = data.windows(spark, SF).limit(3)
+    kept = []
+    for k in range(10):
+        store.write_windows(windows, path, f"r{k}")
+        run(tumbling.start_drain(spark, path, out, check))
+        kept.append(sorted(p.name for p in tmp_path.iterdir()))
+    assert kept[1] == kept[9] == ["check", "out", "w", "w.runs"]
+    assert store.scan_windows(spark, out).count() == 30
+    assert len(list((tmp_path / "w.runs").glob("run-*/*.parquet"))) == 10
+
+
+def test_a_cut_off_announcement_is_written_again(spark, tmp_path):
+    path = str(tmp_path / "w")
+    (tmp_path / "w.runs" / "run-r1" / "_temporary").mkdir(parents=True)
+    store.write_windows(data.windows(spark, SF).limit(3), path, "r1")
+    assert [r.run_id for r in spark.read.schema(store.RUN_LOG).parquet(f"{path}.runs/run-r1").collect()] == ["r1"]
+
+
+def test_notes_of_batches_stay_two(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    assert tumbling.last_batch(spark, path) is None
+    for k in range(12):
+        tumbling.note_batch(spark, path, k)
+        assert tumbling.last_batch(spark, path) == k
+    assert len(list((tmp_path / "cells.done").glob("**/*.parquet"))) == 2
 
 
 def test_cycle_outputs(spark, tmp_path):

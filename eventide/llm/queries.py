@@ -198,37 +198,41 @@ def _spans_sql(kind: str, pattern: str) -> str:
 
 
 def _secrets_sql() -> str:
-    kinds = {"assign": secrets.ASSIGN, "access": secrets.ACCESS, "hex": secrets.HEX, "run": secrets.CANDIDATE}
-    value = secrets.ASSIGN.replace("'", "''")
+    kinds = {"assign": secrets.ASSIGN, "access": secrets.ACCESS, "hex": secrets.HEX}
+    value, taken = secrets.ASSIGN.replace("'", "''"), secrets.TAKEN.replace("'", "''")
+    runs = _spans_sql("run", secrets.CANDIDATE).replace("FROM t)", "FROM blanked)", 1)
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-{",".join(_spans_sql(k, p) for k, p in kinds.items())},
+blanked AS (
+  SELECT doc_id, array_to_string(list_transform(
+    list_zip(regexp_split_to_array(text, '{taken}'), regexp_extract_all(text, '{taken}')),
+    lambda z: z[1] || repeat(' ', coalesce(len(z[2]), 0))), '') AS text FROM t),
+{",".join(_spans_sql(k, p) for k, p in kinds.items())},{runs},
 base AS (
   SELECT doc_id, 0 AS k, 'assign' AS kind, a, z FROM assign
   WHERE len(regexp_extract(m, '{value}', 1)) >= {secrets.VALUE_LENGTH}
   UNION ALL SELECT doc_id, 1, 'access', a, z FROM access
   UNION ALL SELECT doc_id, 2, 'hex', a, z FROM hex),
 windows AS (
-  SELECT doc_id, a, off, substr(m, off + 1, {secrets.WINDOW}) AS w
-  FROM (SELECT *, unnest(range(0, len(m) - {secrets.WINDOW - 1})) AS off FROM run
-        WHERE NOT regexp_matches(lower(m), '{secrets.ALLOWED}'))),
+  SELECT doc_id, a, a + off AS at, substr(m, off + 1, {secrets.WINDOW}) AS w
+  FROM (SELECT *, unnest(range(0, len(m) - {secrets.WINDOW - 1})) AS off FROM run)),
 counted AS (
-  SELECT doc_id, a, off, w, ch, count(*) AS c
+  SELECT doc_id, at, w, ch, count(*) AS c
   FROM (SELECT *, unnest(string_split(w, '')) AS ch FROM windows) GROUP BY ALL),
 entropies AS (
-  SELECT doc_id, a, off, w, log2({secrets.WINDOW}) - sum(c * log2(c)) / {secrets.WINDOW} AS bits FROM counted GROUP BY ALL),
-found AS (
-  SELECT doc_id, a, a + min(off) AS x, a + max(off) + {secrets.WINDOW} AS y FROM entropies
+  SELECT doc_id, at, w, log2({secrets.WINDOW}) - sum(c * log2(c)) / {secrets.WINDOW} AS bits FROM counted GROUP BY ALL),
+high AS (
+  SELECT doc_id, at, at - row_number() OVER (PARTITION BY doc_id ORDER BY at) AS stretch FROM entropies
   WHERE bits >= CASE
     WHEN regexp_full_match(w, '[0-9A-Fa-f]+') AND regexp_matches(w, '[0-9]') AND regexp_matches(w, '[A-Fa-f]')
     THEN {secrets.HEX_BITS}
+    WHEN regexp_matches(w, '[0-9]') AND regexp_matches(w, '[a-z]') AND regexp_matches(w, '[A-Z]') THEN {secrets.FULL_BITS}
     WHEN regexp_matches(w, '[0-9]') AND regexp_matches(w, '[A-Za-z]') THEN {secrets.MIXED_BITS}
-    ELSE {secrets.LETTER_BITS} END
-  GROUP BY doc_id, a),
+    WHEN regexp_matches(w, '[a-z]') AND regexp_matches(w, '[A-Z]') THEN {secrets.CASES_BITS}
+    ELSE {secrets.LETTER_BITS} END),
 spans AS (
   SELECT * FROM base UNION ALL
-  SELECT doc_id, 3, 'entropy', x, y FROM found
-  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = found.doc_id AND base.a < y AND x < base.z))
+  SELECT doc_id, 3, 'entropy', min(at), max(at) + {secrets.WINDOW} FROM high GROUP BY doc_id, stretch)
 SELECT t.doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
   count(*) FILTER (k = 2) AS n_hex,
   sha256(coalesce(string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, k) FILTER (k < 3), '')) AS base_sha256,

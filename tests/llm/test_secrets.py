@@ -2,36 +2,52 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
+import pytest
+
 from eventide.llm import secrets
 from tests.llm.conftest import rows
 
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
+def limit(w):
+    digit, lower, upper = (bool(re.search(c, w)) for c in ("[0-9]", "[a-z]", "[A-Z]"))
+    if re.fullmatch("[0-9A-Fa-f]+", w) and digit and (lower or upper):
+        return 3.0
+    if digit and lower and upper:
+        return 3.7
+    if digit and (lower or upper):
+        return 3.5
+    return 3.9 if lower and upper else 4.1
+
+
 def windows(candidate):
     for k in range(len(candidate) - 19):
         w = candidate[k : k + 20]
         entropy = -sum(c / 20 * math.log2(c / 20) for c in Counter(w).values())
-        mixed = any(c.isdigit() for c in w) and any(c.isalpha() for c in w)
-        hexadecimal = mixed and all(c in "0123456789abcdefABCDEF" for c in w)
-        if entropy >= (3.0 if hexadecimal else 3.7 if mixed else 4.1) - 1e-12:
+        if entropy >= limit(w) - 1e-12:
             yield k
 
 
+TAKEN = re.compile(secrets.TAKEN.replace("(?i:", "(?ai:"))
+
+
 def brute(text):
     text = text or ""
     base = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[1]) >= 12]
     base += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
     base += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
     more = []
-    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
-        over = [] if re.search(secrets.ALLOWED, m[0].lower()) else list(windows(m[0]))
-        if over:
-            a, z = m.start() + over[0], m.start() + over[-1] + 20
-            if not any(b[0] < z and a < b[2] for b in base):
-                more.append((a, 3, z, "entropy"))
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", TAKEN.sub(lambda t: " " * len(t[0]), text)):
+        for k in windows(m[0]):
+            a = m.start() + k
+            if more and a <= more[-1][2] - 19:
+                more[-1] = (more[-1][0], 3, a + 20, "entropy")
+            else:
+                more.append((a, 3, a + 20, "entropy"))
 
     def listed(found):
         return ",".join(f"{kind}:{a}:{z}" for a, _, z, kind in sorted(found))
@@ -56,6 +72,11 @@ def test_findings_equal_brute_force(spark, documents):
         "example" + random_text(rng, base62, 30),
         "toKen=abcdefghijklmnop toKen=abcdefghijklmnop",
         "a" * 30 + random_text(rng, base62, 40) + "a" * 30,
+        "commit/" + f"{rng.getrandbits(160):040x}" + "/" + random_text(rng, base62, 40),
+        "example/" + random_text(rng, base62, 40) + "/dummy/" + random_text(rng, base62, 40),
+        (random_text(rng, base62, 30) + "a" * 25) * 40,
+        random_text(rng, base62, 255) + "a" * 30 + random_text(rng, base62, 600),
+        random_text(rng, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 20) + " " + random_text(rng, secrets.ALPHABET[10:62], 90),
         "DEADBEEF" * 5 + " 0123456789" * 3 + " " + random_text(rng, "0123456789abcdefABCDEF", 50),
     ]
     given = list(enumerate(texts)) + [(1000 + r.doc_id, r.text) for r in documents.collect()]
@@ -75,3 +96,36 @@ def test_odd_documents(odd, clashing):
 def test_no_python_in_the_plan(documents):
     plan = secrets.summary(secrets.scan(documents))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_stretches_beside_what_is_taken(spark):
+    rng = random.Random(8)
+    key = random_text(rng, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 40)
+    texts = [f"commit/{rng.getrandbits(160):040x}/{key}", f"example/{key}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in secrets.scan(df).collect():
+        found = [texts[row.doc_id][x.start : x.end] for x in row.entropy]
+        assert len(found) == 1 and key[1:-1] in found[0]
+
+
+def test_time_grows_with_the_length_of_a_run(spark):
+    """A megabyte of key characters without a gap."""
+    rng = random.Random(5)
+    text = random_text(rng, secrets.ALPHABET[:62], 1 << 20)
+    df = spark.createDataFrame([(1, text[:1000]), (2, text)], "doc_id long, text string")
+    secrets.summary(secrets.scan(df.filter("doc_id = 1"))).collect()
+    started = time.perf_counter()
+    (row,) = secrets.summary(secrets.scan(df.filter("doc_id = 2"))).collect()
+    assert time.perf_counter() - started < 40
+    assert row.spans == brute(text)[-1]
+
+
+@pytest.mark.parametrize(
+    ("alphabet", "least"),
+    [("0123456789abcdef".upper(), 0.8), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.85), (secrets.ALPHABET[:62], 0.9)],
+)
+def test_rates(spark, alphabet, least):
+    rng = random.Random(1)
+    keys = [(k, random_text(rng, alphabet, 20)) for k in range(400)]
+    found = secrets.summary(secrets.scan(spark.createDataFrame(keys, "doc_id long, text string")))
+    assert found.filter("spans <> ''").count() >= least * 400

@@ -11,6 +11,7 @@ equal results; places of one phrase may overlap and all count; an empty table gi
 rows; other columns are not read.
 """
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,26 +59,72 @@ def base_places(keys: np.ndarray, first: np.ndarray) -> list[tuple[str, np.ndarr
     return out
 
 
+def _around(places: list[int], reach: int, n_words: int) -> list[tuple[int, int]]:
+    """Word ranges within reach of places, joined where they touch."""
+    out: list[tuple[int, int]] = []
+    for place in places:
+        begin, end = max(place - reach, 0), min(place + reach, n_words)
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((begin, end))
+    return out
+
+
 def match_rules(region: list[str]) -> list[tuple[int, int, int]]:
-    """(first word, last word, rule) of all rule matches in a region."""
+    """(first word, last word, rule) of all rule matches in a region.
+
+    A rule is tried if the region holds all words that it needs, around the places of its
+    key word, as far as a match can reach.
+    """
     rules, _, by_key = _rules()
-    text = " ".join(region)
-    ends = np.cumsum([len(w) + 1 for w in region])
+    text = f" {' '.join(region)} "
+    # Where the space before each word stands, and the last one.
+    spaces = [0, *np.cumsum([len(w) + 1 for w in region]).tolist()]
+    places: dict[str, list[int]] = {}
+    for k, word in enumerate(region):
+        if word in by_key:
+            places.setdefault(word, []).append(k)
+    here = set(region)
     out = []
-    for key in by_key.keys() & set(region):
+    for key, at in places.items():
+        ranges: dict[int, list[tuple[int, int]]] = {}
         for number in by_key[key]:
-            for m in rules[number].expression.finditer(text):
-                out.append((int(np.searchsorted(ends, m.start(), side="right")), int(np.searchsorted(ends, m.end() - 1, side="right")), number))
+            rule = rules[number]
+            if not rule.needed <= here:
+                continue
+            if rule.reach not in ranges:
+                ranges[rule.reach] = _around(at, rule.reach, len(region))
+            for begin, end in ranges[rule.reach]:
+                for m in rule.expression.finditer(text, spaces[begin], spaces[end] + 1):
+                    out.append((bisect_left(spaces, m.start()), bisect_left(spaces, m.end()) - 1, number))
     return out
 
 
 def resolve(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Drop matches inside one that precedes them in priority, length or place."""
+    """Drop matches inside one that precedes them in priority, length or place.
+
+    A match lies inside an accepted one if the furthest end of those that begin no later
+    is not before its own; that end comes from a tree over the places, so that the time grows
+    with the number of matches and its logarithm.
+    """
     rules = _rules()[0]
+    found = sorted(set(found), key=lambda x: (rules[x[2]].priority, x[0] - x[1], x[0], x[2]))
+    places = {begin: k + 1 for k, begin in enumerate(sorted({begin for begin, _, _ in found}))}
+    furthest = [-1] * (len(places) + 1)
     kept: list[tuple[int, int, int]] = []
-    for begin, end, number in sorted(set(found), key=lambda x: (rules[x[2]].priority, x[0] - x[1], x[0], x[2])):
-        if not any(b <= begin and end <= e for b, e, _ in kept):
-            kept.append((begin, end, number))
+    for begin, end, number in found:
+        at, reach = places[begin], -1
+        while at:
+            reach = max(reach, furthest[at])
+            at &= at - 1
+        if reach >= end:
+            continue
+        kept.append((begin, end, number))
+        at = places[begin]
+        while at <= len(places):
+            furthest[at] = max(furthest[at], end)
+            at += at & -at
     return sorted(kept)
 
 

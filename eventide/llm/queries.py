@@ -214,15 +214,15 @@ base AS (
   UNION ALL SELECT doc_id, 1, 'access', a, z FROM access
   UNION ALL SELECT doc_id, 2, 'hex', a, z FROM hex),
 windows AS (
-  SELECT doc_id, a, a + off AS at, substr(m, off + 1, {secrets.WINDOW}) AS w
+  SELECT doc_id, a, a + off AS p, substr(m, off + 1, {secrets.WINDOW}) AS w
   FROM (SELECT *, unnest(range(0, len(m) - {secrets.WINDOW - 1})) AS off FROM run)),
 counted AS (
-  SELECT doc_id, at, w, ch, count(*) AS c
+  SELECT doc_id, p, w, ch, count(*) AS c
   FROM (SELECT *, unnest(string_split(w, '')) AS ch FROM windows) GROUP BY ALL),
 entropies AS (
-  SELECT doc_id, at, w, log2({secrets.WINDOW}) - sum(c * log2(c)) / {secrets.WINDOW} AS bits FROM counted GROUP BY ALL),
+  SELECT doc_id, p, w, log2({secrets.WINDOW}) - sum(c * log2(c)) / {secrets.WINDOW} AS bits FROM counted GROUP BY ALL),
 high AS (
-  SELECT doc_id, at, at - row_number() OVER (PARTITION BY doc_id ORDER BY at) AS stretch FROM entropies
+  SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS stretch FROM entropies
   WHERE bits >= CASE
     WHEN regexp_full_match(w, '[0-9A-Fa-f]+') AND regexp_matches(w, '[0-9]') AND regexp_matches(w, '[A-Fa-f]')
     THEN {secrets.HEX_BITS}
@@ -232,7 +232,7 @@ high AS (
     ELSE {secrets.LETTER_BITS} END),
 spans AS (
   SELECT * FROM base UNION ALL
-  SELECT doc_id, 3, 'entropy', min(at), max(at) + {secrets.WINDOW} FROM high GROUP BY doc_id, stretch)
+  SELECT doc_id, 3, 'entropy', min(p), max(p) + {secrets.WINDOW} FROM high GROUP BY doc_id, stretch)
 SELECT t.doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
   count(*) FILTER (k = 2) AS n_hex,
   sha256(coalesce(string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, k) FILTER (k < 3), '')) AS base_sha256,

@@ -5,9 +5,10 @@ import re
 import time
 from collections import Counter
 
+import duckdb
 import pytest
 
-from eventide.llm import secrets
+from eventide.llm import queries, secrets
 from tests.llm.conftest import rows
 
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -87,6 +88,13 @@ def test_findings_equal_brute_force(spark, documents):
     assert sum("entropy" in f[-1] for f in found.values()) >= 3
 
 
+def test_sql(tables, documents):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tables}/documents.parquet'")
+    found = con.execute(queries.oracle_sql()["op3_secret_scan"]).fetchall()
+    assert rows(secrets.summary(secrets.scan(documents))) == sorted(found, key=repr)
+
+
 def test_odd_documents(odd, clashing):
     found = rows(secrets.summary(secrets.scan(odd)))
     assert found == rows(secrets.summary(secrets.scan(clashing)))

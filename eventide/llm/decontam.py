@@ -8,9 +8,11 @@ of a shorter item) and four of five tokens are equal. Of the runs of a pair, the
 with the most equal tokens is reported. ``MASKS`` are such that every run that meets
 this rule holds a seed, so none is lost. Tokens are runs of letters and digits in lower case.
 
-A filter of fixed size holds the benchmark's seeds, so that a document's seeds
-leave its task only if they may occur in the benchmark. A benchmark too large for the
-filter lets more seeds through to the join and changes no result.
+A filter sized by the number of the benchmark's seeds holds them, so that a document's
+seeds leave its task only if they may occur in the benchmark. A filter has ``FILTER_BITS``
+at most; a benchmark with more seeds than fit is taken in ranges of seed values, and each
+range reads the documents with a filter of its own. Of the seeds of other texts a filter
+lets at most 5 % through; how many it lets through changes no result.
 
 Edge cases: null and empty texts have no tokens; items of under ``SHORTEST`` tokens are
 too short to tell and take no part; an item shorter than a mask is looked for by the
@@ -19,6 +21,7 @@ by one; empty tables give no overlaps; other columns are not read.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +36,10 @@ MASKS = ["1110010011", "1101001101", "1011010101", "1100110101", "1010111001", "
 LEAST, SHORTEST, EQUAL = 10, 6, 0.8
 # Equal tokens that a substituted one takes beside it: four of five are equal.
 SUBSTITUTED = 4
-# What a mismatch costs in ``best_run``.
-MISMATCH = 3
-# Bits of the seed filter: 1 MB, whatever the size of the benchmark.
-FILTER_BITS = 1 << 23
+# Bits of a seed filter: 64 MB at most, which is what a task is sent; bits per seed, and
+# the fewest before the seeds are cut into ranges.
+FILTER_BITS, SEED_BITS, FEWEST_BITS = 1 << 29, 32, 8
+_BIT = np.left_shift(1, np.arange(8)).astype(np.uint8)
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -60,10 +63,19 @@ def _seeds(tokens: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray,
         yield W.mix(seed[at]), at
 
 
-def _slots(seed: np.ndarray) -> list[np.ndarray]:
-    """Two bits of the filter per seed."""
-    bits = np.uint64(FILTER_BITS - 1)
-    return [(seed & bits).astype(np.int64), ((seed >> np.uint64(32)) & bits).astype(np.int64)]
+def filter_size(seeds: int, most: int) -> tuple[int, int]:
+    """Bits of each filter for so many seeds, a power of two of at most ``most``, and how many
+    ranges the seeds are cut into. The number of ranges is odd, so that a seed's range says
+    nothing about its bits."""
+    ranges = max(1, -(-seeds * FEWEST_BITS // most)) | 1
+    bits = max(64, -(-seeds // ranges) * SEED_BITS)
+    return min(most, 1 << (bits - 1).bit_length()), ranges
+
+
+def _known(packed: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Whether each place of the filter is set."""
+    slot = slot & np.uint64(8 * len(packed) - 1)
+    return packed[(slot >> np.uint64(3)).view(np.int64)] & _BIT[(slot & np.uint64(7)).view(np.int64)] != 0
 
 
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
@@ -98,35 +110,33 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
     return rows.mapInArrow(tidy(run), kinds)
 
 
-def _filter(items: DataFrame) -> np.ndarray:
-    """The seed filter, put together from at most ``FILTER_BITS / 64`` words."""
+def _filter(items: DataFrame, bits: int, ranges: int, number: int) -> np.ndarray:
+    """The filter of one range of seeds, two bits per seed, put together from at most ``bits / 64`` words."""
     seed = F.col("s.seed")
-    bits = items.select(F.explode("seeds").alias("s")).select(
-        F.explode(
-            F.array(seed.bitwiseAND(FILTER_BITS - 1), F.shiftrightunsigned(seed, 32).bitwiseAND(FILTER_BITS - 1))
-        ).alias("bit")
-    )
+    own = items.select(F.explode("seeds").alias("s")).filter(F.pmod(seed, F.lit(ranges)) == number)
+    both = F.array(seed.bitwiseAND(bits - 1), F.shiftrightunsigned(seed, 32).bitwiseAND(bits - 1))
     word = F.expr("shiftleft(1L, cast(bit % 64 as int))")
-    words = bits.groupBy((F.col("bit") / 64).cast("int").alias("w")).agg(F.bit_or(word).alias("v")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    out[words["w"].to_numpy()] = words["v"].to_numpy()
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
+    words = own.select(F.explode(both).alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("w"))
+    found = words.agg(F.bit_or(word).alias("v")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.int64)
+    out[found["w"].to_numpy()] = found["v"].to_numpy()
+    return out.view(np.uint8)
 
 
-def _document_hits(packed: np.ndarray):
-    """Documents with seeds in the filter: their tokens and these seeds."""
+def _document_hits(packed: np.ndarray, ranges: int, number: int):
+    """Documents with seeds of the range in its filter: their tokens and these seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(packed, bitorder="little").view(bool)
         for batch in batches:
             texts = batch.column("text")
             for a, b in W.slices(texts):
                 tokens, first = _tokens(texts.slice(a, b - a))
                 seeds, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for seed, at in _seeds(tokens, first):
-                    one, two = _slots(seed)
-                    hit = np.flatnonzero(known[one])
-                    hit = hit[known[two[hit]]]
+                    hit = np.flatnonzero(_known(packed, seed))
+                    hit = hit[_known(packed, seed[hit] >> np.uint64(32))]
+                    if ranges > 1:
+                        hit = hit[seed[hit].view(np.int64) % ranges == number]
                     seeds.append(seed[hit])
                     places.append(at[hit])
                 seed, at = np.concatenate(seeds), np.concatenate(places)
@@ -143,27 +153,17 @@ def _document_hits(packed: np.ndarray):
                     )
                     yield pa.RecordBatch.from_arrays(
                         [
+                            batch.column("row").slice(a + k, 1),
                             batch.column("doc_id").slice(a + k, 1),
                             pa.ListArray.from_arrays([0, first[k + 1] - first[k]], tokens[first[k] : first[k + 1]].view(np.int64)),
                             pa.ListArray.from_arrays([0, hi - lo], hits),
                         ],
-                        ["doc_id", "tokens", "hits"],
+                        ["row", "doc_id", "tokens", "hits"],
                     )
 
     return run
 
 
-def best_run(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """Best run on one diagonal: first and last item token, and how many are equal."""
-    lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
-    equal = doc[lo + shift : hi + shift] == item[lo:hi]
-    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISMATCH))])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    begin = int(np.argmin(total[: end + 1]))
-    return lo + begin, lo + end - 1, int(equal[begin:end].sum())
-
-
 def longest_run(doc: np.ndarray, item: np.ndarray, shift: int, need: int) -> tuple[int, int, int]:
     """Run with the most equal tokens, four of five equal, on one diagonal: first and last
     item token, and how many are equal; (0, -1, 0) if these are fewer than ``need``."""
@@ -209,17 +209,29 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 OVERLAPS = "doc_id long, item_id long, first_token long, last_token long, n_equal long, n_tokens long, item_share double"
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Overlaps of documents (doc_id, text) with benchmark items (item_id, text), the best per pair of rows."""
+def overlaps(docs: DataFrame, benchmark: DataFrame, most_bits: int = FILTER_BITS) -> DataFrame:
+    """Overlaps of documents (doc_id, text) with benchmark items (item_id, text), the best per pair of rows.
+
+    ``most_bits``, a power of two, bounds a filter.
+    """
     items = store(benchmark_seeds(benchmark), "items")
-    if items.isEmpty():
+    n_seeds = items.agg(F.sum(F.size("seeds"))).first()[0]
+    if not n_seeds:
         return docs.sparkSession.createDataFrame([], OVERLAPS)
-    packed = np.packbits(_filter(items), bitorder="little")
-    kinds = "doc_id long, tokens array<long>, hits array<struct<seed: long, at: int>>"
-    found = only(docs, ["doc_id", "text"]).mapInArrow(tidy(_document_hits(packed)), kinds)
-    # One stored row per document row with hits; its place tells repeated ids apart.
-    found = store(found.withColumn("row", F.monotonically_increasing_id()), "hits")
+    bits, ranges = filter_size(n_seeds, most_bits)
+    # The number of a document row tells repeated ids apart; ranges must see the same ones.
+    texts = only(docs, ["doc_id", "text"]).withColumn("row", F.monotonically_increasing_id())
+    if ranges > 1:
+        texts = store(texts, "rows")
+    kinds = "row long, doc_id long, tokens array<long>, hits array<struct<seed: long, at: int>>"
+    passes = []
+    for number in range(ranges):
+        run = _document_hits(_filter(items, bits, ranges, number), ranges, number)
+        passes.append(store(texts.mapInArrow(tidy(run), kinds), "hits"))
+    found = reduce(DataFrame.unionByName, passes)
     hits = found.select("row", F.inline("hits")).withColumnRenamed("at", "doc_at")
+    if ranges > 1:
+        found = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"))
     seeds = items.select("item_id", F.xxhash64("tokens").alias("version"), F.inline("seeds"))
     pairs = (
         hits.join(seeds, "seed")

@@ -46,29 +46,6 @@ def test_substitutions(spark, changed):
         assert all(r.n_equal >= 20 for r in found.values())
 
 
-def brute_best(doc, item, shift):
-    best = (0, 0)
-    for a in range(len(item)):
-        for b in range(a + 1, len(item) + 1):
-            if a + shift >= 0 and b + shift <= len(doc):
-                equal = sum(doc[k + shift] == item[k] for k in range(a, b))
-                best = max(best, (equal - decontam.MISMATCH * (b - a - equal), equal))
-    return best
-
-
-def test_best_run_equals_brute_force():
-    import numpy as np
-
-    rng = np.random.default_rng(2)
-    for _ in range(60):
-        doc, item = rng.integers(0, 3, 25), rng.integers(0, 3, 14)
-        shift = int(rng.integers(-10, 20))
-        if max(0, -shift) >= min(len(item), len(doc) - shift):
-            continue
-        a, z, equal = decontam.best_run(doc, item, shift)
-        assert equal - decontam.MISMATCH * (z - a + 1 - equal) == brute_best(doc, item, shift)[0]
-
-
 def brute_longest(doc, item, shift):
     """Most equal tokens of a run on one diagonal that has four of five equal."""
     best = 0
@@ -164,11 +141,44 @@ def test_odd_documents(spark, odd, clashing):
     assert decontam.drop_overlapping(odd, benchmark.limit(0)).count() == odd.count()
 
 
-def test_a_full_filter_changes_nothing(spark, documents, monkeypatch):
+def test_a_full_filter_and_ranges_of_seeds_change_nothing(spark, documents):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
-    columns = ("doc_id", "item_id", "first_token", "last_token")
+    columns = ("doc_id", "item_id", "first_token", "last_token", "n_equal")
     expected = rows(decontam.overlaps(documents, benchmark), *columns)
-    monkeypatch.setattr(decontam, "_filter", lambda items: __import__("numpy").ones(decontam.FILTER_BITS, dtype=bool))
-    assert rows(decontam.overlaps(documents.limit(40), benchmark), *columns) == [
-        r for r in expected if r[0] in {d.doc_id for d in documents.limit(40).collect()}
-    ]
+    seeds = sum(len(r.seeds) for r in decontam.benchmark_seeds(benchmark).collect())
+    few = 1 << (seeds * decontam.FEWEST_BITS // 2).bit_length()
+    assert decontam.filter_size(seeds, few)[1] == 3
+    assert expected and rows(decontam.overlaps(documents, benchmark, few), *columns) == expected
+    # The same rows twice are found twice, in whichever range their seeds are.
+    twice = rows(decontam.overlaps(documents.unionAll(documents), benchmark, few), *columns)
+    assert twice == sorted(expected * 2, key=repr)
+
+
+def test_a_filter_of_64_bits_changes_nothing(spark, documents, monkeypatch):
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    columns = ("doc_id", "item_id", "first_token", "last_token", "n_equal")
+    docs = documents.limit(60)
+    expected = rows(decontam.overlaps(docs, benchmark), *columns)
+    monkeypatch.setattr(decontam, "filter_size", lambda seeds, most: (64, 1))
+    assert expected and rows(decontam.overlaps(docs, benchmark), *columns) == expected
+
+
+@pytest.mark.parametrize("seeds", [1, 1000, 700_000, 7_000_000, 70_000_000, 2_000_000_000])
+def test_a_filter_lets_few_other_seeds_through(seeds):
+    """By the formula, and where it is small enough by trial."""
+    import numpy as np
+
+    bits, ranges = decontam.filter_size(seeds, decontam.FILTER_BITS)
+    assert bits <= decontam.FILTER_BITS and bits & (bits - 1) == 0 and ranges % 2
+    held = -(-seeds // ranges)
+    assert (1 - np.exp(-2 * held / bits)) ** 2 < 0.05
+    if seeds <= 1_000_000:
+        rng = np.random.default_rng(3)
+        own, other = rng.integers(0, 2**63, held, dtype=np.uint64), rng.integers(0, 2**63, 100_000, dtype=np.uint64)
+        flags = np.zeros(bits, dtype=bool)
+        for shift in (0, 32):
+            flags[(own >> np.uint64(shift)) & np.uint64(bits - 1)] = True
+        packed = np.packbits(flags, bitorder="little")
+        assert all(decontam._known(packed, own >> np.uint64(shift)).all() for shift in (0, 32))
+        through = decontam._known(packed, other.copy()) & decontam._known(packed, other >> np.uint64(32))
+        assert through.mean() < 0.05

@@ -12,7 +12,7 @@ A filter sized by the number of the benchmark's seeds holds them, so that a docu
 seeds leave its task only if they may occur in the benchmark. A filter has ``FILTER_BITS``
 at most; a benchmark with more seeds than fit is taken in ranges of seed values, and each
 range reads the documents with a filter of its own. Of the seeds of other texts a filter
-lets at most 5 % through; how many it lets through changes no result.
+lets few through (``FEWEST_BITS``); how many it lets through changes no result.
 
 Edge cases: null and empty texts have no tokens; items of under ``SHORTEST`` tokens are
 too short to tell and take no part; an item shorter than a mask is looked for by the
@@ -36,9 +36,10 @@ MASKS = ["1110010011", "1101001101", "1011010101", "1100110101", "1010111001", "
 LEAST, SHORTEST, EQUAL = 10, 6, 0.8
 # Equal tokens that a substituted one takes beside it: four of five are equal.
 SUBSTITUTED = 4
-# Bits of a seed filter: 64 MB at most, which is what a task is sent; bits per seed, and
-# the fewest before the seeds are cut into ranges.
-FILTER_BITS, SEED_BITS, FEWEST_BITS = 1 << 29, 32, 8
+# Bits of a seed filter: 64 MB at most, which is what a task is sent; bits set per seed; bits
+# per seed, and the fewest before the seeds are cut into ranges. A document's tokens leave its
+# task with its first seed that passes, so few others may: 6 in a million at 32 bits, 43 at 24.
+FILTER_BITS, SET, SEED_BITS, FEWEST_BITS = 1 << 29, 8, 32, 24
 _BIT = np.left_shift(1, np.arange(8)).astype(np.uint8)
 
 
@@ -68,14 +69,21 @@ def filter_size(seeds: int, most: int) -> tuple[int, int]:
     ranges the seeds are cut into. The number of ranges is odd, so that a seed's range says
     nothing about its bits."""
     ranges = max(1, -(-seeds * FEWEST_BITS // most)) | 1
-    bits = max(64, -(-seeds // ranges) * SEED_BITS)
+    bits = max(1 << 13, -(-seeds // ranges) * SEED_BITS)
     return min(most, 1 << (bits - 1).bit_length()), ranges
 
 
-def _known(packed: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """Whether each place of the filter is set."""
-    slot = slot & np.uint64(8 * len(packed) - 1)
-    return packed[(slot >> np.uint64(3)).view(np.int64)] & _BIT[(slot & np.uint64(7)).view(np.int64)] != 0
+def _known(packed: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Which seeds have all their places set: the low half plus multiples of the high half."""
+    live = np.arange(len(seed))
+    slot, step = seed & np.uint64(0xFFFFFFFF), seed >> np.uint64(32)
+    for _ in range(SET):
+        at = slot & np.uint64(8 * len(packed) - 1)
+        some = packed[(at >> np.uint64(3)).view(np.int64)] & _BIT[(at & np.uint64(7)).view(np.int64)]
+        keep = np.flatnonzero(some)
+        live, step = live[keep], step[keep]
+        slot = slot[keep] + step
+    return live
 
 
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
@@ -111,12 +119,13 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
 
 
 def _filter(items: DataFrame, bits: int, ranges: int, number: int) -> np.ndarray:
-    """The filter of one range of seeds, two bits per seed, put together from at most ``bits / 64`` words."""
+    """The filter of one range of seeds, put together from at most ``bits / 64`` words."""
     seed = F.col("s.seed")
     own = items.select(F.explode("seeds").alias("s")).filter(F.pmod(seed, F.lit(ranges)) == number)
-    both = F.array(seed.bitwiseAND(bits - 1), F.shiftrightunsigned(seed, 32).bitwiseAND(bits - 1))
+    low, step = seed.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(seed, 32)
+    slots = F.array(*[(low + step * k).bitwiseAND(bits - 1) for k in range(SET)])
     word = F.expr("shiftleft(1L, cast(bit % 64 as int))")
-    words = own.select(F.explode(both).alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("w"))
+    words = own.select(F.explode(slots).alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("w"))
     found = words.agg(F.bit_or(word).alias("v")).toArrow()
     out = np.zeros(bits // 64, dtype=np.int64)
     out[found["w"].to_numpy()] = found["v"].to_numpy()
@@ -133,8 +142,7 @@ def _document_hits(packed: np.ndarray, ranges: int, number: int):
                 tokens, first = _tokens(texts.slice(a, b - a))
                 seeds, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for seed, at in _seeds(tokens, first):
-                    hit = np.flatnonzero(_known(packed, seed))
-                    hit = hit[_known(packed, seed[hit] >> np.uint64(32))]
+                    hit = _known(packed, seed)
                     if ranges > 1:
                         hit = hit[seed[hit].view(np.int64) % ranges == number]
                     seeds.append(seed[hit])

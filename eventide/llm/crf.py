@@ -31,10 +31,11 @@ class Model:
     weights: np.ndarray  # feature bucket x label
     transitions: np.ndarray  # label x label, log
     lexicons: list[np.ndarray]  # sorted word hashes per label
+    spelled: np.ndarray  # a bit per three bytes: whether they were learned from
 
 
-def features(words: W.Words, lexicons: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Feature buckets of each word, and the word each belongs to."""
+def _bounded(words: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words with their bounds as bytes, where each begins, and per byte its word and what is left of it."""
     n = len(words.start)
     size = words.end - words.start
     # ^word$ for all words, one after the other, with room to read past the end.
@@ -46,6 +47,13 @@ def features(words: W.Words, lexicons: list[np.ndarray], keys: np.ndarray) -> tu
     flat[target] = words.data[source]
     owner = np.repeat(np.arange(n), size + 2)
     left = np.repeat(bound[1:], size + 2) - np.arange(bound[-1])
+    return flat, bound, owner, left
+
+
+def features(words: W.Words, lexicons: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature buckets of each word, and the word each belongs to."""
+    flat, bound, owner, left = _bounded(words)
+    n, size = len(words.start), words.end - words.start
     found, of = [], []
     value = np.zeros(bound[-1], dtype=np.uint64)
     for k in range(max(NGRAMS)):
@@ -72,6 +80,28 @@ def _bucket(value: np.ndarray, kind: int) -> np.ndarray:
     return (W.mix(value + (np.uint64(kind) << np.uint64(48))) & np.uint64(BUCKETS - 1)).astype(np.int32)
 
 
+def _trigrams(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """All runs of three bytes of words with their bounds, as numbers, and the word of each."""
+    flat, bound, owner, left = _bounded(words)
+    value = np.zeros(bound[-1], dtype=np.int64)
+    for k in range(3):
+        value |= flat[k : k + bound[-1]].astype(np.int64) << (8 * k)
+    whole = left >= 3
+    return value[whole], owner[whole]
+
+
+def known(model: Model, texts) -> np.ndarray:
+    """Per text the share of its words of which at least half the trigrams were learned from; 0 without words."""
+    words = W.folded(texts, W.NO_LETTER)
+    if not len(words.start):
+        return np.zeros(len(words.first) - 1)
+    some, keys, which = distinct(words)
+    value, owner = _trigrams(some)
+    seen = model.spelled[value >> 3] >> (value & 7).astype(np.uint8) & 1
+    holds = 2 * np.bincount(owner, seen, len(keys)) >= np.bincount(owner, minlength=len(keys))
+    return np.bincount(words.text_of, holds[which], len(words.first) - 1) / np.maximum(words.counts, 1)
+
+
 def _contains(ordered: np.ndarray, keys: np.ndarray) -> np.ndarray:
     if not len(ordered):
         return np.zeros(len(keys), dtype=bool)
@@ -232,7 +262,10 @@ def fit(texts, label_of: np.ndarray, labels: list[str], rounds: int = 30, chain_
         grad = (real - pairs) / real.sum()
         speed += grad**2
         transitions = transitions + 0.2 * grad / np.sqrt(speed)
-    return Model(labels, weights.astype(np.float32), transitions.astype(np.float32), lexicons)
+    bits = np.zeros(1 << 24, dtype=bool)
+    bits[_trigrams(some)[0]] = True
+    spelled = np.packbits(bits, bitorder="little")
+    return Model(labels, weights.astype(np.float32), transitions.astype(np.float32), lexicons, spelled)
 
 
 def shares(model: Model, texts) -> np.ndarray:

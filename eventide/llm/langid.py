@@ -100,21 +100,21 @@ def identify(docs: DataFrame, model: crf.Model | None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: crf.Model | None, least: float = 0.0) -> DataFrame:
-    """Documents with a language, as they are: no ``und``, no score below ``least``."""
+    """Documents with a language, as they are: no ``und``, and at least the share ``least`` of
+    words that are spelled like the words learned from (``crf.known``)."""
     columns = docs.columns
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = _predict(model)
         for batch in batches:
-            results = label([pa.RecordBatch.from_arrays([batch.column(columns.index("text"))], ["text"])])
-            keep = np.concatenate(
-                [
-                    (r.column(0).to_numpy(zero_copy_only=False) != UNDETERMINED) & (r.column(1).to_numpy() >= least)
-                    for r in results
-                ]
-                or [np.zeros(0, dtype=bool)]
-            )
+            texts = batch.column(columns.index("text"))
+            results = label([pa.RecordBatch.from_arrays([texts], ["text"])])
+            lang = [r.column(0).to_numpy(zero_copy_only=False) != UNDETERMINED for r in results]
+            keep = np.concatenate(lang or [np.zeros(0, dtype=bool)])
+            if model is not None and least > 0:
+                spelled = [crf.known(model, texts.slice(a, b - a)) for a, b in W.slices(texts, SLICE_BYTES)]
+                keep &= np.concatenate(spelled or [np.zeros(0)]) >= least
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(tidy(run), docs.schema)

@@ -1,9 +1,11 @@
 import itertools
+import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 
 from eventide.llm import crf, langid
 from tests.llm.conftest import rows
@@ -79,6 +81,36 @@ def test_odd_documents(documents, odd, clashing):
     assert not {1, 2, 3, 8} & {r.doc_id for r in kept.collect()}
 
 
+def test_known_words_equal_a_count_of_trigrams(documents):
+    model = langid.train(documents)
+    texts = ["Die Sonne", "xq zzkv wrmp", "a", "Привет мир", "", None, "12 34"]
+    seen = set(np.flatnonzero(np.unpackbits(model.spelled, bitorder="little")).tolist())
+
+    def share(text):
+        words = ["^" + w + "$" for w in regex.findall(r"\p{L}+", (text or "").lower())]
+        held = 0
+        for w in (w.encode() for w in words):
+            grams = [w[k] | w[k + 1] << 8 | w[k + 2] << 16 for k in range(len(w) - 2)]
+            held += 2 * sum(g in seen for g in grams) >= len(grams)
+        return held / max(1, len(words))
+
+    assert crf.known(model, pa.array(texts)).tolist() == [share(t) for t in texts]
+
+
+@pytest.mark.parametrize("languages", [1, 2, 4])
+def test_texts_unlike_the_learned_languages_are_rejected(spark, documents, languages):
+    """However few languages there are to choose from; documents of the learned ones all stay."""
+    rng = random.Random(languages)
+    learned = sorted({r.lang for r in documents.select("lang").distinct().collect()} - {None})[:languages]
+    docs = documents.filter(documents["lang"].isin(learned))
+    model = langid.train(docs)
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(50)) for _ in range(20)]
+    noise += ["Привет мир это русский текст", "今天天气很好我们去公园"]
+    frame = spark.createDataFrame([(10**6 + k, t) for k, t in enumerate(noise)], "doc_id long, text string")
+    kept = langid.keep_identified(docs.select("doc_id", "text").unionAll(frame), model, 0.5)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in docs.collect())
+
+
 def test_nothing_to_learn_from(odd):
     assert langid.train(odd.limit(0)) is None
     assert {r.lang_pred for r in langid.identify(odd, None).collect()} == {"und"}

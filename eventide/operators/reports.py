@@ -290,6 +290,46 @@ def duration_histogram(windows: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFr
     )
 
 
+def round_histogram(windows: DataFrame, most: int = HISTOGRAM_BINS) -> DataFrame:
+    """Windows per bin of the average duration with edges at round values, at most ``most`` bins (3 or more).
+
+    The step is the smallest of 1, 2 and 5 times a power of ten with which no more bins touch the
+    values; bins start at its multiples, and a value on an edge belongs to the bin it begins.
+    When all averages are equal the step is 1. Bins without windows are left out.
+    """
+    value = F.col("avg_duration_ms")
+    lo, hi = F.col("s.lo"), F.col("s.hi")
+    stats = windows.agg(
+        F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"), F.avg(value).alias("mean")).alias("stats")
+    ).scalar()
+    # One decade below that of the range per bin is where the search begins.
+    first = F.floor(F.log10((hi - lo) / most)) - 1
+    # Powers of ten are exact, those below 1 as divisors.
+    steps = F.array(
+        *[
+            F.when(first + up < 0, F.lit(float(m)) / F.pow(F.lit(10.0), -(first + up))).otherwise(
+                F.lit(float(m)) * F.pow(F.lit(10.0), first + up)
+            )
+            for up in range(3)
+            for m in (1, 2, 5)
+        ]
+    )
+    fits = F.filter(steps, lambda s: F.floor(hi / s) - F.floor(lo / s) < most)
+    step = F.when(hi > lo, F.element_at(fits, 1)).otherwise(1.0)
+    stepped = windows.select(stats.alias("s")).limit(1).select(F.struct("s.mean", step.alias("step"))).scalar()
+    binned = windows.filter(value.isNotNull()).select(value, stepped.alias("t"))
+    by_bin = binned.groupBy(F.floor(value / F.col("t.step")).alias("bin"), "t").agg(F.count(F.lit(1)).alias("n"))
+    width = F.col("t.step")
+    return by_bin.select(
+        "bin",
+        (F.col("bin") * width).alias("lo"),
+        ((F.col("bin") + 1) * width).alias("hi"),
+        "n",
+        width.alias("step"),
+        F.col("t.mean").alias("mean"),
+    ).orderBy("bin")
+
+
 # --- event types ----------------------------------------------------------------
 
 

@@ -437,6 +437,7 @@ def queries() -> dict[str, Query]:
         "analysis_result": analysis_result,
         "kpi_metrics": _report(reports.kpi_metrics, data.scalar_windows),
         "duration_histogram": _report(reports.duration_histogram, data.scalar_windows),
+        "duration_histogram_round": _report(reports.round_histogram, data.scalar_windows),
         "event_distribution": _report(reports.event_distribution, _type_counts),
         "event_distribution_json": _report(
             reports.event_distribution_json, data.stored_event_counts

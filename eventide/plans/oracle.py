@@ -544,6 +544,22 @@ def oracle_sql() -> dict[str, str]:
                    count(*) AS n,
                    round(any_value(ends.mean), 6) AS mean
             FROM windows CROSS JOIN ends GROUP BY bin ORDER BY bin""",
+        "duration_histogram_round": f"""WITH {HOURLY},
+            ends AS (SELECT min(raw_avg) AS lo, max(raw_avg) AS hi, avg(raw_avg) AS mean FROM windows),
+            steps AS (
+                SELECT CASE WHEN e < 0 THEN m / pow(10.0, -e) ELSE m * pow(10.0, e) END AS step
+                FROM (SELECT unnest([1, 2, 5]) AS m) CROSS JOIN (SELECT unnest(range(-12, 13)) AS e)
+            ),
+            chosen AS (
+                SELECT lo, hi, mean, CASE WHEN hi > lo THEN min(step) ELSE 1.0 END AS step
+                FROM ends CROSS JOIN steps
+                WHERE floor(hi / step) - floor(lo / step) < 40 GROUP BY lo, hi, mean
+            )
+            SELECT CAST(floor(raw_avg / step) AS BIGINT) AS bin,
+                   round(floor(raw_avg / step) * step, 6) AS lo,
+                   round((floor(raw_avg / step) + 1) * step, 6) AS hi,
+                   count(*) AS n, round(step, 6) AS step, round(mean, 6) AS mean
+            FROM windows CROSS JOIN chosen GROUP BY ALL ORDER BY bin""",
         "event_distribution": f"""WITH {TYPE_TOTALS}
             SELECT event_type, total_count FROM type_totals ORDER BY 2 DESC, 1""",
         "event_distribution_json": f"""WITH {STORED_TYPE_TOTALS}

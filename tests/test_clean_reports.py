@@ -1,6 +1,7 @@
 """Cleaning, reports, and the text forms, on literal windows."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -224,6 +225,28 @@ def test_histogram(spark):
     assert [(r.bin, r.n) for r in reports.duration_histogram(same).collect()] == [(0, 2)]
 
 
+@pytest.mark.parametrize(
+    "values",
+    [(0.0, 39.0, 40.0, 10.0), (0.0, 39.9), (100.0, 300.5, 180.25), (0.0012, 0.0013, 0.00125), (-7.5, 7.5), (99.99, 100.0), (1e6, 9e7)],
+)
+def test_round_histogram_equals_a_search(spark, values):
+    """The step is the smallest of the series with at most 40 bins; every window is in its bin."""
+    df = frame(spark, *[window(1, 1, later(10 * i), avg=a) for i, a in enumerate(values)])
+    got = reports.round_histogram(df).collect()
+    series = sorted(float(f"{m}e{e}") for m in (1, 2, 5) for e in range(-9, 10))
+    step = next(s for s in series if math.floor(max(values) / s) - math.floor(min(values) / s) < 40)
+    assert {r.step for r in got} == {step}
+    bins = [math.floor(a / step) for a in values]
+    assert [(r.bin, r.n) for r in got] == [(b, bins.count(b)) for b in sorted(set(bins))]
+    assert all(r.lo == pytest.approx(r.bin * step) and r.hi == pytest.approx((r.bin + 1) * step) for r in got)
+
+
+def test_round_histogram_of_equal_null_and_no_values(spark):
+    same = frame(spark, window(1, 1, avg=2.5), window(1, 1, later(10), avg=2.5), window(1, 1, later(20), avg=None))
+    assert [(r.bin, r.n, r.step) for r in reports.round_histogram(same).collect()] == [(2, 2, 1.0)]
+    assert reports.round_histogram(same.limit(0)).count() == 0
+
+
 def test_date_range_is_inclusive(spark):
     day = dt.datetime(2024, 1, 2)
     last = dt.datetime(2024, 1, 3, 23, 59, 59, 999999)

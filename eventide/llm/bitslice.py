@@ -78,8 +78,8 @@ class Block:
             place += 1
         return out, offset
 
-    def top(self, weights: np.ndarray, k: int, without: np.ndarray) -> tuple[np.ndarray, list[int]]:
-        """Rows of the ``k`` largest weighted sums and these sums, but for the rows ``without``.
+    def top(self, weights: np.ndarray, k: int) -> tuple[np.ndarray, list[int]]:
+        """Rows of the ``k`` largest weighted sums and these sums.
 
         From the most significant slice downward: the open rows that have the bit are
         taken if they fit, else only they stay open. Rows open at the end are equal, and
@@ -90,8 +90,6 @@ class Block:
         open_rows = np.full(words, ~np.uint64(0))
         if self.n % WORD:
             open_rows[-1] = np.uint64((1 << (self.n % WORD)) - 1)
-        for row in without:
-            open_rows[row // WORD] &= ~(np.uint64(1) << np.uint64(row % WORD))
         taken = np.zeros(words, np.uint64)
         n_taken = 0
         for s in reversed(slices):

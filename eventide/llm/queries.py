@@ -122,15 +122,16 @@ def queries() -> dict[str, Query]:
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT a.vec_id AS query_id, b.vec_id,
+  SELECT a.row, a.vec_id AS query_id, b.vec_id,
     CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+  FROM v a JOIN v b ON a.row <> b.row WHERE a.vec_id % 20 = 0),
 ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+  SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 

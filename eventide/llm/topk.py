@@ -5,11 +5,14 @@ chunks of queries meet every block in a join on the block's group, and each bloc
 returns its best rows per query, of which the best are kept.
 
 Edge cases: vectors that are null, or hold a null or non-finite component, and rows
-without an id take no part; components that a shorter vector lacks are zero; all rows
-of the query's own id are left out; a repeated query counts once per id and vector,
-other repeated rows are candidates of their own; ties go to the smaller vec_id; a
-score beyond 64 bits is cut to the nearest; empty tables give no rows; other columns
-are not read.
+without an id take no part; components that a shorter vector lacks are zero; every row
+is a query and a candidate of its own, rows that repeat an id or a vector too, and a
+query leaves out no row but itself; ties go to the smaller vec_id; a score beyond 64
+bits is cut to the nearest; empty tables give no rows; other columns are not read.
+
+Rows of one id and vector cannot be told apart by their scores. Equal queries are
+therefore searched once, for one row more than asked; one of the rows that have the
+query's id and its score with itself is taken for the query and left out.
 """
 
 from collections.abc import Iterator
@@ -77,10 +80,10 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _query_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = {"vec_id": pa.list_(pa.int64()), "q": pa.list_(pa.list_(pa.int64())), "times": pa.list_(pa.int64())}
     for table in _chunks(batches, CHUNK_ROWS):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([table[c].to_pylist()], t) for c, t in (("vec_id", pa.list_(pa.int64())), ("q", pa.list_(pa.list_(pa.int64()))))],
-            ["query_ids", "vectors"],
+            [pa.array([table[c].to_pylist()], kind) for c, kind in kinds.items()], ["query_ids", "vectors", "times"]
         )
 
 
@@ -94,21 +97,27 @@ def _search(k: int):
                 raw = np.frombuffer(batch.column("slices")[row].as_buffer(), dtype=np.uint64)
                 bits = batch.column("bits")[row].values.to_numpy().astype(np.int64)
                 block = Block(n, batch.column("low")[row].values.to_numpy(), bits, raw.reshape(-1, words))
-                out: list[list] = [[], [], [], []]
+                out: list[list] = [[], [], [], [], []]
                 queries = batch.column("query_ids")[row].values.to_numpy()
                 vectors = batch.column("vectors")[row].values
                 for number, query in enumerate(queries.tolist()):
                     weights = vectors[number].values.to_numpy()
-                    own = np.arange(*np.searchsorted(ids, [query, query + 1]))
-                    rows, sums = block.top(weights, k, own)
+                    itself = sum(w * w for w in weights.tolist())
+                    rows, sums = block.top(weights, k)
+                    found = ids[rows].tolist()
                     out[0] += [query] * len(rows)
                     out[1] += [number] * len(rows)
-                    out[2] += ids[rows].tolist()
+                    out[2] += found
                     out[3] += [max(-_LIMIT - 1, min(_LIMIT, s)) for s in sums]
+                    out[4] += [v == query and s == itself for v, s in zip(found, sums, strict=True)]
                 chunk = batch.column("chunk")[row].as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(out[0]), pa.int64()), *(pa.array(c, pa.int64()) for c in out)],
-                    ["chunk", "query_id", "number", "vec_id", "score"],
+                    [
+                        pa.array([chunk] * len(out[0]), pa.int64()),
+                        *(pa.array(c, pa.int64()) for c in out[:4]),
+                        pa.array(out[4], pa.bool_()),
+                    ],
+                    ["chunk", "query_id", "number", "vec_id", "score", "own"],
                 )
 
     return run
@@ -124,13 +133,27 @@ def search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     rows = rows.select("vec_id", quantised("embedding").alias("q"))
     blocks = store(rows.mapInArrow(tidy(_index), BLOCKS), "blocks")
     groups = max(1, blocks.count())
-    queries = rows.filter(is_query).groupBy("vec_id", "q").agg(F.count(F.lit(1)))
-    chunks = queries.select("vec_id", "q").mapInArrow(tidy(_query_chunks), "query_ids array<long>, vectors array<array<long>>")
+    queries = rows.filter(is_query).groupBy("vec_id", "q").agg(F.count(F.lit(1)).alias("times"))
+    chunks = queries.mapInArrow(
+        tidy(_query_chunks), "query_ids array<long>, vectors array<array<long>>, times array<long>"
+    )
     chunks = store(chunks.withColumn("chunk", F.monotonically_increasing_id()), "queries")
     # Every chunk goes to every group of blocks: all queries against all rows.
-    sent = chunks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    sent = chunks.drop("times").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     placed = blocks.withColumn("group", F.pmod(F.xxhash64("block_ids", "slices"), F.lit(groups)).cast("int"))
-    found = placed.join(sent, "group").mapInArrow(tidy(_search(k)), "chunk long, query_id long, number long, vec_id long, score long")
-    best = Window.partitionBy("query_id", "chunk", "number").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    found = placed.join(sent, "group").mapInArrow(
+        tidy(_search(k + 1)), "chunk long, query_id long, number long, vec_id long, score long, own boolean"
+    )
+    key = ["query_id", "chunk", "number"]
+    best = Window.partitionBy(*key).orderBy(F.desc("score"), "vec_id")
+    place = F.row_number().over(best)
+    ranked = found.withColumn("place", place).filter(F.col("place") <= k + 1)
+    # The first of the rows that may be the query stands for it.
+    itself = F.min(F.when(F.col("own"), F.col("place"))).over(Window.partitionBy(*key))
+    ranked = ranked.withColumn("itself", F.coalesce(itself, F.lit(k + 1)))
+    after = F.when(F.col("place") > F.col("itself"), 1).otherwise(0)
+    others = ranked.filter(F.col("place") != F.col("itself")).withColumn("rank", F.col("place") - after)
+    repeats = chunks.select("chunk", F.posexplode("times").alias("number", "times")).filter("times > 1")
+    several = others.join(repeats, ["chunk", "number"], "left")
+    each = several.withColumn("_", F.explode(F.sequence(F.lit(1), F.coalesce("times", F.lit(1)))))
+    return each.select("query_id", "rank", "vec_id", "score")

@@ -13,26 +13,27 @@ def test_block_top_equals_sorting(n, d, high):
     for _ in range(4):
         weights = rng.integers(-9, 9, d)
         scores = [sum(int(a) * int(b) for a, b in zip(weights, row, strict=True)) for row in values]
-        rows, sums = block.top(weights, 7, np.array([0]))
-        expected = sorted((-s, k) for k, s in enumerate(scores) if k)[:7]
+        rows, sums = block.top(weights, 7)
+        expected = sorted((-s, k) for k, s in enumerate(scores))[:7]
         assert sorted((-s, int(r)) for r, s in zip(rows, sums, strict=True)) == expected
 
 
 def brute(rows, every, k):
-    vectors = {}
-    for vec_id, embedding in rows:
-        if vec_id is not None and embedding is not None and all(x is not None and np.isfinite(np.float32(x)) for x in embedding):
-            vectors.setdefault(vec_id, []).append([int(np.floor(64 * float(np.float32(x)))) for x in embedding])
-    out = set()
-    for query, versions in vectors.items():
+    """Each row that is a query against every other row."""
+    usable = [
+        (vec_id, [int(np.floor(64 * float(np.float32(x)))) for x in embedding])
+        for vec_id, embedding in rows
+        if vec_id is not None and embedding is not None and all(x is not None and np.isfinite(np.float32(x)) for x in embedding)
+    ]
+    out = []
+    for i, (query, vector) in enumerate(usable):
         if query % every:
             continue
-        for vector in versions:
-            scored = [
-                (-sum(a * b for a, b in zip(vector, w, strict=False)), v) for v, ws in vectors.items() if v != query for w in ws
-            ]
-            out |= {(query, r + 1, v, -s) for r, (s, v) in enumerate(sorted(scored)[:k])}
-    return out
+        scored = [
+            (-sum(a * b for a, b in zip(vector, w, strict=False)), v) for j, (v, w) in enumerate(usable) if j != i
+        ]
+        out += [(query, r + 1, v, -s) for r, (s, v) in enumerate(sorted(scored)[:k])]
+    return sorted(out)
 
 
 def test_odd_vectors(spark):
@@ -41,10 +42,27 @@ def test_odd_vectors(spark):
     rows += [(4, [1.0]), (5, [inf, 1.0]), (6, []), (7, [1.0, 2.0]), (8, [1.0, 2.0]), (8, [1.0, 2.0]), (20, [-3.0, 0.5, 9.0])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, q string")
     found = topk.search(df, F.col("vec_id") % 20 == 0, 4)
-    assert {tuple(r) for r in found.collect()} == brute(rows, 20, 4)
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, 20, 4)
     assert topk.search(df.limit(0), F.col("vec_id") % 20 == 0, 4).collect() == []
 
 
+def test_repeated_ids(spark, monkeypatch):
+    """Rows that share the query's id, with its vector or another, are candidates."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 3)
+    rows = [(20, [1.0, 2.0])] * 3 + [(7, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 20 == 0, 4).collect())
+    assert len(found) == 9
+    assert found == brute(rows, 20, 4)
+    rng = np.random.default_rng(5)
+    # Small whole numbers: many ties; ids repeat with equal and with other vectors.
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(rng.integers(0, 4, 60) * 10, rng.integers(-1, 2, (60, 2)), strict=True)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for k in (1, 5, 80):
+        found = sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 20 == 0, k).collect())
+        assert found == brute(rows, 20, k)
+
+
 def test_many_blocks(spark, monkeypatch, tables):
     """Block and chunk borders change nothing."""
     vectors = spark.read.parquet(f"{tables}/embeddings.parquet")

@@ -6,11 +6,12 @@ zone-free timestamps, doubles rounded to six places, nested values as JSON.
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.operators import anchored, clean, reports, validate
+from eventide.operators import anchored, clean, distinct, reports, validate
 from eventide.operators import windows as win
 from eventide.plans.cycle import run_cycle, start_cycles
 from eventide.session import run_dir
@@ -132,6 +133,22 @@ def windows_per_collector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(anchored.anchored_windows(*data.collected_events(spark, sf_dir), data.HOUR))
 
 
+def distinct_users_by_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of each day, week and month from the hourly bitmaps of several runs, of which
+    one was repeated."""
+    path = run_dir(spark, "users")
+    events = data.user_events(spark, sf_dir)
+    part = data.part_of(F.dayofmonth("timestamp"))
+    for k in (1, 0, *range(1, data.STREAM_PARTS)):
+        distinct.add_run(events.filter(part == k), path, f"part-{k}", data.HOUR)
+    bitmaps = distinct.read_bitmaps(spark, path)
+    spans = [
+        distinct.users_per(bitmaps, F.date_trunc(span, "window_start")).withColumn("span", F.lit(span))
+        for span in ("day", "week", "month")
+    ]
+    return present(reduce(DataFrame.unionByName, spans))
+
+
 def windows_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = data.off_grid_windows(spark, sf_dir)
     return present(win.zero_fill(windows, data.TEN_MINUTES).drop("window_end"))
@@ -191,8 +208,8 @@ def stream_corrected_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(window_io.from_at_rest(windows.drop("batch_id")))
 
 
-def stream_decode_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of a stream by outcome; every seventh has no time."""
+def _decoded(spark: SparkSession, sf_dir: str) -> str:
+    """A stream of records, stored by outcome; every seventh has no time."""
     path = run_dir(spark, "decoded")
     undated = F.replace("value", F.lit('"timestamp"'), F.lit('"at"'))
     number = F.col("id").cast("bigint")
@@ -202,7 +219,19 @@ def stream_decode_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     records.write.text(f"{path}/records")
     arrived = event_io.read_json_lines(spark, f"{path}/records")
     decode.start_decode(arrived, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return decode.outcome_counts(spark, f"{path}/out")
+    return f"{path}/out"
+
+
+def stream_decode_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a stream by outcome."""
+    return decode.outcome_counts(spark, _decoded(spark, sf_dir))
+
+
+def stream_decode_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by outcome, counted while they were decoded."""
+    return decode.passing_counts(spark, _decoded(spark, sf_dir)).agg(
+        *[F.sum(outcome).alias(outcome) for outcome in decode.OUTCOMES]
+    )
 
 
 def stream_drain_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +430,7 @@ def queries() -> dict[str, Query]:
         "window_top_pages": window_top_pages,
         "window_aggregate": window_aggregate,
         "window_rollup": window_rollup,
+        "distinct_users_by_span": distinct_users_by_span,
         "windows_zero_filled": windows_zero_filled,
         "windows_per_collector": windows_per_collector,
         "stream_window_aggregate": stream_window_aggregate,
@@ -409,6 +439,7 @@ def queries() -> dict[str, Query]:
         "stream_late_events": stream_late_events,
         "stream_corrected_windows": stream_corrected_windows,
         "stream_decode_split": stream_decode_split,
+        "stream_decode_counts": stream_decode_counts,
         "stream_drain_once": stream_drain_once,
         "cycles_in_turn": cycles_in_turn,
         "clean_dedup": _cleaned(*_CLEANING[:1]),

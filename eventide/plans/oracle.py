@@ -202,6 +202,20 @@ _READABLE = """coalesce(json_type(v, '$.user_id'), 'NULL') IN ('VARCHAR', 'NULL'
                   IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'NULL')"""
 
 
+OUTCOMES = f"""{EVENTS_JSON},
+            records AS (
+                SELECT event_id, value AS v,
+                       value <> '' AND json_valid(value) AND NOT ends_with(value, ',"ID":5}}')
+                       AND NOT starts_with(value, '{{"duration_ms":"x"') AS whole
+                FROM events_json
+            ),
+            outcomes AS (
+                SELECT CASE WHEN NOT whole THEN 'rejected' WHEN NOT ({_READABLE}) THEN 'rejected'
+                            WHEN event_id % 7 = 0 THEN 'undated' ELSE 'accepted' END AS outcome
+                FROM (SELECT event_id, whole, CASE WHEN whole THEN v END AS v FROM records)
+            )"""
+
+
 def _clean_step(columns: str, where: str = "") -> str:
     return f"WITH {DIRTY} SELECT {columns} FROM deduped {where}"
 
@@ -262,17 +276,13 @@ def oracle_sql() -> dict[str, str]:
                        AS timestamp
             FROM valid
             WHERE {_READABLE}""",
-        "stream_decode_split": f"""WITH {EVENTS_JSON},
-            records AS (
-                SELECT event_id, value AS v,
-                       value <> '' AND json_valid(value) AND NOT ends_with(value, ',"ID":5}}')
-                       AND NOT starts_with(value, '{{"duration_ms":"x"') AS whole
-                FROM events_json
-            )
-            SELECT CASE WHEN NOT whole THEN 'rejected' WHEN NOT ({_READABLE}) THEN 'rejected'
-                        WHEN event_id % 7 = 0 THEN 'undated' ELSE 'accepted' END AS outcome,
-                   count(*) AS n
-            FROM (SELECT event_id, whole, CASE WHEN whole THEN v END AS v FROM records) GROUP BY 1""",
+        "stream_decode_split": f"""WITH {OUTCOMES}
+            SELECT outcome, count(*) AS n FROM outcomes GROUP BY 1""",
+        "stream_decode_counts": f"""WITH {OUTCOMES}
+            SELECT count(*) FILTER (outcome = 'accepted') AS accepted,
+                   count(*) FILTER (outcome = 'rejected') AS rejected,
+                   count(*) FILTER (outcome = 'undated') AS undated
+            FROM outcomes""",
         "encode_events": f"""WITH {USER_EVENTS}
             SELECT user_id AS key, id, event_type, page, round(duration_ms, 6) AS duration_ms
             FROM user_events""",
@@ -355,6 +365,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT window_start, rank, page, n FROM ranked_pages""",
         "window_aggregate": AGGREGATE,
         "window_rollup": AGGREGATE,
+        "distinct_users_by_span": f"""WITH {USER_EVENTS}
+            SELECT span, date_trunc(span, timestamp) AS span_start, count(DISTINCT user_id) AS unique_users
+            FROM user_events, (VALUES ('day'), ('week'), ('month')) AS spans(span) GROUP BY 1, 2""",
         "windows_zero_filled": f"""WITH {TEN_MINUTES},
             moved AS (
                 SELECT * EXCLUDE (window_start, window_end), window_start + later AS window_start,

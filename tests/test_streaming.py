@@ -285,10 +285,27 @@ def test_decode_stores_every_outcome(spark, tmp_path):
         "undated": 1,
         "rejected": 2,
     }
+    passing = decode.passing_counts(spark, out).drop("batch_id").collect()
+    assert [tuple(r) for r in passing] == [(1, 2, 1)]
     bad = decode.read_outcome(spark, out, "rejected")
     assert {r.value for r in bad.collect()} == {"broken", '{"id":3}'}
 
 
+def test_counts_in_passing_of_every_batch(spark, tmp_path):
+    """A line per batch, equal to what the batch stored; a batch may hold one outcome only."""
+    src, out, check = (str(tmp_path / n) for n in ("src", "out", "check"))
+    batches = [['{"id":"1","timestamp":"2024-01-01T00:00:00Z"}'] * 3, ["broken"], ["[]", '{"id":"2"}', ""]]
+    for texts in batches:
+        spark.createDataFrame([(t,) for t in texts], "value string").write.mode("append").text(src)
+        run(decode.start_decode(io.read_json_lines(spark, src), out, check))
+    lines = {r.batch_id: (r.accepted, r.rejected, r.undated) for r in decode.passing_counts(spark, out).collect()}
+    assert lines[0] == (3, 0, 0) and lines[1] == (0, 1, 0)
+    stored = spark.read.schema("batch_id long, outcome string").parquet(out).groupBy("batch_id", "outcome").count()
+    per_batch = {(r.batch_id, r.outcome): r["count"] for r in stored.collect()}
+    for batch_id, line in lines.items():
+        assert line == tuple(per_batch.get((batch_id, o), 0) for o in decode.OUTCOMES)
+
+
 def test_drain_hands_over_each_window_once(spark, tmp_path):
     path, out, check = (str(tmp_path / n) for n in ("w", "out", "check"))
     windows = data.windows(spark, SF)

@@ -36,7 +36,7 @@ EVERY_CYCLE = "30 seconds"
 # The dimension of counters that hold ticks and no events.
 TICK = "tick"
 
-# Files per dimension that a batch of closed windows writes at most.
+# Files per dimension, and of windows, that a batch of closed windows writes at most.
 CELL_FILES = 4
 
 
@@ -182,8 +182,10 @@ def start_closed_windows(
     the windows between those of a batch and after the last one of the batches before.
 
     Adaptive execution does not work in a stateful query, so the writes are sized here:
-    counters are dealt by dimension and a few salts into ``files`` per dimension at most,
-    and a roll-up uses as many partitions.
+    counters are dealt by dimension and a few salts into ``files`` per dimension at most.
+    A roll-up runs in a task per shuffle partition, and its windows are dealt into ``files``
+    after it: were they coalesced, each task would fold many partitions one after the other
+    and hold memory for all of them.
     """
     facts = window_facts(events, time_col)
     if ticks is not None:
@@ -209,7 +211,8 @@ def start_closed_windows(
         windows = rollup(counters, size)
         if ticks is not None:
             windows = windows.unionByName(quiet_windows(counters, size))
-        to_at_rest(windows.coalesce(files)).write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
+        finished = to_at_rest(windows).repartition(files, "window_start")
+        finished.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
         written = spark.read.schema(WINDOW_AT_REST).parquet(f"{path}/windows/batch_id={batch_id}")
         last = _last_start(spark, path, batch_id - 1)
         if empty:
@@ -221,8 +224,8 @@ def start_closed_windows(
                 kinds = dict(known.dtypes)
                 row = [place.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in known.columns]
                 known = known.unionByName(spark.range(1).select(*row))
-            added = zero_fill(known, size).filter("total_events = 0").coalesce(1)
-            to_at_rest(added).write.mode("overwrite").parquet(f"{path}/empty/batch_id={batch_id}")
+            added = to_at_rest(zero_fill(known, size).filter("total_events = 0"))
+            added.repartition(files, "window_start").write.mode("overwrite").parquet(f"{path}/empty/batch_id={batch_id}")
         line = written.agg(
             F.count(F.lit(1)).alias("windows"),
             F.coalesce(F.sum("total_events"), F.lit(0)).alias("events"),

@@ -5,6 +5,7 @@ import re
 import time
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from eventide.operators import windows as win
@@ -459,3 +460,21 @@ def test_cycles_take_every_day(spark):
         parts[min((r.window_start.day - 1) // 8, 3)] = n + 1, events + r.total_events
     assert len(parts) == 4
     assert sorted((r.total_windows, r.total_events) for r in found) == sorted(parts.values())
+
+
+def test_closed_windows_are_rolled_up_in_more_tasks_than_files(spark, tmp_path, monkeypatch):
+    """However few files hold the windows of a batch, a task folds one shuffle partition of them."""
+    src, out, check, beat = (str(tmp_path / n) for n in ("src", "closed", "check", "ticks"))
+    add(at(spark, *range(0, 6000, 10)), src, 0)
+    at(spark, *range(0, 8000, 60)).select("timestamp").coalesce(1).write.parquet(f"{beat}/0")
+    ticks = spark.readStream.schema("timestamp timestamp").parquet(f"{beat}/*")
+    task = F.udf(lambda: TaskContext.get().taskAttemptId(), "long").asNondeterministic()
+    for name in ("rollup", "quiet_windows"):
+        plain = getattr(tumbling, name)
+        monkeypatch.setattr(tumbling, name, lambda *a, plain=plain: plain(*a).withColumn("task", task()))
+    run(tumbling.start_closed_windows(source(spark, src), out, check, "1 hour", "10 minutes", ticks=ticks, files=2))
+    written = spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/windows").collect()
+    assert sorted(r.total_events for r in written) == [0] * 32 + [6] * 100
+    assert len({r.task for r in written if r.total_events}) > 4
+    folders = list((tmp_path / "closed" / "windows").glob("batch_id=*"))
+    assert all(len(list(f.glob("*.parquet"))) <= 2 for f in folders)

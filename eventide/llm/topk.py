@@ -1,8 +1,8 @@
 """Exact top-k inner-product search over a bit-sliced index.
 
 Components x become floor(64 * x). Rows are indexed in blocks where they are read;
-chunks of queries meet every block in a join on the block's group, and each block
-returns its best rows per query, of which the best are kept.
+chunks of queries meet every block in cells of some blocks and some chunks, and each
+block returns its best rows per query, of which the best are kept.
 
 Edge cases: vectors that are null, or hold a null or non-finite component, and rows
 without an id take no part; components that a shorter vector lacks are zero; every row
@@ -16,6 +16,7 @@ query's id and its score with itself is taken for the query and left out.
 """
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,9 @@ from eventide.llm.common import only, store, tidy
 
 SCALE = 64
 BLOCK_ROWS, CHUNK_ROWS = 16_384, 512
+# Cells there are about, if there are as many pairs of block and chunk; more as a cell holds so many blocks (some 10 MB
+# at 64 components) and chunks at most. A block is shuffled with about as many bytes as so many chunks.
+CELLS, CELL_BLOCKS, CELL_CHUNKS, BLOCK_WEIGHS = 256, 8, 96, 8
 _LIMIT = 2**63 - 1
 
 
@@ -97,7 +101,8 @@ def _search(k: int):
                 raw = np.frombuffer(batch.column("slices")[row].as_buffer(), dtype=np.uint64)
                 bits = batch.column("bits")[row].values.to_numpy().astype(np.int64)
                 block = Block(n, batch.column("low")[row].values.to_numpy(), bits, raw.reshape(-1, words))
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], []]
+                times = batch.column("times")[row].values.to_pylist()
                 queries = batch.column("query_ids")[row].values.to_numpy()
                 vectors = batch.column("vectors")[row].values
                 for number, query in enumerate(queries.tolist()):
@@ -107,22 +112,43 @@ def _search(k: int):
                     found = ids[rows].tolist()
                     out[0] += [query] * len(rows)
                     out[1] += [number] * len(rows)
-                    out[2] += found
-                    out[3] += [max(-_LIMIT - 1, min(_LIMIT, s)) for s in sums]
-                    out[4] += [v == query and s == itself for v, s in zip(found, sums, strict=True)]
+                    out[2] += [times[number]] * len(rows)
+                    out[3] += found
+                    out[4] += [max(-_LIMIT - 1, min(_LIMIT, s)) for s in sums]
+                    out[5] += [v == query and s == itself for v, s in zip(found, sums, strict=True)]
                 chunk = batch.column("chunk")[row].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk] * len(out[0]), pa.int64()),
-                        *(pa.array(c, pa.int64()) for c in out[:4]),
-                        pa.array(out[4], pa.bool_()),
+                        *(pa.array(c, pa.int64()) for c in out[:5]),
+                        pa.array(out[5], pa.bool_()),
                     ],
-                    ["chunk", "query_id", "number", "vec_id", "score", "own"],
+                    ["chunk", "query_id", "number", "times", "vec_id", "score", "own"],
                 )
 
     return run
 
 
+def _met(blocks: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Every block with every chunk.
+
+    Both are dealt to rows and columns of a grid and go to all cells of their row or
+    column. The copies are many times the stored files, which is all that Spark would
+    measure, so neither side may be broadcast.
+    """
+    n_blocks, n_chunks = blocks.count(), chunks.count()
+    pairs = n_blocks * n_chunks // CELLS
+    a_row = min(CELL_BLOCKS, max(1, isqrt(pairs // BLOCK_WEIGHS)))
+    a_column = min(CELL_CHUNKS, max(1, pairs // a_row))
+    high, wide = max(1, -(-n_blocks // a_row)), max(1, -(-n_chunks // a_column))
+    placed = blocks.withColumn("row", F.pmod(F.xxhash64("block"), F.lit(high)).cast("int"))
+    placed = placed.withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(wide - 1))))
+    sent = chunks.withColumn("column", F.pmod(F.xxhash64("chunk"), F.lit(wide)).cast("int"))
+    sent = sent.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(high - 1))))
+    # The join holds a cell's blocks; chunks pass by.
+    return sent.hint("merge").join(placed, ["row", "column"])
+
+
 def search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """The ``k`` best rows of (vec_id, embedding) for each row that ``is_query`` selects.
 
@@ -131,18 +157,15 @@ def search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     rows = only(vectors, ["vec_id", "embedding"]).filter(F.col("vec_id").isNotNull() & finite)
     rows = rows.select("vec_id", quantised("embedding").alias("q"))
-    blocks = store(rows.mapInArrow(tidy(_index), BLOCKS), "blocks")
-    groups = max(1, blocks.count())
+    blocks = rows.mapInArrow(tidy(_index), BLOCKS)
+    blocks = store(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
     queries = rows.filter(is_query).groupBy("vec_id", "q").agg(F.count(F.lit(1)).alias("times"))
     chunks = queries.mapInArrow(
         tidy(_query_chunks), "query_ids array<long>, vectors array<array<long>>, times array<long>"
     )
     chunks = store(chunks.withColumn("chunk", F.monotonically_increasing_id()), "queries")
-    # Every chunk goes to every group of blocks: all queries against all rows.
-    sent = chunks.drop("times").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    placed = blocks.withColumn("group", F.pmod(F.xxhash64("block_ids", "slices"), F.lit(groups)).cast("int"))
-    found = placed.join(sent, "group").mapInArrow(
-        tidy(_search(k + 1)), "chunk long, query_id long, number long, vec_id long, score long, own boolean"
+    found = _met(blocks, chunks).mapInArrow(
+        tidy(_search(k + 1)), "chunk long, query_id long, number long, times long, vec_id long, score long, own boolean"
     )
     key = ["query_id", "chunk", "number"]
     best = Window.partitionBy(*key).orderBy(F.desc("score"), "vec_id")
@@ -153,7 +176,5 @@ def search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     ranked = ranked.withColumn("itself", F.coalesce(itself, F.lit(k + 1)))
     after = F.when(F.col("place") > F.col("itself"), 1).otherwise(0)
     others = ranked.filter(F.col("place") != F.col("itself")).withColumn("rank", F.col("place") - after)
-    repeats = chunks.select("chunk", F.posexplode("times").alias("number", "times")).filter("times > 1")
-    several = others.join(repeats, ["chunk", "number"], "left")
-    each = several.withColumn("_", F.explode(F.sequence(F.lit(1), F.coalesce("times", F.lit(1)))))
+    each = others.withColumn("_", F.explode(F.sequence(F.lit(1), "times")))
     return each.select("query_id", "rank", "vec_id", "score")

@@ -71,3 +71,27 @@ def test_many_blocks(spark, monkeypatch, tables):
     monkeypatch.setattr(topk, "CHUNK_ROWS", 5)
     pieces = sorted(tuple(r) for r in topk.search(vectors, F.col("vec_id") % 20 == 0, 20).collect())
     assert whole == pieces
+
+
+def test_chunks_and_blocks_do_not_pass_through_the_driver(spark, monkeypatch, tables):
+    """Stored, the queries are small enough for a broadcast; their copies for all blocks are not."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 70)
+    monkeypatch.setattr(topk, "CHUNK_ROWS", 5)
+    found = topk.search(spark.read.parquet(f"{tables}/embeddings.parquet"), F.col("vec_id") % 20 == 0, 20)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("cells", "most"), [(1, 8), (1, 3), (16, 8), (10**6, 8)])
+def test_any_grid_gives_the_same(spark, monkeypatch, cells, most):
+    """Cells of one pair, and cells of several blocks and chunks; ids and vectors repeat."""
+    sizes = {"BLOCK_ROWS": 7, "CHUNK_ROWS": 2, "CELLS": cells, "CELL_BLOCKS": most, "CELL_CHUNKS": 2 * most}
+    for name, value in (sizes | {"BLOCK_WEIGHS": 2}).items():
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(3)
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(rng.integers(0, 60, 90), rng.integers(-2, 3, (90, 3)), strict=True)]
+    rows += rows[:20] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = topk.search(df, F.col("vec_id") % 2 == 0, 5).collect()
+    assert sorted(tuple(r) for r in found) == brute(rows, 2, 5)

@@ -4,12 +4,15 @@ Inside tasks everything is an Arrow column: the ids of a slice of documents are
 flattened next to the index of their document; token ends are cumulative sums within a
 document; the places where both tokenizers end a token come from a hash join on
 (document, end) and cut the tokens into groups. Pairs of ids of a group are counted
-with ``Table.group_by`` per document and per slice.
+with ``Table.group_by`` per document and per slice. Keys of several columns are joined
+and counted as one whole number, (document, end) as the place in the slice.
 
 Spark adds up the slices' counts: a pair of ids stands once in a slice, however often
 it occurs there, so a pair that nearly every document holds is one row per slice. The
 finished counts go back to the slices they came from, where the documents' sums are
-taken. A slice is some 2 MB of whole documents; no list is longer than its slice.
+taken. A slice is some 0.5 MB of whole documents; no list is longer than its slice. What a
+worker and a reader of slices hold does not grow with the number of slices: the coded
+pieces a worker keeps and the rows of a stored row group are bounded.
 
 Edge cases: null and empty texts, and texts that either tokenizer does not give back
 byte by byte, have no tokens and zeros; repeated rows are documents of their own and
@@ -30,7 +33,11 @@ from pyspark.sql import functions as F
 from eventide.llm import pieces, words
 from eventide.llm.common import only, store, tidy
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+# Coded pieces that a worker keeps for each tokenizer, at some 100 bytes while they are merged.
+KEPT_PIECES = 300_000
+# Slices of a stored row group: a reader holds one row group, and a row is a slice.
+GROUP_SLICES = 32
 
 SLICES = (
     "slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -42,16 +49,20 @@ ALIGNED = (
 )
 
 
-def _ends(lists: pa.Array, token_bytes: pa.Array) -> pa.Table:
-    """The tokens of all documents: document, id, and the byte where each ends in its document."""
+def _ends(lists: pa.Array, token_bytes: pa.Array, offsets: np.ndarray) -> pa.Table:
+    """The tokens of all documents: document, id, and the byte of the slice where each ends.
+
+    A token has a byte at least, so the place tells the document and the end in it.
+    """
     ids, doc = pc.list_flatten(lists), pc.list_parent_indices(lists)
     size = pc.binary_length(token_bytes).take(ids)
     total = pc.cumulative_sum(size.cast(pa.int64()))
     # Bytes before each document: the running total behind the last token of the one before.
     first = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
     running = np.concatenate([[0], total.to_numpy()])
-    before = pa.array(running[first]).take(doc)
-    return pa.table({"doc": doc, "id": ids, "end": pc.subtract(total, before)})
+    # Places in the slice: those of a document lie behind those of the documents before it.
+    shift = pa.array(offsets[:-1] - running[first]).take(doc)
+    return pa.table({"doc": doc, "id": ids, "place": pc.add(total, shift)})
 
 
 def _whole(lists: pa.Array, token_bytes: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -90,10 +101,19 @@ def _digests(a: pa.Table, b: pa.Table, group_doc: np.ndarray, n_docs: int) -> li
     return [hashlib.sha256(t.as_buffer()).hexdigest() if h else "" for t, h in zip(joined, has.tolist(), strict=True)]
 
 
-def _occurrences(tokens: pa.Table, name: str) -> pa.Table:
+def _occurrences(tokens: pa.Table, name: str, n_ids: int) -> pa.Table:
     """How often each id stands in a group."""
-    counted = tokens.group_by(["group", "id"], use_threads=False).aggregate([([], "count_all")])
-    return counted.rename_columns(["group", name, f"n_{name}"])
+    key = pa.array(tokens["group"].to_numpy() * np.int64(n_ids) + tokens["id"].to_numpy())
+    counted = pa.table({"key": key}).group_by("key", use_threads=False).aggregate([([], "count_all")])
+    group, number = np.divmod(counted["key"].to_numpy(), n_ids)
+    return pa.table({"group": group, name: number, f"n_{name}": counted["count_all"]})
+
+
+def _sorted(counted: pa.Table, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, and their values."""
+    key = counted["key"].to_numpy()
+    order = np.argsort(key)
+    return key[order], counted[value].to_numpy()[order]
 
 
 def _slice(texts: pa.Array, doc_ids: pa.Array, number: int, path_a: str, path_b: str) -> pa.RecordBatch:
@@ -104,24 +124,26 @@ def _slice(texts: pa.Array, doc_ids: pa.Array, number: int, path_a: str, path_b:
     data, offsets = pieces.prefixed(data, offsets)
     found = pieces.cut(data, offsets, space_only=True)
     bytes_a, bytes_b = pieces.byte_tokens(path_a), pieces.piece_tokens(path_b)
+    different = pieces.distinct(found)
     lists = []
-    for coder in (pieces.byte_coder(path_a, True), pieces.piece_coder(path_b)):
-        ids, first = coder.encode(found)
+    for coder in (pieces.byte_coder(path_a, True, KEPT_PIECES), pieces.piece_coder(path_b, KEPT_PIECES)):
+        ids, first = coder.encode(found, different)
         lists.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32))))
     kept = filled & _whole(lists[0], bytes_a, data, offsets) & _whole(lists[1], bytes_b, data, offsets)
     lists = [_emptied(part, kept) for part in lists]
-    a, b = _ends(lists[0], bytes_a), _ends(lists[1], bytes_b)
+    a, b = _ends(lists[0], bytes_a, offsets), _ends(lists[1], bytes_b, offsets)
 
-    shared = a.select(["doc", "end"]).join(b.select(["doc", "end"]), ["doc", "end"], join_type="inner", use_threads=False)
-    # Places in the slice: those of a document lie behind those of the documents before it.
-    group_doc, group_end = (shared[c].to_numpy() for c in ("doc", "end"))
-    order = np.argsort(offsets[group_doc] + group_end)
-    group_doc, group_end = group_doc[order], group_end[order]
-    place = offsets[group_doc] + group_end
+    shared = a.select(["place", "doc"]).join(b.select(["place"]), "place", join_type="inner", use_threads=False)
+    group_doc, place = shared["doc"].to_numpy(), shared["place"].to_numpy()
+    order = np.argsort(place)
+    group_doc, place = group_doc[order], place[order]
+    # By place, how many groups end before it.
+    closes = np.zeros(len(data) + 1, dtype=np.int32)
+    closes[place] = 1
+    closed = np.cumsum(closes, dtype=np.int32) - closes
 
     def grouped(tokens: pa.Table) -> pa.Table:
-        group = np.searchsorted(place, offsets[tokens["doc"].to_numpy()] + tokens["end"].to_numpy())
-        return tokens.append_column("group", pa.array(group, pa.int32()))
+        return tokens.append_column("group", pa.array(closed[tokens["place"].to_numpy()]))
 
     a, b = grouped(a), grouped(b)
     both = np.bincount(a["group"].to_numpy(), minlength=len(place)) * np.bincount(b["group"].to_numpy(), minlength=len(place))
@@ -136,20 +158,23 @@ def _slice(texts: pa.Array, doc_ids: pa.Array, number: int, path_a: str, path_b:
         "n_links": _one(pa.array(np.diff(until[first]), pa.int64())),
         "groups_sha256": _one(pa.array(_digests(a, b, group_doc, n_docs), pa.string())),
     }
-    links = _occurrences(a, "a").join(_occurrences(b, "b"), "group", join_type="inner", use_threads=False)
-    doc = pa.array(group_doc, pa.int32()).take(links["group"].combine_chunks())
-    links = pa.table({"doc": doc, "a": links["a"], "b": links["b"], "n": pc.multiply(links["n_a"], links["n_b"])})
-    of_docs = links.group_by(["a", "b", "doc"], use_threads=False).aggregate([("n", "sum")])
-    of_docs = of_docs.sort_by([("a", "ascending"), ("b", "ascending"), ("doc", "ascending")])
+    counts = _occurrences(a, "a", len(bytes_a)), _occurrences(b, "b", len(bytes_b))
+    links = counts[0].join(counts[1], "group", join_type="inner", use_threads=False)
+    pair = links["a"].to_numpy() * np.int64(len(bytes_b)) + links["b"].to_numpy()
+    key = pa.array(pair * n_docs + group_doc[links["group"].to_numpy()])
+    links = pa.table({"key": key, "n": pc.multiply(links["n_a"], links["n_b"])})
+    of_docs, link_n = _sorted(links.group_by("key", use_threads=False).aggregate([("n", "sum")]), "n_sum")
     # Sorted by pair, so runs of equal pairs are the documents that hold it.
-    pairs = of_docs.select(["a", "b"]).group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")])
-    pairs = pairs.sort_by([("a", "ascending"), ("b", "ascending")])
+    pair, doc = np.divmod(of_docs, max(n_docs, 1))
+    pairs = pa.table({"key": pair}).group_by("key", use_threads=False).aggregate([([], "count_all")])
+    pairs, pair_docs = _sorted(pairs, "count_all")
+    pair_a, pair_b = np.divmod(pairs, len(bytes_b))
     row |= {
-        "pair_a": _one(pairs["a"].combine_chunks().cast(pa.int32())),
-        "pair_b": _one(pairs["b"].combine_chunks().cast(pa.int32())),
-        "pair_docs": _one(pairs["count_all"].combine_chunks().cast(pa.int64())),
-        "link_doc": _one(of_docs["doc"].combine_chunks().cast(pa.int32())),
-        "link_n": _one(of_docs["n_sum"].combine_chunks().cast(pa.int64())),
+        "pair_a": _one(pa.array(pair_a, pa.int32())),
+        "pair_b": _one(pa.array(pair_b, pa.int32())),
+        "pair_docs": _one(pa.array(pair_docs, pa.int64())),
+        "link_doc": _one(pa.array(doc, pa.int32())),
+        "link_n": _one(pa.array(link_n, pa.int64())),
     }
     return pa.RecordBatch.from_pydict(row)
 
@@ -217,7 +242,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     ``path_b`` a piece model, which adds that space. The slices are written once; their
     distinct pairs are shuffled to be counted, and the counts back to the slices.
     """
-    sliced = store(slices(docs, path_a, path_b), "alignment")
+    sliced = store(slices(docs, path_a, path_b), "alignment", {"parquet.block.row.count.limit": GROUP_SLICES})
     pairs = sliced.select("slice", F.posexplode(F.arrays_zip("pair_a", "pair_b")).alias("k", "pair"))
     pairs = pairs.select("slice", "k", F.col("pair.pair_a").alias("a"), F.col("pair.pair_b").alias("b"))
     known = pairs.join(pair_counts(sliced), ["a", "b"])

@@ -4,6 +4,7 @@ from functools import cache
 
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -147,3 +148,53 @@ def test_odd_documents(odd, clashing, monkeypatch, slice_bytes):
     for df in (odd, clashing):
         assert rows(alignment.align(df, BYTE_PATH, PIECE_PATH)) == expected
     assert alignment.align(odd.limit(0), BYTE_PATH, PIECE_PATH).collect() == []
+
+
+def test_a_worker_keeps_a_bounded_number_of_pieces():
+    """Pieces that were asked for again stay; the ids do not depend on what was kept."""
+    calls = []
+
+    def batch(given):
+        calls.append(given)
+        return pieces._joined([list(p) for p in given])
+
+    coder = pieces.Coder(batch, 40)
+
+    def ids(texts):
+        found = pieces.cut(*words.buffers(pa.array(texts, pa.string())), space_only=True)
+        coded, first = coder.encode(found)
+        return [bytes(coded[a:b].tolist()).decode() for a, b in zip(first[:-1], first[1:], strict=True)]
+
+    for k in range(12):
+        texts = [" common", "".join(f" w{k}x{j}" for j in range(20)), "", " common" * 3]
+        assert ids(texts) == texts
+        assert len(coder.codes) <= 40 + 21
+    assert sum(g.count(b" common") for g in calls) == 1
+    # As many pieces as may stay, each asked for twice: none is kept.
+    many = ["".join(f" m{j}" for j in range(50))]
+    assert ids(many) == ids(many) == many
+    assert ids([" one"]) == [" one"]
+    assert len(coder.codes) == 1
+    calls.clear()
+    assert ids([""]) == [""] and not calls
+
+
+def test_a_call_codes_a_bounded_number_of_pieces(monkeypatch):
+    monkeypatch.setattr(pieces, "CALL_PIECES", 3)
+    size = []
+    coder = pieces.Coder(lambda given: size.append(len(given)) or pieces._joined([list(p) for p in given]), 100)
+    text = "".join(f" p{j}" for j in range(10))
+    found = pieces.cut(*words.buffers(pa.array([text])), space_only=True)
+    assert bytes(coder.encode(found)[0].tolist()).decode() == text
+    assert size == [3, 3, 3, 1]
+
+
+def test_row_groups_of_slices_are_bounded(spark, documents, monkeypatch, tmp_path):
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 5000)
+    monkeypatch.setattr(alignment, "GROUP_SLICES", 2)
+    monkeypatch.setattr("eventide.llm.common.run_dir", lambda spark, name: str(tmp_path / name))
+    alignment.align(documents, BYTE_PATH, PIECE_PATH)
+    files = list((tmp_path / "alignment").glob("*.parquet"))
+    groups = [m.row_group(k).num_rows for m in map(pq.read_metadata, files) for k in range(m.num_row_groups)]
+    assert max(groups) == 2
+    assert len(groups) > 10
